@@ -50,3 +50,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the scan gives fewer tasks than that; larger inputs stay as they are.
+
+    For steps that work hard on each row (long texts): a few small files would otherwise keep
+    one core busy, while a large table has enough splits and is never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
