@@ -115,7 +115,10 @@ def w05(t):
     return s.expected_scores(rows, CELL, found).select(*CELL, "position", "expected_score")
 
 
-def fill_sql(anchors: str) -> str:
+FILLED_ROWS = "SELECT subject, score_year, image, block, position, score, score_count, cumulative_rank, parse_status FROM walk WHERE score IS NOT NULL"
+
+
+def fill_sql(anchors: str, result: str = FILLED_ROWS) -> str:
     """Recursive twin of the fold: one step per position, carrying the running count."""
     return f"""e AS (SELECT obs.*, anchor - position AS expected, mark > 1 AS done FROM obs JOIN {anchors} USING (subject, score_year, image, block)),
       walk AS (SELECT subject, score_year, image, block, -1 AS position, CAST(NULL AS BIGINT) AS prev, CAST(NULL AS INTEGER) AS score, CAST(NULL AS BIGINT) AS score_count, CAST(NULL AS BIGINT) AS cumulative_rank, CAST(NULL AS VARCHAR) AS parse_status
@@ -126,7 +129,7 @@ def fill_sql(anchors: str) -> str:
               CASE WHEN mark = 0 THEN n WHEN mark = 1 AND walk.prev IS NOT NULL THEN CASE WHEN cum > walk.prev THEN cum - walk.prev ELSE cum END END AS k,
               CASE WHEN mark = 0 THEN cum WHEN mark = 1 AND walk.prev IS NOT NULL THEN CASE WHEN cum > walk.prev THEN cum ELSE walk.prev + cum END END AS c
             FROM walk JOIN e ON e.subject = walk.subject AND e.score_year = walk.score_year AND e.image = walk.image AND e.block = walk.block AND e.position = walk.position + 1)))
-      SELECT subject, score_year, image, block, position, score, score_count, cumulative_rank, parse_status FROM walk WHERE score IS NOT NULL"""
+      {result}"""
 
 
 @query("w06_carry_forward_fill", f"WITH RECURSIVE {OBS}, {ANCHORS}, {fill_sql('anchors')}")
