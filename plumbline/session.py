@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +61,8 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A folder name nobody used before, inside the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
