@@ -34,8 +34,8 @@ def log_score(count: Column, low: float, high: float, at_max: float) -> Column:
 
 
 def capped_share(count: Column, cap: float) -> Column:
-    """Share of a cap, at most 100."""
-    return F.least(F.lit(100.0), count / F.lit(max(1.0, cap)) * 100.0)
+    """Share of a cap, at most 100; null stays null."""
+    return F.when(count.isNotNull(), F.least(F.lit(100.0), count / F.lit(max(1.0, cap)) * 100.0))
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -98,14 +100,13 @@ def joined_key(*parts: Column, sep: str = "|") -> Column:
 
 def strip_suffixes(c: Column, suffixes: tuple[str, ...], repeat: bool) -> Column:
     """Without the given suffixes: each tried once in order (``repeat``) or only the first that fits."""
-    if not repeat:
-        out = c
-        for s in reversed(suffixes):
-            out = F.when(c.endswith(s), F.substring(c, F.lit(1), F.length(c) - len(s))).otherwise(out)
-        return out
+    if repeat:
+        for s in suffixes:
+            c = F.trim(F.regexp_replace(c, f"{re.escape(s)}$", ""))
+        return c
     out = c
-    for s in suffixes:
-        out = F.when(out.endswith(s), F.trim(F.substring(out, F.lit(1), F.length(out) - len(s)))).otherwise(out)
+    for s in reversed(suffixes):
+        out = F.when(c.endswith(s), F.substring(c, F.lit(1), F.length(c) - len(s))).otherwise(out)
     return out
 
 

@@ -59,6 +59,7 @@ def metric_candidates(
     A metric applies to a line that holds its label or one of its aliases and whose context is
     allowed. Every metric is an expression on the row; equal candidates of a page keep the first line.
     """
+    named = any_of(F.col("line").contains(x) for m in metrics for x in (str(m["label"]), *m.get("aliases", [])))
     found = []
     for m in metrics:
         label, unit = str(m["label"]), str(m.get("unit", ""))
@@ -76,7 +77,7 @@ def metric_candidates(
             F.when(alias == label, "medium").otherwise("low").alias("confidence"),
         )
         found.append(F.when(alias.isNotNull() & allowed & value.isNotNull(), row))
-    rows = lines.select(*id_cols, "line_no", F.substring("context", 1, 240).alias("evidence_quote"), F.explode(F.array_compact(F.array(*found))).alias("m"))
+    rows = lines.filter(named).select(*id_cols, "line_no", F.substring("context", 1, 240).alias("evidence_quote"), F.explode(F.array_compact(F.array(*found))).alias("m"))
     flat = rows.select(*id_cols, "line_no", "evidence_quote", "m.*")
     key = [*id_cols, "metric_key", "candidate_value", "evidence_quote"]
     first = flat.groupBy(*key).agg(F.min_by(F.struct("line_no", "metric_unit", "match_alias", "confidence"), F.col("line_no")).alias("f")).select(*key, "f.*")

@@ -124,23 +124,30 @@ def with_fallback(rows: DataFrame, by_code: DataFrame, by_city: DataFrame, code:
     )
 
 
-def keyword_hits(texts: DataFrame, id_col: str, text_col: str, keywords: DataFrame, shortest: int, longest: int) -> DataFrame:
+def keyword_hits(
+    texts: DataFrame, id_col: str, text_col: str, keywords: DataFrame, shortest: int, longest: int, token: str | None = None
+) -> DataFrame:
     """(text id, keyword) wherever the keyword occurs anywhere in the text.
 
-    Containment becomes an equi-join: a lookahead pattern yields, in one linear pass, the
-    ``longest`` characters from each position; their first ``shortest`` characters are joined
-    to the same prefix of the keywords and the rest decides. Keywords outside the stated
-    lengths fail the job rather than being missed.
+    Containment becomes equi-joins. Texts are cut into ``token`` matches (the whole text without
+    a pattern); equal tokens of all texts are looked at once. From each position of a distinct
+    token, the next ``shortest`` characters are joined to the same prefix of the keywords and the
+    following ones, up to ``longest``, decide. A keyword that a token could not hold, or outside
+    the stated lengths, fails the job rather than being missed.
     """
     k = F.length("keyword")
-    checked = F.when((k >= shortest) & (k <= longest), F.col("keyword")).otherwise(
-        F.raise_error(F.lit(f"keyword length outside {shortest}..{longest}")).cast("string")
-    )
+    fits = (k >= shortest) & (k <= longest)
+    if token:
+        fits = fits & F.col("keyword").rlike(f"^(?:{token})$")
+    checked = F.when(fits, F.col("keyword")).otherwise(F.raise_error(F.lit(f"keyword does not fit {token} or {shortest}..{longest}")).cast("string"))
     keys = keywords.select("keyword").distinct().select(checked.alias("keyword")).withColumn("gram", F.substring("keyword", 1, shortest))
-    windows = F.regexp_extract_all(text_col, F.lit(f"(?s)(?=(.{{{shortest},{longest}}}))"), F.lit(1))
-    grams = spread(texts.select(id_col, text_col)).select(id_col, F.explode(windows).alias("window"))
-    grams = grams.withColumn("gram", F.substring("window", 1, shortest))
-    return grams.join(keys, "gram").filter(F.col("window").startswith(F.col("keyword"))).select(id_col, "keyword").distinct()
+    found = F.regexp_extract_all(text_col, F.lit(token), F.lit(0)) if token else F.array(text_col)
+    pieces = spread(texts.select(id_col, text_col)).select(id_col, F.explode(F.array_distinct(found)).alias("piece"))
+    pieces = pieces.filter(F.length("piece") >= shortest)
+    windows = F.regexp_extract_all("piece", F.lit(f"(?s)(?=(.{{{shortest},{longest}}}))"), F.lit(1))
+    grams = pieces.select("piece").distinct().select("piece", F.explode(windows).alias("window")).withColumn("gram", F.substring("window", 1, shortest))
+    holds = grams.join(keys, "gram").filter(F.col("window").startswith(F.col("keyword"))).select("piece", "keyword").distinct()
+    return pieces.join(holds, "piece").select(id_col, "keyword").distinct()
 
 
 def code_keys(df: DataFrame, id_cols: Sequence[str], codes: Column, prefix_lengths: Sequence[int]) -> DataFrame:

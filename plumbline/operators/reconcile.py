@@ -55,15 +55,19 @@ def reconciliation_plan(package: DataFrame, core: DataFrame, spec: Reconcile) ->
     """
     rows = compare_tables(package, core, spec)
     in_package, in_core = F.col("side") == "package_only", F.col("side") == "core_only"
-    scopes = package.select(*spec.scope, F.lit(True).alias("_in_scope")).distinct()
-    open_rows = rows.filter(~((F.col("side") == "matched") & (F.size("differences") == 0))).join(scopes, list(spec.scope), "left")
-    open_rows = open_rows.filter(~in_core | F.col("_in_scope"))
-    groups = open_rows.groupBy(*spec.match).agg(
+    scope_is_match = set(spec.scope) == set(spec.match)
+    if not scope_is_match:
+        scopes = package.select(*spec.scope, F.lit(True).alias("_in_scope")).distinct()
+        rows = rows.join(scopes, list(spec.scope), "left").filter(~in_core | F.col("_in_scope"))
+    groups = rows.groupBy(*spec.match).agg(
+        F.count_if(~in_core).alias("_package_rows"),
         F.count_if(in_package).alias("_package_only"),
         F.count_if(in_core).alias("_core_only"),
         F.min(F.when(in_core, F.struct(*spec.variant))).alias("_first"),
     )
-    tasks = open_rows.join(groups, list(spec.match))
+    tasks = rows.filter(~((F.col("side") == "matched") & (F.size("differences") == 0))).join(groups, list(spec.match))
+    if scope_is_match:
+        tasks = tasks.filter(~in_core | (F.col("_package_rows") > 0))
     has_core, has_package = (F.col("_core_only") > 0) & spec.rekey, (F.col("_package_only") > 0) & spec.rekey
     is_placeholder = all_of(F.col(f"core.{c}").isin(*values) for c, values in spec.placeholder.items()) if spec.placeholder else F.lit(False)
     issue = first_match(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.rules import any_of, first_match
-from plumbline.session import cut_lineage
+from plumbline.session import cut_lineage, spread
 
 # fixed values: the score scale
 LOWEST_SCORE, HIGHEST_SCORE = 0, 750
@@ -257,7 +257,7 @@ def repair_cumulative(
 def context_lines(docs: DataFrame, id_cols: Sequence[str], text: str, count: int) -> DataFrame:
     """Every line of a page with the following ``count - 1`` lines; one row holds the page, so no shuffle."""
     lines = F.transform(F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(x, r"\s+", " ")))
-    listed = docs.select(*id_cols, lines.alias("_lines"))
+    listed = spread(docs.select(*id_cols, text)).select(*id_cols, lines.alias("_lines"))
     at = listed.select(*id_cols, "_lines", F.posexplode("_lines").alias("line_no", "line"))
     near = F.filter(F.slice("_lines", F.col("line_no") + 1, F.lit(count)), lambda x: x != "")
     return at.filter(F.col("line") != "").select(*id_cols, "line_no", "line", F.array_join(near, " ").alias("context"))

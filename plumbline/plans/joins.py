@@ -169,7 +169,7 @@ KEYWORDS_SQL = f"""kw AS (SELECT DISTINCT item_id, lower(unnest(regexp_extract_a
 
 def document_hits(t):
     texts = t.documents.select("doc_id", F.lower("text").alias("body"))
-    return j.keyword_hits(texts, "doc_id", "body", benchmark_keywords(t), SHORTEST, LONGEST)
+    return j.keyword_hits(texts, "doc_id", "body", benchmark_keywords(t), SHORTEST, LONGEST, token="[a-z]+")
 
 
 @query(

@@ -97,7 +97,7 @@ FIT = f"""rec AS (SELECT user_id AS entity, count(*) AS n, sum(CASE event_type W
   near AS (SELECT place_id AS entity, min(km) AS km FROM (SELECT place_id, 2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(lat2 - lat1) / 2), 2) + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2)))) AS km
     FROM (SELECT c_nationkey AS nation, c_custkey AS place_id, c_acctbal / 200.0 AS lat1, CAST((c_custkey * 7) % 360 - 180 AS DOUBLE) AS lon1 FROM customer) JOIN (SELECT s_nationkey AS nation, s_acctbal / 200.0 AS lat2, CAST((s_suppkey * 7) % 360 - 180 AS DOUBLE) AS lon2 FROM supplier) USING (nation)) GROUP BY 1),
   k AS (SELECT entity FROM rec UNION SELECT entity FROM res UNION SELECT entity FROM emp),
-  c AS (SELECT k.entity, least(100.0, rec.w / 100.0 * 100.0) AS recruitment, least(100.0, res.w / 30.0 * 100.0) AS research, greatest(0.0, least(100.0, emp.v / 1000.0 * 100.0)) AS employment,
+  c AS (SELECT k.entity, CASE WHEN rec.w IS NOT NULL THEN least(100.0, rec.w / 100.0 * 100.0) END AS recruitment, CASE WHEN res.w IS NOT NULL THEN least(100.0, res.w / 30.0 * 100.0) END AS research, CASE WHEN emp.v IS NOT NULL THEN greatest(0.0, least(100.0, emp.v / 1000.0 * 100.0)) END AS employment,
     CASE WHEN rec.interns > 0 THEN least(100.0, rec.interns / 20.0 * 100.0) END AS internship, CASE WHEN near.entity IS NOT NULL THEN greatest(0.0, (1500.0 - near.km) / 1500.0 * 100.0) END AS zone_proximity,
     CASE WHEN rec.entity IS NOT NULL THEN least(100.0, rec.employers / 5.0 * 100.0) * 0.6 + least(100.0, rec.roles / 30.0 * 100.0) * 0.4 END AS resilience
     FROM k LEFT JOIN rec USING (entity) LEFT JOIN res USING (entity) LEFT JOIN emp USING (entity) LEFT JOIN near USING (entity))"""
@@ -134,14 +134,13 @@ def m04(t):
     has_rec = F.col("rec_w").isNotNull()
     scored = rows.select(
         "entity",
-        sc.capped_share(F.col("rec_w"), 100.0).alias("_r"),
-        F.when(has_rec, sc.capped_share(F.col("rec_w"), 100.0)).alias("recruitment"),
-        F.when(F.col("res_w").isNotNull(), sc.capped_share(F.col("res_w"), 30.0)).alias("research"),
+        sc.capped_share(F.col("rec_w"), 100.0).alias("recruitment"),
+        sc.capped_share(F.col("res_w"), 30.0).alias("research"),
         sc.clip(F.col("emp_v") / 1000.0 * 100.0).alias("employment"),
         F.when(F.col("interns") > 0, sc.capped_share(F.col("interns"), 20.0)).alias("internship"),
         m.proximity_score(F.col("nearest_km"), RADIUS_KM, F.col("zones"), 50.0).alias("zone_proximity"),
         F.when(has_rec, sc.capped_share(F.col("employers"), 5.0) * 0.6 + sc.capped_share(F.col("role_days"), 30.0) * 0.4).alias("resilience"),
-    ).drop("_r")
+    )
     strength = F.when(F.col("recruitment") >= 70, "recruitment_strong").when(F.col("recruitment") < 35, "recruitment_weak")
     reasons = F.concat_ws("|", strength, F.when(F.col("internship").isNotNull(), "internship_signal_visible"))
     return scored.select("entity", *[fixed6(F.col(c)).alias(c) for c in FIT_WEIGHTS], fixed6(m.weighted_overall(FIT_WEIGHTS)).alias("overall_score"), reasons.alias("reason_codes"))
