@@ -221,6 +221,34 @@ def covered_by_either(rows: DataFrame, facts: DataFrame, id_col: str, code: str,
     return reduce(lambda a, b: a.unionByName(b), parts).distinct()
 
 
+def token_overlap(left: DataFrame, right: DataFrame, scope: Sequence[str], min_shared: int, min_score: float) -> DataFrame:
+    """Pairs of names of a scope that share enough tokens.
+
+    Two names with ``min_shared`` common tokens must meet in the first ``size - min_shared + 1``
+    tokens of both when the rarest come first. Only those are joined, so the commonest tokens of
+    a scope do not pair everything; the survivors are then checked on their full token lists.
+    """
+    scope = list(scope)
+
+    def exploded(df: DataFrame, name: str, tokens: str) -> DataFrame:
+        return df.select(*scope, name, F.explode(tokens).alias("token"))
+
+    both = exploded(left, "p_name", "p_tokens").select(*scope, "token").unionByName(exploded(right, "c_name", "c_tokens").select(*scope, "token"))
+    frequency = both.groupBy(*scope, "token").agg(F.count(F.lit(1)).alias("_n"))
+
+    def rarest(df: DataFrame, name: str, tokens: str) -> DataFrame:
+        ranked = exploded(df, name, tokens).join(frequency, [*scope, "token"]).groupBy(*scope, name)
+        ordered = ranked.agg(F.array_sort(F.collect_list(F.struct("_n", "token"))).alias("_t"))
+        head = F.slice("_t", 1, F.greatest(F.size("_t") - min_shared + 1, F.lit(0)))
+        all_tokens = F.transform("_t", lambda x: x["token"]).alias(tokens)
+        return ordered.select(*scope, name, all_tokens, F.explode(F.transform(head, lambda x: x["token"])).alias("token"))
+
+    met = rarest(left, "p_name", "p_tokens").join(rarest(right, "c_name", "c_tokens"), [*scope, "token"])
+    common = F.size(F.array_intersect("p_tokens", "c_tokens"))
+    enough = (common >= min_shared) & (common / F.least(F.size("p_tokens"), F.size("c_tokens")) >= min_score)
+    return met.filter(enough).select(*scope, "p_name", "c_name").distinct()
+
+
 def name_cascade(
     package: DataFrame,
     core: DataFrame,
@@ -252,18 +280,13 @@ def name_cascade(
     kind = F.when(F.col("p_name") == F.col("c_name"), 1).otherwise(2)
     contained = inside_core.select(*pair).unionByName(inside_package.select(*pair)).withColumn("kind", kind)
 
-    def with_tokens(df: DataFrame, col: str, size: str) -> DataFrame:
-        listed = df.select(*scope, col, tokens(F.col(col)).alias("_t"))
-        return listed.select(*scope, col, F.size("_t").alias(size), F.explode("_t").alias("token"))
-
-    shared = (
-        with_tokens(p, "p_name", "p_size")
-        .join(with_tokens(c.select(*scope, "c_name"), "c_name", "c_size"), [*scope, "token"])
-        .groupBy(*pair, "p_size", "c_size")
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .filter((F.col("shared") >= min_shared) & (F.col("shared") / F.least("p_size", "c_size") >= min_score))
-        .select(*pair, F.lit(3).alias("kind"))
-    )
+    shared = token_overlap(
+        p.select(*scope, "p_name", tokens(F.col("p_name")).alias("p_tokens")),
+        c.select(*scope, "c_name", tokens(F.col("c_name")).alias("c_tokens")),
+        scope,
+        min_shared,
+        min_score,
+    ).select(*pair, F.lit(3).alias("kind"))
     best = contained.unionByName(shared).groupBy(*pair).agg(F.min("kind").alias("kind"))
     counted = best.join(c, [*scope, "c_name"]).groupBy(*scope, "p_name")
     aggs = []

@@ -66,12 +66,19 @@ def most_frequent(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:
 
 
 def cumulative_check(df: DataFrame, group: Sequence[str], min_rows: int) -> DataFrame:
-    """Per group: rows whose running count does not continue the one above, and a too-few-rows flag."""
+    """Per group: rows whose running count does not continue the one above, repeated scores, and a too-few-rows flag.
+
+    Rows are reduced to one per score first, so the window sees at most one row per score.
+    """
+    per_score = df.groupBy(*group, "score").agg(F.min(F.struct("cumulative_rank", "score_count")).alias("v"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group).orderBy(F.desc("score"))
-    expected = F.coalesce(F.lag("cumulative_rank").over(w), F.lit(0)) + F.col("score_count")
-    marked = df.withColumn("_bad", F.col("cumulative_rank") != expected)
+    expected = F.coalesce(F.lag("v.cumulative_rank").over(w), F.lit(0)) + F.col("v.score_count")
+    marked = per_score.withColumn("_bad", F.col("v.cumulative_rank") != expected)
     return marked.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("score_rows"), F.count_if("_bad").alias("mismatches"), (F.count(F.lit(1)) < min_rows).alias("too_few_rows")
+        F.sum("_n").alias("score_rows"),
+        F.count_if("_bad").alias("mismatches"),
+        F.sum(F.col("_n") - 1).alias("duplicate_scores"),
+        (F.sum("_n") < min_rows).alias("too_few_rows"),
     )
 
 
@@ -141,7 +148,8 @@ def fill_counts(df: DataFrame, block: Sequence[str], allow_single_number: bool)
     count, which may itself be filled. A block is one column of a printed page.
     """
     entry = F.struct("position", "expected_score", "numbers", is_complete().alias("done"), F.col("cumulative_rank").cast("bigint").alias("cum"))
-    blocks = df.groupBy(*block).agg(F.array_sort(F.collect_list(entry)).alias("rows"))
+    # below the scale nothing can be filled, and nothing there comes before a row that can
+    blocks = df.filter(F.col("expected_score") >= LOWEST_SCORE).groupBy(*block).agg(F.array_sort(F.collect_list(entry)).alias("rows"))
     start = F.struct(F.lit(None).cast("bigint").alias("prev"), F.array().cast(FILLED).alias("done"))
 
     def step(acc, r):
@@ -214,10 +222,10 @@ def repair_cumulative(
 
     A missing value comes from the other one. When both disagree, a plausible difference
     corrects the count; an implausible one, or a jump far above the count, corrects the running
-    count. Only the first row of a score is used, so a group has at most one row per score.
+    count. Only the first row of a score on the scale is used, which bounds a group.
     """
     rest = F.struct(F.col("score_count").cast("bigint").alias("n"), F.col("cumulative_rank").cast("bigint").alias("cum"))
-    unique = df.groupBy(*group, "score").agg(F.min_by(rest, F.struct(*[F.col(c) for c in ordinal])).alias("v"))
+    unique = df.filter(on_scale(F.col("score"))).groupBy(*group, "score").agg(F.min_by(rest, F.struct(*[F.col(c) for c in ordinal])).alias("v"))
     entry = F.struct((-F.col("score")).alias("down"), F.col("v.n").alias("n"), F.col("v.cum").alias("cum"))
     groups = unique.groupBy(*group).agg(F.array_sort(F.collect_list(entry)).alias("rows"))
     start = F.struct(F.lit(0).cast("bigint").alias("prev"), F.array().cast(REPAIRED).alias("out"))
@@ -264,7 +272,7 @@ def context_lines(docs: DataFrame, id_cols: Sequence[str], text: str, count: int
 
 
 def line_groups(df: DataFrame, page: Sequence[str], tolerance: float) -> DataFrame:
-    """Objects of a page gathered into text lines: within ``tolerance`` of the line's first object.
+    """Objects with the ``first_y`` of their line: within ``tolerance`` of the line's first object.
 
     Positions are reduced to distinct ``y`` values and tiled by the tolerance. Inside a tile no
     gap is wide enough to start a line, so page-level windows see one row per tile only; the
@@ -284,8 +292,14 @@ def line_groups(df: DataFrame, page: Sequence[str], tolerance: float) -> DataFra
 
     empty = F.array().cast("array<struct<first_y:double,y:double>>")
     placed = grouped.select(*page, F.explode(F.aggregate("ys", empty, step)).alias("o")).select(*page, "o.*")
+    return df.join(placed, [*page, "y"])
+
+
+def line_texts(placed: DataFrame, page: Sequence[str]) -> DataFrame:
+    """Text of every line of a printed page from left to right; ``item`` holds the texts."""
     cells = F.array_sort(F.collect_list(F.struct("x", "item")))
-    return df.join(placed, [*page, "y"]).groupBy(*page, "first_y").agg(cells.alias("cells"))
+    text = F.array_join(F.transform(cells, lambda c: c["item"].cast("string")), "")
+    return placed.groupBy(*page, "first_y").agg(text.alias("line"))
 
 
 def column_block(x: Column, ranges: Sequence[tuple[float, float]]) -> Column:

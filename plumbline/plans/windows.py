@@ -82,7 +82,7 @@ OBS = r"""cells AS (SELECT l_returnflag AS subject, year(l_shipdate) AS score_ye
     "w03_cumulative_check",
     f"""WITH {OBS}, x AS (SELECT subject, score_year, image, block, true_score, n, cum + CASE WHEN mark = 4 THEN 1 ELSE 0 END AS c FROM placed),
         y AS (SELECT *, c <> coalesce(lag(c) OVER (PARTITION BY subject, score_year, image, block ORDER BY true_score DESC), 0) + n AS bad FROM x)
-        SELECT subject, score_year, image, block, count(*) AS score_rows, count(*) FILTER (WHERE bad) AS mismatches, count(*) < 50 AS too_few_rows FROM y GROUP BY 1, 2, 3, 4""",
+        SELECT subject, score_year, image, block, count(*) AS score_rows, count(*) FILTER (WHERE bad) AS mismatches, CAST(0 AS BIGINT) AS duplicate_scores, count(*) < 50 AS too_few_rows FROM y GROUP BY 1, 2, 3, 4""",
 )
 def w03(t):
     shifted = F.col("cum") + F.when(F.col("mark") == 4, 1).otherwise(0)
@@ -228,14 +228,14 @@ def w12(t):
     """WITH RECURSIVE o AS (SELECT user_id, event_id, epoch_ms(ts) // 60000 AS y, CAST(floor(value * 100) AS BIGINT) AS x, row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts) // 60000, CAST(floor(value * 100) AS BIGINT), event_id) AS i FROM events),
        walk AS (SELECT user_id, i, y AS first_y, x, event_id FROM o WHERE i = 1
          UNION ALL SELECT o.user_id, o.i, CASE WHEN o.y - walk.first_y <= 600 THEN walk.first_y ELSE o.y END, o.x, o.event_id FROM walk JOIN o ON o.user_id = walk.user_id AND o.i = walk.i + 1)
-       SELECT user_id, first_y, string_agg(event_id, ',' ORDER BY x, event_id) AS line_text, count(*) AS items FROM walk GROUP BY 1, 2""",
+       SELECT user_id, first_y, arg_min(event_id, (x, event_id)) AS first_item, arg_max(event_id, (x, event_id)) AS last_item, count(*) AS items FROM walk GROUP BY 1, 2""",
 )
 def w13(t):
     minute = F.floor(F.unix_millis(F.col("ts").cast("timestamp")) / 60000)
     objects = t.events.select("user_id", minute.cast("double").alias("y"), F.floor(F.col("value") * 100).cast("double").alias("x"), F.col("event_id").alias("item"))
-    lines = s.line_groups(objects, ["user_id"], 600.0)
-    text = F.array_join(F.transform("cells", lambda c: c["item"].cast("string")), ",")
-    return lines.select("user_id", F.col("first_y").cast("bigint").alias("first_y"), text.alias("line_text"), F.size("cells").cast("bigint").alias("items"))
+    place = F.struct("x", "item")
+    lines = s.line_groups(objects, ["user_id"], 600.0).groupBy("user_id", F.col("first_y").cast("bigint").alias("first_y"))
+    return lines.agg(F.min_by("item", place).alias("first_item"), F.max_by("item", place).alias("last_item"), F.count(F.lit(1)).alias("items"))
 
 
 @query(

@@ -54,13 +54,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the scan gives fewer tasks than that; larger inputs stay as they are.
+    """Rows of a bare scan over all cores when it gives fewer tasks than that; anything else stays as it is.
 
     For steps that work hard on each row (long texts): a few small files would otherwise keep
-    one core busy, while a large table has enough splits and is never shuffled here.
+    one core busy. A large table has enough splits, and shuffled data is spread already, so
+    neither is moved; counting the splits of a scan runs no job.
     """
+    try:
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
+        splits = df.rdd.getNumPartitions()
+    except (AttributeError, NotImplementedError):  # a remote session does not show its plan
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if splits < cores else df
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

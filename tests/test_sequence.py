@@ -114,15 +114,15 @@ def brute_lines(items, tolerance):
             lines[-1][1].append((x, item))
         else:
             lines.append((y, [(x, item)]))
-    return [(y, [i for _, i in sorted(cells)]) for y, cells in lines]
+    return [(y, [i for _, i in sorted(cells, key=lambda c: (c[0], str(c[1]) + " "))]) for y, cells in lines]
 
 
 def test_line_groups_equal_the_walk(spark):
     rng = random.Random(3)
     table = [(p, float(rng.randint(0, 120)), float(rng.randint(0, 50)), i) for i, p in enumerate([0] * 150 + [1] * 20 + [2])]
     df = spark.createDataFrame(table, "page int, y double, x double, item long")
-    got = s.line_groups(df, ["page"], 4.0).select("page", "first_y", F.transform("cells", lambda c: c["item"]).alias("items"))
-    want = [(p, y, items) for p in (0, 1, 2) for y, items in brute_lines([r[1:] for r in table if r[0] == p], 4.0)]
+    got = s.line_texts(s.line_groups(df.withColumn("item", F.concat("item", F.lit(" "))), ["page"], 4.0), ["page"])
+    want = [(p, y, "".join(f"{i} " for i in items)) for p in (0, 1, 2) for y, items in brute_lines([r[1:] for r in table if r[0] == p], 4.0)]
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
 
 
