@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.scoring import capped_share, clip, weighted_mean
+from plumbline.functions.scoring import capped_share, clip, range_score, weighted_mean
+from plumbline.functions.values import alias_form
 from plumbline.operators import aggregate as a
 from plumbline.rules import broadcast_rules, first_match, rule_frame
 
@@ -22,8 +23,6 @@ def career_scores(signals: DataFrame, group: Sequence[str], order: Sequence[str]
     latest = a.latest_by(signals, key, ["metric_value", "source_date"], order)
     table = broadcast_rules(rule_frame(signals.sparkSession, a.RULE_COLUMNS, rules), len(rules))
     joined = latest.join(table, "metric_key", "left")
-    from plumbline.functions.scoring import range_score
-
     has_rule = F.col("component").isNotNull()
     score = F.when(has_rule, range_score(F.col("metric_value"), F.col("low"), F.col("high"), F.col("polarity")))
     scored = joined.withColumn("metric_score", score)
@@ -74,8 +73,6 @@ def role_summary(roles: DataFrame, major: str, confidence: Column, fits: Mapping
 
 def aliases_of(entities: DataFrame, id_col: str, names: Sequence[str]) -> DataFrame:
     """One row per distinct alias and entity type; the last entity id keeps a contested alias."""
-    from plumbline.functions.values import alias_form
-
     long = entities.select(id_col, "entity_type", F.explode(F.array(*[F.col(n) for n in names])).alias("alias")).filter(F.coalesce("alias", F.lit("")) != "")
     keyed = long.withColumn("alias_key", alias_form(F.col("alias")))
     return keyed.groupBy("entity_type", "alias_key").agg(F.max(id_col).alias(id_col), F.count_distinct(id_col).alias("claims"))

@@ -286,12 +286,12 @@ def line_groups(df: DataFrame, page: Sequence[str], tolerance: float) -> DataFra
     runs = tiles.withColumn("_new", starts).withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     grouped = ys.join(runs.select(*page, "_tile", "_run"), [*page, "_tile"]).groupBy(*page, "_run").agg(F.array_sort(F.collect_list("y")).alias("ys"))
 
-    def step(acc, y):
-        last = F.get(acc, F.size(acc) - 1)["first_y"]
-        return F.concat(acc, F.array(F.struct(F.when(y - last <= tolerance, last).otherwise(y).alias("first_y"), y.alias("y"))))
+    def step(starts, y):
+        return F.when(y - F.get(starts, F.size(starts) - 1) <= tolerance, starts).otherwise(F.concat(starts, F.array(y)))
 
-    empty = F.array().cast("array<struct<first_y:double,y:double>>")
-    placed = grouped.select(*page, F.explode(F.aggregate("ys", empty, step)).alias("o")).select(*page, "o.*")
+    starts = F.aggregate("ys", F.array().cast("array<double>"), step)
+    own = F.transform("ys", lambda y: F.struct(F.array_max(F.filter("starts", lambda x: x <= y)).alias("first_y"), y.alias("y")))
+    placed = grouped.withColumn("starts", starts).select(*page, F.explode(own).alias("o")).select(*page, "o.*")
     return df.join(placed, [*page, "y"])
 
 

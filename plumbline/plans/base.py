@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.operators.normalise import task_grid
+from plumbline.operators.reconcile import Reconcile, reconciliation_plan
+from plumbline.rules import first_match
+
 KEY = ["ship_year", "batch", "supplier", "slot"]
 MATCH = ["ship_year", "batch", "supplier"]
 VARIANT = ["slot"]
@@ -55,9 +59,7 @@ SIDES = f"""{PACKAGE}, {CORE}, package_only AS (SELECT * FROM package ANTI JOIN
                 WHERE (ship_year, batch, supplier) IN (SELECT (ship_year, batch, supplier) FROM package))"""
 
 
-def spec():
-    from plumbline.operators.reconcile import Reconcile
-
+def spec() -> Reconcile:
     return Reconcile(
         match=tuple(MATCH),
         variant=tuple(VARIANT),
@@ -76,8 +78,6 @@ def spec():
 
 def plan(t) -> DataFrame:
     """Review tasks from the two snapshots."""
-    from plumbline.operators.reconcile import reconciliation_plan
-
     return reconciliation_plan(package(t), core(t), spec())
 
 
@@ -108,9 +108,6 @@ METRICS = [
 
 def collection_plan(t) -> DataFrame:
     """Entity by metric tasks; the orders of a customer decide how far each one is."""
-    from plumbline.operators.normalise import task_grid
-    from plumbline.rules import first_match
-
     stats = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"),

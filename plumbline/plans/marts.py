@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.functions import scoring as sc
-from plumbline.functions.values import fixed6, stable_id, strip_suffixes
+from plumbline.functions.values import fixed6
 from plumbline.operators import aggregate as a
 from plumbline.operators import joins as j
 from plumbline.operators import marts as m
-from plumbline.operators import quality as q
 from plumbline.operators import review as r
 from plumbline.operators import sets as u
 from plumbline.operators.normalise import project_with_defaults, suffix_duplicate_keys, unpivot_years
@@ -20,7 +19,7 @@ from plumbline.plans.joins import DISTRIBUTION, KEYWORDS_SQL, RADIUS_KM, benchma
 from plumbline.plans.projections import YEAR_COLUMNS, wide_orders
 from plumbline.plans.registry import fx, query
 from plumbline.plans.scans import DISTRICTS, GEOCODED, district_tree, geocoded
-from plumbline.rules import broadcast_rules, first_match, rule_frame, values_sql
+from plumbline.rules import first_match, rule_frame, values_sql
 from plumbline.sources import files as f
 
 CAREER_RULES = [("A", "income", 2.0, 1.0, 50.0, "positive"), ("R", "stability", 1.0, 1.0, 50.0, "negative")]
@@ -37,12 +36,12 @@ LATEST = "l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l
 def m01(t):
     signals = t.lineitem.select(
         F.col("l_suppkey").alias("occupation"), F.col("l_linenumber").alias("city"), F.col("l_returnflag").alias("metric_key"), F.col("l_quantity").alias("metric_value"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("source_date"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
+        F.to_date("l_shipdate").alias("source_date"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
     )
     scored = m.career_scores(signals, ["occupation", "city"], ["source_date", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"], CAREER_RULES, 3)
     for c in ("weighted_score", "income_score", "stability_score"):
         scored = scored.withColumn(c, fixed6(F.col(c)))
-    return scored
+    return scored.withColumn("source_date", F.date_format("source_date", "yyyy-MM-dd"))
 
 
 @query(

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from plumbline.operators import sequence as s
-from plumbline.plans import base
 from plumbline.plans.registry import query
-from plumbline.rules import first_match
 
 
 @query(
