@@ -10,6 +10,18 @@ PERCENT = r"(?<![\d.])(\d{1,3}(?:\.\d+)?)\s*%"
 NUMBER = r"(?<!\d)(\d{1,3}(?:\.\d+)?)(?!\d)"
 CLAUSE_END = "[。；;]"
 
+# fixed values: a rate is not read across the name of another metric
+RATE_NAMES = ("就业率", "就业落实率", "毕业去向落实率")
+OTHER_METRIC_WORDS = ("升学", "留学", "出国", "出境", "自主创业")
+
+# fixed values: a broad alias counts only without these words in the four characters before it and with a head count after it
+BROAD_ALIAS = "升学"
+BROAD_ALIAS_NOT_AFTER = ("不含", "除", "国内", "境外", "出国")
+BROAD_ALIAS_FOLLOWED_BY = r"^\s*\d+\s*人"
+
+# fixed values: evaluation texts; all words of one group together exclude a line
+EVALUATION_CONTEXT = (("满意度", "问卷"), ("满意度", "调查"), ("满意度", "学习收获"), ("学生学习满意度",), ("教育教学整体满意度",))
+
 # fixed values: the sentence that announces a ranking, and what separates its names
 RANKING_SENTENCE = r"排行前(\d+)个紧缺职业分别为([^。]+)"
 RANKING_SEPARATOR = "[、,，]"

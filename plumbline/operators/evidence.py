@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import vocabulary as vocab
-from plumbline.rules import any_of, first_match
+from plumbline.rules import all_of, any_of, first_match
 from plumbline.session import spread
 
 MAX_BEFORE = 8
@@ -43,10 +43,16 @@ def nearest_value(line: Column, alias: Column, unit: str) -> Column:
     end = start + F.length(alias) - 1
     if unit == "ratio":
         rest = F.substring(line, end + 1, F.length(line))
-        clause = F.concat(F.substring(line, F.lit(1), end), F.element_at(F.split(rest, vocab.CLAUSE_END), 1))
+        own = F.element_at(F.split(rest, vocab.CLAUSE_END), 1)
+        clause = F.concat(F.substring(line, F.lit(1), end), own)
         plain = F.coalesce(number_after(clause, end, vocab.PERCENT), number_before(clause, end, vocab.PERCENT))
-        glued = F.nullif(F.regexp_extract(F.element_at(F.split(rest, vocab.CLAUSE_END), 1), r"^\s*\d{1,6}(\d{1,2}\.\d+)\s*%", 1), F.lit(""))
-        return F.coalesce(plain, glued).try_cast("double") / 100.0
+        glued = F.nullif(F.regexp_extract(own, r"^\s*\d{1,6}(\d{1,2}\.\d+)\s*%", 1), F.lit(""))
+        between = F.regexp_extract(own, rf"(?s)^(.*?){vocab.PERCENT}", 1)
+        crosses = any_of(alias.contains(x) for x in vocab.RATE_NAMES) & any_of(between.contains(x) for x in vocab.OTHER_METRIC_WORDS)
+        before = F.substring(line, F.greatest(start - 4, F.lit(1)), F.least(start - 1, F.lit(4)))
+        narrow = ~any_of(before.contains(x) for x in vocab.BROAD_ALIAS_NOT_AFTER) & rest.rlike(vocab.BROAD_ALIAS_FOLLOWED_BY)
+        readable = ~crosses & ((alias != vocab.BROAD_ALIAS) | narrow)
+        return F.when(readable, F.coalesce(plain, glued).try_cast("double") / 100.0)
     found = F.coalesce(number_after(line, end, vocab.NUMBER), number_before(line, end, vocab.NUMBER)).try_cast("double")
     return F.when(found <= 100, found) if unit == "score" else found
 
@@ -60,12 +66,13 @@ def metric_candidates(
     allowed. Every metric is an expression on the row; equal candidates of a page keep the first line.
     """
     named = any_of(F.col("line").contains(x) for m in metrics for x in (str(m["label"]), *m.get("aliases", [])))
+    evaluation = any_of(all_of(F.regexp_replace("context", r"\s+", "").contains(x) for x in words) for words in vocab.EVALUATION_CONTEXT)
     found = []
     for m in metrics:
         label, unit = str(m["label"]), str(m.get("unit", ""))
         aliases = [label, *m.get("aliases", [])]
         alias = first_match([(F.col("line").contains(x), x) for x in aliases])
-        blocked = any_of(F.col("context").contains(x) for x in m.get("blocked_context_any", []))
+        blocked = any_of(F.col("context").contains(x) for x in m.get("blocked_context_any", [])) | evaluation
         required = m.get("required_context_any", [])
         allowed = ~blocked & (any_of(F.col("context").contains(x) for x in required) if required else F.lit(True))
         value = nearest_value(F.col("context"), alias, unit)

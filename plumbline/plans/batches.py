@@ -41,6 +41,16 @@ def l02_plan_order(t):
     return r.top_per_group(pending, ["nation"], [F.asc("entity_code"), F.asc("metric_key")], 10).select("nation", "entity_code", "metric_key")
 
 
+@query(
+    "l02_domain_batch_by_city",
+    f"""WITH {base.CPLAN} SELECT domain, nation, entity_code, metric_key FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY nation, entity_name, metric_key, metric_year) AS rn FROM cplan WHERE status = 'partial') WHERE rn <= 50""",
+)
+def l02_city(t):
+    pending = base.collection_plan(t).filter("status = 'partial'")
+    order = [F.asc(c) for c in ("nation", "entity_name", "metric_key", "metric_year")]
+    return r.top_per_group(pending, ["domain"], order, 50).select("domain", "nation", "entity_code", "metric_key")
+
+
 TYPED = [("p_size", "number", "desc"), ("p_retailprice", "number", "asc"), ("p_type", "text", "asc"), ("p_partkey", "number", "asc")]
 
 

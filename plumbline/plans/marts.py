@@ -498,6 +498,22 @@ def m23(t):
     )
 
 
+@query(
+    "q13_geocode_readiness",
+    """WITH l AS (SELECT p_partkey AS local_id, p_brand, p_size FROM part WHERE p_type = 'ECONOMY'), n AS (SELECT p_brand, p_size, count(*) AS n FROM part WHERE p_type = 'PROMO' GROUP BY 1, 2)
+       SELECT p_brand, count(*) AS total_rows, count(*) FILTER (WHERE n = 1) AS done_rows, count(*) - count(*) FILTER (WHERE n = 1) AS blocked_rows, CAST(0 AS BIGINT) AS failed_checks, true AS is_ready FROM l LEFT JOIN n USING (p_brand, p_size) GROUP BY 1""",
+)
+def q13_geocode(t):
+    plan = m23(t).withColumn("p_brand", F.regexp_extract("geocode_query", "^([^ ]+) ", 1))
+    ready, blocked = F.col("status") == "ready", F.col("status") == "blocked"
+    checks = {
+        "query_missing": F.col("geocode_query") == "",
+        "reason_missing": blocked & (F.col("blocking_reason") == ""),
+        "code_missing": ready & F.col("national_code").isNull(),
+    }
+    return r.plan_readiness(plan, ["p_brand"], checks, ready, blocked)
+
+
 @query("m24_poi_retry_list", f"WITH {POI} SELECT s_suppkey, s_nationkey FROM located WHERE source <> 'poi'")
 def m24(t):
     located = poi_locations(t).filter("source = 'poi'")

@@ -229,7 +229,7 @@ def w12(t):
        SELECT user_id, first_y, arg_min(event_id, (x, event_id)) AS first_item, arg_max(event_id, (x, event_id)) AS last_item, count(*) AS items FROM walk GROUP BY 1, 2""",
 )
 def w13(t):
-    minute = F.floor(F.unix_millis(F.col("ts").cast("timestamp")) / 60000)
+    minute = F.timestamp_diff("MINUTE", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts").cast("timestamp_ntz"))
     objects = t.events.select("user_id", minute.cast("double").alias("y"), F.floor(F.col("value") * 100).cast("double").alias("x"), F.col("event_id").alias("item"))
     place = F.struct("x", "item")
     lines = s.line_groups(objects, ["user_id"], 600.0).groupBy("user_id", F.col("first_y").cast("bigint").alias("first_y"))

@@ -22,6 +22,10 @@ from .conftest import rows
         ("12.5 and many words before 得分", "得分", "number", None),
         ("编号1234得分", "得分", "number", None),
         ("就业率 12395.2%", "就业率", "ratio", 0.052),
+        ("就业率高，升学 20%", "就业率", "ratio", None),
+        ("升学 120 人，占 20%", "升学", "ratio", 0.2),
+        ("国内升学 120 人，占 20%", "升学", "ratio", None),
+        ("升学率 20%", "升学", "ratio", None),
     ],
 )
 def test_nearest_value(frame, line, alias, unit, want):
