@@ -33,8 +33,8 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str) -> Data
     """Rank over the whole table without one global partition.
 
     Rows are range-partitioned by the sort; each then knows its place in its partition, and the
-    partition sizes (one row per partition) give the offset. The sorted rows are checkpointed
-    once, because partition boundaries are sampled and must not differ between the two uses.
+    partition sizes (one row per partition) give the offset. The sorted rows are written once,
+    because partition boundaries are sampled and must not differ between the two uses.
     """
     placed = cut_lineage(df.orderBy(*order).withColumn("_pos", F.monotonically_increasing_id()))
     part = F.shiftright("_pos", 33)

@@ -16,6 +16,7 @@ from plumbline.plans.aggregates import BUCKET_SQL
 from plumbline.plans.registry import query
 from plumbline.plans.windows import ANCHORS, CELL, OBS, fill_sql, observations
 from plumbline.rules import broadcast_rules, first_match, rule_frame
+from plumbline.session import cut_lineage
 
 PLAN_COLUMNS = [
     "task_id", "issue_type", "priority", "match_confidence", "suggested_action", "status", "ship_year", "batch", "supplier",
@@ -81,7 +82,7 @@ def r03(t):
     f"""WITH {DECIDED} SELECT task_id, review_decision FROM decided WHERE auto_rule IS NOT NULL ORDER BY priority, issue_type, task_id LIMIT 100""",
 )
 def r03_limited(t):
-    done = rc.auto_decide(flagged(t), AUTO_RULES, limit=100, order=["priority", "issue_type", "task_id"])
+    done = rc.auto_decide(cut_lineage(flagged(t), "plan"), AUTO_RULES, limit=100, order=["priority", "issue_type", "task_id"])
     return done.filter("status = 'decided'").select("task_id", "review_decision")
 
 
@@ -126,7 +127,7 @@ def core_candidates(t):
         LEFT JOIN c ON c.ship_year = p.ship_year AND c.batch = p.batch AND c.supplier = p.supplier AND c.name = n.name WHERE issue_type = 'rekey_candidate'""",
 )
 def r04(t):
-    tasks = base.plan(t).filter("issue_type = 'rekey_candidate'")
+    tasks = cut_lineage(base.plan(t).filter("issue_type = 'rekey_candidate'"), "tasks")
     matched = rc.decide_by_name(tasks, task_names(tasks, names_of(t, "A"), "package"), core_candidates(t), base.MATCH, "slot")
     hit = F.col("matched_key").isNotNull()
     return matched.select("task_id", "name", F.col("matched_key").alias("matched_slot"), F.when(hit, "map_to_core_key").otherwise("").alias("review_decision"))
@@ -143,7 +144,7 @@ def r04(t):
         SELECT task_id, paired_task, CASE WHEN paired_task IS NULL THEN 'todo' ELSE 'decided' END AS status, CASE WHEN paired_task IS NULL THEN '' ELSE 'pair_replace' END AS review_decision FROM plan LEFT JOIN both_ways USING (task_id)""",
 )
 def r05(t):
-    plan = base.plan(t)
+    plan = cut_lineage(base.plan(t), "plan")
 
     def named(issue, flag, side):
         tasks = plan.filter(F.col("issue_type") == issue)
@@ -168,7 +169,7 @@ REVIEWED = f"""{base.PLAN}, reviewed AS (SELECT task_id, issue_type, ship_year,
 
 
 def reviewed(t):
-    plan = base.plan(t)
+    plan = cut_lineage(base.plan(t), "plan")
     return r.merge_batch(plan, reviewed_batch(plan), ["task_id"], EDITABLE)
 
 

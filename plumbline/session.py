@@ -24,7 +24,7 @@ def build_session(app: str = "plumbline", master: str | None = None, shuffle_par
         .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
-        builder = builder.master(master)
+        builder = builder.master(master).config("spark.driver.memory", "4g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
@@ -44,13 +44,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so that later stages survive executor loss without recomputing df."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """df as a table written to the shared folder: computed once, read by every later use.
+
+    Later stages survive the loss of executors without recomputing df, and reads are columnar.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
