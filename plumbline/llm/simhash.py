@@ -6,9 +6,11 @@ indexed with each of its bits deleted, one at a time: segments at most one bit a
 on variants sees every linked pair, and the whole fingerprints are compared behind it.
 
 Only components are asked for, so pairs inside a group are never listed. First every fingerprint of a variant is compared with
-the variant's smallest one, which ties a group of near copies together in a linear number of steps. Then, in variants whose
-members still lie in several components, those outside the variant's largest component are compared with all others. A pair
-that is never compared lies in one component already.
+the variant's smallest one, which ties a group of near copies together with one row each. Then, in variants whose members still
+lie in several components, those outside the variant's largest component are compared with all others, by a semi-join that tells
+which of them have a link. One of these in each variant is tied to all that it links to, components are merged, and the variants
+concerned are looked at again, until no link leads from one component to another. A pair that is never compared lies in one
+component already.
 """
 
 from __future__ import annotations
@@ -96,21 +98,45 @@ def _close(a: str, b: str, distance: int):
 
 
 def components(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """src and root (the smallest of its component) of each fingerprint that has a link; nodes: distinct fp."""
+    """fp and root (one member of its component, the same for all) of each fingerprint that has a link; nodes: distinct fp."""
     per = Window.partitionBy("variant")
     hubs = variants(nodes.select("fp"), distance).withColumn("hub", F.min("fp").over(per)).filter(F.col("fp") != F.col("hub"))
-    star = cut_lineage(hubs.filter(_close("fp", "hub", distance)).select(F.col("fp").alias("src"), F.col("hub").alias("dst")).distinct(), "hub-links")
-    first = connected_components(star)
-
-    marked = nodes.select("fp").join(first.withColumnRenamed("src", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("comp"))
-    mixed = variants(marked, distance).withColumn("one", F.min("comp").over(per)).withColumn("other", F.max("comp").over(per)).filter("one <> other").drop("one", "other")
-    counted = mixed.withColumn("n", F.count("*").over(Window.partitionBy("variant", "comp")))
-    largest = counted.withColumn("largest", F.max(F.struct("n", "comp")).over(per)).select("variant", "fp", "comp", F.col("largest.comp").alias("largest"))
-    mixed = cut_lineage(largest, "mixed-variants")
-    outside = mixed.filter("comp <> largest").select("variant", F.col("fp").alias("src"), F.col("comp").alias("src_comp"))
-    inside = mixed.select("variant", F.col("fp").alias("dst"), F.col("comp").alias("dst_comp"))
-    late = outside.join(inside, (outside["variant"] == inside["variant"]) & (F.col("src_comp") != F.col("dst_comp")) & _close("src", "dst", distance))
-    return connected_components(star.unionByName(late.select("src", "dst").distinct()))
+    star = hubs.filter(_close("fp", "hub", distance)).select(F.col("fp").alias("src"), F.col("hub").alias("dst"))
+    first = cut_lineage(connected_components(star).select(F.col("src").alias("fp"), F.col("root").alias("comp")), "hub-components")
+
+    marked = nodes.select("fp").join(first, "fp", "left").select("fp", F.coalesce("comp", "fp").alias("comp"))
+    mixed = cut_lineage(_mixed(variants(marked, distance)), "mixed-variants")
+    links = None
+    while True:
+        outside = mixed.filter("comp <> largest").select("variant", F.col("fp").alias("src"), F.col("comp").alias("src_comp"))
+        inside = mixed.select("variant", F.col("fp").alias("dst"), F.col("comp").alias("dst_comp"))
+        other = (outside["variant"] == inside["variant"]) & (F.col("src_comp") != F.col("dst_comp")) & _close("src", "dst", distance)
+        # those outside with any link across components: at most one row each, however many links there are
+        linked = cut_lineage(outside.join(inside, other, "left_semi"), "linked")
+        if linked.isEmpty():
+            break
+        # one of them in each variant is tied to all it links to; a variant without one has been compared in full
+        pivots = linked.groupBy("variant").agg(F.min_by(F.struct("src", "src_comp"), F.xxhash64("variant", "src")).alias("pivot"))
+        outside = pivots.select("variant", "pivot.src", "pivot.src_comp")
+        found = outside.join(inside, (outside["variant"] == inside["variant"]) & (F.col("src_comp") != F.col("dst_comp")) & _close("src", "dst", distance))
+        found = found.select(F.col("src_comp").alias("src"), F.col("dst_comp").alias("dst")).distinct()
+        links = cut_lineage(found if links is None else links.unionByName(found), "component-links")
+        merged = connected_components(found).select(F.col("src").alias("comp"), F.col("root").alias("into"))
+        left = mixed.join(pivots.select("variant"), "variant", "left_semi").join(merged, "comp", "left")
+        mixed = cut_lineage(_mixed(left.select("variant", "fp", F.coalesce("into", "comp").alias("comp"))), "mixed-variants")
+    if links is None:
+        return first.withColumnRenamed("comp", "root")
+    joined = connected_components(links).select(F.col("src").alias("comp"), "root")
+    alone = joined.join(first.select(F.col("comp")).distinct(), "comp", "left_anti").select(F.col("comp").alias("fp"), "root")
+    return first.join(joined, "comp", "left").select("fp", F.coalesce("root", "comp").alias("root")).unionByName(alone)
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """variant, fp, comp and the variant's largest component, for variants with members of several; members: variant, fp, comp."""
+    per = Window.partitionBy("variant")
+    several = members.withColumn("one", F.min("comp").over(per)).withColumn("other", F.max("comp").over(per)).filter("one <> other")
+    counted = several.withColumn("n", F.count("*").over(Window.partitionBy("variant", "comp")))
+    return counted.withColumn("largest", F.max(F.struct("n", "comp")).over(per)).select("variant", "fp", "comp", F.col("largest.comp").alias("largest"))
 
 
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, size: int = SHINGLE_WORDS) -> DataFrame:
@@ -121,7 +147,7 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, size: int = SHING
     """
     rows = cut_lineage(fingerprints(docs, size), "fingerprints")
     nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    linked = components(nodes, distance).withColumnRenamed("src", "fp")
+    linked = components(nodes, distance)
     rooted = nodes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     # a table of its own: both sides of the last join are then plain shuffles, which Spark splits where one fingerprint is frequent
