@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import language_id, simhash
+from plumbline.llm import bpe, language_id, simhash
 from plumbline.tables import Tables
 
+#: Name of the module that says where the vocabulary files are; a query's only setting.
+TOKENIZERS = "public_tokenizers"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -19,6 +23,10 @@ def query(run):
     return run
 
 
+def vocabulary_file(name: str) -> str:
+    return importlib.import_module(TOKENIZERS).path(name)
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
@@ -32,3 +40,9 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(Tables(spark, sf_dir).documents)
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document by byte-level BPE, and their decoded text, as digests."""
+    return bpe.round_trip_digests(Tables(spark, sf_dir).documents, vocabulary_file("byte_bpe_50k.json"))
