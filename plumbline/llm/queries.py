@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, language_id, simhash
+from plumbline.llm import bpe, language_id, mixing, quality, simhash
 from plumbline.tables import Tables
 
 #: Name of the module that says where the vocabulary files are; a query's only setting.
@@ -42,7 +42,19 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of the quality rules on every document."""
+    return quality.assess(Tables(spark, sf_dir).documents)
+
+
 @query
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by byte-level BPE, and their decoded text, as digests."""
     return bpe.round_trip_digests(Tables(spark, sf_dir).documents, vocabulary_file("byte_bpe_50k.json"))
+
+
+@query
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix of all sources takes."""
+    return mixing.with_taken(Tables(spark, sf_dir).documents, "doc_id")
