@@ -8,12 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, language_id, mixing, quality, simhash
+from plumbline.llm import bpe, language_id, mixing, quality, simhash, token_counts
 from plumbline.tables import Tables
 
 #: Name of the module that says where the vocabulary files are; a query's only setting.
 TOKENIZERS = "public_tokenizers"
 
+#: Tokens above which a document is over the limit.
+LENGTH_LIMIT = 2048
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -58,3 +61,10 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document a mix of all sources takes."""
     return mixing.with_taken(Tables(spark, sf_dir).documents, "doc_id")
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it is over the length limit."""
+    found = token_counts.token_counts(Tables(spark, sf_dir).documents, vocabulary_file("word_bpe_49k.json"))
+    return found.select("*", (F.col("n_tokens") > LENGTH_LIMIT).alias("over_limit"))
