@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, language_id, mixing, quality, simhash, token_counts
+from plumbline.llm import bpe, language_id, mixing, quality, simhash, token_counts, topk
 from plumbline.tables import Tables
 
 #: Name of the module that says where the vocabulary files are; a query's only setting.
@@ -68,3 +68,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it is over the length limit."""
     found = token_counts.token_counts(Tables(spark, sf_dir).documents, vocabulary_file("word_bpe_49k.json"))
     return found.select("*", (F.col("n_tokens") > LENGTH_LIMIT).alias("over_limit"))
+
+
+@query
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best candidates of every hundredth vector among all vectors."""
+    return topk.top_k(Tables(spark, sf_dir).embeddings)
