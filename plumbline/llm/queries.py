@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, language_id, mixing, quality, simhash, token_counts, topk
+from plumbline.llm import bpe, language_id, mixing, quality, simhash, token_counts, topk, warc
 from plumbline.tables import Tables
 
 #: Name of the module that says where the vocabulary files are; a query's only setting.
@@ -74,3 +74,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best candidates of every hundredth vector among all vectors."""
     return topk.top_k(Tables(spark, sf_dir).embeddings)
+
+
+@query
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of an archive, written and read back."""
+    return warc.round_trip(Tables(spark, sf_dir).pages)
