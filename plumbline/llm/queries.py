@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, language_id, mixing, quality, simhash, token_counts, topk, warc
+from plumbline.llm import bpe, html_text, language_id, licenses, mixing, quality, simhash, token_counts, topk, warc
 from plumbline.tables import Tables
 
 #: Name of the module that says where the vocabulary files are; a query's only setting.
@@ -80,3 +80,16 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a record of an archive, written and read back."""
     return warc.round_trip(Tables(spark, sf_dir).pages)
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document as a whole, and of its lines."""
+    return licenses.scan(Tables(spark, sf_dir).documents)
+
+
+@query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page, laid out."""
+    found = html_text.extract(Tables(spark, sf_dir).pages)
+    return found.select("page_id", F.length("text").alias("n_chars"), "text")
