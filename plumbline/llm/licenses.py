@@ -114,5 +114,5 @@ def scan(docs: DataFrame) -> DataFrame:
     by_digest = F.create_map(*(F.lit(x) for pair in sorted(names.items()) for x in pair))
     # only lines with a word that licences have are worth a digest
     lines = F.filter(F.split("text", "\n"), lambda line: F.lower(line).rlike("licen[cs]e|software|warrant"))
-    found = F.array_sort(F.array_distinct(F.filter(F.transform(lines, lambda line: F.get(by_digest, digest(line))), lambda x: x.isNotNull())))
+    found = F.array_sort(F.array_distinct(F.filter(F.transform(lines, lambda line: F.try_element_at(by_digest, digest(line))), lambda x: x.isNotNull())))
     return rows.join(known, "digest", "left").select("doc_id", "digest", "license", F.array_join(found, ",").alias("notices"))
