@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, html_text, language_id, licenses, mixing, quality, simhash, token_counts, topk, warc
+from plumbline.llm import bpe, html_text, language_id, licenses, mixing, oracles, quality, simhash, token_counts, topk, warc
 from plumbline.tables import Tables
 
 #: Name of the module that says where the vocabulary files are; a query's only setting.
@@ -18,7 +18,12 @@ TOKENIZERS = "public_tokenizers"
 LENGTH_LIMIT = 2048
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_warc_round_trip": oracles.WARC,
+    "op4_license_scan": oracles.LICENSE_SCAN,
+    "op5_quality_rules": oracles.QUALITY,
+    "op7_exact_top_k": oracles.TOP_K,
+}
 
 
 def query(run):
