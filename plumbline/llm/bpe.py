@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 #: Words of up to so many bytes are merged in arrays.
 SHORT_BYTES = 48
 #: Pieces and words that a worker remembers at most; beyond, it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Characters that are encoded together.
 BLOCK_CHARS = 1 << 20
 NO_RANK = np.iinfo(np.int32).max
