@@ -27,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.llm.batches import portions
+
 #: Words of up to so many bytes are merged in arrays.
 SHORT_BYTES = 48
 #: Pieces and words that a worker remembers at most; beyond, it starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 #: Characters that are encoded together.
 BLOCK_CHARS = 1 << 20
 NO_RANK = np.iinfo(np.int32).max
@@ -272,35 +274,24 @@ def vocabulary(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def groups_of(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about BLOCK_CHARS."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= BLOCK_CHARS:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns keep of docs, and `ids`: the token ids of the whole text, packed as little-endian unsigned 32-bit numbers.
+def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
+    """The columns keep of docs, and `ids`: the token ids of the whole text, packed as little-endian unsigned 32-bit numbers;
+    with_text adds `text`, what these ids decode to.
 
     One row per row of docs. Null and empty texts have no ids (an empty binary). No special tokens are added. Columns of docs
     other than keep and text are left aside, whatever their names.
     """
     fields = [f for f in docs.schema.fields if f.name in keep]
-    schema = T.StructType([*fields, T.StructField("ids", T.BinaryType())])
+    made = [T.StructField("ids", T.BinaryType())] + [T.StructField("text", T.StringType())] * with_text
+    schema = T.StructType([*fields, *made])
     n = len(fields)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
-        for batch in rows:
-            texts = [x or "" for x in batch.column(n).to_pylist()]
-            for a, b in groups_of(texts):
-                own = [c.slice(a, b - a) for c in batch.columns[:n]]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(bpe.encode(texts[a:b]), pa.binary())], schema.names)
+        for part in portions(rows, n):
+            ids = bpe.encode([x or "" for x in part.column(n).to_pylist()])
+            texts = [pa.array([bpe.decode(x) for x in ids], pa.string())] if with_text else []
+            yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(ids, pa.binary()), *texts], schema.names)
 
     return docs.select(*(F.col(f"`{f.name}`") for f in fields), F.col("text").alias("__text")).mapInArrow(run, schema)
 
@@ -313,18 +304,16 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
-        for batch in rows:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
-                texts = [None if x is None else bpe.decode(x) for x in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], schema.names)
+        for part in portions(rows, at):
+            texts = [None if x is None else bpe.decode(x) for x in part.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], schema.names)
 
     return encoded.mapInArrow(run, schema)
 
 
 def round_trip_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (lower-case hexadecimal) of each row of docs."""
-    return decode(encode(docs, path), path).select(
+    return encode(docs, path, with_text=True).select(
         "doc_id",
         F.expr("octet_length(ids) div 4").cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.batches import portions
+
 # Fixed values of the language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes".split())
@@ -456,10 +458,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [page_text(x.as_py()) for x in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], ["page_id", "text"])
+        for part in portions(rows, 1):
+            texts = [page_text(x.as_py()) for x in part.column(1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], ["page_id", "text"])
 
     return pages.select(F.col("page_id").cast("bigint"), F.col("html")).mapInArrow(run, "page_id bigint, text string")

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.llm.batches import portions
+
 UNDETERMINED = "und"
 BLANK = 32
 #: Length of a profile, of a language as of a document.
@@ -27,7 +29,7 @@ SAMPLE_DOCS = 4000
 #: Distinct lang values that profiles are learned for; as many or more are refused, since that is no language column.
 MAX_LANGUAGES = 10_000
 #: Characters of one language that are counted together while learning.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
 
 
 @functools.cache
@@ -103,8 +105,8 @@ def _count_grams(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size.pop(lang)
         return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(values)), pa.array(values), pa.array(counts.astype(np.int64))], ["lang", "gram", "n"])
 
-    for batch in rows:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+    for part in portions(rows, 1):
+        for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
             waiting.setdefault(lang, []).append(text)
             size[lang] = size.get(lang, 0) + len(text) + 1
             if size[lang] >= BLOCK_CHARS:
@@ -149,21 +151,22 @@ def learn(docs: DataFrame, length: int = PROFILE_LENGTH, sample_docs: int = SAMP
     return Model([(r["lang"], r["gram"], r["place"]) for r in found], length)
 
 
-def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns keep of docs, lang_pred and score (0 to 1), one row per row of docs.
+def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), as_names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns keep of docs, lang_pred and score (0 to 1; as_names gives other names), one row per row of docs.
 
     Only the text is looked at, all of it. Text null, empty or without letters: `und`, score 0; likewise if the model knows
     no language. Columns of docs other than keep and text are left aside, whatever their names.
     """
     fields = [f for f in docs.schema.fields if f.name in keep]
-    schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    made = [T.StructField(name, kind) for name, kind in zip(as_names, (T.StringType(), T.DoubleType()), strict=True)]
+    schema = T.StructType([*fields, *made])
     n = len(fields)
 
     def predict(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            found = [model.predict(x.as_py()) for x in batch.column(n)]
-            made = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *made], schema.names)
+        for part in portions(rows, n):
+            found = [model.predict(x.as_py()) for x in part.column(n)]
+            own = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*part.columns[:n], *own], schema.names)
 
     return docs.select(*(F.col(f"`{f.name}`") for f in fields), F.col("text").alias("__text")).mapInArrow(predict, schema)
 
@@ -174,4 +177,5 @@ def language_filter(docs: DataFrame, min_score: float = 0.0, length: int = PROFI
     Rejected: null texts, texts without letters, and those below min_score. Repeated rows stay as often as they come.
     """
     model = learn(docs, length, sample_docs)
-    return identify(docs, model, tuple(docs.columns)).filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)).select(*docs.columns)
+    found = identify(docs, model, tuple(docs.columns), ("__lang_pred", "__score"))
+    return found.filter((F.col("__lang_pred") != UNDETERMINED) & (F.col("__score") >= min_score)).drop("__lang_pred", "__score")

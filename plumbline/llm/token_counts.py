@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.batches import portions
 from plumbline.session import cut_lineage
 
 #: Characters above which a document is cut, in a chunk, and in the first overlap.
@@ -29,9 +30,7 @@ CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 256
 WIDEN = 8
 #: Words that a worker remembers at most.
-REMEMBERED = 400_000
-#: Characters that are encoded together.
-BLOCK_CHARS = 1 << 20
+REMEMBERED = 300_000
 
 # Fixed value: the white space of Unicode.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -86,27 +85,14 @@ def counter(path: str) -> Counter:
     return Counter(path)
 
 
-def groups_of(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about BLOCK_CHARS."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= BLOCK_CHARS:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def plain_counts(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens of documents that are encoded whole; docs: doc_id, text (null: empty)."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path).count
-        for batch in rows:
-            texts = batch.column(2).to_pylist()
-            tokens = [n for a, b in groups_of(texts) for n in count(texts[a:b])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+        for part in portions(rows, 2):
+            tokens = count(part.column(2).to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(tokens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.col("doc_id").cast("bigint"), F.octet_length(text).cast("bigint").alias("n_bytes"), text.alias("text")).mapInArrow(
@@ -121,8 +107,8 @@ def slices(docs: DataFrame, chunk: int) -> DataFrame:
     """Documents as chunks without overlap; uid names a document's row. Written once, so that uid stays what it is."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            for uid, doc_id, n_bytes, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for part in portions(rows, 3):
+            for uid, doc_id, n_bytes, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 parts = [text[a : a + chunk] for a in range(0, len(text), chunk)]
                 for at in range(0, len(parts), 256):
                     some = parts[at : at + 256]
