@@ -36,8 +36,10 @@ SECTION_LINE = r"^(.*?)（.*）$"
 DISTRIBUTION_ROW = r"(\d{2,3})\s+([\d,]+)\s+([\d,]+)"
 OCCUPATION_CODE = r"^\d{1,2}(-\d{1,2}){1,3}$"
 
-# fixed values: scope tags; in each group the first tag with a word in the quote applies
-SCOPE_GROUPS = (
+# fixed values: scope tags in order; a rule is a list of (words, tag) of which the first with a word in the quote applies, or a
+# pattern and the tag that a match gives, {} being what its group holds
+SCOPE_RULES = (
+    (r"([0-9０-９]{4})\s*届", "{}届"),
     (
         (("本科应届毕业生",), "本科应届毕业生"),
         (("本科毕业生",), "本科毕业生"),
@@ -47,9 +49,11 @@ SCOPE_GROUPS = (
     ),
     ((("辽宁省内", "在辽就业", "辽宁省就业", "留辽"), "辽宁省内去向，不是学校总体就业率或本科总体口径"),),
     ((("专业对口", "对口就业率"), "专业对口口径，不是学校总体就业率或本科总体口径"),),
+    (r"(专业毕业生|[\u4e00-\u9fa5]{2,24}专业[^。；;]{0,12}就业率)", "专业口径，不是学校总体就业率或本科总体口径"),
     ((("男生", "女生", "男/女"), "性别分组，不是学校总体就业率或本科总体口径"),),
     ((("师范生", "非师范生"), "培养类型分组，不是学校总体就业率或本科总体口径"),),
     ((("学位点",), "学位点口径，不是学校总体就业率或本科总体口径"),),
+    (r"((?:(?:比例|率)[^。；;]{0,12}|较\s*去年[^。；;]{0,6})(?:上升|增长|提高|提升|下降|降低))", "变化幅度，不是学校总体就业率或本科总体口径"),
     ((("国内升学",), "国内升学"), (("升学",), "升学")),
     (
         (("年终",), "年终毕业去向"),
@@ -57,6 +61,7 @@ SCOPE_GROUPS = (
         (("毕业去向落实率",), "毕业去向落实率"),
         (("就业率",), "就业率"),
     ),
+    (r"截至\s*((?:[0-9０-９]{4}\s*年\s*)?[0-9０-９]{1,2}\s*月\s*[0-9０-９]{1,2}\s*日)", "截至{}"),
 )
 
 # fixed values: characters that text recognition confuses with digits

@@ -29,20 +29,12 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 RULE_COLUMNS = ("metric_key", "component", "weight", "low", "high", "polarity")
 
 
-MAX_CHAINED_RULES = 64
-
-
 def score_metrics(metrics: DataFrame, rules: Sequence[Sequence]) -> DataFrame:
-    """Metric rows with score, weight and component; metrics without a rule drop out.
-
-    A short rule list is an expression on the row; a longer one is joined as a rule table.
-    """
-    if len(rules) <= MAX_CHAINED_RULES:
-        fields = RULE_COLUMNS[1:]
-        chosen = first_match([(F.col("metric_key") == r[0], F.struct(*[F.lit(v).alias(f) for f, v in zip(fields, r[1:])])) for r in rules])
-        joined = metrics.withColumn("_rule", chosen).filter(F.col("_rule").isNotNull()).select(*metrics.columns, "_rule.*")
-    else:
-        joined = metrics.join(broadcast_rules(rule_frame(metrics.sparkSession, RULE_COLUMNS, rules), len(rules)), "metric_key")
+    """Metric rows with score, weight and component; metrics without a rule drop out. Two rules for one metric are an error."""
+    keys = [r[0] for r in rules]
+    if len(set(keys)) < len(keys):
+        raise ValueError(f"metrics with several rules: {sorted({k for k in keys if keys.count(k) > 1})}")
+    joined = metrics.join(broadcast_rules(rule_frame(metrics.sparkSession, RULE_COLUMNS, rules), len(rules)), "metric_key")
     score = range_score(F.col("metric_value"), F.col("low"), F.col("high"), F.col("polarity"))
     return joined.withColumn("metric_score", score).drop("low", "high", "polarity")
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import vocabulary as vocab
 from plumbline.rules import all_of, any_of, first_match
-from plumbline.session import spread
 
 MAX_BEFORE = 8
 
@@ -26,6 +25,24 @@ def number_after(line: Column, start: Column, pattern: str) -> Column:
     return F.nullif(lead, F.lit(""))
 
 
+def nearest_in_range(line: Column, start: Column, end: Column, low: float, high: float, max_distance: int = MAX_BEFORE) -> Column:
+    """Number from low to high that belongs to an alias: the next one after it, else the last one that ends close before it.
+
+    Numbers out of range are passed over, however near they are.
+    """
+    numbers = F.regexp_extract_all(line, F.lit(vocab.NUMBER), F.lit(1))
+    pieces = F.split(line, vocab.NUMBER)
+    # where each number begins: what stands before it, numbers and all
+    number = F.struct(F.lit(0).alias("begin"), F.lit(0).alias("end"), F.lit("").alias("text"))
+    step = lambda acc, x: F.concat(acc, F.array(F.struct((F.element_at(acc, -1)["end"] + F.length(x["before"])).alias("begin"), (F.element_at(acc, -1)["end"] + F.length(x["before"]) + F.length(x["text"])).alias("end"), x["text"].alias("text"))))
+    listed = F.zip_with(F.slice(pieces, F.lit(1), F.size(numbers)), numbers, lambda a, b: F.struct(a.alias("before"), b.alias("text")))
+    placed = F.aggregate(listed, F.array(number), step)
+    usable = F.filter(placed, lambda x: x["text"].try_cast("double").between(low, high))
+    after = F.get(F.filter(usable, lambda x: x["begin"] >= end), F.lit(0))["text"]
+    before = F.try_element_at(F.filter(usable, lambda x: (x["end"] < start) & (start - 1 - x["end"] <= max_distance)), F.lit(-1))["text"]
+    return F.coalesce(after, before).try_cast("double")
+
+
 def number_before(line: Column, start: Column, pattern: str, max_distance: int = MAX_BEFORE) -> Column:
     """Last number that ends at most ``max_distance`` characters before ``start``."""
     head = F.substring(line, F.lit(1), start)
@@ -53,8 +70,9 @@ def nearest_value(line: Column, alias: Column, unit: str) -> Column:
         narrow = ~any_of(before.contains(x) for x in vocab.BROAD_ALIAS_NOT_AFTER) & rest.rlike(vocab.BROAD_ALIAS_FOLLOWED_BY)
         readable = ~crosses & ((alias != vocab.BROAD_ALIAS) | narrow)
         return F.when(readable, F.coalesce(plain, glued).try_cast("double") / 100.0)
-    found = F.coalesce(number_after(line, end, vocab.NUMBER), number_before(line, end, vocab.NUMBER)).try_cast("double")
-    return F.when(found <= 100, found) if unit == "score" else found
+    if unit == "score":
+        return nearest_in_range(line, start, end, 0, 100)
+    return F.coalesce(number_after(line, end, vocab.NUMBER), number_before(line, end, vocab.NUMBER)).try_cast("double")
 
 
 def metric_candidates(
@@ -88,13 +106,25 @@ def metric_candidates(
     flat = rows.select(*id_cols, "line_no", "evidence_quote", "m.*")
     key = [*id_cols, "metric_key", "candidate_value", "evidence_quote"]
     first = flat.groupBy(*key).agg(F.min_by(F.struct("line_no", "metric_unit", "match_alias", "confidence"), F.col("line_no")).alias("f")).select(*key, "f.*")
-    return first.withColumn("metric_scope", scope_tags(F.col("evidence_quote"), vocab.SCOPE_GROUPS) if scope is None else scope)
+    return first.withColumn("metric_scope", scope_tags(F.col("evidence_quote"), vocab.SCOPE_RULES) if scope is None else scope)
+
+
+def scope_tags(quote: Column, rules: Sequence[Sequence], sep: str = "，") -> Column:
+    """Distinct tags in the order of the rules.
+
+    A rule is a list of (words, tag), of which the first with a word in the quote applies, or a pattern with one group and the
+    tag of its first match, in which {} stands for what the group holds.
+    """
 
+    def tag(rule) -> Column:
+        if not isinstance(rule[0], str):
+            return first_match([(any_of(quote.contains(w) for w in words), tag) for words, tag in rule])
+        held = F.regexp_extract(quote, rule[0], 1)
+        before, _, after = rule[1].partition("{}")
+        text = F.concat(F.lit(before), held, F.lit(after)) if "{}" in rule[1] else F.lit(rule[1])
+        return F.when(held != "", text)
 
-def scope_tags(quote: Column, groups: Sequence[Sequence[tuple[Sequence[str], str]]], sep: str = "，") -> Column:
-    """Distinct tags in group order; a group gives the tag of its first rule with a word in the quote."""
-    tags = [first_match([(any_of(quote.contains(w) for w in words), tag) for words, tag in group]) for group in groups]
-    return F.array_join(F.array_distinct(F.array_compact(F.array(*tags))), sep)
+    return F.array_join(F.array_distinct(F.array_compact(F.array(*[tag(rule) for rule in rules]))), sep)
 
 
 class _Cells(HTMLParser):
@@ -139,7 +169,7 @@ def html_table_rows(pages: DataFrame, id_col: str, html: str) -> DataFrame:
                 out.extend((page, i, cells) for i, cells in enumerate(parser.rows))
             yield pd.DataFrame(out, columns=[id_col, "row_no", "cells"])
 
-    return spread(pages.select(id_col, html)).mapInPandas(parse, f"{id_col} {id_type}, row_no int, cells array<string>")
+    return pages.select(id_col, html).mapInPandas(parse, f"{id_col} {id_type}, row_no int, cells array<string>")
 
 
 def code_name_rows(rows: DataFrame, id_col: str, pattern: str = vocab.OCCUPATION_CODE) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.scoring import EARTH_RADIUS_KM, haversine_km
 from plumbline.rules import first_match
-from plumbline.session import spread
 
 
 def last_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -141,7 +140,7 @@ def keyword_hits(
     checked = F.when(fits, F.col("keyword")).otherwise(F.raise_error(F.lit(f"keyword does not fit {token} or {shortest}..{longest}")).cast("string"))
     keys = keywords.select("keyword").distinct().select(checked.alias("keyword")).withColumn("gram", F.substring("keyword", 1, shortest))
     found = F.regexp_extract_all(text_col, F.lit(token), F.lit(0)) if token else F.array(text_col)
-    pieces = spread(texts.select(id_col, text_col)).select(id_col, F.explode(F.array_distinct(found)).alias("piece"))
+    pieces = texts.select(id_col, F.explode(F.array_distinct(found)).alias("piece"))
     pieces = pieces.filter(F.length("piece") >= shortest)
     windows = F.regexp_extract_all("piece", F.lit(f"(?s)(?=(.{{{shortest},{longest}}}))"), F.lit(1))
     grams = pieces.select("piece").distinct().select("piece", F.explode(windows).alias("window")).withColumn("gram", F.substring("window", 1, shortest))

@@ -155,15 +155,21 @@ def collapse_hints(hints: DataFrame, key: Sequence[str], ordinal: str) -> DataFr
     return hints.groupBy(*key, "hint_code", "evidence").agg(F.min(ordinal).alias("first_ordinal"), F.count(F.lit(1)).alias("hint_rows"))
 
 
+# The buckets of a portfolio.
+PORTFOLIO_BUCKETS = ("required_available", "required_unavailable", "easy_but_underused", "optional_enhancement", "not_for_formal_recommendation")
+
+
 def classify_portfolio(domains: DataFrame, coverage: DataFrame, area: str) -> DataFrame:
-    """Declared class unless the measured coverage says otherwise."""
+    """Bucket of every domain, and the blocker of a required one that cannot be had.
+
+    A required domain follows the coverage of its area: passed makes it available, anything else unavailable. Without coverage of
+    its area, and where it is not required, a domain keeps its declared class; a class that is no bucket counts as optional.
+    """
     joined = domains.join(coverage.select(area, "coverage_rate", "area_status"), area, "left")
-    bucket = first_match(
-        [
-            (F.col("area_status").isNull() & (F.col("importance") == "required"), "required_unavailable"),
-            ((F.col("importance") == "required") & (F.col("area_status") != "passed"), "required_unavailable"),
-            ((F.col("area_status") == "passed") & (F.col("use_depth") == "shallow"), "easy_but_underused"),
-        ],
-        F.col("declared"),
-    )
-    return joined.withColumn("bucket", bucket)
+    required, measured = F.col("importance") == "required", F.col("area_status").isNotNull()
+    declared = F.when(F.col("declared").isin(*PORTFOLIO_BUCKETS), F.col("declared")).otherwise("optional_enhancement")
+    passed = F.col("area_status") == "passed"
+    bucket = first_match([(required & measured & passed, "required_available"), (required & measured, "required_unavailable")], declared)
+    unavailable = required & (F.col("bucket") == "required_unavailable")
+    blocker = F.when(unavailable, F.concat(F.upper("domain"), F.lit("_NOT_OPERATIONAL"))).otherwise("")
+    return joined.withColumn("bucket", bucket).withColumn("blocker_code", blocker)

@@ -184,29 +184,37 @@ def pair_by_name(left: DataFrame, right: DataFrame, scope: Sequence[str]) -> Dat
     return unique(left, "core_task").join(unique(right, "package_task"), [*scope, "name"])
 
 
-def apply_pairs(plan: DataFrame, pairs: DataFrame, decision: str) -> DataFrame:
-    """Both rows of every pair are decided and carry the id of the other row."""
-    long = pairs.select(F.explode(F.array(
-        F.struct(F.col("core_task").alias("task_id"), F.col("package_task").alias("paired_task")),
-        F.struct(F.col("package_task").alias("task_id"), F.col("core_task").alias("paired_task")),
-    )).alias("p")).select("p.*")
+def apply_pairs(plan: DataFrame, pairs: DataFrame, spec: Reconcile) -> DataFrame:
+    """Both rows of every pair are decided and carry the id of the other row.
+
+    The package row is to replace the core row: it carries the core row's key as ``paired_key``. The core row is covered by it
+    and calls for nothing of its own.
+    """
+    own = plan.select(F.col("task_id").alias("core_task"), F.struct(*spec.match, *[F.col(f"core_{c}").alias(c) for c in spec.variant]).alias("key"))
+    keyed = pairs.select("core_task", "package_task").join(own, "core_task")
+    package = F.struct(F.col("package_task").alias("task_id"), F.col("core_task").alias("paired_task"), F.lit("pair_replace").alias("decision"), F.col("key"))
+    core = F.struct(F.col("core_task").alias("task_id"), F.col("package_task").alias("paired_task"), F.lit("pair_covered").alias("decision"), F.when(F.lit(False), F.col("key")).alias("key"))
+    long = keyed.select(F.explode(F.array(package, core)).alias("p")).select("p.task_id", "p.paired_task", "p.decision", F.col("p.key").alias("paired_key"))
     joined = plan.join(long, "task_id", "left")
     hit = F.col("paired_task").isNotNull()
     return joined.withColumn("status", F.when(hit, "decided").otherwise(F.col("status"))).withColumn(
-        "review_decision", F.when(hit, decision).otherwise(F.col("review_decision"))
-    )
+        "review_decision", F.when(hit, F.col("decision")).otherwise(F.col("review_decision"))
+    ).drop("decision")
 
 
 def publish(plan: DataFrame, spec: Reconcile) -> DataFrame:
-    """Rows to publish from decided tasks: the package row, the core row, or the package row under the core key."""
+    """Rows to publish from decided tasks: the package row, the core row, or the package row under a core key, its own or its pair's."""
     decision = F.col("review_decision")
-    rows = plan.filter(decision.isin("use_package", "keep_core", "map_to_core_key"))
+    rows = plan.filter(decision.isin("use_package", "keep_core", "map_to_core_key", "pair_replace"))
     from_core = decision == "keep_core"
     core_key = from_core | (decision == "map_to_core_key")
+    variant = {c: F.when(core_key, F.col(f"core_{c}")).otherwise(F.col(f"package_{c}")) for c in spec.variant}
+    key = {**{c: F.col(c) for c in spec.match}, **variant}
+    if "paired_key" in plan.columns:
+        key = {c: F.when(decision == "pair_replace", F.col(f"paired_key.{c}")).otherwise(v) for c, v in key.items()}
     return rows.select(
         "task_id",
-        *spec.match,
-        *[F.when(core_key, F.col(f"core_{c}")).otherwise(F.col(f"package_{c}")).alias(c) for c in spec.variant],
+        *[v.alias(c) for c, v in key.items()],
         *[F.when(from_core, F.col(f"core_{c}")).otherwise(F.col(f"package_{c}")).alias(c) for c in spec.compare],
     )
 
@@ -217,8 +225,16 @@ def ambiguous_publications(rows: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def delete_plan(plan: DataFrame, spec: Reconcile) -> DataFrame:
-    """Core keys to remove: excluded placeholders and core rows replaced under another key, once each."""
-    rows = plan.filter(F.col("review_decision").isin("exclude_core", "pair_replace")).filter(F.col(f"core_{spec.variant[0]}").isNotNull())
+    """Core keys to remove: excluded placeholders, and originals whose value was moved to another core key.
+
+    A core row that a pair covers is kept. Tasks that are open or blocked fail the job, and so does a key that two tasks would
+    delete.
+    """
+    opened = F.coalesce(F.col("status").isin("todo", "blocked"), F.lit(True))
+    ready = F.when(opened, F.raise_error(F.concat(F.lit("task is not decided: "), F.col("task_id").cast("string"))).cast("boolean")).otherwise(True)
+    decision = F.col("review_decision")
+    rows = plan.filter(ready).filter(decision.isin("exclude_core", "remap_core")).filter(F.col(f"core_{spec.variant[0]}").isNotNull())
     key = [*spec.match, *[F.col(f"core_{c}").alias(c) for c in spec.variant]]
-    reason = F.when(F.col("review_decision") == "exclude_core", "excluded").otherwise("rekeyed")
-    return rows.select(*key, reason.alias("reason")).groupBy(*spec.key).agg(F.min("reason").alias("reason"), F.count(F.lit(1)).alias("task_count"))
+    found = rows.select(*key, F.when(decision == "exclude_core", "excluded").otherwise("rekeyed").alias("reason")).groupBy(*spec.key)
+    once = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("a core key is deleted twice"))).otherwise(F.min("reason"))
+    return found.agg(once.alias("reason"), F.count(F.lit(1)).alias("task_count"))

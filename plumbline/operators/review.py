@@ -23,8 +23,7 @@ def capped_or_seeded(df: DataFrame, group: Sequence[str], order: Sequence[Column
     whole order is within it.
     """
     rn = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    within = df.withColumn("_rn", rn).filter(F.col("_rn") <= cap).drop("_rn").withColumn("_in", F.lit(1))
-    return within.unionByName(df.filter(seeded).withColumn("_in", F.lit(2))).drop("_in").distinct()
+    return df.withColumn("_rn", rn).filter((F.col("_rn") <= cap) | F.coalesce(seeded, F.lit(False))).drop("_rn")
 
 
 def typed_order(rules: Sequence[tuple[str, str, str]]) -> list[Column]:
@@ -58,22 +57,42 @@ def merge_batch(
     key: Sequence[str],
     editable: Sequence[str],
     only_if: Column | None = None,
+    blank_keeps: bool = False,
+    unknown_keys: str = "fail",
 ) -> DataFrame:
-    """Plan with the editable columns taken from the batch row of the same key, and ``is_changed``.
+    """Plan with the editable columns taken from the batch row of the same key, ``is_changed`` and ``changed_cells``.
 
-    Blank batch values do not overwrite. ``only_if`` restricts which plan rows may change. The
-    batch must have unique keys (see ``batch_problems``).
+    A row that the batch holds is taken over in full: a blank or missing batch value clears the cell, unless ``blank_keeps``.
+    Text keys of both sides are compared without surrounding blanks. ``only_if`` restricts which plan rows may change. Blank and
+    repeated batch keys fail the job, and so do keys that the plan lacks, unless ``unknown_keys`` is ``ignore``.
     """
-    edits = batch.select(*key, *[F.col(c).alias(f"_new_{c}") for c in editable], F.lit(True).alias("_hit"))
-    joined = plan.join(edits, list(key), "left")
+    trimmed = {c: F.trim(c) if plan.schema[c].dataType.typeName() == "string" else F.col(c) for c in key}
+    edits = batch.select(*[trimmed[c].alias(c) for c in key], *editable).groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.first(c).alias(f"_new_{c}") for c in editable]
+    )
+    blank = any_of(F.coalesce(F.col(c).cast("string"), F.lit("")) == "" for c in key)
+    problem = F.when(blank, "blank key in batch").when(F.col("_rows") > 1, F.concat(F.lit("duplicate key in batch: "), F.concat_ws("|", *[F.col(c).cast("string") for c in key])))
+    # the check is the hit flag itself, so no plan that uses the edits can leave it out
+    edits = edits.withColumn("_hit", F.when(problem.isNotNull(), F.raise_error(problem).cast("boolean")).otherwise(True)).drop("_rows")
+    keyed = plan.select("*", *[trimmed[c].alias(f"_key_{c}") for c in key])
+    edits = edits.select(*[F.col(c).alias(f"_key_{c}") for c in key], *[c for c in edits.columns if c not in key])
+    on = [f"_key_{c}" for c in key]
+    if unknown_keys == "ignore":
+        joined = keyed.join(edits, on, "left")
+    else:
+        joined = keyed.withColumn("_known", F.lit(True)).join(edits, on, "full")
+        unknown = F.raise_error(F.concat(F.lit("unknown key in batch: "), F.concat_ws("|", *[F.col(c).cast("string") for c in on])))
+        joined = joined.filter(F.when(F.col("_known").isNull(), unknown.cast("boolean")).otherwise(True))
     may = F.coalesce(F.col("_hit"), F.lit(False))
     if only_if is not None:
         may = may & only_if
     joined = joined.withColumn("_may", may)
-    new = {c: F.when(F.col("_may") & F.col(f"_new_{c}").isNotNull() & (F.col(f"_new_{c}").cast("string") != ""), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in editable}
-    changed = any_of(~new[c].eqNullSafe(F.col(c)) for c in editable)
+    filled = {c: F.col(f"_new_{c}").isNotNull() & (F.col(f"_new_{c}").cast("string") != "") for c in editable}
+    new = {c: F.when(F.col("_may") & (filled[c] if blank_keeps else F.lit(True)), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in editable}
+    differs = [F.coalesce(new[c].cast("string"), F.lit("")) != F.coalesce(F.col(c).cast("string"), F.lit("")) for c in editable]
+    cells = sum((d.cast("int") for d in differs), F.lit(0))
     kept = [F.col(c) for c in plan.columns if c not in editable]
-    return joined.select(*kept, *[new[c].alias(c) for c in editable], changed.alias("is_changed"))
+    return joined.select(*kept, *[new[c].alias(c) for c in editable], (cells > 0).alias("is_changed"), cells.alias("changed_cells"))
 
 
 def unmatched_rows(batch: DataFrame, plan: DataFrame, key: Sequence[str]) -> DataFrame:

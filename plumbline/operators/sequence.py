@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.rules import any_of, first_match
-from plumbline.session import cut_lineage, spread
+from plumbline.session import cut_lineage
 
 # fixed values: the score scale
 LOWEST_SCORE, HIGHEST_SCORE = 0, 750
@@ -68,18 +68,18 @@ def most_frequent(df: DataFrame, key: Sequence[str], value: str) -> DataFrame:
 def cumulative_check(df: DataFrame, group: Sequence[str], min_rows: int) -> DataFrame:
     """Per group: rows whose running count does not continue the one above, repeated scores, and a too-few-rows flag.
 
+    Rows without score, count or running count are counted apart and passed over: the next row continues the last complete one.
     Rows are reduced to one per score first, so the window sees at most one row per score.
     """
-    per_score = df.groupBy(*group, "score").agg(F.min(F.struct("cumulative_rank", "score_count")).alias("v"), F.count(F.lit(1)).alias("_n"))
+    complete = F.col("score").isNotNull() & F.col("score_count").isNotNull() & F.col("cumulative_rank").isNotNull()
+    skipped = df.groupBy(*group).agg(F.count(F.lit(1)).alias("score_rows"), F.count_if(~complete).alias("incomplete_rows"), (F.count(F.lit(1)) < min_rows).alias("too_few_rows"))
+    per_score = df.filter(complete).groupBy(*group, "score").agg(F.min(F.struct("cumulative_rank", "score_count")).alias("v"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group).orderBy(F.desc("score"))
     expected = F.coalesce(F.lag("v.cumulative_rank").over(w), F.lit(0)) + F.col("v.score_count")
     marked = per_score.withColumn("_bad", F.col("v.cumulative_rank") != expected)
-    return marked.groupBy(*group).agg(
-        F.sum("_n").alias("score_rows"),
-        F.count_if("_bad").alias("mismatches"),
-        F.sum(F.col("_n") - 1).alias("duplicate_scores"),
-        (F.sum("_n") < min_rows).alias("too_few_rows"),
-    )
+    found = marked.groupBy(*group).agg(F.count_if("_bad").alias("mismatches"), F.sum(F.col("_n") - 1).alias("duplicate_scores"))
+    joined = skipped.join(found, list(group), "left")
+    return joined.select(*group, "score_rows", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("mismatches", "duplicate_scores")], "too_few_rows", "incomplete_rows")
 
 
 def math_status(df: DataFrame, group: Sequence[str], ordinal: Sequence[str]) -> DataFrame:
@@ -216,16 +216,18 @@ REPAIRED = "array<struct<score:int,score_count:bigint,cumulative_rank:bigint,act
 
 
 def repair_cumulative(
-    df: DataFrame, group: Sequence[str], ordinal: Sequence[str], max_count: int, jump_delta: int, jump_ratio: float
+    df: DataFrame, group: Sequence[str], ordinal: Sequence[str], max_count: int, jump_delta: int, jump_ratio: float, scale: tuple[int, int] | None = None
 ) -> DataFrame:
     """Make count and running count agree from the top score down, row by row.
 
     A missing value comes from the other one. When both disagree, a plausible difference
     corrects the count; an implausible one, or a jump far above the count, corrects the running
-    count. Only the first row of a score on the scale is used, which bounds a group.
+    count. Only the first row of a score is used. With a scale (lowest and highest score), scores outside it are left out, which
+    bounds a group; ``repair_skips`` counts them.
     """
     rest = F.struct(F.col("score_count").cast("bigint").alias("n"), F.col("cumulative_rank").cast("bigint").alias("cum"))
-    unique = df.filter(on_scale(F.col("score"))).groupBy(*group, "score").agg(F.min_by(rest, F.struct(*[F.col(c) for c in ordinal])).alias("v"))
+    usable = F.col("score").isNotNull() if scale is None else F.col("score").between(*scale)
+    unique = df.filter(usable).groupBy(*group, "score").agg(F.min_by(rest, F.struct(*[F.col(c) for c in ordinal])).alias("v"))
     entry = F.struct((-F.col("score")).alias("down"), F.col("v.n").alias("n"), F.col("v.cum").alias("cum"))
     groups = unique.groupBy(*group).agg(F.array_sort(F.collect_list(entry)).alias("rows"))
     start = F.struct(F.lit(0).cast("bigint").alias("prev"), F.array().cast(REPAIRED).alias("out"))
@@ -262,10 +264,28 @@ def repair_cumulative(
     return fixed.select(*group, F.explode("out").alias("r")).select(*group, "r.*")
 
 
+def repair_skips(df: DataFrame, group: Sequence[str], scale: tuple[int, int] | None = None) -> DataFrame:
+    """Per group, the rows that ``repair_cumulative`` passes over, by reason: no score, off the scale, a score met before, and
+    neither count nor running count."""
+    outside = F.lit(False) if scale is None else ~F.col("score").between(*scale)
+    used = F.col("score").isNotNull() & ~F.coalesce(outside, F.lit(False))
+    empty = used & F.col("score_count").isNull() & F.col("cumulative_rank").isNull()
+    per_score = df.groupBy(*group, "score").agg(F.count(F.lit(1)).alias("_n"), F.count_if(used).alias("_used"), F.count_if(empty).alias("_empty"))
+    return per_score.groupBy(*group).agg(
+        F.sum(F.when(F.col("score").isNull(), F.col("_n")).otherwise(0)).alias("without_score"),
+        F.sum(F.when(F.col("score").isNotNull() & (F.col("_used") == 0), F.col("_n")).otherwise(0)).alias("off_scale"),
+        F.sum(F.greatest(F.col("_used") - 1, F.lit(0))).alias("repeated_scores"),
+        F.sum("_empty").alias("without_numbers"),
+    )
+
+
 def context_lines(docs: DataFrame, id_cols: Sequence[str], text: str, count: int) -> DataFrame:
-    """Every line of a page with the following ``count - 1`` lines; one row holds the page, so no shuffle."""
-    lines = F.transform(F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(x, r"\s+", " ")))
-    listed = spread(docs.select(*id_cols, text)).select(*id_cols, lines.alias("_lines"))
+    """Every line of a page with the following ``count - 1`` lines; one row holds the page, so no shuffle.
+
+    Control characters count as blanks, and runs of blanks as one.
+    """
+    lines = F.transform(F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(x, r"[\s\x00-\x1F\x7F]+", " ")))
+    listed = docs.select(*id_cols, lines.alias("_lines"))
     at = listed.select(*id_cols, "_lines", F.posexplode("_lines").alias("line_no", "line"))
     near = F.filter(F.slice("_lines", F.col("line_no") + 1, F.lit(count)), lambda x: x != "")
     return at.filter(F.col("line") != "").select(*id_cols, "line_no", "line", F.array_join(near, " ").alias("context"))

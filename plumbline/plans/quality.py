@@ -334,17 +334,26 @@ def q17(t):
     return cv.grid_gaps(universe, base.collection_plan(t).filter("status = 'complete'"), "entity_code", "metric_key", 3)
 
 
-DOMAINS = [("d1", "orders", "ready", "required", "deep"), ("d2", "urgent", "ready", "optional", "shallow"), ("d3", "recent", "partial", "required", "deep"), ("d4", "supplier", "partial", "optional", "deep"), ("d5", "unknown", "planned", "required", "deep")]
+DOMAINS = [
+    ("d1", "orders", "easy_but_underused", "required", "deep"),
+    ("d2", "urgent", "easy_but_underused", "optional", "shallow"),
+    ("d3", "recent", "optional_enhancement", "required", "deep"),
+    ("d4", "supplier", "not_for_formal_recommendation", "optional", "deep"),
+    ("d5", "unknown", "required_unavailable", "required", "deep"),
+    ("d6", "unknown", "planned", "required", "deep"),
+]
 
 
 @query(
     "q18_portfolio",
     f"""WITH {COVERAGE}, d(domain, area, declared, importance, use_depth) AS (VALUES {', '.join(str(x) for x in DOMAINS)})
-        SELECT domain, area, {fx('coverage_rate')} AS coverage_rate, CASE WHEN importance = 'required' AND coalesce(area_status, '') <> 'passed' THEN 'required_unavailable' WHEN area_status = 'passed' AND use_depth = 'shallow' THEN 'easy_but_underused' ELSE declared END AS bucket FROM d LEFT JOIN blocked USING (area)""",
+        SELECT domain, area, {fx('coverage_rate')} AS coverage_rate, bucket, CASE WHEN importance = 'required' AND bucket = 'required_unavailable' THEN upper(domain) || '_NOT_OPERATIONAL' ELSE '' END AS blocker_code
+        FROM (SELECT *, CASE WHEN importance = 'required' AND area_status = 'passed' THEN 'required_available' WHEN importance = 'required' AND area_status IS NOT NULL THEN 'required_unavailable'
+          WHEN declared IN ('required_available', 'required_unavailable', 'easy_but_underused', 'optional_enhancement', 'not_for_formal_recommendation') THEN declared ELSE 'optional_enhancement' END AS bucket FROM d LEFT JOIN blocked USING (area))""",
 )
 def q18(t):
     domains = rule_frame(t.spark, ["domain", "area", "declared", "importance", "use_depth"], DOMAINS)
-    return q.classify_portfolio(domains, customer_coverage(t), "area").select("domain", "area", fixed6(F.col("coverage_rate")).alias("coverage_rate"), "bucket")
+    return q.classify_portfolio(domains, customer_coverage(t), "area").select("domain", "area", fixed6(F.col("coverage_rate")).alias("coverage_rate"), "bucket", "blocker_code")
 
 
 @query(

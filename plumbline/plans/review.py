@@ -140,18 +140,22 @@ def r04(t):
         q AS (SELECT p.ship_year, p.supplier, n.name, count(*) AS n, min(task_id) AS package_task FROM plan p JOIN package_names n ON n.ship_year = p.ship_year AND n.batch = p.batch AND n.supplier = p.supplier AND n.slot = p.package_slot
           WHERE issue_type = 'package_only_unmatched' GROUP BY 1, 2, 3),
         pairs AS (SELECT core_task, package_task FROM l JOIN q USING (ship_year, supplier, name) WHERE l.n = 1 AND q.n = 1),
-        both_ways AS (SELECT core_task AS task_id, package_task AS paired_task FROM pairs UNION ALL SELECT package_task, core_task FROM pairs)
-        SELECT task_id, paired_task, CASE WHEN paired_task IS NULL THEN 'todo' ELSE 'decided' END AS status, CASE WHEN paired_task IS NULL THEN '' ELSE 'pair_replace' END AS review_decision FROM plan LEFT JOIN both_ways USING (task_id)""",
+        both_ways AS (SELECT core_task AS task_id, package_task AS paired_task, 'pair_covered' AS decision FROM pairs UNION ALL SELECT package_task, core_task, 'pair_replace' FROM pairs)
+        SELECT task_id, paired_task, CASE WHEN paired_task IS NULL THEN 'todo' ELSE 'decided' END AS status, coalesce(decision, '') AS review_decision FROM plan LEFT JOIN both_ways USING (task_id)""",
 )
 def r05(t):
-    plan = cut_lineage(base.plan(t), "plan")
+    return paired(t, cut_lineage(base.plan(t), "plan")).select("task_id", "paired_task", "status", "review_decision")
+
+
+def paired(t, plan):
+    """The plan with open tasks of both sides paired by name."""
 
     def named(issue, flag, side):
-        tasks = plan.filter(F.col("issue_type") == issue)
+        tasks = plan.filter((F.col("issue_type") == issue) & (F.col("status") == "todo"))
         return tasks.join(task_names(tasks, names_of(t, flag), side), "task_id").select("ship_year", "supplier", "name", "task_id")
 
     pairs = rc.pair_by_name(named("core_only_unmatched", "R", "core"), named("package_only_unmatched", "A", "package"), ["ship_year", "supplier"])
-    return rc.apply_pairs(plan, pairs, "pair_replace").select("task_id", "paired_task", "status", "review_decision")
+    return rc.apply_pairs(plan, pairs, base.spec())
 
 
 EDITABLE = ["status", "review_decision", "reviewer", "notes"]
@@ -173,6 +177,25 @@ def reviewed(t):
     return r.merge_batch(plan, reviewed_batch(plan), ["task_id"], EDITABLE)
 
 
+CELLS = """cellplan AS (SELECT CAST(o_orderkey AS VARCHAR) AS task_id, o_orderpriority AS note, o_orderstatus AS status FROM orders),
+  cellbatch AS (SELECT '  ' || o_orderkey || ' ' AS task_id, CASE WHEN o_orderkey % 3 = 0 THEN '' WHEN o_orderkey % 3 = 1 THEN o_orderpriority ELSE 'seen' END AS note, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'F' END AS status FROM orders WHERE o_orderkey % 2 = 0)"""
+
+
+@query(
+    "r06_batch_cells",
+    f"""WITH {CELLS} SELECT p.task_id, CASE WHEN b.task_id IS NULL THEN p.note ELSE b.note END AS note, CASE WHEN b.task_id IS NULL THEN p.status ELSE b.status END AS status,
+          CASE WHEN b.task_id IS NULL THEN 0 ELSE CAST(coalesce(b.note, '') <> p.note AS INTEGER) + CAST(coalesce(b.status, '') <> p.status AS INTEGER) END AS changed_cells
+        FROM cellplan p LEFT JOIN cellbatch b ON trim(b.task_id) = p.task_id""",
+)
+def r06_cells(t):
+    """Every second order is edited: blank and missing values clear cells, keys come with blanks around them."""
+    key = F.col("o_orderkey").cast("string")
+    plan = t.orders.select(key.alias("task_id"), F.col("o_orderpriority").alias("note"), F.col("o_orderstatus").alias("status"))
+    note = F.when(F.col("o_orderkey") % 3 == 0, "").when(F.col("o_orderkey") % 3 == 1, F.col("o_orderpriority")).otherwise("seen")
+    batch = t.orders.filter("o_orderkey % 2 = 0").select(F.concat(F.lit("  "), key, F.lit(" ")).alias("task_id"), note.alias("note"), F.when(F.col("o_orderkey") % 5 != 0, "F").alias("status"))
+    return r.merge_batch(plan, batch, ["task_id"], ["note", "status"]).select("task_id", "note", "status", "changed_cells")
+
+
 @query("r06_batch_merge", f"WITH {REVIEWED} SELECT task_id, status, review_decision, reviewer, is_changed FROM reviewed")
 def r06(t):
     return reviewed(t).select("task_id", "status", "review_decision", "reviewer", "is_changed")
@@ -211,7 +234,7 @@ SEEDED = f"""{base.CPLAN}, seeds AS (SELECT o_custkey AS entity_code, 'order_cou
 )
 def r07(t):
     open_rows = ~F.col("status").isin("complete", "partial")
-    merged = r.merge_batch(base.collection_plan(t), seeds(t), ["entity_code", "metric_key"], ["status", "metric_value", "reviewer"], only_if=open_rows)
+    merged = r.merge_batch(base.collection_plan(t), seeds(t), ["entity_code", "metric_key"], ["status", "metric_value", "reviewer"], only_if=open_rows, blank_keeps=True, unknown_keys="ignore")
     return merged.select("entity_code", "metric_key", "status", "metric_value", "reviewer", "is_changed")
 
 
@@ -220,7 +243,7 @@ def r07(t):
     f"""WITH {SEEDED} SELECT entity_code, metric_key, CASE WHEN seed_value IS NOT NULL THEN seed_value ELSE metric_value END AS metric_value FROM cplan LEFT JOIN seeds USING (entity_code, metric_key)""",
 )
 def r07_overwrite(t):
-    merged = r.merge_batch(base.collection_plan(t), seeds(t), ["entity_code", "metric_key"], ["status", "metric_value", "reviewer"])
+    merged = r.merge_batch(base.collection_plan(t), seeds(t), ["entity_code", "metric_key"], ["status", "metric_value", "reviewer"], blank_keeps=True, unknown_keys="ignore")
     return merged.select("entity_code", "metric_key", "metric_value")
 
 
@@ -273,7 +296,7 @@ def r08_problems(t):
 def r08(t):
     clean = approved_candidates(t).filter(F.size("problems") == 0)
     batch = clean.select("entity_code", "metric_key", F.col("candidate_value").alias("metric_value"), F.lit("complete").alias("status"))
-    return r.merge_batch(base.collection_plan(t), batch, ["entity_code", "metric_key"], ["status", "metric_value"]).select("entity_code", "metric_key", "status", "metric_value")
+    return r.merge_batch(base.collection_plan(t), batch, ["entity_code", "metric_key"], ["status", "metric_value"], unknown_keys="ignore").select("entity_code", "metric_key", "status", "metric_value")
 
 
 @query(
@@ -285,22 +308,29 @@ def r09(t):
     plan = base.collection_plan(t)
     rebuilt = plan.select("entity_code", "metric_key", F.lit("todo").alias("status"), F.lit(None).cast("double").alias("metric_value"))
     verified = plan.filter("status = 'complete'").select("entity_code", "metric_key", "status", "metric_value")
-    return r.merge_batch(rebuilt, verified, ["entity_code", "metric_key"], ["status", "metric_value"]).drop("is_changed")
+    return r.merge_batch(rebuilt, verified, ["entity_code", "metric_key"], ["status", "metric_value"]).drop("is_changed", "changed_cells")
 
 
-PUBLISHED = f"""{DECIDED}, published AS (SELECT task_id, ship_year, batch, supplier, CASE WHEN review_decision IN ('keep_core', 'map_to_core_key') THEN core_slot ELSE package_slot END AS slot,
+PAIRED = f"""{DECIDED}, {NAMES},
+  lefts AS (SELECT p.ship_year, p.supplier, n.name, count(*) AS n, min(task_id) AS core_task FROM decided p JOIN core_names n ON n.ship_year = p.ship_year AND n.batch = p.batch AND n.supplier = p.supplier AND n.slot = p.core_slot
+    WHERE issue_type = 'core_only_unmatched' AND status = 'todo' GROUP BY 1, 2, 3),
+  rights AS (SELECT p.ship_year, p.supplier, n.name, count(*) AS n, min(task_id) AS package_task FROM decided p JOIN package_names n ON n.ship_year = p.ship_year AND n.batch = p.batch AND n.supplier = p.supplier AND n.slot = p.package_slot
+    WHERE issue_type = 'package_only_unmatched' AND status = 'todo' GROUP BY 1, 2, 3),
+  pairs AS (SELECT core_task, package_task FROM lefts JOIN rights USING (ship_year, supplier, name) WHERE lefts.n = 1 AND rights.n = 1)"""
+PUBLISHED = f"""{PAIRED}, published AS (SELECT task_id, ship_year, batch, supplier, CASE WHEN review_decision IN ('keep_core', 'map_to_core_key') THEN core_slot ELSE package_slot END AS slot,
   CASE WHEN review_decision = 'keep_core' THEN core_min_quantity ELSE package_min_quantity END AS min_quantity, CASE WHEN review_decision = 'keep_core' THEN core_fee ELSE package_fee END AS fee
-  FROM decided WHERE review_decision IN ('use_package', 'keep_core', 'map_to_core_key'))"""
+  FROM decided WHERE review_decision IN ('use_package', 'keep_core', 'map_to_core_key')
+  UNION ALL SELECT q.task_id, c.ship_year, c.batch, c.supplier, c.core_slot, q.package_min_quantity, q.package_fee FROM pairs JOIN decided c ON c.task_id = core_task JOIN decided q ON q.task_id = package_task)"""
 
 
 @query("r10_publish", f"WITH {PUBLISHED} SELECT * FROM published")
 def r10(t):
-    return rc.publish(decided(t), base.spec())
+    return rc.publish(paired(t, cut_lineage(decided(t), "decided")), base.spec())
 
 
 @query("r10_ambiguous_publications", f"WITH {PUBLISHED} SELECT ship_year, batch, supplier, slot, count(*) AS task_count FROM published GROUP BY 1, 2, 3, 4 HAVING count(*) > 1")
 def r10_ambiguous(t):
-    return rc.ambiguous_publications(rc.publish(decided(t), base.spec()), base.KEY)
+    return rc.ambiguous_publications(rc.publish(paired(t, cut_lineage(decided(t), "decided")), base.spec()), base.KEY)
 
 
 @query(
@@ -308,7 +338,10 @@ def r10_ambiguous(t):
     f"""WITH {DECIDED} SELECT ship_year, batch, supplier, core_slot AS slot, 'excluded' AS reason, count(*) AS task_count FROM decided WHERE review_decision = 'exclude_core' GROUP BY 1, 2, 3, 4""",
 )
 def r11(t):
-    return rc.delete_plan(decided(t), base.spec())
+    """All tasks decided: by rule, by pair, and the rest skipped by a reviewer. Core rows that pairs cover are not deleted."""
+    plan = paired(t, cut_lineage(decided(t), "decided"))
+    closed = plan.withColumn("review_decision", F.when(F.col("status") == "todo", "skip").otherwise(F.col("review_decision")))
+    return rc.delete_plan(closed.withColumn("status", F.lit("decided")), base.spec())
 
 
 @query(
@@ -458,7 +491,7 @@ def r17_merge(t):
     results = t.orders.filter(F.year("o_orderdate") == 2001).select(F.col("o_custkey").alias("entity_code")).distinct()
     results = results.select("entity_code", F.lit("annual").alias("report_scope"), F.lit("downloaded").alias("status"))
     plan = report_sources(t).select("entity_code", "report_scope", F.lit("todo").alias("status"))
-    return r.merge_batch(plan, results, ["entity_code", "report_scope"], ["status"]).drop("is_changed")
+    return r.merge_batch(plan, results, ["entity_code", "report_scope"], ["status"]).drop("is_changed", "changed_cells")
 
 
 @query(

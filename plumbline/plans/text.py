@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import scoring as sc
 from plumbline.functions import values as v
+from plumbline.functions import vocabulary as vocab
 from plumbline.operators import evidence as e
 from plumbline.operators.sequence import context_lines
 from plumbline.plans.registry import fx, query
@@ -57,6 +58,21 @@ def t02(t):
     return t.documents.select("doc_id", e.scope_tags(F.col("text"), SCOPES, ",").alias("scope"))
 
 
+@query(
+    "t02_report_scopes",
+    """WITH q AS (SELECT o_orderkey, year(o_orderdate) || '届' || CASE o_orderkey % 4 WHEN 0 THEN '本科毕业生初次就业率' WHEN 1 THEN '高职学生' WHEN 2 THEN '软件工程专业就业率' ELSE '就业率较去年上升' END
+          || CASE WHEN o_orderkey % 3 = 0 THEN '，截至' || month(o_orderdate) || '月' || day(o_orderdate) || '日' ELSE '' END AS quote FROM orders)
+        SELECT o_orderkey, concat_ws('，', substr(quote, 1, 4) || '届', CASE o_orderkey % 4 WHEN 0 THEN '本科毕业生' WHEN 1 THEN '专科/高职毕业生' WHEN 2 THEN '专业口径，不是学校总体就业率或本科总体口径' ELSE '变化幅度，不是学校总体就业率或本科总体口径' END,
+          CASE o_orderkey % 4 WHEN 0 THEN '初次毕业去向' WHEN 2 THEN '就业率' WHEN 3 THEN '就业率' END, CASE WHEN contains(quote, '截至') THEN substr(quote, strpos(quote, '截至')) END) AS scope FROM q""",
+)
+def t02_reports(t):
+    kind = F.col("o_orderkey") % 4
+    words = F.when(kind == 0, "本科毕业生初次就业率").when(kind == 1, "高职学生").when(kind == 2, "软件工程专业就业率").otherwise("就业率较去年上升")
+    until = F.concat(F.lit("，截至"), F.month("o_orderdate"), F.lit("月"), F.dayofmonth("o_orderdate"), F.lit("日"))
+    quote = F.concat(F.year("o_orderdate"), F.lit("届"), words, F.when(F.col("o_orderkey") % 3 == 0, until).otherwise(""))
+    return t.orders.select("o_orderkey", e.scope_tags(quote, vocab.SCOPE_RULES).alias("scope"))
+
+
 @query(
     "t03_html_tables",
     """SELECT p_partkey AS page_id, '2-' || lpad(CAST(p_size AS VARCHAR), 2, '0') AS code, p_name AS name, CAST(2 AS INTEGER) AS level FROM part WHERE p_size < 100""",

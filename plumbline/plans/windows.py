@@ -78,12 +78,13 @@ OBS = r"""cells AS (SELECT l_returnflag AS subject, year(l_shipdate) AS score_ye
 
 @query(
     "w03_cumulative_check",
-    f"""WITH {OBS}, x AS (SELECT subject, score_year, image, block, true_score, n, cum + CASE WHEN mark = 4 THEN 1 ELSE 0 END AS c FROM placed),
-        y AS (SELECT *, c <> coalesce(lag(c) OVER (PARTITION BY subject, score_year, image, block ORDER BY true_score DESC), 0) + n AS bad FROM x)
-        SELECT subject, score_year, image, block, count(*) AS score_rows, count(*) FILTER (WHERE bad) AS mismatches, CAST(0 AS BIGINT) AS duplicate_scores, count(*) < 50 AS too_few_rows FROM y GROUP BY 1, 2, 3, 4""",
+    f"""WITH {OBS}, x AS (SELECT subject, score_year, image, block, true_score, n, CASE mark WHEN 1 THEN NULL WHEN 4 THEN cum + 1 ELSE cum END AS c FROM placed),
+        y AS (SELECT *, c IS NOT NULL AND c <> coalesce(lag(c IGNORE NULLS) OVER (PARTITION BY subject, score_year, image, block ORDER BY true_score DESC), 0) + n AS bad FROM x)
+        SELECT subject, score_year, image, block, count(*) AS score_rows, count(*) FILTER (WHERE bad) AS mismatches, CAST(0 AS BIGINT) AS duplicate_scores, count(*) < 50 AS too_few_rows,
+          count(*) FILTER (WHERE c IS NULL) AS incomplete_rows FROM y GROUP BY 1, 2, 3, 4""",
 )
 def w03(t):
-    shifted = F.col("cum") + F.when(F.col("mark") == 4, 1).otherwise(0)
+    shifted = F.when(F.col("mark") == 4, F.col("cum") + 1).when(F.col("mark") != 1, F.col("cum"))
     rows = observations(t).select(*CELL, F.col("true_score").alias("score"), F.col("n").alias("score_count"), shifted.alias("cumulative_rank"))
     return s.cumulative_check(rows, CELL, 50)
 

@@ -20,6 +20,8 @@ def build_session(app: str = "plumbline", master: str | None = None, shuffle_par
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # small files of long texts become a task each, not one task of many files
+        .config("spark.sql.files.openCostInBytes", "1m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -54,23 +56,6 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a bare scan over all cores when it gives fewer tasks than that; anything else stays as it is.
-
-    For steps that work hard on each row (long texts): a few small files would otherwise keep
-    one core busy. A large table has enough splits, and shuffled data is spread already, so
-    neither is moved; counting the splits of a scan runs no job.
-    """
-    try:
-        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-            return df
-        splits = df.rdd.getNumPartitions()
-    except (AttributeError, NotImplementedError):  # a remote session does not show its plan
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if splits < cores else df
-
-
 def new_folder(spark: SparkSession, label: str) -> str:
     """A folder name nobody used before, inside the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -9,49 +9,50 @@ from plumbline.operators.sequence import global_row_number
 
 from .conftest import rows
 
-PLAN = "school_code string, school_name string, major_code string, city string, batch string, subject_cat string"
-PLAN_ROWS = [
-    ("1001", "Alpha University", "01", "Alpha City", "本科批", "物理类"),
-    ("1002", "Beta College", "01", "Beta City", "本科批", "物理类"),
-    ("1002", "Beta College", "02", "Beta City", "本科批", "历史类"),
+OFFERS = "shop_id string, shop string, item string, town string, season string, shelf string"
+OFFER_ROWS = [
+    ("s7", "North Mill", "rye", "Hafen", "spring", "left"),
+    ("s9", "Old Wharf", "rye", "Brück", "spring", "left"),
+    ("s9", "Old Wharf", "oat", "Brück", "autumn", "right"),
+    ("s9", "Old Wharf", "oat", "Brück", "autumn", "left"),
+    ("s4", "Hill Barn", "oat", "Moor", "autumn", "right"),
 ]
 
 
 def test_coverage_by_area(frame):
-    plan = frame(PLAN, *PLAN_ROWS)
-    both = frame("school_code string", ("1001",), ("1002",))
-    one = frame("school_code string", ("1001",))
-    found = area_coverage(plan, "school_code", {"identity": both, "profile": one, "outcome": None}, {"identity": 1.0, "profile": 1.0, "outcome": 0.5})
+    offers = frame(OFFERS, *OFFER_ROWS)
+    all_shops = frame("shop_id string", ("s4",), ("s7",), ("s9",))
+    two = frame("shop_id string", ("s7",), ("s9",))
+    found = area_coverage(offers, "shop_id", {"address": all_shops, "owner": two, "prices": None}, {"address": 1.0, "owner": 0.9, "prices": 0.1})
     assert rows(found, "area", "covered_count", "missing_count", "area_status", "blocker_code") == [
-        ("identity", 2, 0, "passed", ""),
-        ("outcome", 0, 2, "missing_table", "OUTCOME_COVERAGE_MISSING_TABLE"),
-        ("profile", 1, 1, "below_threshold", "PROFILE_COVERAGE_BELOW_THRESHOLD"),
+        ("address", 3, 0, "passed", ""),
+        ("owner", 2, 1, "below_threshold", "OWNER_COVERAGE_BELOW_THRESHOLD"),
+        ("prices", 0, 3, "missing_table", "PRICES_COVERAGE_MISSING_TABLE"),
     ]
 
 
 def test_missing_list_is_ranked(frame):
-    plan = frame(PLAN, *PLAN_ROWS)
-    summary = plan.groupBy("school_code", "school_name").agg(
-        F.count(F.lit(1)).alias("plan_rows"), F.count_distinct("major_code").alias("majors"), F.array_join(F.sort_array(F.collect_set("subject_cat")), "|").alias("subjects")
-    )
-    ranked = global_row_number(summary.withColumn("score", F.col("plan_rows") * 10 + F.col("majors")), [F.desc("plan_rows"), F.desc("majors"), F.asc("school_code")], "rank")
-    assert rows(ranked, "rank", "score", "school_code", "subjects") == [(1, 22, "1002", "历史类|物理类"), (2, 11, "1001", "物理类")]
+    summary = frame(OFFERS, *OFFER_ROWS).groupBy("shop_id").agg(F.count(F.lit(1)).alias("offers"), F.count_distinct("item").alias("items"))
+    ranked = global_row_number(summary, [F.desc("offers"), F.desc("items"), F.asc("shop_id")], "rank")
+    assert rows(ranked, "rank", "offers", "items", "shop_id") == [(1, 3, 2, "s9"), (2, 1, 1, "s4"), (3, 1, 1, "s7")]
 
 
 def test_portfolio_buckets(frame):
     domains = frame(
-        "domain string, area string, declared string, importance string, use_depth string",
-        ("a", "x", "ready", "required", "deep"),
-        ("b", "y", "ready", "required", "deep"),
-        ("c", "z", "ready", "optional", "shallow"),
-        ("d", "none", "planned", "optional", "deep"),
+        "domain string, area string, declared string, importance string",
+        ("low", "x", "easy_but_underused", "required"),
+        ("full", "z", "required_unavailable", "required"),
+        ("unmeasured", "none", "required_unavailable", "required"),
+        ("extra", "z", "easy_but_underused", "optional"),
+        ("odd", "none", "planned", "optional"),
     )
     coverage = frame("area string, coverage_rate double, area_status string", ("x", 0.2, "below_threshold"), ("z", 1.0, "passed"))
-    assert rows(classify_portfolio(domains, coverage, "area"), "domain", "bucket") == [
-        ("a", "required_unavailable"),
-        ("b", "required_unavailable"),
-        ("c", "easy_but_underused"),
-        ("d", "planned"),
+    assert rows(classify_portfolio(domains, coverage, "area"), "domain", "bucket", "blocker_code") == [
+        ("extra", "easy_but_underused", ""),
+        ("full", "required_available", ""),
+        ("low", "required_unavailable", "LOW_NOT_OPERATIONAL"),
+        ("odd", "optional_enhancement", ""),
+        ("unmeasured", "required_unavailable", "UNMEASURED_NOT_OPERATIONAL"),
     ]
 
 

@@ -48,14 +48,58 @@ def test_counts_add_up(frame):
     assert found["matched"] + found["package_only"] == 4 and found["matched"] + found["core_only"] == 6
 
 
-def test_merge_is_idempotent_and_restricted(frame):
-    plan = frame("k int, status string, note string, fixed string", (1, "todo", "", "a"), (2, "todo", "x", "b"))
-    batch = frame("k int, status string, note string", (1, "done", ""), (3, "done", ""))
+def test_merge_takes_the_row_in_full(frame):
+    plan = frame("k string, status string, note string, fixed string", ("1", "todo", "old", "a"), ("2", "todo", "x", "b"))
+    batch = frame("k string, status string, note string", (" 1 ", "done", ""))
     once = r.merge_batch(plan, batch, ["k"], ["status", "note"])
-    assert rows(once, "k", "status", "note", "fixed", "is_changed") == [(1, "done", "", "a", True), (2, "todo", "x", "b", False)]
-    again = r.merge_batch(once.drop("is_changed"), batch, ["k"], ["status", "note"])
+    assert rows(once, "k", "status", "note", "fixed", "is_changed", "changed_cells") == [("1", "done", "", "a", True, 2), ("2", "todo", "x", "b", False, 0)]
+    again = r.merge_batch(once.drop("is_changed", "changed_cells"), batch, ["k"], ["status", "note"])
     assert again.filter("is_changed").count() == 0
-    assert rows(r.batch_problems(plan, batch, ["k"])) == [(3, 1, "unknown_key")]
+    assert rows(r.merge_batch(plan, batch, ["k"], ["status", "note"], blank_keeps=True), "k", "note", "changed_cells") == [("1", "old", 1), ("2", "x", 0)]
+
+
+@pytest.mark.parametrize("keys, message", [(("1", "1"), "duplicate key"), (("",), "blank key"), ((" ",), "blank key"), ((None,), "blank key"), (("1", "9"), "unknown key")])
+def test_merge_stops_at_problems(frame, keys, message):
+    plan = frame("k string, status string", ("1", "todo"), ("2", "todo"))
+    batch = frame("k string, status string", *[(k, "done") for k in keys])
+    with pytest.raises(Exception, match=message):
+        r.merge_batch(plan, batch, ["k"], ["status"]).collect()
+
+
+TASKS = "task_id int, status string, review_decision string, scope string, package_slot int, core_slot int, package_v int, core_v int"
+
+
+def paired_plan(frame):
+    plan = frame(
+        TASKS,
+        (1, "todo", "", "s", None, 10, None, 5), (2, "todo", "", "s", 20, None, 6, None), (3, "decided", "exclude_core", "s", None, 30, None, 0),
+        (4, "decided", "remap_core", "s", 40, 40, 7, 8), (5, "decided", "use_package", "s", 50, None, 9, None),
+    )
+    return rc.apply_pairs(plan, frame("core_task int, package_task int", (1, 2)), pair_spec())
+
+
+def pair_spec():
+    return rc.Reconcile(match=["scope"], variant=["slot"], compare=["v"], scope=["scope"], issues={})
+
+
+def test_a_pair_is_published_under_the_core_key_and_deletes_nothing(frame):
+    plan = paired_plan(frame)
+    assert rows(plan, "task_id", "status", "review_decision", "paired_task")[:2] == [(1, "decided", "pair_covered", 2), (2, "decided", "pair_replace", 1)]
+    assert rows(rc.publish(plan, pair_spec()), "task_id", "scope", "slot", "v") == [(2, "s", 10, 6), (5, "s", 50, 9)]
+    assert rows(rc.delete_plan(plan, pair_spec()), "scope", "slot", "reason", "task_count") == [("s", 30, "excluded", 1), ("s", 40, "rekeyed", 1)]
+
+
+def test_delete_plan_refuses_open_tasks_and_repeated_keys(frame):
+    with pytest.raises(Exception, match="not decided"):
+        rc.delete_plan(frame(TASKS, (1, "todo", "", "s", None, 1, None, 1)), pair_spec()).collect()
+    twice = frame(TASKS, (1, "decided", "exclude_core", "s", None, 1, None, 1), (2, "decided", "remap_core", "s", 1, 1, 1, 1))
+    with pytest.raises(Exception, match="deleted twice"):
+        rc.delete_plan(twice, pair_spec()).collect()
+
+
+def test_equal_rows_are_kept_apart(frame):
+    df = frame("i int, g int, seeded boolean", (1, 1, True), (1, 1, True), (1, 1, False))
+    assert r.capped_or_seeded(df, ["g"], [F.asc("i"), F.desc("seeded")], 1, F.col("seeded")).count() == 2
 
 
 def test_cap_counts_seeded_rows(spark):

@@ -1,6 +1,4 @@
-"""Sequence operators against step-by-step Python on small groups."""
-
-import random
+"""Sequence operators on small groups."""
 
 from pyspark.sql import functions as F
 
@@ -17,45 +15,39 @@ def test_global_rank_equals_a_sort(spark):
     assert [r.rank for r in ranked.orderBy("rank").select("rank").collect()] == list(range(1, 2001))
 
 
-def brute_repair(entries, max_count, delta_min, ratio):
-    prev, out = 0, []
-    for score, n, cum in sorted(entries, key=lambda e: -e[0]):
-        if n is None and cum is not None and 0 < cum - prev <= max_count:
-            n = cum - prev
-        if cum is None and n is not None:
-            cum = prev + n
-        if n is not None and cum is not None and prev + n != cum:
-            diff = cum - prev
-            jump = n > 0 and diff > n and diff - n >= delta_min and diff >= n * ratio
-            if not jump and 0 < diff <= max_count:
-                n = diff
-            else:
-                cum = prev + n
-        if n is None or cum is None:
-            continue
-        out.append((score, n, cum))
-        prev = cum
-    return out
-
-
-def test_repair_equals_the_walk(spark):
-    rng = random.Random(5)
-    table, want = [], []
-    for g in range(30):
-        entries, cum = [], 0
-        for score in rng.sample(range(100), 25):
-            entries.append(score)
-        entries.sort(reverse=True)
-        listed = []
-        for i, score in enumerate(entries):
-            n = rng.randint(1, 30)
-            cum += n
-            listed.append((score, rng.choice([n, n, None, n + 3]), rng.choice([cum, cum, None, cum + 500, cum - 2])))
-            table.append((g, i, *listed[-1]))
-        want += [(g, *x) for x in brute_repair(listed, 60, 100, 5.0)]
-    df = spark.createDataFrame(table, "g int, i int, score int, score_count long, cumulative_rank long")
+#: One group each: rows from the top score down as (score, count, running count), and what comes out (limits 60, 100, 5.0).
+REPAIRS = {
+    "agreeing rows stay": ([(90, 3, 3), (89, 4, 7)], [(90, 3, 3, "kept"), (89, 4, 7, "kept")]),
+    "count from the running count": ([(90, 3, 3), (89, None, 8)], [(90, 3, 3, "kept"), (89, 5, 8, "count_from_cumulative")]),
+    "running count from the count": ([(90, 3, None), (89, 4, 7)], [(90, 3, 3, "cumulative_from_count"), (89, 4, 7, "kept")]),
+    "a small difference corrects the count": ([(90, 3, 3), (89, 4, 12)], [(90, 3, 3, "kept"), (89, 9, 12, "count_by_cumulative")]),
+    "a falling running count is replaced": ([(90, 30, 30), (89, 4, 20)], [(90, 30, 30, "kept"), (89, 4, 34, "cumulative_by_count")]),
+    "a difference over the limit is replaced": ([(90, 3, 3), (89, 50, 93)], [(90, 3, 3, "kept"), (89, 50, 53, "cumulative_by_count")]),
+    "a jump is replaced": ([(90, 3, 3), (89, 4, 507)], [(90, 3, 3, "kept"), (89, 4, 7, "cumulative_by_jump")]),
+    "an implausible running count alone is passed over": ([(90, 3, 3), (89, None, 303), (88, 2, 5)], [(90, 3, 3, "kept"), (88, 2, 5, "kept")]),
+    "a row without numbers is passed over": ([(90, 3, 3), (89, None, None), (88, 2, 5)], [(90, 3, 3, "kept"), (88, 2, 5, "kept")]),
+    "scores are not bounded": ([(900, 1, 1), (751, 2, 3)], [(900, 1, 1, "kept"), (751, 2, 3, "kept")]),
+}
+
+
+def test_each_repair(spark):
+    table = [(g, i, *row) for g, (given, _) in REPAIRS.items() for i, row in enumerate(given)]
+    df = spark.createDataFrame(table, "g string, i int, score int, score_count long, cumulative_rank long")
     got = s.repair_cumulative(df, ["g"], ["i"], 60, 100, 5.0)
-    assert rows(got, "g", "score", "score_count", "cumulative_rank") == sorted(want, key=repr)
+    want = [(g, *row) for g, (_, out) in REPAIRS.items() for row in out]
+    assert rows(got, "g", "score", "score_count", "cumulative_rank", "action") == sorted(want, key=repr)
+
+
+def test_what_a_repair_passes_over_is_counted(frame):
+    schema = "g int, i int, score int, score_count long, cumulative_rank long"
+    df = frame(schema, (1, 0, None, 1, 1), (1, 1, 800, 1, 1), (1, 2, 700, 1, 1), (1, 3, 700, 1, 1), (1, 4, 699, None, None), (1, 5, 800, 2, 2))
+    assert rows(s.repair_skips(df, ["g"], (0, 750))) == [(1, 1, 2, 1, 1)]
+    assert rows(s.repair_skips(df, ["g"])) == [(1, 1, 0, 2, 1)]
+
+
+def test_check_passes_over_incomplete_rows(frame):
+    df = frame("g int, score int, score_count long, cumulative_rank long", (1, 90, 3, 3), (1, 89, 4, None), (1, 88, 2, 5), (1, 87, 1, 9), (2, 5, None, None))
+    assert rows(s.cumulative_check(df, ["g"], 3)) == [(1, 4, 1, 0, False, 1), (2, 1, 0, 0, True, 1)]
 
 
 def test_first_row_of_a_score_counts(frame):
@@ -107,25 +99,17 @@ def test_single_boundary(frame):
     assert rows(s.boundary_anchors(df, ["b"], 3, 60)) == [(1, 50)]
 
 
-def brute_lines(items, tolerance):
-    lines = []
-    for y, x, item in sorted(items):
-        if lines and y - lines[-1][0] <= tolerance:
-            lines[-1][1].append((x, item))
-        else:
-            lines.append((y, [(x, item)]))
-    return [(y, [i for _, i in sorted(cells, key=lambda c: (c[0], str(c[1]) + " "))]) for y, cells in lines]
-
-
-def test_line_groups_equal_the_walk(spark):
-    rng = random.Random(3)
-    table = [(p, float(rng.randint(0, 120)), float(rng.randint(0, 50)), i) for i, p in enumerate([0] * 150 + [1] * 20 + [2])]
-    df = spark.createDataFrame(table, "page int, y double, x double, item long")
-    got = s.line_texts(s.line_groups(df.withColumn("item", F.concat("item", F.lit(" "))), ["page"], 4.0), ["page"])
-    want = [(p, y, "".join(f"{i} " for i in items)) for p in (0, 1, 2) for y, items in brute_lines([r[1:] for r in table if r[0] == p], 4.0)]
-    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+def test_line_groups(frame):
+    df = frame(
+        "page int, y double, x double, item string",
+        (1, 10.0, 5.0, "b"), (1, 12.0, 1.0, "a"), (1, 14.0, 9.0, "c"),  # within 4 of the first
+        (1, 14.5, 0.0, "d"), (1, 18.5, 0.5, "e"), (1, 18.6, 0.0, "f"),  # a chain does not stretch a line
+        (1, 40.0, 2.0, "z"), (1, 40.0, 2.0, "y"), (2, 10.0, 0.0, "q"),
+    )
+    got = s.line_texts(s.line_groups(df, ["page"], 4.0), ["page"])
+    assert rows(got, "page", "first_y", "line") == [(1, 10.0, "abc"), (1, 14.5, "de"), (1, 18.6, "f"), (1, 40.0, "yz"), (2, 10.0, "q")]
 
 
 def test_context_stops_at_the_page_end(frame):
-    df = frame("doc int, page int, text string", (1, 1, "a\n\n b  c\nd"), (1, 2, "e"))
+    df = frame("doc int, page int, text string", (1, 1, "a\n\n b \x07 c\nd"), (1, 2, "e"))
     assert rows(s.context_lines(df, ["doc", "page"], "text", 3), "page", "line_no", "context") == [(1, 0, "a b c"), (1, 2, "b c d"), (1, 3, "d"), (2, 0, "e")]

@@ -17,7 +17,10 @@ from .conftest import rows
         ("上年 88% 就业率。 10%", "就业率", "ratio", 0.88),
         ("就业率。92%", "就业率", "ratio", None),
         ("总人数 12 人，满意 90 分", "总人数", "number", 12.0),
-        ("得分 430 与 88.5", "得分", "score", None),
+        ("得分 430 与 88.5", "得分", "score", 88.5),
+        ("95 430 得分 101", "得分", "score", 95.0),
+        ("95 and much more before 得分 430", "得分", "score", None),
+        ("得分 7", "得分", "score", 7.0),
         ("12.5 得分", "得分", "number", 12.5),
         ("12.5 and many words before 得分", "得分", "number", None),
         ("编号1234得分", "得分", "number", None),
@@ -47,10 +50,20 @@ def test_candidates_respect_context_and_keep_the_first_line(frame):
     assert rows(got, "doc", "line_no", "candidate_value", "match_alias", "confidence") == [(1, 0, 0.9, "落实率", "low"), (2, 1, 0.61, "就业率", "medium")]
 
 
-def test_scope_tags(frame):
-    quote = "2024届本科毕业生初次就业率，男生升学"
-    got = frame("q string", (quote,)).select(e.scope_tags(F.col("q"), vocab.SCOPE_GROUPS).alias("s")).first().s
-    assert got == "本科毕业生，性别分组，不是学校总体就业率或本科总体口径，升学，初次毕业去向"
+@pytest.mark.parametrize(
+    "quote, want",
+    [
+        ("2024届本科毕业生初次就业率，男生升学", "2024届，本科毕业生，性别分组，不是学校总体就业率或本科总体口径，升学，初次毕业去向"),
+        ("２０２３ 届高职，截至 2023年8月31日", "２０２３届，专科/高职毕业生，截至2023年8月31日"),
+        ("截至12月1日", "截至12月1日"),
+        ("软件工程专业就业率", "专业口径，不是学校总体就业率或本科总体口径，就业率"),
+        ("就业率较去年上升", "变化幅度，不是学校总体就业率或本科总体口径，就业率"),
+        ("就业率。人数上升", "就业率"),
+        ("nothing", ""),
+    ],
+)
+def test_scope_tags(frame, quote, want):
+    assert frame("q string", (quote,)).select(e.scope_tags(F.col("q"), vocab.SCOPE_RULES).alias("s")).first().s == want
 
 
 def test_printed_numbers(frame):
