@@ -36,6 +36,9 @@ SECTION_LINE = r"^(.*?)（.*）$"
 DISTRIBUTION_ROW = r"(\d{2,3})\s+([\d,]+)\s+([\d,]+)"
 OCCUPATION_CODE = r"^\d{1,2}(-\d{1,2}){1,3}$"
 
+# fixed value: a major's code in running text
+MAJOR_CODE = r"(?<!\d)(\d{4,6}[A-Za-z]?)(?!\d)"
+
 # fixed values: scope tags in order; a rule is a list of (words, tag) of which the first with a word in the quote applies, or a
 # pattern and the tag that a match gives, {} being what its group holds
 SCOPE_RULES = (

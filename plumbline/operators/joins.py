@@ -122,29 +122,26 @@ def with_fallback(rows: DataFrame, by_code: DataFrame, by_city: DataFrame, code:
     )
 
 
-def keyword_hits(
-    texts: DataFrame, id_col: str, text_col: str, keywords: DataFrame, shortest: int, longest: int, token: str | None = None
-) -> DataFrame:
+def keyword_hits(texts: DataFrame, id_col: str, text_col: str, keywords: DataFrame, token: str | None = None) -> DataFrame:
     """(text id, keyword) wherever the keyword occurs anywhere in the text.
 
-    Containment becomes equi-joins. Texts are cut into ``token`` matches (the whole text without
-    a pattern); equal tokens of all texts are looked at once. From each position of a distinct
-    token, the next ``shortest`` characters are joined to the same prefix of the keywords and the
-    following ones, up to ``longest``, decide. A keyword that a token could not hold, or outside
-    the stated lengths, fails the job rather than being missed.
+    Containment becomes an equi-join on whole substrings, so no common beginning gathers rows. Texts are cut into ``token``
+    matches (the whole text without a pattern); of each distinct token, the substrings of the lengths that keywords have are
+    joined to the keywords. A keyword that a token could not hold fails the job rather than being missed.
     """
-    k = F.length("keyword")
-    fits = (k >= shortest) & (k <= longest)
+    keys = keywords.select("keyword").distinct()
     if token:
-        fits = fits & F.col("keyword").rlike(f"^(?:{token})$")
-    checked = F.when(fits, F.col("keyword")).otherwise(F.raise_error(F.lit(f"keyword does not fit {token} or {shortest}..{longest}")).cast("string"))
-    keys = keywords.select("keyword").distinct().select(checked.alias("keyword")).withColumn("gram", F.substring("keyword", 1, shortest))
+        unfit = F.raise_error(F.lit(f"keyword does not fit {token}")).cast("string")
+        keys = keys.select(F.when(F.col("keyword").rlike(f"^(?:{token})$"), F.col("keyword")).otherwise(unfit).alias("keyword"))
+    # as many rows as keywords have different lengths
+    lengths = sorted(row["n"] for row in keywords.select(F.length("keyword").alias("n")).distinct().collect() if row["n"])
     found = F.regexp_extract_all(text_col, F.lit(token), F.lit(0)) if token else F.array(text_col)
-    pieces = texts.select(id_col, F.explode(F.array_distinct(found)).alias("piece"))
-    pieces = pieces.filter(F.length("piece") >= shortest)
-    windows = F.regexp_extract_all("piece", F.lit(f"(?s)(?=(.{{{shortest},{longest}}}))"), F.lit(1))
-    grams = pieces.select("piece").distinct().select("piece", F.explode(windows).alias("window")).withColumn("gram", F.substring("window", 1, shortest))
-    holds = grams.join(keys, "gram").filter(F.col("window").startswith(F.col("keyword"))).select("piece", "keyword").distinct()
+    pieces = texts.select(id_col, F.explode(F.array_distinct(found)).alias("piece")).filter(F.length("piece") >= F.lit(min(lengths, default=1)))
+    size = F.length("piece")
+    starts = lambda n: F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(F.col("piece"), i, n)))
+    parts = F.array_distinct(F.flatten(F.filter(F.transform(F.array(*[F.lit(n) for n in lengths]), starts), lambda x: x.isNotNull())))
+    grams = pieces.select("piece").distinct().select("piece", F.explode(parts).alias("keyword"))
+    holds = grams.join(keys, "keyword")
     return pieces.join(holds, "piece").select(id_col, "keyword").distinct()
 
 

@@ -45,6 +45,20 @@ def normalise(df: DataFrame, contract: TableContract) -> DataFrame:
     return df.select(*out)
 
 
+def year_columns(columns: Sequence[str], patterns: Mapping[str, str]) -> dict[int, dict[str, str]]:
+    """For every year in a header, the column of each metric; a pattern's first group is the year.
+
+    A year needs all metrics.
+    """
+    found: dict[int, dict[str, str]] = {}
+    for metric, pattern in patterns.items():
+        for column in columns:
+            match = re.fullmatch(pattern, column)
+            if match:
+                found.setdefault(int(match[1]), {})[metric] = column
+    return {year: cols for year, cols in sorted(found.items()) if len(cols) == len(patterns)}
+
+
 def unpivot_years(
     df: DataFrame, ids: Sequence[str], years: Mapping[int, Mapping[str, str]], keep_empty: bool = False
 ) -> DataFrame:
@@ -52,6 +66,8 @@ def unpivot_years(
 
     A year whose metrics are all null or zero is dropped unless ``keep_empty``.
     """
+    if not years:
+        raise ValueError("the header names no year")
     metrics = list(next(iter(years.values())))
     entries = F.array(
         *[

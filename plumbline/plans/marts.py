@@ -11,14 +11,15 @@ from plumbline.operators import joins as j
 from plumbline.operators import marts as m
 from plumbline.operators import review as r
 from plumbline.operators import sets as u
-from plumbline.operators.normalise import project_with_defaults, suffix_duplicate_keys, unpivot_years
+from plumbline.operators.normalise import project_with_defaults, suffix_duplicate_keys, unpivot_years, year_columns
 from plumbline.operators.sequence import dedupe, global_row_number, place_verdict
 from plumbline.plans import base
 from plumbline.plans.aggregates import COMPONENTS_SQL, POI_RULES, POI_SQL, SIGNAL_SQL, company_signals, line_pois, overall
-from plumbline.plans.joins import DISTRIBUTION, KEYWORDS_SQL, RADIUS_KM, benchmark_keywords, distribution, document_hits, places
-from plumbline.plans.projections import YEAR_COLUMNS, wide_orders
+from plumbline.plans.joins import DISTRIBUTION, KEYWORDS_SQL, RADIUS_KM, benchmark_keywords, distribution, document_hits, padded_code, places
+from plumbline.plans.projections import YEAR_PATTERNS, wide_orders
 from plumbline.plans.registry import fx, query
 from plumbline.plans.scans import DISTRICTS, GEOCODED, district_tree, geocoded
+from plumbline.functions.vocabulary import MAJOR_CODE
 from plumbline.rules import first_match, rule_frame, values_sql
 from plumbline.sources import files as f
 
@@ -92,7 +93,7 @@ def m03(t):
 
 FIT_WEIGHTS = {"recruitment": 0.3, "research": 0.2, "employment": 0.2, "internship": 0.1, "zone_proximity": 0.1, "resilience": 0.1}
 FIT = f"""rec AS (SELECT user_id AS entity, count(*) AS n, sum(CASE event_type WHEN 'signup' THEN 1.0 WHEN 'purchase' THEN 3.0 ELSE 0.5 END::DOUBLE) AS w, count(*) FILTER (WHERE event_type = 'signup') AS interns, count(DISTINCT event_type) AS employers, count(DISTINCT CAST(ts AS DATE)) AS roles FROM events GROUP BY 1),
-  res AS (SELECT o_custkey AS entity, sum(CASE o_orderstatus WHEN 'F' THEN 2.0 ELSE 1.0 END::DOUBLE) AS w FROM orders GROUP BY 1), emp AS (SELECT conv_id AS entity, avg(least(length(text), 2000)) AS v FROM conversations GROUP BY 1),
+  res AS (SELECT o_custkey AS entity, sum(CASE o_orderstatus WHEN 'F' THEN 2.0 ELSE 1.0 END::DOUBLE) AS w FROM orders GROUP BY 1), emp AS (SELECT conv_id AS entity, avg(length(text)) AS v FROM conversations GROUP BY 1),
   near AS (SELECT place_id AS entity, min(km) AS km FROM (SELECT place_id, 2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(lat2 - lat1) / 2), 2) + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2)))) AS km
     FROM (SELECT c_nationkey AS nation, c_custkey AS place_id, c_acctbal / 200.0 AS lat1, CAST((c_custkey * 7) % 360 - 180 AS DOUBLE) AS lon1 FROM customer) JOIN (SELECT s_nationkey AS nation, s_acctbal / 200.0 AS lat2, CAST((s_suppkey * 7) % 360 - 180 AS DOUBLE) AS lon2 FROM supplier) USING (nation)) GROUP BY 1),
   k AS (SELECT entity FROM rec UNION SELECT entity FROM res UNION SELECT entity FROM emp),
@@ -123,7 +124,7 @@ def m04(t):
         F.count_distinct(F.to_date("ts")).cast("double").alias("role_days"),
     )
     research = t.orders.groupBy(F.col("o_custkey").alias("entity")).agg(F.sum(F.when(F.col("o_orderstatus") == "F", 2.0).otherwise(1.0)).alias("res_w"))
-    employment = t.conversations.groupBy(F.col("conv_id").alias("entity")).agg(F.avg(F.least(F.length("text"), F.lit(2000))).alias("emp_v"))
+    employment = t.conversations.groupBy(F.col("conv_id").alias("entity")).agg(F.avg(F.length("text")).alias("emp_v"))
     facts = j.union_of_keys([recruiting, research, employment], ["entity"])
     near = j.nearest_in_group(places(t.customer, "c_custkey", "c_nationkey", "c_acctbal"), places(t.supplier, "s_suppkey", "s_nationkey", "s_acctbal"), ["nation"], "place_id", RADIUS_KM)
     zones = t.supplier.groupBy(F.col("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("zones"))
@@ -155,7 +156,7 @@ MAJOR_WEIGHTS = {"private_fit": 0.4, "public_fit": 0.2, "demand": 0.2, "flexibil
         rs AS (SELECT major, sum(fit * w) FILTER (WHERE role IN ('ECONOMY', 'STANDARD', 'LARGE')) / sum(w) FILTER (WHERE role IN ('ECONOMY', 'STANDARD', 'LARGE')) AS private_fit, sum(fit * w) FILTER (WHERE role IN ('PROMO', 'SMALL', 'MEDIUM')) / sum(w) FILTER (WHERE role IN ('PROMO', 'SMALL', 'MEDIUM')) AS public_fit, count(DISTINCT role) AS roles FROM p GROUP BY 1),
         d AS (SELECT p_type AS role, s_nationkey AS city, count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1, 2),
         f AS (SELECT major, city, count(*) AS role_count, CAST(sum(n) AS BIGINT) AS demand_rows FROM (SELECT DISTINCT major, role FROM p) JOIN d USING (role) GROUP BY 1, 2),
-        b AS (SELECT major, city, role AS primary_role FROM (SELECT m.major, d.city, m.role, row_number() OVER (PARTITION BY m.major, d.city ORDER BY least(m.parts, 100) * 0.5 + least(d.n, 1000) * 0.05 DESC, m.role) AS rn FROM (SELECT major, role, count(*) AS parts FROM p GROUP BY 1, 2) m JOIN d USING (role)) WHERE rn = 1),
+        b AS (SELECT major, city, role AS primary_role FROM (SELECT m.major, d.city, m.role, row_number() OVER (PARTITION BY m.major, d.city ORDER BY (m.best + least(100.0::DOUBLE, d.n * 20.0::DOUBLE) * 0.2::DOUBLE) * m.w DESC, m.role) AS rn FROM (SELECT major, role, w, max(fit * CASE WHEN role IN ('ECONOMY', 'STANDARD', 'LARGE') THEN 0.4 ELSE 0.2 END::DOUBLE) AS best FROM p GROUP BY 1, 2, 3) m JOIN d USING (role)) WHERE rn = 1),
         c AS (SELECT f.*, private_fit, public_fit, least(100.0, demand_rows / 3000.0::DOUBLE * 100.0) AS demand, least(100.0, least(100.0, roles / 6.0::DOUBLE * 100.0) + least(10.0, greatest(0, roles - 1) * 5.0)) AS flexibility, primary_role FROM f JOIN rs USING (major) JOIN b USING (major, city))
         SELECT major, city, role_count, demand_rows, primary_role, {fx('(coalesce(private_fit * 0.4, 0.0) + coalesce(public_fit * 0.2, 0.0) + coalesce(demand * 0.2, 0.0) + coalesce(flexibility * 0.2, 0.0)) / ((CASE WHEN private_fit IS NULL THEN 0.0 ELSE 0.4 END) + (CASE WHEN public_fit IS NULL THEN 0.0 ELSE 0.2 END) + 0.4)')} AS overall_score FROM c""",
 )
@@ -171,10 +172,14 @@ def m05(t):
         .agg(F.count(F.lit(1)).alias("n"))
     )
     per_role = roles.groupBy("major", "role_key").agg(F.count(F.lit(1)).alias("parts")).join(demand, "role_key")
-    signal = F.least(F.col("parts"), F.lit(100)) * F.lit(0.5) + F.least(F.col("n"), F.lit(1000)) * F.lit(0.05)
-    cities = per_role.groupBy("major", "city").agg(
-        F.count(F.lit(1)).alias("role_count"), F.sum("n").alias("demand_rows"), F.min_by("role_key", F.struct(-signal, F.col("role_key"))).alias("primary_role")
-    )
+    cities = per_role.groupBy("major", "city").agg(F.count(F.lit(1)).alias("role_count"), F.sum("n").alias("demand_rows"))
+    # a role's score: its fit by weight and its demand, 20 for each row up to 100, times the confidence; reduced to one row per
+    # role and confidence before it meets the cities
+    weight = F.when(F.col("role_type").isin(*FITS["private_fit"]), MAJOR_WEIGHTS["private_fit"]).otherwise(MAJOR_WEIGHTS["public_fit"])
+    best = roles.groupBy("major", "role_key", "confidence").agg(F.max(F.col("fit") * weight).alias("best")).join(demand, "role_key")
+    signal = (F.col("best") + F.least(F.lit(100.0), F.col("n") * F.lit(20.0)) * F.lit(MAJOR_WEIGHTS["demand"])) * F.col("confidence")
+    primary = best.groupBy("major", "city").agg(F.min_by("role_key", F.struct(-signal, F.col("role_key"))).alias("primary_role"))
+    cities = cities.join(primary, ["major", "city"])
     summary = m.role_summary(roles, "major", F.col("confidence"), FITS)
     scored = cities.join(summary, "major").select(
         "*",
@@ -193,19 +198,19 @@ def m06(t):
 
 @query(
     "m07_civil_service_fit",
-    f"""WITH m AS (SELECT p_name AS major_name, lpad(CAST(min(p_partkey) AS VARCHAR), 4, '0') AS major_code FROM part GROUP BY 1), p AS (SELECT p_partkey, p_name, p_size, lpad(CAST(p_partkey % 97 AS VARCHAR), 4, '0') AS code FROM part),
+    f"""WITH m AS (SELECT p_name AS major_name, lpad(CAST(min(p_partkey) AS VARCHAR), CAST(greatest(4, length(CAST(min(p_partkey) AS VARCHAR))) AS INTEGER), '0') AS major_code FROM part GROUP BY 1), p AS (SELECT p_partkey, p_name, p_size, lpad(CAST(p_partkey % 97 AS VARCHAR), 4, '0') AS code FROM part),
         hit AS (SELECT DISTINCT p_partkey, p_size, major_code FROM p JOIN m ON substr(m.major_code, 1, 3) = substr(p.code, 1, 3) OR contains('needs ' || p.p_name || ' or ' || p.code, m.major_name))
         SELECT major_code, major_name, count(*) AS position_count, CAST(sum(p_size) AS BIGINT) AS recruit_count, {fx('greatest(40.0, least(100.0, 40.0 + 60.0 * (ln(1.0 + CAST(sum(p_size) AS DOUBLE)) / ln(5001.0))))')} AS metric_value FROM hit JOIN m USING (major_code) GROUP BY 1, 2""",
 )
 def m07(t):
-    majors = t.part.groupBy(F.col("p_name").alias("major_name")).agg(F.lpad(F.min("p_partkey").cast("string"), 4, "0").alias("major_code"))
-    code = F.lpad((F.col("p_partkey") % 97).cast("string"), 4, "0")
+    majors = t.part.groupBy(F.col("p_name").alias("major_name")).agg(padded_code(F.min("p_partkey")).alias("major_code"))
+    code = padded_code(F.col("p_partkey") % 97)
     positions = t.part.select("p_partkey", "p_size", F.concat(F.lit("needs "), "p_name", F.lit(" or "), code).alias("body"))
-    found = F.regexp_extract_all("body", F.lit(r"(?<!\d)(\d{4,6}[A-Za-z]?)(?!\d)"), F.lit(1))
+    found = F.regexp_extract_all("body", F.lit(MAJOR_CODE), F.lit(1))
     keys = j.code_keys(positions, ["p_partkey", "p_size"], found, [3])
     by_code = keys.join(j.code_keys(majors, ["major_code"], F.array("major_code"), [3]), ["match_type", "match_key"]).select("p_partkey", "p_size", "major_code")
     names = majors.select(F.col("major_name").alias("keyword"), "major_code")
-    by_name = j.keyword_hits(positions, "p_partkey", "body", names, 5, 40).join(names, "keyword").join(positions.select("p_partkey", "p_size"), "p_partkey").select("p_partkey", "p_size", "major_code")
+    by_name = j.keyword_hits(positions, "p_partkey", "body", names).join(names, "keyword").join(positions.select("p_partkey", "p_size"), "p_partkey").select("p_partkey", "p_size", "major_code")
     hits = by_code.unionByName(by_name).groupBy("major_code", "p_partkey").agg(F.max("p_size").alias("p_size"))
     totals = hits.groupBy("major_code").agg(F.count(F.lit(1)).alias("position_count"), F.sum("p_size").alias("recruit_count"))
     scored = totals.withColumn("metric_value", fixed6(sc.log_score(F.col("recruit_count").cast("double"), 40.0, 100.0, 5000.0)))
@@ -344,7 +349,7 @@ def m14(t):
 @query("m15_region_profile", f"WITH {DISTRICTS} SELECT code, name, level, parent_code, province, city, count(c_custkey) AS people FROM districts LEFT JOIN customer ON code = 'S' || c_nationkey || '-' || c_mktsegment GROUP BY ALL")
 def m15(t):
     people = t.customer.groupBy(F.concat(F.lit("S"), "c_nationkey", F.lit("-"), "c_mktsegment").alias("code")).agg(F.count(F.lit(1)).alias("people"))
-    rows = f.flatten_districts(district_tree(t), 3).join(people, "code", "left")
+    rows = f.flatten_districts(district_tree(t)).join(people, "code", "left")
     return rows.select("code", "name", "level", "parent_code", "province", "city", F.coalesce("people", F.lit(0)).alias("people"))
 
 
@@ -548,10 +553,9 @@ def m26(t):
 
 @query(
     "m26_application_history",
-    """SELECT o_custkey, year(o_orderdate) AS score_year, count(*) AS order_count, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS value_cents FROM orders WHERE year(o_orderdate) >= 1998 GROUP BY 1, 2""",
+    """SELECT o_custkey, year(o_orderdate) AS score_year, count(*) AS order_count, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS value_cents FROM orders GROUP BY 1, 2""",
 )
 def m26_history(t):
     wide = f.route_sheets(wide_orders(t).withColumn("sheet", F.lit("history by year")), "sheet", [("contains", "history", "first", "all")])
-    recent = {y: c for y, c in YEAR_COLUMNS.items() if y >= 1998}
-    long = unpivot_years(wide.filter(F.col("batch").isNotNull()), ["o_custkey"], recent)
+    long = unpivot_years(wide.filter(F.col("batch").isNotNull()), ["o_custkey"], year_columns(wide.columns, YEAR_PATTERNS))
     return dedupe(long, ["o_custkey", "score_year"], ["order_count"], "keep_first")

@@ -56,21 +56,14 @@ def p02(t):
     )
 
 
-YEARS = tuple(range(1995, 2002))
-
-
 def wide_orders(t):
-    """One row per customer with a count and a value column for every year."""
-    year = F.year("o_orderdate")
+    """One row per customer with a count and a value column for every year that has orders; a pivot reads the years first."""
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
-    aggs = []
-    for y in YEARS:
-        aggs.append(F.count_if(year == y).alias(f"orders_{y}"))
-        aggs.append(F.sum(F.when(year == y, cents).otherwise(0)).alias(f"cents_{y}"))
-    return t.orders.groupBy("o_custkey").agg(*aggs)
+    pivoted = t.orders.withColumn("year", F.year("o_orderdate")).groupBy("o_custkey").pivot("year")
+    return pivoted.agg(F.count(F.lit(1)).alias("orders"), F.sum(cents).alias("cents"))
 
 
-YEAR_COLUMNS = {y: {"order_count": f"orders_{y}", "value_cents": f"cents_{y}"} for y in YEARS}
+YEAR_PATTERNS = {"order_count": r"(\d{4})_orders", "value_cents": r"(\d{4})_cents"}
 
 
 @query(
@@ -80,19 +73,21 @@ YEAR_COLUMNS = {y: {"order_count": f"orders_{y}", "value_cents": f"cents_{y}"} f
        FROM orders GROUP BY 1, 2""",
 )
 def p03(t):
-    return n.unpivot_years(wide_orders(t), ["o_custkey"], YEAR_COLUMNS)
+    wide = wide_orders(t)
+    return n.unpivot_years(wide, ["o_custkey"], n.year_columns(wide.columns, YEAR_PATTERNS))
 
 
 @query(
     "p03_unpivot_skip_counts",
-    """WITH c AS (SELECT DISTINCT o_custkey FROM orders), y AS (SELECT unnest(range(1995, 2002)) AS score_year),
+    """WITH c AS (SELECT DISTINCT o_custkey FROM orders), y AS (SELECT DISTINCT year(o_orderdate) AS score_year FROM orders),
        k AS (SELECT DISTINCT o_custkey, year(o_orderdate) AS score_year FROM orders)
        SELECT y.score_year, count(k.o_custkey) AS kept, count(*) - count(k.o_custkey) AS skipped
        FROM y CROSS JOIN c LEFT JOIN k ON k.o_custkey = c.o_custkey AND k.score_year = y.score_year GROUP BY 1""",
 )
 def p03_skips(t):
+    wide = wide_orders(t)
     return (
-        n.unpivot_years(wide_orders(t), ["o_custkey"], YEAR_COLUMNS, keep_empty=True)
+        n.unpivot_years(wide, ["o_custkey"], n.year_columns(wide.columns, YEAR_PATTERNS), keep_empty=True)
         .groupBy("score_year")
         .agg(F.count_if("is_filled").alias("kept"), F.count_if(~F.col("is_filled")).alias("skipped"))
     )

@@ -510,7 +510,7 @@ def r18(t):
 @query(
     "r19_identity_review_plan",
     """WITH b AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS name FROM benchmark), l AS (SELECT name, count(DISTINCT item_id) AS priority FROM b GROUP BY 1),
-       p AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS profile FROM documents WHERE lang = 'es'),
+       p AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS profile FROM documents),
        ll AS (SELECT name, priority FROM l WHERE length(name) >= 6 AND name NOT IN (SELECT profile FROM p)), pp AS (SELECT profile FROM p WHERE length(profile) >= 6),
        m AS (SELECT name, count(*) AS n, min(profile) AS one FROM ll JOIN pp ON starts_with(name, profile) OR starts_with(profile, name) GROUP BY 1)
        SELECT ll.name, priority, coalesce(n, 0) AS prefix_matches, CASE WHEN n = 1 THEN one END AS suggestion, CASE WHEN n = 1 THEN 'suggested' ELSE 'needs_review' END AS status FROM ll LEFT JOIN m USING (name)""",
@@ -518,7 +518,7 @@ def r18(t):
 def r19(t):
     words = t.benchmark.select("item_id", F.explode(F.expr("regexp_extract_all(lower(text), '[a-z]+', 0)")).alias("name"))
     local = words.groupBy("name").agg(F.count_distinct("item_id").alias("priority"))
-    profiles = t.documents.filter("lang = 'es'").select(F.explode(F.expr("regexp_extract_all(lower(text), '[a-z]+', 0)")).alias("name")).distinct()
+    profiles = t.documents.select(F.explode(F.expr("regexp_extract_all(lower(text), '[a-z]+', 0)")).alias("name")).distinct()
     unmatched = local.join(profiles, "name", "left_anti")
     found = j.prefix_suggestions(unmatched, profiles, 6, 3).join(unmatched, "name")
     status = F.when(F.col("prefix_matches") == 1, "suggested").otherwise("needs_review")

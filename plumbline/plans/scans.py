@@ -172,7 +172,7 @@ DISTRICTS = """districts AS (SELECT 'R' || r_regionkey AS code, r_name AS name,
 
 @query("s10_hierarchy_flatten", f"WITH {DISTRICTS} SELECT * FROM districts")
 def s10(t):
-    return f.flatten_districts(district_tree(t), 3)
+    return f.flatten_districts(district_tree(t))
 
 
 @query(

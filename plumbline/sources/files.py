@@ -72,27 +72,36 @@ def flatten_geocodes(records: DataFrame, confidence: Mapping[str, float], otherw
     )
 
 
-def flatten_districts(tree: DataFrame, levels: int) -> DataFrame:
+def tree_depth(node) -> int:
+    """Levels that a nested district type has."""
+    depth = 1
+    while "districts" in node.fieldNames():
+        node, depth = node["districts"].dataType.elementType, depth + 1
+    return depth
+
+
+def flatten_districts(tree: DataFrame) -> DataFrame:
     """Rows of a nested district column ``node`` (code, name, level, districts), parents before children.
 
-    Each level is one explode; names of the first and second level are inherited downwards. A
-    code that occurs twice keeps its first place in the tree.
+    The depth is that of the column's type, so no level is left out. Each level is one explode. A row's province and city are
+    the names of the nearest row above, itself included, whose level says so. A code that occurs twice keeps its first place
+    in the tree.
     """
     none = F.lit(None).cast("string")
+    named = lambda node, level, above: F.when(F.col(f"{node}.level") == level, F.col(f"{node}.name")).otherwise(above)
     level = tree.select(
-        F.col("node"), none.alias("parent_code"), F.col("node.name").alias("province"), none.alias("city"), F.lit(0).alias("depth"), F.lit("").alias("path")
-    )
+        F.col("node"), none.alias("parent_code"), named("node", "province", none).alias("province"), named("node", "city", none).alias("city"),
+        F.lit(0).alias("depth"), F.array().cast("array<int>").alias("path"),
+    )
     tables = []
-    for depth in range(levels):
+    for depth in range(tree_depth(tree.schema["node"].dataType)):
+        if depth:
+            child = level.select(F.col("node.code").alias("parent_code"), "province", "city", "path", F.posexplode("node.districts").alias("at", "child"))
+            level = child.select(
+                F.col("child").alias("node"), "parent_code", named("child", "province", F.col("province")).alias("province"), named("child", "city", F.col("city")).alias("city"),
+                F.lit(depth).alias("depth"), F.concat("path", F.array("at")).alias("path"),
+            )
         tables.append(level.select("node.code", "node.name", "node.level", "parent_code", "province", "city", "depth", "path"))
-        if depth + 1 == levels:
-            break
-        child = level.select(F.col("node.code").alias("parent_code"), "province", "city", "path", F.posexplode("node.districts").alias("at", "child"))
-        city = F.col("child.name") if depth == 0 else F.col("city")
-        level = child.select(
-            F.col("child").alias("node"), "parent_code", "province", city.alias("city"), F.lit(depth + 1).alias("depth"),
-            F.concat("path", F.format_string("%06d/", "at")).alias("path"),
-        )
     stacked = tables[0]
     for t in tables[1:]:
         stacked = stacked.unionByName(t)

@@ -120,13 +120,19 @@ def test_keyword_hits_equal_contains(spark):
     words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(4, 7))) for _ in range(30)})
     tdf, kdf = spark.createDataFrame(texts, "id int, t string"), spark.createDataFrame([(w,) for w in words], "keyword string")
     want = sorted((i, w) for i, t in texts for w in words if w in t)
-    assert sorted(rows(j.keyword_hits(tdf, "id", "t", kdf, 4, 7))) == want
-    assert sorted(rows(j.keyword_hits(tdf, "id", "t", kdf, 4, 7, token="[abc]+"))) == want
+    assert sorted(rows(j.keyword_hits(tdf, "id", "t", kdf))) == want
+    assert sorted(rows(j.keyword_hits(tdf, "id", "t", kdf, token="[abc]+"))) == want
 
 
-def test_keywords_outside_the_limits_fail(frame):
+def test_keywords_of_any_length(frame):
+    texts = frame("id int, t string", (1, "x" * 60 + "abc"), (2, "ab"), (3, ""), (4, None))
+    found = j.keyword_hits(texts, "id", "t", frame("keyword string", ("ab",), ("x" * 50,), ("b",)))
+    assert rows(found) == [(1, "ab"), (1, "b"), (1, "x" * 50), (2, "ab"), (2, "b")]
+
+
+def test_keywords_that_no_token_holds_fail(frame):
     with pytest.raises(Exception, match="keyword does not fit"):
-        j.keyword_hits(frame("id int, t string", (1, "abcdef")), "id", "t", frame("keyword string", ("ab",)), 4, 7).collect()
+        j.keyword_hits(frame("id int, t string", (1, "abc def")), "id", "t", frame("keyword string", ("c d",)), token="[a-z]+").collect()
 
 
 def test_prefix_suggestions_equal_pairs(spark):

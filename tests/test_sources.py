@@ -46,3 +46,16 @@ def test_stream_gives_the_batch_result(spark):
     inc.keep_health(stream, "user_id", F.col("event_type") == "error", health, state).trigger(availableNow=True).start().awaitTermination()
     direct = events.groupBy("user_id").agg(F.count(F.lit(1)), F.count_if(F.col("event_type") == "error"))
     assert rows(inc.read_health(spark, health, "user_id"), "user_id", "check_count", "blocked_count") == rows(direct)
+
+
+def test_tree_of_any_depth(spark):
+    from plumbline.sources.files import flatten_districts
+
+    leaf = "code string, name string, level string"
+    node = f"struct<{leaf.replace(' string', ':string')}>"
+    schema = f"node struct<{leaf.replace(' string', ':string')},districts:array<struct<{leaf.replace(' string', ':string')},districts:array<struct<{leaf.replace(' string', ':string')},districts:array<{node}>>>>>>"
+    tree = (("0", "Land", "country", [("1", "P", "province", [("2", "C", "city", [("3", "D", "district"), ("4", "E", "street")])])]),)
+    found = flatten_districts(spark.createDataFrame([tree], schema))
+    assert sorted(tuple(r) for r in found.select("code", "province", "city", "depth").collect()) == [
+        ("0", None, None, 0), ("1", "P", None, 1), ("2", "P", "C", 2), ("3", "P", "C", 3), ("4", "P", "C", 3),
+    ]
