@@ -225,15 +225,15 @@ def j11(t):
 
 @query(
     "j12_unique_match",
-    """WITH l AS (SELECT p_partkey AS local_id, p_brand, p_size FROM part WHERE p_type = 'ECONOMY'),
-       n AS (SELECT p_brand, p_size, count(*) AS n, min('N' || p_partkey) AS code FROM part WHERE p_type = 'PROMO' GROUP BY 1, 2)
+    """WITH l AS (SELECT p_partkey AS local_id, p_brand, p_size FROM part WHERE p_partkey % 2 = 0),
+       n AS (SELECT p_brand, p_size, count(*) AS n, min('N' || p_partkey) AS code FROM part WHERE p_partkey % 2 = 1 GROUP BY 1, 2)
        SELECT local_id, p_brand, p_size, CASE WHEN p_size = 1 THEN 'R' || local_id WHEN n = 1 THEN code END AS national_code,
               CASE WHEN p_size = 1 THEN 'reviewed' WHEN n IS NULL THEN 'no_name_match' WHEN n > 1 THEN 'ambiguous_name' ELSE 'unique_name' END AS match_reason
        FROM l LEFT JOIN n USING (p_brand, p_size)""",
 )
 def j12(t):
-    local = t.part.filter("p_type = 'ECONOMY'").select(F.col("p_partkey").alias("local_id"), "p_brand", "p_size")
-    profiles = t.part.filter("p_type = 'PROMO'").select("p_brand", "p_size", F.concat(F.lit("N"), "p_partkey").alias("national_code"))
+    local = t.part.filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("local_id"), "p_brand", "p_size")
+    profiles = t.part.filter("p_partkey % 2 = 1").select("p_brand", "p_size", F.concat(F.lit("N"), "p_partkey").alias("national_code"))
     reviewed = local.filter("p_size = 1").select("local_id", F.concat(F.lit("R"), "local_id").alias("national_code"))
     return j.unique_match(local, reviewed, profiles, "local_id", ["p_brand", "p_size"], "national_code")
 
@@ -241,12 +241,12 @@ def j12(t):
 @query(
     "j13_code_or_name_coverage",
     """WITH r AS (SELECT p_partkey, p_brand AS code, p_name AS name, p_size AS city FROM part),
-       f AS (SELECT DISTINCT p_brand AS code, p_name AS name, CASE WHEN p_retailprice > 999.9 THEN 0 ELSE p_size END AS city FROM part WHERE p_type = 'PROMO' AND p_brand < 'Brand#12')
+       f AS (SELECT DISTINCT p_brand AS code, p_name AS name, CASE WHEN p_retailprice > 999.9 THEN 0 ELSE p_size END AS city FROM part WHERE p_partkey % 2 = 1)
        SELECT DISTINCT p_partkey FROM r JOIN f ON (r.code = f.code OR r.name = f.name) AND (r.city = f.city OR f.city = 0)""",
 )
 def j13(t):
     rows = t.part.select("p_partkey", F.col("p_brand").alias("code"), F.col("p_name").alias("name"), F.col("p_size").alias("city"))
-    facts = t.part.filter("p_type = 'PROMO' AND p_brand < 'Brand#12'").select(
+    facts = t.part.filter("p_partkey % 2 = 1").select(
         F.col("p_brand").alias("code"), F.col("p_name").alias("name"), F.when(F.col("p_retailprice") > 999.9, 0).otherwise(F.col("p_size")).alias("city")
     )
     return j.covered_by_either(rows, facts, "p_partkey", "code", "name", "city", 0)
@@ -254,18 +254,18 @@ def j13(t):
 
 @query(
     "j14_bridge_join",
-    """SELECT DISTINCT o_custkey FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)""",
+    """SELECT DISTINCT o_custkey FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 2 = 1)""",
 )
 def j14(t):
-    facts = t.supplier.filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("c_nationkey")).distinct()
+    facts = t.supplier.filter("s_suppkey % 2 = 1").select(F.col("s_nationkey").alias("c_nationkey")).distinct()
     bridge = t.customer.join(facts, "c_nationkey", "left_semi").select(F.col("c_custkey").alias("o_custkey"))
     return t.orders.select("o_custkey").distinct().join(bridge, "o_custkey", "left_semi")
 
 
 @query(
     "j15_name_cascade",
-    """WITH p AS (SELECT p_partkey, p_size AS scope, p_brand || ' ' || p_name AS name FROM part WHERE p_type = 'PROMO'),
-       c AS (SELECT p_partkey AS code, p_size AS scope, p_brand || ' ' || p_name AS name FROM part WHERE p_type = 'ECONOMY'),
+    """WITH p AS (SELECT p_partkey, p_size AS scope, p_brand || ' ' || p_name AS name FROM part WHERE p_partkey % 2 = 1),
+       c AS (SELECT p_partkey AS code, p_size AS scope, p_brand || ' ' || p_name AS name FROM part WHERE p_partkey % 2 = 0),
        tok AS (SELECT p.p_partkey, c.code, CASE WHEN p.name = c.name THEN 1 WHEN contains(p.name, c.name) OR contains(c.name, p.name) THEN 2
                  WHEN len(list_intersect(list_distinct(string_split(p.name, ' ')), list_distinct(string_split(c.name, ' ')))) >= 2 THEN 3 END AS kind
                FROM p JOIN c USING (scope)),
@@ -278,8 +278,8 @@ def j14(t):
 )
 def j15(t):
     name = F.concat_ws(" ", "p_brand", "p_name").alias("name")
-    package = t.part.filter("p_type = 'PROMO'").select("p_partkey", F.col("p_size").alias("scope"), name)
-    core = t.part.filter("p_type = 'ECONOMY'").select(F.col("p_partkey").alias("code"), F.col("p_size").alias("scope"), name)
+    package = t.part.filter("p_partkey % 2 = 1").select("p_partkey", F.col("p_size").alias("scope"), name)
+    core = t.part.filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("code"), F.col("p_size").alias("scope"), name)
     matched = j.name_cascade(package, core, ["scope"], lambda c: F.array_distinct(F.split(c, " ")), 2, 0.5)
     return matched.select("p_partkey", "match_hint", "matched_code")
 

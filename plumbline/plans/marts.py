@@ -62,7 +62,7 @@ CAMPUS_WEIGHTS = {"commerce": 0.3, "housing": 0.4, "transit": 0.3}
 CAMPUS = f"""{POI_SQL}, pc AS (SELECT supplier, component, sum(metric_score * weight) / sum(weight) AS component_score FROM poi GROUP BY 1, 2),
   hm AS (SELECT l_suppkey AS supplier, avg(CAST(l_quantity AS BIGINT)) AS rent, avg(CAST(round(l_tax * 100) AS BIGINT)) AS fee FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1),
   hc AS (SELECT supplier, 'housing' AS component, ((100.0 - greatest(0.0, least(100.0, (rent - 1.0) / 49.0 * 100.0))) * 2.0 + (100.0 - greatest(0.0, least(100.0, fee / 8.0 * 100.0)))) / 3.0 AS component_score FROM hm),
-  nc AS (SELECT c_nationkey AS nation, max(CAST(round(c_acctbal * 100) AS BIGINT)) / 100.0::DOUBLE AS cost FROM customer WHERE c_acctbal > 9900 GROUP BY 1),
+  nc AS (SELECT c_nationkey AS nation, max(CAST(round(c_acctbal * 100) AS BIGINT)) / 100.0::DOUBLE AS cost FROM customer GROUP BY 1),
   rc AS (SELECT n_regionkey AS region, max(cost) AS cost FROM nc JOIN nation ON n_nationkey = nation GROUP BY 1),
   rg AS (SELECT s_suppkey AS supplier, 'housing' AS component, 100.0 - greatest(0.0, least(100.0, coalesce(nc.cost, rc.cost) / 10000.0 * 100.0)) AS component_score FROM supplier JOIN nation ON n_nationkey = s_nationkey LEFT JOIN nc ON nc.nation = s_nationkey LEFT JOIN rc ON rc.region = n_regionkey WHERE nc.cost IS NOT NULL OR rc.cost IS NOT NULL),
   mc AS (SELECT supplier, component, avg(component_score) AS component_score FROM (SELECT * FROM pc UNION ALL SELECT * FROM hc UNION ALL SELECT * FROM rg) GROUP BY 1, 2),
@@ -81,7 +81,7 @@ def m03(t):
     housing = a.score_metrics(housing.unpivot(["supplier"], ["rent", "fee"], "metric_key", "metric_value"), HOUSING_RULES)
     nations = t.nation.select(F.col("n_nationkey").alias("nation"), F.col("n_regionkey").alias("region"))
     cost = F.max(F.round(F.col("c_acctbal") * 100).cast("bigint")) / F.lit(100.0)
-    by_nation = t.customer.filter("c_acctbal > 9900").groupBy(F.col("c_nationkey").alias("nation")).agg(cost.alias("metric_value"))
+    by_nation = t.customer.groupBy(F.col("c_nationkey").alias("nation")).agg(cost.alias("metric_value"))
     by_region = by_nation.join(nations, "nation").groupBy("region").agg(F.max("metric_value").alias("metric_value"))
     located = t.supplier.select(F.col("s_suppkey").alias("supplier"), F.col("s_nationkey").alias("nation")).join(nations, "nation")
     region = j.with_fallback(located, by_nation, by_region, "nation", "region", "metric_value").filter("matched_by <> 'none'")
@@ -313,13 +313,13 @@ def m11(t):
 
 @query(
     "m12_identity_bridge",
-    """WITH l AS (SELECT p_brand || '-' || p_size AS local_code, p_name, row_number() OVER (PARTITION BY p_brand, p_size ORDER BY length(p_name) DESC, p_name) AS rn FROM part WHERE p_type = 'ECONOMY'),
-       f AS (SELECT p_name, count(*) AS n, min(p_partkey) AS code FROM part WHERE p_type = 'PROMO' AND p_size > 40 GROUP BY 1)
+    """WITH l AS (SELECT p_brand || '-' || p_size AS local_code, p_name, row_number() OVER (PARTITION BY p_brand, p_size ORDER BY length(p_name) DESC, p_name) AS rn FROM part WHERE p_partkey % 2 = 0),
+       f AS (SELECT p_name, count(*) AS n, min(p_partkey) AS code FROM part WHERE p_partkey % 2 = 1 GROUP BY 1)
        SELECT local_code, p_name, CASE WHEN local_code LIKE '%-1' THEN -1 WHEN n = 1 THEN code END AS national_code, CASE WHEN local_code LIKE '%-1' THEN 'reviewed' WHEN n IS NULL THEN 'no_name_match' WHEN n > 1 THEN 'ambiguous_name' ELSE 'unique_name' END AS match_reason FROM l LEFT JOIN f USING (p_name) WHERE rn = 1""",
 )
 def m12(t):
-    local = m.canonical_names(t.part.filter("p_type = 'ECONOMY'").select(F.concat_ws("-", "p_brand", "p_size").alias("local_code"), "p_name"), "local_code", "p_name")
-    profiles = t.part.filter("p_type = 'PROMO' AND p_size > 40").select("p_name", F.col("p_partkey").alias("national_code"))
+    local = m.canonical_names(t.part.filter("p_partkey % 2 = 0").select(F.concat_ws("-", "p_brand", "p_size").alias("local_code"), "p_name"), "local_code", "p_name")
+    profiles = t.part.filter("p_partkey % 2 = 1").select("p_name", F.col("p_partkey").alias("national_code"))
     reviewed = local.filter(F.col("local_code").endswith("-1")).select("local_code", F.lit(-1).cast("bigint").alias("national_code"))
     return j.unique_match(local, reviewed, profiles, "local_code", ["p_name"], "national_code")
 
@@ -463,15 +463,15 @@ def m21(t):
 
 @query(
     "m22_target_cities",
-    """WITH s AS (SELECT n_name AS city, n_regionkey AS region, count(*) AS plan_rows FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2), p AS (SELECT 'NATION_' || s_nationkey AS city, max(s_suppkey) AS code FROM supplier WHERE s_acctbal > 5000 GROUP BY 1),
-       g AS (SELECT n_regionkey AS region, max(s_suppkey) AS code FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_acctbal > 5000 GROUP BY 1)
+    """WITH s AS (SELECT n_name AS city, n_regionkey AS region, count(*) AS plan_rows FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2), p AS (SELECT 'NATION_' || s_nationkey AS city, max(s_suppkey) AS code FROM supplier GROUP BY 1),
+       g AS (SELECT n_regionkey AS region, max(s_suppkey) AS code FROM supplier JOIN nation ON n_nationkey = s_nationkey GROUP BY 1)
        SELECT row_number() OVER (ORDER BY plan_rows DESC, city) AS priority_rank, city, plan_rows, CASE WHEN p.code IS NOT NULL THEN p.code ELSE g.code END AS profile_code, CASE WHEN p.code IS NOT NULL THEN 'code' WHEN g.code IS NOT NULL THEN 'city' ELSE 'none' END AS matched_by FROM s LEFT JOIN p USING (city) LEFT JOIN g USING (region)""",
 )
 def m22(t):
     nations = t.nation.select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("city"), F.col("n_regionkey").alias("region"))
     people = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
     source = people.groupBy(F.col("c_nationkey").alias("nation")).agg(F.sum("n").alias("plan_rows")).join(nations, "nation").drop("nation")
-    profiles = t.supplier.filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("profile_code")).join(nations, "nation")
+    profiles = t.supplier.select(F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("profile_code")).join(nations, "nation")
     by_city = profiles.groupBy("city").agg(F.max("profile_code").alias("profile_code"))
     by_region = profiles.groupBy("region").agg(F.max("profile_code").alias("profile_code"))
     matched = j.with_fallback(source, by_city, by_region, "city", "region", "profile_code")
@@ -481,14 +481,14 @@ def m22(t):
 
 @query(
     "m23_geocode_plan",
-    """WITH l AS (SELECT p_partkey AS local_id, p_brand, p_size FROM part WHERE p_type = 'ECONOMY'), n AS (SELECT p_brand, p_size, count(*) AS n, min('N' || p_partkey) AS code FROM part WHERE p_type = 'PROMO' GROUP BY 1, 2),
+    """WITH l AS (SELECT p_partkey AS local_id, p_brand, p_size FROM part WHERE p_partkey % 2 = 0), n AS (SELECT p_brand, p_size, count(*) AS n, min('N' || p_partkey) AS code FROM part WHERE p_partkey % 2 = 1 GROUP BY 1, 2),
        m AS (SELECT local_id, p_brand, p_size, CASE WHEN n = 1 THEN code END AS code, CASE WHEN n IS NULL THEN 'no_name_match' WHEN n > 1 THEN 'ambiguous_name' ELSE 'unique_name' END AS reason FROM l LEFT JOIN n USING (p_brand, p_size)),
        d AS (SELECT code FROM m WHERE code IS NOT NULL GROUP BY 1 HAVING count(*) > 1)
        SELECT local_id, code AS national_code, CASE WHEN code IS NULL THEN 'blocked' ELSE 'ready' END AS status, CASE WHEN code IS NULL THEN reason ELSE '' END AS blocking_reason, p_brand || ' ' || p_size AS geocode_query, 'main' || CASE WHEN d.code IS NULL THEN '' ELSE '_' || substr(md5(local_id || '|' || p_brand), 1, 8) END AS campus_key FROM m LEFT JOIN d USING (code)""",
 )
 def m23(t):
-    local = t.part.filter("p_type = 'ECONOMY'").select(F.col("p_partkey").alias("local_id"), "p_brand", "p_size")
-    profiles = t.part.filter("p_type = 'PROMO'").select("p_brand", "p_size", F.concat(F.lit("N"), "p_partkey").alias("national_code"))
+    local = t.part.filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("local_id"), "p_brand", "p_size")
+    profiles = t.part.filter("p_partkey % 2 = 1").select("p_brand", "p_size", F.concat(F.lit("N"), "p_partkey").alias("national_code"))
     nothing = local.filter(F.lit(False)).select("local_id", F.lit("").alias("national_code"))
     matched = j.unique_match(local, nothing, profiles, "local_id", ["p_brand", "p_size"], "national_code").withColumn("campus_key", F.lit("main"))
     keyed = suffix_duplicate_keys(matched, ["national_code", "campus_key"], "campus_key", ["local_id", "p_brand"])
@@ -505,7 +505,7 @@ def m23(t):
 
 @query(
     "q13_geocode_readiness",
-    """WITH l AS (SELECT p_partkey AS local_id, p_brand, p_size FROM part WHERE p_type = 'ECONOMY'), n AS (SELECT p_brand, p_size, count(*) AS n FROM part WHERE p_type = 'PROMO' GROUP BY 1, 2)
+    """WITH l AS (SELECT p_partkey AS local_id, p_brand, p_size FROM part WHERE p_partkey % 2 = 0), n AS (SELECT p_brand, p_size, count(*) AS n FROM part WHERE p_partkey % 2 = 1 GROUP BY 1, 2)
        SELECT p_brand, count(*) AS total_rows, count(*) FILTER (WHERE n = 1) AS done_rows, count(*) - count(*) FILTER (WHERE n = 1) AS blocked_rows, CAST(0 AS BIGINT) AS failed_checks, true AS is_ready FROM l LEFT JOIN n USING (p_brand, p_size) GROUP BY 1""",
 )
 def q13_geocode(t):

@@ -258,12 +258,12 @@ def r07_unmatched(t):
     return r.unmatched_rows(by_code, t.customer.filter("c_mktsegment = 'BUILDING'"), ["c_name"]).select("c_custkey")
 
 
-CANDIDATES = """cand AS (SELECT o_custkey AS entity_code, 'order_value' AS metric_key, o_totalprice AS candidate_value, o_orderstatus, 'class of ' || year(o_orderdate) || '届' AS quote, o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 400000),
+CANDIDATES = """cand AS (SELECT o_custkey AS entity_code, 'order_value' AS metric_key, o_totalprice AS candidate_value, o_orderstatus, 'class of ' || year(o_orderdate) || '届' AS quote, o_orderkey FROM orders WHERE o_orderstatus = 'F'),
   checked AS (SELECT *, count(*) OVER (PARTITION BY entity_code) AS n, regexp_extract(quote, '(\\d{4})\\s*届', 1) <> '1998' AS wrong_year FROM cand)"""
 
 
 def approved_candidates(t):
-    rows = t.orders.filter("o_orderstatus = 'F' AND o_totalprice > 400000").select(
+    rows = t.orders.filter("o_orderstatus = 'F'").select(
         F.col("o_custkey").alias("entity_code"),
         F.lit("order_value").alias("metric_key"),
         F.col("o_totalprice").alias("candidate_value"),

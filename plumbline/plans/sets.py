@@ -61,13 +61,13 @@ def u03_override(t):
 
 @query(
     "u04_promote_by_name",
-    """WITH a AS (SELECT p_name, p_brand, p_size, p_partkey, row_number() OVER (PARTITION BY p_name, p_brand ORDER BY p_partkey DESC) AS rn FROM part WHERE p_type = 'PROMO' AND p_size > 40)
-       SELECT p_name, p_brand, p_size, p_partkey FROM part WHERE p_type = 'ECONOMY' AND p_name NOT IN (SELECT p_name FROM a) UNION ALL SELECT p_name, p_brand, p_size, p_partkey FROM a WHERE rn = 1""",
+    """WITH a AS (SELECT p_name, p_brand, p_size, p_partkey, row_number() OVER (PARTITION BY p_name, p_brand ORDER BY p_partkey DESC) AS rn FROM part WHERE p_partkey % 2 = 1)
+       SELECT p_name, p_brand, p_size, p_partkey FROM part WHERE p_partkey % 2 = 0 AND p_name NOT IN (SELECT p_name FROM a) UNION ALL SELECT p_name, p_brand, p_size, p_partkey FROM a WHERE rn = 1""",
 )
 def u04(t):
     columns = ["p_name", "p_brand", "p_size", "p_partkey"]
-    existing = t.part.filter("p_type = 'ECONOMY'").select(*columns)
-    approved = t.part.filter("p_type = 'PROMO' AND p_size > 40").select(*columns)
+    existing = t.part.filter("p_partkey % 2 = 0").select(*columns)
+    approved = t.part.filter("p_partkey % 2 = 1").select(*columns)
     return u.promote(existing, approved, "p_name", ["p_name", "p_brand"], ["p_partkey"])
 
 
