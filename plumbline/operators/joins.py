@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.scoring import EARTH_RADIUS_KM, haversine_km
 from plumbline.rules import first_match
+from plumbline.session import cut_lineage
 
 
 def last_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -64,6 +65,17 @@ def rekey_candidates(
     return package_only.join(groups, list(match), "inner")
 
 
+def candidate_rows(package_only: DataFrame, core_only: DataFrame, match: Sequence[str], variant: Sequence[str]) -> DataFrame:
+    """The candidates of re-key tasks, once per match group: its core-only rows, numbered in the order of their variant.
+
+    Tasks refer to the list of their group by ``match``; a candidate differs from a task on the variant columns alone. The table
+    has one row per candidate, however many tasks share the group.
+    """
+    wanted = core_only.join(package_only.select(*match).distinct(), list(match), "left_semi")
+    numbered = F.row_number().over(Window.partitionBy(*match).orderBy(*variant))
+    return wanted.select(*match, *variant, numbered.alias("candidate_no"))
+
+
 def union_of_keys(facts: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
     """Grouped facts side by side for every key any of them has.
 
@@ -75,15 +87,34 @@ def union_of_keys(facts: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
     return stacked.groupBy(*key).agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def nearest_in_group(
-    left: DataFrame, right: DataFrame, group: Sequence[str], left_id: str, radius_km: float
-) -> DataFrame:
-    """Smallest great-circle distance to a right point of the same group, if within the radius.
+#: Reach of the first search for nearest points, how much farther each next one looks, and half the way around the earth.
+FIRST_KM, WIDER, FARTHEST_KM = 250.0, 4.0, 20_040.0
 
-    Points are put into cubes of the unit sphere whose edge is the radius; a left point looks
-    only into the 27 cubes around it. Equal right points are merged first.
+
+def nearest_in_group(left: DataFrame, right: DataFrame, group: Sequence[str], left_id: str, first_km: float = FIRST_KM) -> DataFrame:
+    """Smallest great-circle distance to a right point of the same group, however far; no row where the group has no point.
+
+    Points are put into cubes of the unit sphere whose edge is the reach; a left point looks only into the 27 cubes around it.
+    Rows that find nothing look again with a wider reach, so dense cells are searched with the smallest cubes and only lonely
+    points look far. Equal points are merged first. Left points far from all points of a large group compare with most of it.
     """
-    edge = radius_km / EARTH_RADIUS_KM
+    points = cut_lineage(right.select(*group, "latitude", "longitude").dropna().distinct(), "points")
+    places = cut_lineage(left.select(*group, left_id, "latitude", "longitude").dropna().join(points.select(*group).distinct(), list(group), "left_semi"), "places")
+    reach, found = first_km, None
+    while True:
+        answered = cut_lineage(_nearest_within(places, points, group, left_id, min(reach, FARTHEST_KM)), "nearest")
+        found = answered if found is None else found.unionByName(answered)
+        if reach >= FARTHEST_KM:
+            return found
+        places = cut_lineage(places.join(answered.select(*group, left_id), [*group, left_id], "left_anti"), "places")
+        if places.isEmpty():
+            return found
+        reach *= WIDER
+
+
+def _nearest_within(left: DataFrame, right: DataFrame, group: Sequence[str], left_id: str, reach: float) -> DataFrame:
+    """Smallest distance of left points to right points that are within reach."""
+    edge = reach / EARTH_RADIUS_KM
 
     def cell(df: DataFrame) -> DataFrame:
         lat, lon = F.radians("latitude"), F.radians("longitude")
@@ -95,19 +126,13 @@ def nearest_in_group(
         )
 
     step = F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)])
-    around = cell(left.select(*group, left_id, "latitude", "longitude"))
+    around = cell(left)
     for axis in ("cx", "cy", "cz"):
         around = around.withColumn("step", F.explode(step)).withColumn(axis, F.col(axis) + F.col("step")).drop("step")
-    points = cell(right.select(*group, "latitude", "longitude").distinct())
-    points = points.withColumnRenamed("latitude", "lat2").withColumnRenamed("longitude", "lon2")
+    points = cell(right).withColumnRenamed("latitude", "lat2").withColumnRenamed("longitude", "lon2")
     km = haversine_km(F.col("latitude"), F.col("longitude"), F.col("lat2"), F.col("lon2"))
-    return (
-        around.join(points, [*group, "cx", "cy", "cz"])
-        .withColumn("km", km)
-        .filter(F.col("km") <= radius_km)
-        .groupBy(*group, left_id)
-        .agg(F.min("km").alias("nearest_km"))
-    )
+    pairs = around.join(points, [*group, "cx", "cy", "cz"]).withColumn("km", km).filter(F.col("km") <= reach)
+    return pairs.groupBy(*group, left_id).agg(F.min("km").alias("nearest_km"))
 
 
 def with_fallback(rows: DataFrame, by_code: DataFrame, by_city: DataFrame, code: str, city: str, value: str) -> DataFrame:

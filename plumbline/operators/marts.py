@@ -40,9 +40,9 @@ def career_scores(signals: DataFrame, group: Sequence[str], order: Sequence[str]
 
 
 def proximity_score(nearest_km: Column, max_km: float, zone_count: Column, fallback: float) -> Column:
-    """Closer is better; no zone gives null, zones without a place inside the range give 0."""
+    """Closer is better, 0 from max_km on; no zone gives null, zones without usable coordinates the fallback."""
     near = clip((F.lit(max_km) - nearest_km) / F.lit(max_km) * 100.0)
-    return F.when(zone_count.isNull(), None).when(zone_count == 0, F.lit(fallback)).otherwise(F.coalesce(near, F.lit(0.0)))
+    return F.when(F.coalesce(zone_count, F.lit(0)) > 0, F.coalesce(near, F.lit(fallback)))
 
 
 def weighted_overall(components: Mapping[str, float]) -> Column:

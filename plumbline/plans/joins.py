@@ -86,6 +86,18 @@ def j05(t):
     )
 
 
+@query(
+    "j05_candidates",
+    f"""WITH {base.SIDES} SELECT ship_year, batch, supplier, slot, CAST(row_number() OVER (PARTITION BY ship_year, batch, supplier ORDER BY slot) AS INTEGER) AS candidate_no
+        FROM core_only c WHERE EXISTS (SELECT 1 FROM package_only p WHERE p.ship_year = c.ship_year AND p.batch = c.batch AND p.supplier = c.supplier)""",
+)
+def j05_candidates(t):
+    sides = j.two_sided(base.package(t), base.core(t), base.KEY)
+    package_only = sides.filter("side = 'package_only'").select(*base.KEY)
+    core_only = j.in_scope(sides.filter("side = 'core_only'").select(*base.KEY), base.package(t), base.MATCH)
+    return j.candidate_rows(package_only, core_only, base.MATCH, base.VARIANT)
+
+
 @query(
     "j06_union_of_keys",
     """SELECT k AS entity, CAST(sum(a) AS BIGINT) AS order_count, CAST(sum(b) AS BIGINT) AS event_count, CAST(sum(c) AS BIGINT) AS turn_count FROM (
@@ -103,9 +115,6 @@ def j06(t):
     )
 
 
-RADIUS_KM = 1500.0
-
-
 def places(df, key: str, nation: str, balance: str):
     """Points for the distance join; the tables hold no coordinates, so key and balance stand in."""
     return df.select(
@@ -122,12 +131,12 @@ def places(df, key: str, nation: str, balance: str):
         b AS (SELECT s_nationkey AS nation, s_acctbal / 200.0 AS lat2, CAST((s_suppkey * 7) % 360 - 180 AS DOUBLE) AS lon2 FROM supplier),
         d AS (SELECT nation, place_id, 2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(lat2 - lat1) / 2), 2)
               + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2)))) AS km FROM a JOIN b USING (nation))
-        SELECT nation, place_id, {fx('min(km)')} AS nearest_km FROM d WHERE km <= {RADIUS_KM} GROUP BY 1, 2""",
+        SELECT nation, place_id, {fx('min(km)')} AS nearest_km FROM d GROUP BY 1, 2""",
 )
 def j07(t):
     left = places(t.customer, "c_custkey", "c_nationkey", "c_acctbal")
     right = places(t.supplier, "s_suppkey", "s_nationkey", "s_acctbal")
-    near = j.nearest_in_group(left, right, ["nation"], "place_id", RADIUS_KM)
+    near = j.nearest_in_group(left, right, ["nation"], "place_id")
     return near.select("nation", "place_id", fixed6(F.col("nearest_km")).alias("nearest_km"))
 
 

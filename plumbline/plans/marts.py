@@ -15,7 +15,7 @@ from plumbline.operators.normalise import project_with_defaults, suffix_duplicat
 from plumbline.operators.sequence import dedupe, global_row_number, place_verdict
 from plumbline.plans import base
 from plumbline.plans.aggregates import COMPONENTS_SQL, POI_RULES, POI_SQL, SIGNAL_SQL, company_signals, line_pois, overall
-from plumbline.plans.joins import DISTRIBUTION, KEYWORDS_SQL, RADIUS_KM, benchmark_keywords, distribution, document_hits, padded_code, places
+from plumbline.plans.joins import DISTRIBUTION, KEYWORDS_SQL, benchmark_keywords, distribution, document_hits, padded_code, places
 from plumbline.plans.projections import YEAR_PATTERNS, wide_orders
 from plumbline.plans.registry import fx, query
 from plumbline.plans.scans import DISTRICTS, GEOCODED, district_tree, geocoded
@@ -126,7 +126,7 @@ def m04(t):
     research = t.orders.groupBy(F.col("o_custkey").alias("entity")).agg(F.sum(F.when(F.col("o_orderstatus") == "F", 2.0).otherwise(1.0)).alias("res_w"))
     employment = t.conversations.groupBy(F.col("conv_id").alias("entity")).agg(F.avg(F.length("text")).alias("emp_v"))
     facts = j.union_of_keys([recruiting, research, employment], ["entity"])
-    near = j.nearest_in_group(places(t.customer, "c_custkey", "c_nationkey", "c_acctbal"), places(t.supplier, "s_suppkey", "s_nationkey", "s_acctbal"), ["nation"], "place_id", RADIUS_KM)
+    near = j.nearest_in_group(places(t.customer, "c_custkey", "c_nationkey", "c_acctbal"), places(t.supplier, "s_suppkey", "s_nationkey", "s_acctbal"), ["nation"], "place_id")
     zones = t.supplier.groupBy(F.col("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("zones"))
     located = t.customer.select(F.col("c_custkey").alias("entity"), F.col("c_nationkey").alias("nation")).join(zones, "nation", "left")
     located = located.join(near.select(F.col("place_id").alias("entity"), "nearest_km"), "entity", "left")
@@ -138,7 +138,7 @@ def m04(t):
         sc.capped_share(F.col("res_w"), 30.0).alias("research"),
         sc.clip(F.col("emp_v") / 1000.0 * 100.0).alias("employment"),
         F.when(F.col("interns") > 0, sc.capped_share(F.col("interns"), 20.0)).alias("internship"),
-        m.proximity_score(F.col("nearest_km"), RADIUS_KM, F.col("zones"), 50.0).alias("zone_proximity"),
+        m.proximity_score(F.col("nearest_km"), 1500.0, F.col("zones"), 50.0).alias("zone_proximity"),
         F.when(has_rec, sc.capped_share(F.col("employers"), 5.0) * 0.6 + sc.capped_share(F.col("role_days"), 30.0) * 0.4).alias("resilience"),
     )
     strength = F.when(F.col("recruitment") >= 70, "recruitment_strong").when(F.col("recruitment") < 35, "recruitment_weak")

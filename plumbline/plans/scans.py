@@ -19,6 +19,18 @@ def s01(t):
     return f.scan_delimited(t.spark, path, "\t")
 
 
+@query(
+    "s01_quoted_cells",
+    """SELECT CAST(p_partkey AS VARCHAR) AS part, p_name || chr(10) || 'say "' || p_type || '", ' || p_brand AS note FROM part""",
+)
+def s01_quoted(t):
+    """Cells with line breaks, quotes and commas."""
+    path = new_folder(t.spark, "quoted")
+    note = F.concat("p_name", F.lit('\nsay "'), "p_type", F.lit('", '), "p_brand")
+    t.part.select(F.col("p_partkey").cast("string").alias("part"), note.alias("note")).write.option("header", True).option("escape", '"').csv(path)
+    return f.scan_delimited(t.spark, path, line_breaks=True)
+
+
 GEOCODE = "source_row struct<place_id:bigint,city:string>, response struct<geocodes:array<struct<location:string,level:string,city:string>>>, raw_response_hash string"
 
 
@@ -109,25 +121,28 @@ def s06(t):
     return rows.select("doc_id", "n_chars", folder.alias("candidate_folder"))
 
 
-@query("s07_package_sink", "SELECT 'y' || year(o_orderdate) AS package_id, 'pl_fact_orders' AS table_name, count(*) AS row_count, true AS has_files, true AS hashes_ok FROM orders GROUP BY 1")
+@query("s07_package_sink", "SELECT 'y' || year(o_orderdate) AS package_id, 'pl_fact_orders' AS table_name, count(*) AS row_count, 0 AS error_count, true AS has_files, true AS hashes_ok FROM orders GROUP BY 1")
 def s07(t):
     root = write_orders(t)
-    entries = pk.manifest(t.spark, root, ORDERS, "v1")
-    listed = entries.groupBy("package_id", "table_name").agg((F.count(F.lit(1)) > 0).alias("has_files"), F.bool_and(F.length("file_sha256") == 64).alias("hashes_ok"))
+    actual = pk.file_hashes(t.spark, root, ORDERS.name).select("file_path", F.col("file_sha256").alias("actual"))
+    entries = pk.read_manifest(t.spark, root, ORDERS.name).join(actual, "file_path", "left")
+    same = F.coalesce(F.col("actual") == F.col("file_sha256"), F.lit(False))
+    listed = entries.groupBy("package_id", "table_name").agg((F.count(F.lit(1)) > 0).alias("has_files"), F.bool_and(same).alias("hashes_ok"))
+    report = pk.read_quality(t.spark, root, ORDERS.name).select("package_id", F.col("error_count").cast("int").alias("error_count"))
     rows = t.spark.read.parquet(f"{root}/{ORDERS.name}").groupBy("package_id").agg(F.count(F.lit(1)).alias("row_count"))
-    return listed.join(rows, "package_id")
+    return listed.join(rows, "package_id").join(report, "package_id")
 
 
 @query(
     "s08_package_integrity",
-    """SELECT DISTINCT 'y' || y AS package_id, CASE y WHEN 1997 THEN 'hash_mismatch' WHEN 1998 THEN 'path_not_relative' WHEN 1999 THEN 'file_missing' WHEN 2000 THEN 'bad_table_name' ELSE 'field_missing' END AS violation
-       FROM (SELECT year(o_orderdate) AS y FROM orders) WHERE y >= 1997""",
+    """SELECT DISTINCT 'y' || y AS package_id, CASE y WHEN 1995 THEN 'quality_report_missing' WHEN 1996 THEN 'quality_errors' WHEN 1997 THEN 'hash_mismatch' WHEN 1998 THEN 'path_not_relative' WHEN 1999 THEN 'file_missing' WHEN 2000 THEN 'bad_table_name' ELSE 'field_missing' END AS violation
+       FROM (SELECT year(o_orderdate) AS y FROM orders) UNION SELECT DISTINCT 'y' || year(o_orderdate), 'file_not_declared' FROM orders WHERE year(o_orderdate) IN (1998, 1999)""",
 )
 def s08(t):
     root = write_orders(t)
     actual = pk.file_hashes(t.spark, root, ORDERS.name)
     year = F.substring("package_id", 2, 4).cast("int")
-    entries = pk.manifest(t.spark, root, ORDERS, "v1").withColumn("y", year)
+    entries = pk.read_manifest(t.spark, root, ORDERS.name).withColumn("y", year)
     damaged = entries.select(
         "package_id",
         F.when(F.col("y") == 2000, "Orders").otherwise(F.col("table_name")).alias("table_name"),
@@ -135,7 +150,9 @@ def s08(t):
         F.when(F.col("y") == 1998, F.concat(F.lit("/"), "file_path")).when(F.col("y") == 1999, F.concat("file_path", F.lit(".old"))).otherwise(F.col("file_path")).alias("file_path"),
         F.when(F.col("y") == 1997, F.reverse("file_sha256")).otherwise(F.col("file_sha256")).alias("file_sha256"),
     )
-    return pk.manifest_violations(damaged, actual)
+    quality = pk.read_quality(t.spark, root, ORDERS.name)
+    broken = F.when(F.col("package_id") == "y1996", 3).otherwise(F.col("error_count"))
+    return pk.manifest_violations(damaged, actual, quality.filter("package_id <> 'y1995'").withColumn("error_count", broken))
 
 
 CONFIDENCE = {"street": 0.9, "city": 0.3}

@@ -13,9 +13,13 @@ from plumbline.rules import first_match
 BYTE_ORDER_MARK = "﻿"
 
 
-def scan_delimited(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """CSV or TSV with a header row, all columns text; a byte-order mark before the first header is dropped."""
-    df = spark.read.option("header", True).option("sep", sep).option("multiLine", False).csv(path)
+def scan_delimited(spark: SparkSession, path: str, sep: str = ",", line_breaks: bool = False) -> DataFrame:
+    """CSV or TSV with a header row, all columns text; a byte-order mark before the first header is dropped.
+
+    Quotes inside a quoted cell are doubled. ``line_breaks`` is for files whose quoted cells hold line breaks: a file is then one
+    task, since no place inside it can be told for the start of a row.
+    """
+    df = spark.read.option("header", True).option("sep", sep).option("escape", '"').option("multiLine", line_breaks).csv(path)
     return df.toDF(*[c.replace(BYTE_ORDER_MARK, "").strip('"') for c in df.columns])
 
 

@@ -7,15 +7,46 @@ from pyspark.sql import functions as F
 
 from plumbline.contracts import TABLE_NAME, TableContract
 from plumbline.operators.review import violations
+from plumbline.rules import any_of
 
 
-def write_packages(df: DataFrame, contract: TableContract, root: str, partition: str, rows_per_file: int = 2_000_000) -> None:
-    """Contract columns as one Parquet folder per package.
+def quality_report(df: DataFrame, contract: TableContract, partition: str) -> DataFrame:
+    """Per package: rows, rows without a required value, keys that occur more than once, and the sum of both faults.
 
-    Rows are not gathered by package first: a package of any size is written by all its tasks.
+    Rows are counted per key first, so that a package with most of the rows is spread over its keys.
     """
+    missing = any_of(F.coalesce(F.col(c).cast("string"), F.lit("")) == "" for c in contract.required)
+    per_key = df.groupBy(F.col(partition).alias("package_id"), *contract.key).agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("missing"))
+    counts = per_key.groupBy("package_id").agg(F.sum("n").alias("row_count"), F.sum("missing").alias("missing_required"), F.count_if(F.col("n") > 1).alias("duplicate_keys"))
+    return counts.withColumn("error_count", F.col("missing_required") + F.col("duplicate_keys"))
+
+
+def write_packages(df: DataFrame, contract: TableContract, root: str, partition: str, version: str = "v1", rows_per_file: int = 2_000_000) -> None:
+    """Contract columns as one Parquet folder per package, with the quality report and the manifest beside them.
+
+    A table with faulty packages is refused before anything is written. Rows are not gathered by package first: a package of any
+    size is written by all its tasks. ``rows_per_file`` bounds the files, each of which is hashed as a whole.
+    """
+    spark = df.sparkSession
+    report_path = f"{root}/_quality/{contract.name}"
+    report = quality_report(df, contract, partition)
+    faulty = report.filter("error_count > 0").select("package_id").limit(10).collect()
+    if faulty:
+        raise ValueError(f"packages with quality errors: {sorted(row['package_id'] for row in faulty)}")
+    report.write.json(report_path)
     columns = [c for c in contract.columns if c in df.columns]
     df.select(*columns, partition).write.option("maxRecordsPerFile", rows_per_file).partitionBy(partition).mode("errorifexists").parquet(f"{root}/{contract.name}")
+    manifest(spark, root, contract, version).write.json(f"{root}/_manifest/{contract.name}")
+
+
+def read_manifest(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The manifest as it was written with the packages."""
+    return spark.read.schema("package_id string, table_name string, source_version string, file_path string, file_sha256 string").json(f"{root}/_manifest/{table}")
+
+
+def read_quality(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The quality report as it was written with the packages."""
+    return spark.read.schema("package_id string, row_count bigint, missing_required bigint, duplicate_keys bigint, error_count bigint").json(f"{root}/_quality/{table}")
 
 
 def file_hashes(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -34,10 +65,11 @@ def manifest(spark: SparkSession, root: str, contract: TableContract, version: s
     )
 
 
-def manifest_violations(entries: DataFrame, actual: DataFrame) -> DataFrame:
-    """Broken rules per manifest entry: fields, relative path, existing file, matching hash, table name."""
+def manifest_violations(entries: DataFrame, actual: DataFrame, quality: DataFrame) -> DataFrame:
+    """Broken rules per manifest entry: fields, relative path, existing file, matching hash, table name, quality report; and files
+    that no entry declares."""
     found = actual.select("file_path", F.col("file_sha256").alias("actual_sha256"))
-    joined = entries.join(found, "file_path", "left")
+    joined = entries.join(found, "file_path", "left").join(quality.select("package_id", "error_count"), "package_id", "left")
     exists = F.col("actual_sha256").isNotNull()
     checks = {
         "field_missing": F.coalesce("source_version", F.lit("")) == "",
@@ -45,8 +77,11 @@ def manifest_violations(entries: DataFrame, actual: DataFrame) -> DataFrame:
         "file_missing": ~exists & ~F.col("file_path").startswith("/"),
         "hash_mismatch": exists & (F.col("actual_sha256") != F.col("file_sha256")),
         "bad_table_name": ~F.col("table_name").rlike(TABLE_NAME.pattern),
+        "quality_report_missing": F.col("error_count").isNull(),
+        "quality_errors": F.col("error_count") > 0,
     }
-    return violations(joined, ["package_id"], checks).distinct()
+    undeclared = actual.join(entries.select("file_path"), "file_path", "left_anti").select("package_id", F.lit("file_not_declared").alias("violation"))
+    return violations(joined, ["package_id"], checks).unionByName(undeclared).distinct()
 
 
 def read_packages(spark: SparkSession, root: str, table: str, registry: DataFrame) -> DataFrame:

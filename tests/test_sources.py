@@ -1,5 +1,7 @@
 """Sources, packages and the streaming variants."""
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from plumbline.contracts import TableContract
@@ -59,3 +61,27 @@ def test_tree_of_any_depth(spark):
     assert sorted(tuple(r) for r in found.select("code", "province", "city", "depth").collect()) == [
         ("0", None, None, 0), ("1", "P", None, 1), ("2", "P", "C", 2), ("3", "P", "C", 3), ("4", "P", "C", 3),
     ]
+
+
+def test_faulty_packages_are_refused(spark, tmp_path):
+    from plumbline.contracts import TableContract
+    from plumbline.sources import packages as pk
+
+    contract = TableContract(name="pl_fact_visits", columns=("k", "v"), key=("k",), required=("v",))
+    make = lambda *r: spark.createDataFrame(list(r), "k int, v string, package_id string")
+    for i, bad in enumerate((make((1, "a", "p"), (2, "", "q")), make((1, "a", "p"), (1, "b", "p")), make((1, None, "p")))):
+        with pytest.raises(ValueError, match="quality errors"):
+            pk.write_packages(bad, contract, f"{tmp_path}/{i}", "package_id")
+        assert not (tmp_path / str(i)).exists()
+    root = f"{tmp_path}/good"
+    pk.write_packages(make((1, "a", "p"), (1, "b", "q")), contract, root, "package_id")
+    entries, quality = pk.read_manifest(spark, root, contract.name), pk.read_quality(spark, root, contract.name)
+    assert pk.manifest_violations(entries, pk.file_hashes(spark, root, contract.name), quality).collect() == []
+    assert sorted((r["package_id"], r["row_count"], r["error_count"]) for r in quality.collect()) == [("p", 1, 0), ("q", 1, 0)]
+
+
+def test_quoted_cells_with_line_breaks(spark, tmp_path):
+    from plumbline.sources.files import scan_delimited
+
+    (tmp_path / "a.csv").write_text('\ufeffa,b\n1,"x\ny ""z"", w"\n2,q\n', encoding="utf-8")
+    assert [tuple(r) for r in scan_delimited(spark, str(tmp_path), line_breaks=True).collect()] == [("1", 'x\ny "z", w'), ("2", "q")]
