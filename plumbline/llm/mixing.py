@@ -22,7 +22,7 @@ EPOCHS = 2
 BLOCK_WORDS = 256
 MAX_BLOCKS = 1 << 20
 #: Documents that are laid end to end in one window, in expectation, and slots that are ranked in one.
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 4000
 RANGE_SLOTS = 4096
 SEED = 20
 GOLDEN = (5**0.5 - 1) / 2
@@ -33,7 +33,7 @@ def sized(docs: DataFrame, *keep: str) -> DataFrame:
     """keep columns of docs, source, size (words of the text; null: 0), and the keys that shuffle documents."""
     size = F.coalesce(F.size(F.regexp_extract_all("text", F.lit(WORD), 1)), F.lit(0)).cast("bigint")
     own = [F.col(f"`{c}`") for c in dict.fromkeys([*keep, "doc_id", "source"])]
-    return docs.select(*own, size.alias("__size"), F.xxhash64(F.col("doc_id"), F.lit(SEED)).alias("__key"), F.xxhash64("text", "source").alias("__tie"))
+    return docs.select(*own, size.alias("__size"), F.xxhash64(F.col("doc_id"), F.lit(SEED), F.col("text")).alias("__key"), F.xxhash64("text", "source").alias("__tie"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, epochs: int = EPOCHS) -> DataFrame:
@@ -59,13 +59,15 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float
     return levelled.select("source", "source_size", "weight", share.alias("target"))
 
 
-def laid_out(docs: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of docs with source number, target, and the place of their first word in their source's stream; and the sources.
+def laid_out(docs: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of docs (doc_id, or the keep columns) with source number, target, and the place of their first word in their source's
+    stream: first without, then with the keep columns; and the sources.
 
-    Documents of a source lie in the order of a hash of their id. The place is the running sum of sizes within a bucket of that
-    order, behind all earlier buckets; so a source with most of the rows is many windows.
+    Documents of a source lie in the order of a hash. The place is the running sum of sizes within a bucket of that order, behind
+    all earlier buckets; so a source with most of the rows is many windows. Texts are read once for their sizes, and once more
+    only if columns besides doc_id and source are kept.
     """
-    narrow = cut_lineage(sized(docs).select("source", "__size", "__key"), "sizes")
+    narrow = cut_lineage(sized(docs), "sizes")
     total = narrow.agg(F.count("*").alias("n")).first()["n"]
     bucket = F.pmod(F.col("__key"), F.lit(max(1, -(-total // BUCKET_DOCS))))
     sources = targets(narrow.groupBy("source").agg(F.sum("__size").alias("source_size")))
@@ -77,11 +79,17 @@ def laid_out(docs: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]:
     offsets = offsets.join(sources, offsets["source"].eqNullSafe(sources["source"])).select(
         offsets["source"].alias("__source"), F.col("__bucket").alias("__of"), "__offset", "sid", "source_size", "target", "words"
     )
-    rows = sized(docs, *keep).withColumn("__bucket", bucket)
-    placed = rows.join(offsets, rows["source"].eqNullSafe(F.col("__source")) & (F.col("__bucket") == F.col("__of"))).drop("__source", "__of")
-    inside = Window.partitionBy("sid", "__bucket").orderBy("__key", "doc_id", "__size", "__tie").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("__offset") + F.coalesce(F.sum("__size").over(inside), F.lit(0))
-    return placed.withColumn("__first", first).drop("__key", "__tie", "__bucket", "__offset"), sources
+    offsets = cut_lineage(offsets, "offsets")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("__bucket", bucket)
+        found = rows.join(offsets, rows["source"].eqNullSafe(F.col("__source")) & (F.col("__bucket") == F.col("__of"))).drop("__source", "__of")
+        inside = Window.partitionBy("sid", "__bucket").orderBy("__key", "doc_id", "__size", "__tie").rowsBetween(Window.unboundedPreceding, -1)
+        first = F.col("__offset") + F.coalesce(F.sum("__size").over(inside), F.lit(0))
+        return found.withColumn("__first", first).drop("__key", "__tie", "__bucket", "__offset")
+
+    slim = placed(narrow)
+    return slim, slim if set(keep) <= {"doc_id", "source"} else placed(sized(docs, *keep)), sources
 
 
 def schedule(sources: DataFrame, block: int) -> DataFrame:
@@ -139,9 +147,9 @@ def mix(docs: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     The mix has a row for each part of a document in it: slot, sid, __first (which name the document), epoch, start, piece
     (number of words). Documents without words lie in no block.
     """
-    placed, sources = laid_out(docs, *keep)
+    slim, placed, sources = laid_out(docs, *keep)
     block = block_words(sources)
-    mixed = schedule(sources, block).join(pieces(placed, block), ["sid", "block"])
+    mixed = schedule(sources, block).join(pieces(slim, block), ["sid", "block"])
     return placed, mixed.select("slot", "sid", "__first", "epoch", "start", "piece"), sources
 
 
