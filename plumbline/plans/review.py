@@ -491,7 +491,7 @@ def r17_merge(t):
     results = t.orders.filter(F.year("o_orderdate") == 2001).select(F.col("o_custkey").alias("entity_code")).distinct()
     results = results.select("entity_code", F.lit("annual").alias("report_scope"), F.lit("downloaded").alias("status"))
     plan = report_sources(t).select("entity_code", "report_scope", F.lit("todo").alias("status"))
-    return r.merge_batch(plan, results, ["entity_code", "report_scope"], ["status"]).drop("is_changed", "changed_cells")
+    return r.merge_batch(plan, results, ["entity_code", "report_scope"], ["status"], unknown_keys="ignore").drop("is_changed", "changed_cells")
 
 
 @query(
