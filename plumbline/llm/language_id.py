@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.llm.batches import portions
+from plumbline.llm.names import free_names
 
 UNDETERMINED = "und"
 BLANK = 32
@@ -177,5 +178,6 @@ def language_filter(docs: DataFrame, min_score: float = 0.0, length: int = PROFI
     Rejected: null texts, texts without letters, and those below min_score. Repeated rows stay as often as they come.
     """
     model = learn(docs, length, sample_docs)
-    found = identify(docs, model, tuple(docs.columns), ("__lang_pred", "__score"))
-    return found.filter((F.col("__lang_pred") != UNDETERMINED) & (F.col("__score") >= min_score)).drop("__lang_pred", "__score")
+    lang, score = free_names(docs, "lang_pred", "score")
+    found = identify(docs, model, tuple(docs.columns), (lang, score))
+    return found.filter((F.col(lang) != UNDETERMINED) & (F.col(score) >= min_score)).drop(lang, score)

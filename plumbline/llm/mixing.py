@@ -172,7 +172,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     names = {c: f"__own_{i}" for i, c in enumerate(columns)}
     text, n_chars = names["text"], names.get("n_chars")
-    carried = docs.select("*", *(F.col(f"`{c}`").alias(names[c]) for c in columns))
+    carried = docs.select("doc_id", "text", "source", *(F.col(f"`{c}`").alias(names[c]) for c in columns))
     found = with_taken(carried, *names.values()).filter("taken > 0")
     copies = F.transform(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size"))), lambda k: F.least(F.col("size"), F.col("taken") - (k - 1) * F.col("size")))
     rows = found.withColumn("__words", F.explode(copies))

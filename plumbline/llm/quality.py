@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.names import free_names
 from plumbline.session import cut_lineage
 
 #: White space that parts words, and the characters that count as symbols.
@@ -94,10 +95,10 @@ RULES: dict[str, Rule] = {
 }
 
 
-def with_words(docs: DataFrame, *keep: str) -> DataFrame:
-    """keep columns of docs and `__words`. The generator makes one row of each, and holds the words back from being computed
+def with_words(docs: DataFrame, *keep: str, name: str = "__words") -> DataFrame:
+    """keep columns of docs and the words of the text. The generator makes one row of each, and holds the words back from being computed
     again in each expression that uses them."""
-    return docs.select(*(F.col(f"`{c}`") for c in keep), F.explode(F.array(word_array(F.col("text")))).alias("__words"))
+    return docs.select(*(F.col(f"`{c}`") for c in keep), F.explode(F.array(word_array(F.col("text")))).alias(name))
 
 
 def ordered_rules(docs: DataFrame, rules: Mapping[str, Rule], sample_docs: int = SAMPLE_DOCS) -> list[str]:
@@ -154,5 +155,6 @@ def quality_filter(docs: DataFrame, rules: Mapping[str, Rule] | None = None, sam
     """Rows of docs that pass the base rules and the cascade's; the columns of docs. Base rules take their place in the cascade."""
     rules = {**BASE_RULES, **(RULES if rules is None else rules)}
     order = ordered_rules(docs, rules, sample_docs)
-    worded = with_words(docs, *docs.columns)
-    return worded.filter(cascade(rules, order, measures(F.col("text"), F.col("__words")))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    (name,) = free_names(docs, "__words")
+    worded = with_words(docs, *docs.columns, name=name)
+    return worded.filter(cascade(rules, order, measures(F.col("text"), F.col(name)))).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.graph import connected_components
+from plumbline.llm.names import free_names
 from plumbline.session import cut_lineage
 
 SEED = 42
@@ -166,6 +167,7 @@ def drop_near_duplicates(docs: DataFrame, distance: int = DISTANCE, size: int =
     Rows without doc_id cannot be told apart and all stay.
     """
     found = near_duplicates(docs.filter(F.col("doc_id").isNotNull()), distance, size)
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()
-    same = docs.join(kept, docs["doc_id"].cast("bigint") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
+    (name,) = free_names(docs, "__kept")
+    kept = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
+    same = docs.join(kept, docs["doc_id"].cast("bigint") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
     return same.unionByName(docs.filter(F.col("doc_id").isNull()))

@@ -44,7 +44,7 @@ def test_predictions_match_a_plain_version(spark):
 
 def test_nulls_empty_texts_repeats_and_clashing_columns(spark):
     rows = [(1, "das ist gut", "de"), (1, "das ist gut", "de"), (None, "und nun", "de"), (3, None, "de"), (4, "", None), (5, "12 !? 3", "de"), (7, "gut", None)]
-    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as score", "2 as lang_pred", "3 as n", "4 as gram", "5 as place", "6 as share")
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as score", "2 as lang_pred", "2 as lang_pred_", "3 as n", "4 as gram", "5 as place", "6 as share")
     found = li.identify(df, li.learn(df)).collect()
     assert sorted((r["doc_id"] or 0, r["lang_pred"]) for r in found) == [(0, "de"), (1, "de"), (1, "de"), (3, "und"), (4, "und"), (5, "und"), (7, "de")]
     assert all(0 <= r["score"] <= 1 for r in found)

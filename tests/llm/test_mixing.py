@@ -33,7 +33,7 @@ def test_targets_and_properties(spark, monkeypatch):
     monkeypatch.setattr(mixing, "RANGE_SLOTS", 16)
     monkeypatch.setattr(mixing, "BLOCK_WORDS", 64)
     rows = corpus()
-    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as size", "2 as taken", "3 as sid", "4 as block", "5 as __size")
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as size", "2 as taken", "3 as sid", "4 as block", "5 as __size", "6 as __own_0")
     found = mixing.with_taken(df, "doc_id", "source").collect()
     sizes = {}
     for _, text, source, _ in rows:
