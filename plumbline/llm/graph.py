@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from plumbline.session import cut_lineage
 
 
+#: Links up to this number are handled in one task, since a shuffle costs more than the work; the result is the same.
+FEW_LINKS = 100_000
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Ties each node's larger neighbours to the smallest among itself and its neighbours. edges: src > dst."""
-    both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    ends = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    both = edges.select(F.explode(ends).alias("e")).select("e.src", "e.dst")
     least = both.groupBy("src").agg(F.least("src", F.min("dst")).alias("least"))
     return both.join(least, "src").filter("dst > src").select(F.col("dst").alias("src"), F.col("least").alias("dst"))
 
@@ -18,8 +23,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Ties each node and its smaller neighbours to the smallest of them. edges: src > dst."""
     least = edges.groupBy("src").agg(F.min("dst").alias("least"))
-    lower = edges.join(least, "src").filter("dst <> least").select(F.col("dst").alias("src"), F.col("least").alias("dst"))
-    return lower.unionByName(least.select("src", F.col("least").alias("dst")))
+    both = F.array(F.struct("src", F.col("least").alias("dst")), F.struct(F.col("dst").alias("src"), F.col("least").alias("dst")))
+    return edges.join(least, "src").select(F.explode(both).alias("e")).select("e.src", "e.dst").filter("src <> dst")
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -38,6 +43,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         if now == before or not now["n"]:
             break
         before = now
+        if now["n"] <= FEW_LINKS:
+            edges = edges.coalesce(1)  # one partition meets the needs of every join and grouping below
         edges = cut_lineage(_small_star(_large_star(edges).distinct()).distinct(), "links")
     roots = edges.select(F.col("dst").alias("src")).distinct()
     return edges.select("src", F.col("dst").alias("root")).unionByName(roots.select("src", F.col("src").alias("root")))
