@@ -442,10 +442,9 @@ def a29(t):
 
 @query(
     "a30_confidence_weighted_fit",
-    f"""WITH p AS (SELECT p_brand, p_size, CASE WHEN p_retailprice > 1000 THEN 1.0 WHEN p_retailprice > 950 THEN 0.5 ELSE 0.25 END::DOUBLE AS w FROM part WHERE p_type IN ('ECONOMY', 'PROMO'))
+    f"""WITH p AS (SELECT p_brand, p_size, CASE WHEN p_retailprice > 1000 THEN 1.0 WHEN p_retailprice > 950 THEN 0.5 ELSE 0.25 END::DOUBLE AS w FROM part)
         SELECT p_brand, {fx('sum(p_size * w) / sum(w)')} AS fit_score FROM p GROUP BY 1""",
 )
 def a30(t):
     confidence = first_match([(F.col("p_retailprice") > 1000, 1.0), (F.col("p_retailprice") > 950, 0.5)], 0.25)
-    allowed = t.part.filter(F.col("p_type").isin("ECONOMY", "PROMO"))
-    return allowed.groupBy("p_brand").agg(fixed6(sc.weighted_mean(F.col("p_size"), confidence)).alias("fit_score"))
+    return t.part.groupBy("p_brand").agg(fixed6(sc.weighted_mean(F.col("p_size"), confidence)).alias("fit_score"))

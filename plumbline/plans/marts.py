@@ -338,12 +338,12 @@ def m13(t):
 @query(
     "m14_bridge_promotion",
     """WITH a AS (SELECT p_name, p_type, p_size, p_partkey, row_number() OVER (PARTITION BY p_name, p_type ORDER BY p_partkey DESC) AS rn FROM part WHERE p_retailprice > 990 AND p_size > 45)
-       SELECT p_name, p_type, p_size, p_partkey FROM part WHERE p_retailprice <= 990 AND p_name NOT IN (SELECT p_name FROM a) UNION ALL SELECT p_name, p_type, p_size, p_partkey FROM a WHERE rn = 1""",
+       SELECT p_name, p_type, p_size, p_partkey FROM part WHERE NOT (p_retailprice > 990 AND p_size > 45) AND p_name NOT IN (SELECT p_name FROM a) UNION ALL SELECT p_name, p_type, p_size, p_partkey FROM a WHERE rn = 1""",
 )
 def m14(t):
     columns = ["p_name", "p_type", "p_size", "p_partkey"]
     approved = t.part.filter("p_retailprice > 990 AND p_size > 45").select(*columns)
-    return u.promote(t.part.filter("p_retailprice <= 990").select(*columns), approved, "p_name", ["p_name", "p_type"], ["p_partkey"])
+    return u.promote(t.part.filter("NOT (p_retailprice > 990 AND p_size > 45)").select(*columns), approved, "p_name", ["p_name", "p_type"], ["p_partkey"])
 
 
 @query("m15_region_profile", f"WITH {DISTRICTS} SELECT code, name, level, parent_code, province, city, count(c_custkey) AS people FROM districts LEFT JOIN customer ON code = 'S' || c_nationkey || '-' || c_mktsegment GROUP BY ALL")
