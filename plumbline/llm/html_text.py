@@ -25,7 +25,7 @@ RAW_WITH_ENTITIES = frozenset("textarea title".split())
 HEAD_ONLY = frozenset("base link meta noscript script style template title".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr "
-    "li main menu nav ol p pre search section summary table ul".split()
+    "li main menu nav ol p pre search section summary table ul xmp".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What an open element is closed by, and beyond which elements it is not looked for.
@@ -45,8 +45,18 @@ IMPLIED_ENDS = {
 TABLE_PARTS = frozenset("table thead tbody tfoot tr".split())
 IN_TABLE = frozenset("caption colgroup col thead tbody tfoot tr td th style script template form input".split())
 SCOPES = frozenset("table td th caption button template html".split())
-UNSEEN = frozenset("head script style template title datalist audio video canvas object svg math noembed noframes iframe xmp param rp".split())
-MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dir dl blockquote pre figure table fieldset hr".split())
+UNSEEN = frozenset("head script style template title datalist audio video canvas object noembed noframes iframe param rp".split())
+#: In drawings text elements show, but for these; in formulas all but annotations. HTML tags of BREAKS_OUT end either.
+UNSEEN_IN = {
+    "svg": frozenset("title desc metadata defs symbol clippath mask pattern marker script style".split()),
+    "math": frozenset(("annotation", "annotation-xml")),
+}
+BREAKS_OUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed foreignobject h1 h2 h3 h4 h5 h6 hr i img li listing menu nobr ol p pre ruby s small span "
+    "strong strike sub sup table tt u ul var".split()
+)
+MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dir dl blockquote pre figure table fieldset hr xmp".split())
+PREFORMATTED = frozenset("pre textarea plaintext xmp".split())
 BLOCK = CLOSES_P | frozenset("body html li tr legend optgroup option caption thead tbody tfoot textarea".split())
 LISTS = frozenset("ul ol menu dir".split())
 
@@ -60,7 +70,8 @@ NAME = re.compile(r"[a-zA-Z][^ \t\n\f\r/>]*")
 ATTRIBUTE = re.compile(r"[ \t\n\f\r/]*([^ \t\n\f\r/>][^ \t\n\f\r/>=]*)(?:[ \t\n\f\r]*=[ \t\n\f\r]*(\"[^\"]*\"|'[^']*'|[^ \t\n\f\r>]*))?")
 TAG_END = re.compile(r"[^>]*>")
 COMMENT_END = re.compile(r"--!?>")
-INVISIBLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.IGNORECASE)
+NOT_DISPLAYED = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|initial|hidden|collapse)\b", re.IGNORECASE)
 ENDS = {tag: re.compile(rf"</{tag}(?=[ \t\n\f\r/>])", re.IGNORECASE) for tag in RAW | RAW_WITH_ENTITIES}
 
 
@@ -224,11 +235,13 @@ def parse(source: str) -> Node:
         text_to(at)
         tag, at = name.group().lower(), name.end()
         attributes: dict[str, str] = {}
+        empty = False
         while source[at : at + 1] != ">":
             found = ATTRIBUTE.match(source, at)
             if not found:
                 rest = TAG_END.match(source, at)
                 at = rest.end() - 1 if rest else n
+                empty = bool(rest) and rest.group().endswith("/>")
                 break
             at = found.end()
             value = found[2] or ""
@@ -242,11 +255,15 @@ def parse(source: str) -> Node:
             tree.end(tag)
             continue
         tree.start(tag, attributes)
-        if tag in ENDS:
+        if empty and tag not in VOID and (tree.count["svg"] or tree.count["math"]):
+            tree.end(tag)  # in drawings and formulas a slash ends an element
+        elif tag in ENDS:
             end = ENDS[tag].search(source, at)
             stop = end.start() if end else n
             if tag in RAW_WITH_ENTITIES and stop > at:
                 tree.open[-1].children.append(html.unescape(source[at:stop]))
+            elif tag == "xmp" and stop > at:
+                tree.open[-1].children.append(source[at:stop])
             tree.end(tag)
             closed = TAG_END.match(source, stop) if end else None
             at = text_from = closed.end() if closed else n
@@ -263,7 +280,13 @@ def hidden(node: Node) -> bool:
     a = node.attributes
     if node.tag in UNSEEN or "hidden" in a or (node.tag == "dialog" and "open" not in a):
         return True
-    return "style" in a and bool(INVISIBLE.search(html.unescape(a["style"])))
+    return "style" in a and bool(NOT_DISPLAYED.search(html.unescape(a["style"])))
+
+
+def visible(node: Node, inherited: bool) -> bool:
+    """Whether text of an element shows, unless an element in it says otherwise."""
+    stated = VISIBILITY.findall(html.unescape(node.attributes["style"])) if "style" in node.attributes else ()
+    return stated[-1].lower() in ("visible", "initial") if stated else inherited
 
 
 class Sink:
@@ -369,11 +392,14 @@ def render(root: Node) -> str:
     """Visible text of a tree."""
     sinks, tables, lists = [Sink()], [], []
     pre = 0
-    todo: list[tuple[Node | str, bool]] = [(root, False)]
+    # nodes, whether they are left, whether text around them shows, and the drawing, its text or the formula that they are in
+    todo: list[tuple[Node | str, bool, bool, str]] = [(root, False, True, "")]
     while todo:
-        node, leaving = todo.pop()
+        node, leaving, shown, within = todo.pop()
         sink = sinks[-1]
         if isinstance(node, str):
+            if not shown or within == "svg":
+                continue
             sink.verbatim(node) if pre else sink.text(node)
             continue
         tag = node.tag
@@ -395,23 +421,34 @@ def render(root: Node) -> str:
                 if tag == "li":
                     sink.mark = ""
                 sink.block(2 if tag in MARGIN else 1)
-                pre -= tag in ("pre", "textarea", "plaintext")
+                pre -= tag in PREFORMATTED
             continue
-        if hidden(node):
+        if hidden(node) or tag in UNSEEN_IN.get(within.removesuffix(" text"), ()):
             continue
+        shown = visible(node, shown)
+        if tag in ("svg", "math"):
+            within = tag
+        elif within and tag in BREAKS_OUT:
+            within = ""
+        elif within == "svg" and tag == "text":
+            within = "svg text"
+            sink.block(1)
+            todo.append((node, True, shown, within))
+        elif within == "math" and tag in ("mtr", "mtd"):
+            sink.text(" ")
         if tag == "br":
             sink.line_break()
             continue
         if tag in VOID:
             if tag == "hr":
                 sink.block(2)
-            elif tag == "input" and node.attributes.get("type", "").lower() in ("submit", "button", "reset"):
+            elif tag == "input" and shown and node.attributes.get("type", "").lower() in ("submit", "button", "reset"):
                 sink.text(html.unescape(node.attributes.get("value", "")))
             continue
         children = node.children
         if tag == "details" and "open" not in node.attributes:
             children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
-        laid_out = tag in BLOCK or tag in LISTS or (tag in ("td", "th") and tables) or tag in ("pre", "textarea", "plaintext")
+        laid_out = tag in BLOCK or tag in LISTS or (tag in ("td", "th") and tables) or tag in PREFORMATTED
         if tag == "table":
             tables.append(Table())
         elif tag == "tr" and tables:
@@ -426,23 +463,23 @@ def render(root: Node) -> str:
             lists.append([tag, int(number[1]) if number else 1])
             sink.block(2 if not sink.indent else 1)
             sink.indent += 1
-        elif tag in BLOCK or tag in ("pre", "textarea", "plaintext"):
+        elif tag in BLOCK or tag in PREFORMATTED:
             sink.block(2 if tag in MARGIN else 1)
             if tag == "li":
                 value = re.match(r"\s*(-?\d{1,9})", node.attributes.get("value", ""))
                 if lists and lists[-1][0] == "ol":
                     lists[-1][1] = int(value[1]) if value else lists[-1][1]
-                    sink.mark = f"{lists[-1][1]}. "
+                    sink.mark = f"{lists[-1][1]}. " if shown else ""
                     lists[-1][1] += 1
                 else:
-                    sink.mark = "- "
-            if tag in ("pre", "textarea", "plaintext"):
+                    sink.mark = "- " if shown else ""
+            if tag in PREFORMATTED:
                 pre += 1
-                if children and isinstance(children[0], str):  # a line break right behind the tag does not count
+                if tag != "xmp" and children and isinstance(children[0], str):  # a line break right behind the tag does not count
                     children = [children[0].removeprefix("\r").removeprefix("\n"), *children[1:]]
         if laid_out:
-            todo.append((node, True))
-        todo.extend((c, False) for c in reversed(children))
+            todo.append((node, True, shown, within))
+        todo.extend((c, False, shown, within) for c in reversed(children))
     return sinks[0].result()
 
 
