@@ -49,6 +49,14 @@ NOTICES = {
     "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
     "This work is licensed under the Mozilla Public License, version 2.0.": "MPL-2.0",
 }
+#: Usual titles of the known texts; with one of them a text is known as well.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"),
+}
+NOTICES |= {f"{title}\n\n{LICENSES[name]}": name for name, titles in TITLES.items() for title in titles}
 SPDX = ("0BSD", "AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense", "Zlib")
 #: Spellings that count as one, on words of the canonical form.
 SPELLINGS = {
@@ -76,7 +84,27 @@ SPELLINGS = {
     "utilisation": "utilization",
     "whilst": "while",
 }
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+#: How licences go on where a wrapped line begins with "copyright"; what else follows it is a year, a sign or a holder.
+BODY_WORDS = (
+    "and as claim claims disclaimer disclaimers holder holders in information infringement interest interests is law laws licence licences license licenses "
+    "may notice notices of on or owner owners ownership permission permissions protection right rights shall statement statements to treaties treaty"
+).split()
+
+
+def _other_word(words: list[str], started: bool = False) -> str:
+    """Pattern of the beginning of a word that is none of these, in syntax without look-ahead."""
+    follow: dict[str, list[str]] = {}
+    for word in words:
+        follow.setdefault(word[:1], []).append(word[1:])
+    ended = follow.pop("", None)
+    letters = "".join(sorted(follow))
+    free = "".join(c for c in "abcdefghijklmnopqrstuvwxyz0123456789" if c not in letters)
+    parts = [rf"[{free}]|[^\x00-\x7f]" if ended or not started else rf"[^{letters}\n]|$"]
+    parts += [head + _other_word(rest, True) for head, rest in sorted(follow.items())]
+    return f"(?:{'|'.join(parts)})"
+
+
+COPYRIGHT_LINE = rf"(?m)^[^\p{{L}}\p{{N}}\n]*(?:copyright[^\p{{L}}\p{{N}}\n]+{_other_word(BODY_WORDS)}|\(c\)|©|all rights reserved)[^\n]*$"
 OTHER = r"[^\p{L}\p{N}]+"
 
 
