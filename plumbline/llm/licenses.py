@@ -58,6 +58,7 @@ TITLES = {
 }
 NOTICES |= {f"{title}\n\n{LICENSES[name]}": name for name, titles in TITLES.items() for title in titles}
 SPDX = ("0BSD", "AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense", "Zlib")
+SPDX += ("CC-BY-SA-4.0", "CC-BY-NC-4.0", *(f"{x}-{y}" for x in ("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0") for y in ("only", "or-later")))
 #: Spellings that count as one, on words of the canonical form.
 SPELLINGS = {
     "acknowledgement": "acknowledgment",

@@ -28,3 +28,9 @@ def test_body_lines_stay(spark):
     lines = [f"copyright {word} x" for word in licenses.BODY_WORDS]
     got = spark.createDataFrame([(x,) for x in lines], "t string").select(licenses.canonical(licenses.F.col("t")).alias("c")).collect()
     assert all(r["c"].startswith("copyright ") for r in got)
+
+
+def test_ids_of_only_and_or_later(spark):
+    ids = ["GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "CC-BY-SA-4.0"]
+    df = spark.createDataFrame([(i, f"x\n# SPDX-License-Identifier: {x}\ny") for i, x in enumerate(ids)], "doc_id long, text string")
+    assert [r["notices"] for r in licenses.scan(df).orderBy("doc_id").collect()] == ids
