@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, html_text, language_id, licenses, mixing, oracles, quality, simhash, token_counts, topk, warc
+from plumbline.llm import bpe, html_text, language_id, lexical, licenses, mixing, oracles, quality, simhash, token_counts, topk, warc
 from plumbline.tables import Tables
 
 #: Name of the module that says where the vocabulary files are; a query's only setting.
@@ -23,6 +23,7 @@ ORACLES: dict[str, str] = {
     "op4_license_scan": oracles.LICENSE_SCAN,
     "op5_quality_rules": oracles.QUALITY,
     "op7_exact_top_k": oracles.TOP_K,
+    "op12_lexical_search": oracles.LEXICAL,
 }
 
 
@@ -98,3 +99,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visible text of every page, laid out."""
     found = html_text.extract(Tables(spark, sf_dir).pages)
     return found.select("page_id", F.length("text").alias("n_chars"), "text")
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    tables = Tables(spark, sf_dir)
+    return lexical.search(tables.documents, tables.benchmark)
