@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, conversations, html_text, language_id, lexical, licenses, mixing, oracles, quality, simhash, token_counts, topk, warc
+from plumbline.llm import bpe, conversations, html_text, language_id, lexical, licenses, metric_join, mixing, oracles, quality, simhash, token_counts, topk, warc
 from plumbline.tables import Tables
 
 #: Name of the module that says where the vocabulary files are; a query's only setting.
@@ -112,3 +112,9 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults of every conversation after damage, its cheapest repair, and the digest of what that gives."""
     return conversations.repair(Tables(spark, sf_dir).conversations)
+
+
+@query
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles of every document, and its component of similar documents."""
+    return metric_join.similar_documents(Tables(spark, sf_dir).documents)
