@@ -1,10 +1,10 @@
 """N-gram Jaccard join in the metric space of shingle sets.
 
 One less the Jaccard similarity is a distance. Sets that share nothing are all at distance one, where no pivot tells them apart,
-so that the space is first cut at shingles: of two linked sets, the first ones that suffice meet in one. The smallest set of each
-such shingle is a pivot, and its region holds the sets of all shingles where it is the smallest; every linked pair lies in a
-region together. Distances from pivots are computed, those within reach link their sets to the pivot, and regions that hold one
-component only are done.
+so that the space is first cut at shingles: of two linked sets, the first ones that suffice meet in one. Sets that share fewer of
+theirs with any other than a link needs are alone. The smallest set at each shingle is a pivot, and its region holds the sets of
+all shingles where it is the smallest; every linked pair lies in a region together. Distances from pivots are computed, those
+within reach link their sets to the pivot, and regions that hold one component only are done.
 
 The others are joined recursively: new pivots are drawn among a region's sets, each set goes to its nearest pivot's Voronoi
 region, and as a guest to every other whose pivot is no more than twice the reach farther, by the triangle inequality: where x
@@ -19,11 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.graph import connected_components
-from plumbline.llm.shingle_sets import members, shingle_sets
+from plumbline.llm.shingle_sets import least_shared, members, shingle_sets
 from plumbline.session import cut_lineage
 
 #: Words in a shingle, and least similarity of linked sets.
@@ -139,14 +139,23 @@ def region_links(sets: list[np.ndarray], comps: np.ndarray, home: np.ndarray, li
     return whole.links
 
 
-def _regions(nodes: DataFrame) -> DataFrame:
-    """region (its pivot) and node, the pivot's own row included, for every shingle that several nodes have among their first."""
+def _met(nodes: DataFrame) -> DataFrame:
+    """h, node and pivot (the smallest node at h) for every shingle h that several nodes have among their first."""
     per = Window.partitionBy("h")
-    at = nodes.select(F.explode("first").alias("h"), "node").withColumn("region", F.min("node").over(per)).withColumn("other", F.max("node").over(per))
-    return at.filter("region <> other").select("region", "node").distinct()
+    at = nodes.select(F.explode("first").alias("h"), "node").withColumn("pivot", F.min("node").over(per)).withColumn("other", F.max("node").over(per))
+    return at.filter("pivot <> other").drop("other")
 
 
-def _common(a: str, b: str) -> F.Column:
+def _regions(nodes: DataFrame, link: tuple[int, int]) -> DataFrame:
+    """region (its pivot) and node, the pivot's own row included, of the nodes that share as many shingles as a link needs."""
+    shared = _met(nodes).groupBy(F.col("node").alias("of")).agg(F.count("*").alias("shared"))
+    likely = nodes.join(shared, F.col("node") == F.col("of")).filter(F.col("shared") >= least_shared(F.col("n"), link))
+    unshared = F.col("n") - F.ceil(F.col("n") * link[0] / link[1])
+    likely = cut_lineage(likely.select("node", F.slice("first", F.lit(1), (unshared + 1).cast("int")).alias("first")), "likely-sets")
+    return _met(likely).select(F.col("pivot").alias("region"), "node").distinct()
+
+
+def _common(a: str, b: str) -> Column:
     return F.size(F.array_intersect(a, b)).cast("bigint")
 
 
@@ -204,7 +213,7 @@ def _joined(rows: DataFrame, sets: DataFrame, link: tuple[int, int]) -> DataFram
 def components(docs: DataFrame, sets: DataFrame, words: int, link: tuple[int, int]) -> DataFrame:
     """node and root (one member of its component, the same for all) of each node that has a link; sets: as from shingle_sets."""
     nodes = sets.filter("n > 0").groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("first").alias("first"))
-    regions = cut_lineage(_regions(nodes), "regions")
+    regions = cut_lineage(_regions(nodes, link), "regions")
     wanted = sets.select("node", "row").join(regions.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
     held = cut_lineage(members(docs, wanted, words), "members")
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.batches import portions
@@ -23,6 +23,23 @@ def enough(n: int, link: tuple[int, int]) -> int:
     return n - -(-least * n // whole) + 1 if n else 0
 
 
+def told(n: int, link: tuple[int, int]) -> int:
+    """How many first shingles of a set are told: twice as many as are enough, so that linked sets have several in common."""
+    return min(n, 2 * enough(n, link))
+
+
+def least_shared(n: Column, link: tuple[int, int]) -> Column:
+    """How many of the told shingles of a set of n are told of another set, if any links.
+
+    Of two linked sets, the one whose told shingles end first shares all of them but those that the other lacks, and has no
+    fewer shingles than fit n.
+    """
+    least, whole = link
+    fits = F.ceil(n * least / whole)
+    some = F.floor(fits * (whole - least) / whole) + 1
+    return F.least(fits, 2 * some) - some + 1
+
+
 def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, in order, and counts of shingles that are frequent in a sample of documents. They decide about an order only."""
 
@@ -38,8 +55,8 @@ def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarr
 
 
 def shingle_sets(docs: DataFrame, words: int, link: tuple[int, int]) -> DataFrame:
-    """doc_id, row (a number of id and text), node (a number of the set), n (its size) and first (shingles that suffice, rare
-    ones first) of every row of docs."""
+    """doc_id, row (a number of id and text), node (a number of the set), n (its size) and first (its told shingles, rare ones
+    first) of every row of docs."""
     frequent, counts = frequent_shingles(docs, words)
 
     def first(found: np.ndarray) -> np.ndarray:
@@ -47,7 +64,7 @@ def shingle_sets(docs: DataFrame, words: int, link: tuple[int, int]) -> DataFram
         if len(frequent) and len(found):
             at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
             rank = np.where(frequent[at] == found, counts[at], 0)
-        return found[np.lexsort((found, rank))[: enough(len(found), link)]]
+        return found[np.lexsort((found, rank))[: told(len(found), link)]]
 
     def named(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in portions(rows, 2):
