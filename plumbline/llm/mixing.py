@@ -29,11 +29,16 @@ GOLDEN = (5**0.5 - 1) / 2
 WORD = r"([^\x20\x09-\x0D]+)"
 
 
+def row_keys() -> tuple[Column, Column]:
+    """Numbers of a document's id and text, by which documents are shuffled, and of its text and source."""
+    return F.xxhash64(F.col("doc_id"), F.lit(SEED), F.col("text")).alias("__key"), F.xxhash64("text", "source").alias("__tie")
+
+
 def sized(docs: DataFrame, *keep: str) -> DataFrame:
     """keep columns of docs, source, size (words of the text; null: 0), and the keys that shuffle documents."""
     size = F.coalesce(F.size(F.regexp_extract_all("text", F.lit(WORD), 1)), F.lit(0)).cast("bigint")
     own = [F.col(f"`{c}`") for c in dict.fromkeys([*keep, "doc_id", "source"])]
-    return docs.select(*own, size.alias("__size"), F.xxhash64(F.col("doc_id"), F.lit(SEED), F.col("text")).alias("__key"), F.xxhash64("text", "source").alias("__tie"))
+    return docs.select(*own, size.alias("__size"), *row_keys())
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, epochs: int = EPOCHS) -> DataFrame:
@@ -86,7 +91,7 @@ def laid_out(docs: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame, DataFra
         found = rows.join(offsets, rows["source"].eqNullSafe(F.col("__source")) & (F.col("__bucket") == F.col("__of"))).drop("__source", "__of")
         inside = Window.partitionBy("sid", "__bucket").orderBy("__key", "doc_id", "__size", "__tie").rowsBetween(Window.unboundedPreceding, -1)
         first = F.col("__offset") + F.coalesce(F.sum("__size").over(inside), F.lit(0))
-        return found.withColumn("__first", first).drop("__key", "__tie", "__bucket", "__offset")
+        return found.withColumn("__first", first).drop("__bucket", "__offset")
 
     slim = placed(narrow)
     return slim, slim if set(keep) <= {"doc_id", "source"} else placed(sized(docs, *keep)), sources
@@ -153,29 +158,42 @@ def mix(docs: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return placed, mixed.select("slot", "sid", "__first", "epoch", "start", "piece"), sources
 
 
+def _taken(docs: DataFrame, *keep: str) -> DataFrame:
+    """keep columns, size, source_size, target, taken, __key and __tie of every row of docs."""
+    placed, mixed, _ = mix(docs, *keep)
+    summed = mixed.groupBy("sid", "__first").agg(F.sum("piece").alias("got")).select(F.col("sid").alias("of"), F.col("__first").alias("at"), "got")
+    found = placed.join(summed, (F.col("sid") == F.col("of")) & (F.col("__first") == F.col("at")) & (F.col("__size") > 0), "left")
+    taken = F.coalesce("got", F.lit(0)).cast("bigint")
+    return found.select(*(F.col(f"`{c}`") for c in keep), F.col("__size").alias("size"), "source_size", "target", taken.alias("taken"), "__key", "__tie")
+
+
 def with_taken(docs: DataFrame, *keep: str) -> DataFrame:
     """keep columns of docs, size, source_size, target, taken (words that the mix takes); one row per row of docs.
 
     docs: doc_id, text, source. Null sources are one source, the last. Null and wordless texts have size 0 and nothing taken.
     Repeated rows are documents of their own. Two runs over the same rows give the same.
     """
-    placed, mixed, _ = mix(docs, *keep)
-    summed = mixed.groupBy("sid", "__first").agg(F.sum("piece").alias("got")).select(F.col("sid").alias("of"), F.col("__first").alias("at"), "got")
-    found = placed.join(summed, (F.col("sid") == F.col("of")) & (F.col("__first") == F.col("at")) & (F.col("__size") > 0), "left")
-    taken = F.coalesce("got", F.lit(0)).cast("bigint")
-    return found.select(*(F.col(f"`{c}`") for c in keep), F.col("__size").alias("size"), "source_size", "target", taken.alias("taken"))
+    return _taken(docs, *keep).drop("__key", "__tie")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents, columns as in docs: each as often as the mix takes it whole, and once more cut off where it takes
-    only the first words. Documents with nothing taken are left out. n_chars, if there, follows the text."""
+    only the first words. Documents with nothing taken are left out. n_chars, if there, follows the text.
+
+    What is taken is worked out on rows without texts, which are joined to it once. Rows that repeat id, text and source are mixed
+    each for itself; what is taken of them carries the columns of the smallest one.
+    """
     columns = docs.columns
     names = {c: f"__own_{i}" for i, c in enumerate(columns)}
     text, n_chars = names["text"], names.get("n_chars")
-    carried = docs.select("doc_id", "text", "source", *(F.col(f"`{c}`").alias(names[c]) for c in columns))
-    found = with_taken(carried, *names.values()).filter("taken > 0")
+    key = ["__key", "__tie"]
+    found = cut_lineage(_taken(docs, "doc_id", "source").select(*key, "size", "taken"), "taken")
     copies = F.transform(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size"))), lambda k: F.least(F.col("size"), F.col("taken") - (k - 1) * F.col("size")))
-    rows = found.withColumn("__words", F.explode(copies))
+    parts = found.filter("taken > 0").select(*key, "size", F.explode(copies).alias("__words"))
+    several = found.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key)
+    own = docs.select(*row_keys(), *(F.col(f"`{c}`").alias(names[c]) for c in columns))
+    least = own.join(several, key, "left_semi").groupBy(*key).agg(F.min(F.struct(*names.values())).alias("least")).select(*key, "least.*")
+    rows = own.join(several, key, "left_anti").unionByName(least).join(parts, key)
     head = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), 1), F.lit(1), F.col("__words").cast("int")), "")
     rows = rows.withColumn(text, F.when(F.col("__words") < F.col("size"), head).otherwise(F.col(text)))
     if n_chars:

@@ -11,12 +11,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.batches import portions
-from plumbline.llm.near_copies import name_of, shingles
+from plumbline.llm.names import row_number_of
 
+SEED = 42
 #: Expected documents in the sample that tells frequent shingles, from how many of them on one is frequent, and how many are told.
 SAMPLE_DOCS, FREQUENT, MOST_FREQUENT = 4000, 3, 100_000
 
 
+def shingles(text: str | None, size: int) -> np.ndarray:
+    """Hashes of a text's different shingles, in order; A-Z are lower-cased, words are runs without ASCII white
+    space; fewer words than a shingle has are one."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.empty(0, np.int64)
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    n = max(1, len(words) - size + 1)
+    starts = np.concatenate(([0], ends[: n - 1])).tolist()
+    stops = (ends[len(words) - n :] - 1).tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)], np.uint64).view(np.int64))
+
+
+def name_of(found: np.ndarray) -> int:
+    """Number that stands for a set of shingles."""
+    return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)).view(np.int64))
+
+
 def enough(n: int, link: tuple[int, int]) -> int:
     """How many shingles of a set of n, in any order of all shingles, have one in common with as many of every linked set."""
     least, whole = link
@@ -72,7 +93,7 @@ def shingle_sets(docs: DataFrame, words: int, link: tuple[int, int]) -> DataFram
             columns = [pa.array([name_of(x) for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64())]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns, pa.array([first(x) for x in found], pa.list_(pa.int64()))], ["doc_id", "row", "node", "n", "first"])
 
-    own = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("doc_id", "text").alias("row"), "text")
+    own = docs.select(F.col("doc_id").cast("bigint"), row_number_of().alias("row"), "text")
     return own.mapInArrow(named, "doc_id bigint, row bigint, node bigint, n bigint, first array<bigint>")
 
 
@@ -84,5 +105,5 @@ def members(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             found = [(node, x) for node, text in zip(part.column(0).to_pylist(), part.column(1), strict=True) if name_of(x := shingles(text.as_py(), words)) == node]
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.list_(pa.int64()))], ["node", "hashes"])
 
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text").join(wanted, "row").select("node", "text")
+    texts = docs.select(row_number_of().alias("row"), "text").join(wanted, "row").select("node", "text")
     return texts.mapInArrow(hashed, "node bigint, hashes array<bigint>").dropDuplicates(["node"])

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.graph import connected_components
-from plumbline.llm.names import free_names
+from plumbline.llm.names import keep_rows, row_number_of
 from plumbline.session import cut_lineage
 
 SEED = 42
@@ -60,14 +60,15 @@ def fingerprint(text: str | None, size: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fp (signed long) of every row of docs. Null text: 0."""
+    """doc_id, row (a number of id and text) and fp (signed long) of every row of docs. Null text: 0."""
 
     def hashed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            found = [fingerprint(x.as_py(), size) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
+            found = [fingerprint(x.as_py(), size) for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int64())], ["doc_id", "row", "fp"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(hashed, "doc_id bigint, fp bigint")
+    own = docs.select(F.col("doc_id").cast("bigint"), row_number_of().alias("row"), "text")
+    return own.mapInArrow(hashed, "doc_id bigint, row bigint, fp bigint")
 
 
 def segment_bounds(distance: int) -> list[tuple[int, int]]:
@@ -140,6 +141,13 @@ def _mixed(members: DataFrame) -> DataFrame:
     return counted.withColumn("largest", F.max(F.struct("n", "comp")).over(per)).select("variant", "fp", "comp", F.col("largest.comp").alias("largest"))
 
 
+def _rooted(rows: DataFrame, distance: int) -> DataFrame:
+    """fp, its smallest doc_id and row, and root; rows: as from fingerprints."""
+    nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "row")).alias("first")), "distinct-fingerprints")
+    linked = components(nodes, distance)
+    return nodes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, size: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, fp, component_id (smallest doc_id that links reach, its own included), one row per row of docs.
 
@@ -147,9 +155,7 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, size: int = SHING
     A null doc_id counts as none: a component without any other id has component_id null. Repeated rows come back repeated.
     """
     rows = cut_lineage(fingerprints(docs, size), "fingerprints")
-    nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    linked = components(nodes, distance)
-    rooted = nodes.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = _rooted(rows, distance)
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     # a table of its own: both sides of the last join are then plain shuffles, which Spark splits where one fingerprint is frequent
     named = cut_lineage(rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id"), "components")
@@ -162,12 +168,14 @@ def hexadecimal(fp) -> F.Column:
 
 
 def drop_near_duplicates(docs: DataFrame, distance: int = DISTANCE, size: int = SHINGLE_WORDS) -> DataFrame:
-    """One row of each component: that with its smallest doc_id, and of rows that repeat this id one. Columns as in docs.
+    """One row of each component: that with its smallest doc_id. Columns as in docs.
 
-    Rows without doc_id cannot be told apart and all stay.
+    Where one id has several texts, each text is a document of its own, and of a component's texts with the smallest id one
+    stays; of rows that repeat its id and text, that with the smallest remaining columns. Rows without doc_id cannot be told
+    apart and all stay.
     """
-    found = near_duplicates(docs.filter(F.col("doc_id").isNotNull()), distance, size)
-    (name,) = free_names(docs, "__kept")
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
-    same = docs.join(kept, docs["doc_id"].cast("bigint") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
-    return same.unionByName(docs.filter(F.col("doc_id").isNull()))
+    named = docs.filter(F.col("doc_id").isNotNull())
+    rows = cut_lineage(fingerprints(named, size), "fingerprints")
+    kept = _rooted(rows, distance).groupBy("root").agg(F.min("first").alias("first")).select("first.row")
+    repeated = rows.groupBy("row").agg(F.count("*").alias("n")).filter("n > 1").select("row")
+    return keep_rows(named, kept, repeated).unionByName(docs.filter(F.col("doc_id").isNull()))

@@ -3,9 +3,7 @@
 import random
 
 import corpus_pipeline
-from plumbline.llm import near_copies
-
-from . import test_queries
+from plumbline.llm import near_copies, shingle_sets, simhash
 
 SCHEMA = "doc_id long, text string"
 
@@ -58,7 +56,7 @@ def test_planted_copies_match_a_plain_version(spark):
 
 def test_order_of_shingles_never_decides(spark, monkeypatch):
     rows = planted()
-    monkeypatch.setattr(near_copies, "SAMPLE_DOCS", 0)
+    monkeypatch.setattr(shingle_sets, "SAMPLE_DOCS", 0)
     found = near_copies.drop_near_copies(spark.createDataFrame(rows, SCHEMA))
     assert sorted(r["doc_id"] for r in found.collect()) == sorted(plain_survivors(rows))
 
@@ -94,12 +92,32 @@ def test_columns_repeats_and_missing_ids(spark):
     assert near_copies.drop_near_copies(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def test_pipeline_against_a_plain_version_of_this_stage(spark, monkeypatch):
-    """All stages as in test_queries, whose own plain version of this one links fingerprints of four-word shingles."""
-
-    def survivors(rows):
-        kept = set(plain_survivors([(r["doc_id"], r["text"]) for r in rows]))
-        return [r for r in rows if r["doc_id"] in kept]
-
-    monkeypatch.setattr(test_queries, "plain_survivors", survivors)
-    test_queries.test_pipeline_against_a_plain_version(spark)
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    text = {x: " ".join(f"{x}{i}" for i in range(30)) for x in "abcd"}
+    rows = [(1, text["a"], 1), (1, text["b"], 2), (2, text["b"], 3), (3, text["c"], 4), (3, text["c"], 2), (3, text["c"], 9), (0, text["d"], 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(4)
+    want = sorted([(1, text["a"], 1), (1, text["b"], 2), (3, text["c"], 2), (0, text["d"], 5)])
+    for drop in (near_copies.drop_near_copies, simhash.drop_near_duplicates):
+        assert sorted(tuple(r) for r in drop(df).collect()) == want
+
+
+def test_one_large_group_and_one_common_passage(spark):
+    """5000 near copies of one text, and a passage that 3000 other texts share."""
+    pick = random.Random(10)
+    base, passage = [f"b{i}" for i in range(60)], " ".join(f"p{i}" for i in range(50))
+    rows = [(i, " ".join(f"e{pick.randrange(10**8)}" if pick.random() < 0.02 else w for w in base)) for i in range(5000)]
+    rows += [(i, " ".join(f"w{pick.randrange(10**8)}" for _ in range(40)) + " " + passage) for i in range(5000, 8000)]
+    kept = {r["doc_id"] for r in near_copies.drop_near_copies(spark.createDataFrame(rows, SCHEMA).repartition(8)).collect()}
+    assert set(range(5000, 8000)) <= kept
+    lone = sorted(kept & set(range(5000)))
+    sets = {i: {tuple(t[j : j + 5]) for j in range(56)} for i, text in rows[:5000] for t in [text.split()]}
+    similar = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    assert lone[0] == 0 or not any(similar(sets[lone[0]], sets[i]) for i in range(lone[0]))
+    for i in lone[1:]:  # what stays links with no smaller id
+        assert not any(similar(sets[i], sets[j]) for j in range(i))
+
+
+def test_a_very_long_text(spark):
+    words = [f"w{i}" for i in range(200_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:190_000])), (3, " ".join(words[:100_000])), (4, "x " * 500_000), (5, "x " * 400_000)]
+    assert sorted(r["doc_id"] for r in near_copies.drop_near_copies(spark.createDataFrame(rows, SCHEMA)).collect()) == [1, 3, 4]

@@ -13,13 +13,13 @@ from check_queries import compare, duck
 from plumbline.llm.queries import ORACLES, QUERIES, vocabulary_file
 from plumbline.tables import Tables
 
-from . import test_language_id, test_mixing, test_quality, test_simhash
+from . import test_language_id, test_mixing, test_near_copies, test_quality
 
 FOLDER = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
@@ -65,13 +65,9 @@ def plain_languages(rows, length=300):
 
 
 def plain_survivors(rows):
-    """The document with the smallest id of each group of near-duplicates."""
-    prints = {r["doc_id"]: test_simhash.plain_fingerprint(r["text"]) for r in rows}
-    group = {v: i for i, g in enumerate(test_simhash.plain_components(set(prints.values()), 4)) for v in g}
-    first = {}
-    for doc_id, v in prints.items():
-        first[group[v]] = min(first.get(group[v], doc_id), doc_id)
-    return [r for r in rows if r["doc_id"] in set(first.values())]
+    """The document with the smallest id of each group of near copies."""
+    kept = set(test_near_copies.plain_survivors([(r["doc_id"], r["text"]) for r in rows]))
+    return [r for r in rows if r["doc_id"] in kept]
 
 
 def test_pipeline_against_a_plain_version(spark):
