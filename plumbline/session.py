@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,4 +60,28 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A folder name nobody used before, inside the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for listed in _LISTENING:
+        listed.append(folder)
+    return folder
+
+
+_LISTENING: list[list[str]] = []
+
+
+@contextmanager
+def folders_made() -> Iterator[list[str]]:
+    """Names of the folders that are made inside the block, for a later remove_folders."""
+    made: list[str] = []
+    _LISTENING.append(made)
+    try:
+        yield made
+    finally:
+        _LISTENING.remove(made)
+
+
+def remove_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Removes folders, in whatever store they are; those that are gone do not matter."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
