@@ -34,6 +34,8 @@ MAJOR_NOTE = r"（注：(.+?)）"
 DEGREE_SUFFIX = "学士"
 SECTION_LINE = r"^(.*?)（.*）$"
 DISTRIBUTION_ROW = r"(\d{2,3})\s+([\d,]+)\s+([\d,]+)"
+DISTRIBUTION_NOISE_STARTS = ("页码", "表中的成绩")
+DISTRIBUTION_NOISE = ("辽宁省高中等教育招生考试委员会办公室", "成绩统计表")
 OCCUPATION_CODE = r"^\d{1,2}(-\d{1,2}){1,3}$"
 
 # fixed value: a major's code in running text
@@ -70,5 +72,13 @@ SCOPE_RULES = (
 # fixed values: characters that text recognition confuses with digits
 DIGIT_LOOKALIKES = ("OoоIl", "00011")
 
-# fixed values: file endings of attachments
-FILE_ENDINGS = (".pdf", ".doc", ".docx", ".xls", ".xlsx", ".zip", ".rar", ".ofd")
+# fixed values: file endings of attachments, and of those that a viewer's address may name
+FILE_ENDINGS = (".pdf", ".ofd", ".doc", ".docx", ".zip")
+REPORT_ENDINGS = (".pdf", ".ofd", ".doc", ".docx")
+
+# fixed values: where pages name attachments besides their anchors
+VIEWER_PARAMETERS = ("fileUrl", "fileurl")
+VIEWER_CALL = r"(?i)showVsbpdfIframe\(\s*['\"]([^'\"]+\.pdf(?:\?[^'\"]*)?)['\"]"
+CLOUD_NAME = r'name=\\*"([^"\\]+)\\*"'
+CLOUD_ENTRY = "att_clouddisk"
+CLOUD_ADDRESSES = ("downPath", "playUrl")

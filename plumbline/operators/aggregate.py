@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.scoring import capped_share, range_score, weighted_mean
-from plumbline.rules import broadcast_rules, first_match, rule_frame
+from plumbline.operators.sequence import carried, in_stretches
+from plumbline.rules import all_of, broadcast_rules, first_match, rule_frame
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -206,22 +207,30 @@ def distinct_text(c: str) -> Column:
 
 
 def gap_summary(df: DataFrame, group: Sequence[str], score: str, sample: int) -> DataFrame:
-    """Missing integers between the smallest and largest score of a group, largest first.
+    """Missing integers between the smallest and largest score of a group: how many, and the largest ones.
 
-    Scores are integers of a bounded scale, so a group holds at most that many distinct values.
+    Each score is set beside the one below it, whatever their distance; what is missing is the sum of distances, and the sample
+    comes from the highest gaps, of which no more than the sample's size are needed. Null scores are a score row without a gap.
     """
-    distinct = df.select(*group, score).distinct()
-    found = distinct.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("score_rows"), F.max(score).alias("max_score"), F.min(score).alias("min_score"), F.collect_set(score).alias("s")
+    distinct = in_stretches(df.select(*group, F.col(score).cast("bigint").alias("_score")).distinct(), group, "_score")
+    told = carried(distinct, group, "_score", F.col("_score"), "_below").withColumn("_gap", F.greatest(F.col("_score") - F.col("_below") - 1, F.lit(0)))
+    found = told.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("score_rows"), F.max("_score").alias("max_score"), F.min("_score").alias("min_score"), F.coalesce(F.sum("_gap"), F.lit(0)).alias("missing_count")
     )
-    missing = F.array_except(F.sequence("max_score", "min_score"), F.col("s"))
-    return found.select(
+    highest = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("_score")))
+    gaps = told.filter("_gap > 0").withColumn("_place", highest).filter(F.col("_place") <= sample)
+    listed = F.sequence(F.col("_score") - 1, F.greatest(F.col("_below") + 1, F.col("_score") - sample), F.lit(-1).cast("bigint"))
+    numbers = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_place", listed.alias("n")))), lambda x: x["n"]))
+    text = F.array_join(F.slice(numbers, 1, sample), ",")
+    samples = gaps.groupBy(*[F.col(c).alias(f"_{c}") for c in group]).agg(text.alias("missing_sample"))
+    same = all_of(F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group)
+    kind = df.schema[score].dataType
+    return found.join(samples, same, "left").select(
         *group,
         "score_rows",
-        "max_score",
-        "min_score",
-        F.size(missing).alias("missing_count"),
-        F.array_join(F.slice(missing, 1, sample), ",").alias("missing_sample"),
+        *[F.col(c).cast(kind).alias(c) for c in ("max_score", "min_score")],
+        "missing_count",
+        F.coalesce("missing_sample", F.lit("")).alias("missing_sample"),
     )
 
 

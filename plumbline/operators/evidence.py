@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import vocabulary as vocab
 from plumbline.rules import all_of, any_of, first_match
 
 MAX_BEFORE = 8
+#: Characters of a context that a candidate quotes.
+QUOTE_LENGTH = 240
 
 
 def number_after(line: Column, start: Column, pattern: str) -> Column:
@@ -75,38 +78,46 @@ def nearest_value(line: Column, alias: Column, unit: str) -> Column:
     return F.coalesce(number_after(line, end, vocab.NUMBER), number_before(line, end, vocab.NUMBER)).try_cast("double")
 
 
+def metric_rules(spark: SparkSession, metrics: Sequence[Mapping[str, object]]) -> DataFrame:
+    """A row for each name of a metric: alias, its place among the metric's names, and what the metric asks of a context."""
+    rows = []
+    for m in metrics:
+        words = [list(m.get(k, [])) for k in ("required_context_any", "blocked_context_any")]
+        for place, alias in enumerate(dict.fromkeys([str(m["label"]), *m.get("aliases", [])])):
+            rows.append((alias, place, str(m["metric_key"]), str(m.get("unit", "")), *words))
+    return spark.createDataFrame(rows, "alias string, place int, metric_key string, unit string, required array<string>, blocked array<string>")
+
+
 def metric_candidates(
     lines: DataFrame, id_cols: Sequence[str], metrics: Sequence[Mapping[str, object]], scope: Column | None = None
 ) -> DataFrame:
     """Candidate values from context lines (columns line_no, line, context).
 
-    A metric applies to a line that holds its label or one of its aliases and whose context is
-    allowed. Every metric is an expression on the row; equal candidates of a page keep the first line.
+    A metric applies to a line that holds its label or one of its aliases and whose context is allowed. The aliases that a line
+    holds become rows, which are joined to the metrics' rules by equality, so the plan is the same for any number of metrics. Of a
+    metric's aliases in a line the first of its list counts; equal candidates of a page keep the first line.
     """
-    named = any_of(F.col("line").contains(x) for m in metrics for x in (str(m["label"]), *m.get("aliases", [])))
-    evaluation = any_of(all_of(F.regexp_replace("context", r"\s+", "").contains(x) for x in words) for words in vocab.EVALUATION_CONTEXT)
-    found = []
-    for m in metrics:
-        label, unit = str(m["label"]), str(m.get("unit", ""))
-        aliases = [label, *m.get("aliases", [])]
-        alias = first_match([(F.col("line").contains(x), x) for x in aliases])
-        blocked = any_of(F.col("context").contains(x) for x in m.get("blocked_context_any", [])) | evaluation
-        required = m.get("required_context_any", [])
-        allowed = ~blocked & (any_of(F.col("context").contains(x) for x in required) if required else F.lit(True))
-        value = nearest_value(F.col("context"), alias, unit)
-        row = F.struct(
-            F.lit(m["metric_key"]).alias("metric_key"),
-            F.lit(unit).alias("metric_unit"),
-            value.alias("candidate_value"),
-            alias.alias("match_alias"),
-            F.when(alias == label, "medium").otherwise("low").alias("confidence"),
-        )
-        found.append(F.when(alias.isNotNull() & allowed & value.isNotNull(), row))
-    rows = lines.filter(named).select(*id_cols, "line_no", F.substring("context", 1, 240).alias("evidence_quote"), F.explode(F.array_compact(F.array(*found))).alias("m"))
-    flat = rows.select(*id_cols, "line_no", "evidence_quote", "m.*")
+    rules = metric_rules(lines.sparkSession, metrics)
+    aliases = sorted({alias for m in metrics for alias in (str(m["label"]), *m.get("aliases", []))})
+    # one pattern tells which lines hold a name at all
+    named = F.col("line").rlike("|".join(map(re.escape, aliases)) or "(?!)")
+    held = F.filter(F.lit(aliases) if aliases else F.array().cast("array<string>"), lambda x: F.col("line").contains(x))
+    hits = lines.filter(named).select(*id_cols, "line_no", "context", F.explode(held).alias("alias")).join(rules, "alias")
+    context = F.col("context")
+    any_in = lambda words: F.exists(words, lambda x: context.contains(x))
+    plain = F.regexp_replace("context", r"\s+", "")
+    evaluation = any_of(all_of(plain.contains(x) for x in words) for words in vocab.EVALUATION_CONTEXT)
+    # a metric's first alias in a line is its name there, whether a value follows it or not
+    first = hits.groupBy(*id_cols, "line_no", "metric_key").agg(F.min_by(F.struct("alias", "place", "unit", "required", "blocked", "context"), "place").alias("f"))
+    allowed = first.select(*id_cols, "line_no", "metric_key", "f.*").filter(~any_in("blocked") & ((F.size("required") == 0) | any_in("required")) & ~evaluation)
+    units = sorted({str(m.get("unit", "")) for m in metrics})
+    value = first_match([(F.col("unit") == unit, nearest_value(context, F.col("alias"), unit)) for unit in units])
+    read = allowed.withColumn("candidate_value", value).filter(F.col("candidate_value").isNotNull()).withColumn("evidence_quote", F.substring("context", 1, QUOTE_LENGTH))
+    confidence = F.when(F.col("place") == 0, "medium").otherwise("low").alias("confidence")
+    flat = read.select(*id_cols, "line_no", "evidence_quote", "metric_key", F.col("unit").alias("metric_unit"), "candidate_value", F.col("alias").alias("match_alias"), confidence)
     key = [*id_cols, "metric_key", "candidate_value", "evidence_quote"]
-    first = flat.groupBy(*key).agg(F.min_by(F.struct("line_no", "metric_unit", "match_alias", "confidence"), F.col("line_no")).alias("f")).select(*key, "f.*")
-    return first.withColumn("metric_scope", scope_tags(F.col("evidence_quote"), vocab.SCOPE_RULES) if scope is None else scope)
+    kept = flat.groupBy(*key).agg(F.min_by(F.struct("line_no", "metric_unit", "match_alias", "confidence"), F.col("line_no")).alias("f")).select(*key, "f.*")
+    return kept.withColumn("metric_scope", scope_tags(F.col("evidence_quote"), vocab.SCOPE_RULES) if scope is None else scope)
 
 
 def scope_tags(quote: Column, rules: Sequence[Sequence], sep: str = "，") -> Column:
@@ -194,36 +205,6 @@ def ranking_rows(pages: DataFrame, id_col: str, text: str, pattern: str = vocab.
     return out.select(id_col, (F.col("_pos") + 1).alias("rank"), "name", "declared_count", (F.col("found_count") < F.col("declared_count")).alias("count_mismatch"))
 
 
-def page_links(pages: DataFrame, id_col: str, html: str) -> DataFrame:
-    """Links of a page with their label, fragments left out."""
-    pattern = F.lit('<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>')
-    pairs = F.arrays_zip(F.regexp_extract_all(html, pattern, F.lit(1)).alias("href"), F.regexp_extract_all(html, pattern, F.lit(2)).alias("label"))
-    links = pages.select(id_col, F.explode(pairs).alias("l")).select(id_col, F.col("l.href").alias("href"), F.trim(F.col("l.label")).alias("label"))
-    return links.filter((F.col("href") != "") & ~F.col("href").startswith("#"))
-
-
-def link_score(href: Column, label: Column, target: Column) -> Column:
-    """How well a link fits a wanted file name."""
-    plain = F.lower(href)
-    text = F.concat(plain, F.lit(" "), F.lower(label))
-    name = F.regexp_extract(href, r"([^/?#]*)(?:[?#].*)?$", 1)
-    stem = F.lower(F.regexp_replace(target, r"\.[^.]*$", ""))
-    given = target != ""
-    return (
-        F.when(name == target, 10).otherwise(0)
-        + F.when(given & text.contains(F.lower(target)), 8).otherwise(0)
-        + F.when(given & (stem != "") & text.contains(stem), 5).otherwise(0)
-        + F.when(any_of(plain.endswith(e) for e in vocab.FILE_ENDINGS), 2).otherwise(0)
-        + F.when(any_of(text.contains(e) for e in vocab.FILE_ENDINGS), 1).otherwise(0)
-    )
-
-
-def best_links(links: DataFrame, id_col: str, score: Column) -> DataFrame:
-    """The best link per page, the highest address winning a tie; pages without a fitting link drop out."""
-    scored = links.withColumn("score", score).filter(F.col("score") > 0)
-    return scored.groupBy(id_col).agg(F.max(F.struct("score", "href")).alias("b")).select(id_col, "b.href", "b.score")
-
-
 CHUNK_LINES = 4096
 
 
@@ -273,7 +254,9 @@ def section_rows(lines: DataFrame, doc: Sequence[str], line_no: str, first_cell:
 
 
 def distribution_rows(lines: DataFrame, doc: Sequence[str], line_no: Sequence[str], text: str) -> DataFrame:
-    """Score rows printed in lines (several per line possible); the last one of a score counts."""
+    """Score rows printed in lines (several per line possible); the last one of a score counts. Headings and page numbers are no rows."""
+    noise = any_of([*(F.trim(text).startswith(x) for x in vocab.DISTRIBUTION_NOISE_STARTS), *(F.col(text).contains(x) for x in vocab.DISTRIBUTION_NOISE)])
+    lines = lines.filter(~F.coalesce(noise, F.lit(True)))
 
     def group(i: int) -> Column:
         return F.regexp_extract_all(text, F.lit(vocab.DISTRIBUTION_ROW), F.lit(i))

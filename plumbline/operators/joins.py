@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.scoring import EARTH_RADIUS_KM, haversine_km
+from plumbline.operators.sequence import global_row_number
 from plumbline.rules import first_match
 from plumbline.session import cut_lineage
 
@@ -87,52 +88,66 @@ def union_of_keys(facts: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
     return stacked.groupBy(*key).agg(*[F.sum(m).alias(m) for m in measures])
 
 
-#: Reach of the first search for nearest points, how much farther each next one looks, and half the way around the earth.
-FIRST_KM, WIDER, FARTHEST_KM = 250.0, 4.0, 20_040.0
+#: Points of a cell that are compared one by one, and halvings of the unit cube at most.
+LEAF_POINTS, MOST_LEVELS = 16, 24
+AXES = ("x", "y", "z")
+#: What rounding may take from a lower bound.
+SLACK_KM = 1e-6
 
 
-def nearest_in_group(left: DataFrame, right: DataFrame, group: Sequence[str], left_id: str, first_km: float = FIRST_KM) -> DataFrame:
+def nearest_in_group(left: DataFrame, right: DataFrame, group: Sequence[str], left_id: str) -> DataFrame:
     """Smallest great-circle distance to a right point of the same group, however far; no row where the group has no point.
 
-    Points are put into cubes of the unit sphere whose edge is the reach; a left point looks only into the 27 cubes around it.
-    Rows that find nothing look again with a wider reach, so dense cells are searched with the smallest cubes and only lonely
-    points look far. Equal points are merged first. Left points far from all points of a large group compare with most of it.
+    Right points lie in a pyramid of cubes, each half as long as the one around it; an occupied cube has one entry: how many
+    points, the box around them, and one of them. A left point starts at the whole sphere and goes down level by level. The one
+    point of each cube bounds its best distance from above, the box every distance in the cube from below, and only cubes whose
+    lower bound does not exceed the best so far are entered. Points are compared one by one in cubes that hold few, so that what
+    a left point is joined with does not grow with the number of points around it. Equal points are merged first.
     """
-    points = cut_lineage(right.select(*group, "latitude", "longitude").dropna().distinct(), "points")
-    places = cut_lineage(left.select(*group, left_id, "latitude", "longitude").dropna().join(points.select(*group).distinct(), list(group), "left_semi"), "places")
-    reach, found = first_km, None
-    while True:
-        answered = cut_lineage(_nearest_within(places, points, group, left_id, min(reach, FARTHEST_KM)), "nearest")
-        found = answered if found is None else found.unionByName(answered)
-        if reach >= FARTHEST_KM:
-            return found
-        places = cut_lineage(places.join(answered.select(*group, left_id), [*group, left_id], "left_anti"), "places")
-        if places.isEmpty():
-            return found
-        reach *= WIDER
-
-
-def _nearest_within(left: DataFrame, right: DataFrame, group: Sequence[str], left_id: str, reach: float) -> DataFrame:
-    """Smallest distance of left points to right points that are within reach."""
-    edge = reach / EARTH_RADIUS_KM
-
-    def cell(df: DataFrame) -> DataFrame:
-        lat, lon = F.radians("latitude"), F.radians("longitude")
-        return df.select(
-            "*",
-            F.floor(F.cos(lat) * F.cos(lon) / edge).alias("cx"),
-            F.floor(F.cos(lat) * F.sin(lon) / edge).alias("cy"),
-            F.floor(F.sin(lat) / edge).alias("cz"),
-        )
-
-    step = F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)])
-    around = cell(left)
-    for axis in ("cx", "cy", "cz"):
-        around = around.withColumn("step", F.explode(step)).withColumn(axis, F.col(axis) + F.col("step")).drop("step")
-    points = cell(right).withColumnRenamed("latitude", "lat2").withColumnRenamed("longitude", "lon2")
-    km = haversine_km(F.col("latitude"), F.col("longitude"), F.col("lat2"), F.col("lon2"))
-    pairs = around.join(points, [*group, "cx", "cy", "cz"]).withColumn("km", km).filter(F.col("km") <= reach)
-    return pairs.groupBy(*group, left_id).agg(F.min("km").alias("nearest_km"))
+    keys = [*group, left_id]
+    points = cut_lineage(_on_sphere(right.select(*group, "latitude", "longitude").dropna().distinct()), "points")
+    places = _on_sphere(left.select(*keys, "latitude", "longitude").dropna().join(points.select(*group).distinct(), list(group), "left_semi"))
+    inside = points  # points of cubes that were entered
+    front = places.withColumn("best", F.lit(float("inf")))
+    answers = None
+    for level in range(MOST_LEVELS + 1):
+        cell, around = [f"c{x}" for x in AXES], [f"p{x}" for x in AXES]
+        located = inside.select("*", *[_cell(x, level).alias(f"c{x}") for x in AXES])
+        box = [f(x).alias(f"{name}_{x}") for x in AXES for f, name in ((F.min, "low"), (F.max, "high"))]
+        entries = located.groupBy(*group, *cell).agg(F.count(F.lit(1)).alias("points"), F.min(F.struct("latitude", "longitude")).alias("one"), *box)
+        if level:
+            entries = entries.select("*", *[F.floor(F.col(f"c{x}") / 2).alias(f"p{x}") for x in AXES])
+            met = front.join(entries, [*group, *around])
+        else:
+            met = front.join(entries, list(group))
+        gap = sum((F.pow(F.greatest(F.col(f"low_{x}") - F.col(x), F.col(x) - F.col(f"high_{x}"), F.lit(0.0)), 2) for x in AXES), F.lit(0.0))
+        least = 2 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), F.sqrt(gap) / 2)) - SLACK_KM
+        there = haversine_km(F.col("latitude"), F.col("longitude"), F.col("one.latitude"), F.col("one.longitude"))
+        told = met.withColumn("least", least).withColumn("there", there)
+        told = told.withColumn("best", F.least("best", F.min("there").over(Window.partitionBy(*keys)))).filter(F.col("least") <= F.col("best"))
+        few = (F.col("points") <= LEAF_POINTS) | F.lit(level == MOST_LEVELS)
+        told = cut_lineage(told.select(*keys, "latitude", "longitude", *AXES, "best", *cell, few.alias("few")), "entered-cells")
+        at = located.select(*group, F.col("latitude").alias("lat2"), F.col("longitude").alias("lon2"), *cell)
+        km = haversine_km(F.col("latitude"), F.col("longitude"), F.col("lat2"), F.col("lon2"))
+        near = told.filter("few").join(at, [*group, *cell]).groupBy(*keys).agg(F.min(km).alias("nearest_km"))
+        answers = near if answers is None else answers.unionByName(near)
+        front = told.filter("NOT few").drop("few")
+        if front.isEmpty():
+            break
+        front = front.select(*keys, "latitude", "longitude", *AXES, "best", *[F.col(f"c{x}").alias(f"p{x}") for x in AXES])
+        entered = front.select(*group, *around).distinct().toDF(*group, *cell)
+        inside = cut_lineage(located.join(entered, [*group, *cell], "left_semi").drop(*cell), "entered-points")
+    return answers.groupBy(*keys).agg(F.min("nearest_km").alias("nearest_km"))
+
+
+def _on_sphere(df: DataFrame) -> DataFrame:
+    lat, lon = F.radians("latitude"), F.radians("longitude")
+    return df.select("*", (F.cos(lat) * F.cos(lon)).alias("x"), (F.cos(lat) * F.sin(lon)).alias("y"), F.sin(lat).alias("z"))
+
+
+def _cell(axis: str, level: int) -> Column:
+    """Number of the cube along an axis; the cubes of a level fill [-1, 1]."""
+    return F.least(F.floor((F.col(axis) + 1) / 2 * float(1 << level)), F.lit((1 << level) - 1)).cast("bigint")
 
 
 def with_fallback(rows: DataFrame, by_code: DataFrame, by_city: DataFrame, code: str, city: str, value: str) -> DataFrame:
@@ -147,8 +162,8 @@ def with_fallback(rows: DataFrame, by_code: DataFrame, by_city: DataFrame, code:
     )
 
 
-def keyword_hits(texts: DataFrame, id_col: str, text_col: str, keywords: DataFrame, token: str | None = None) -> DataFrame:
-    """(text id, keyword) wherever the keyword occurs anywhere in the text.
+def keyword_places(texts: DataFrame, id_col: str, text_col: str, keywords: DataFrame, token: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(text id, piece) of the distinct pieces of every text, and (piece, keyword) of the keywords that pieces hold.
 
     Containment becomes an equi-join on whole substrings, so no common beginning gathers rows. Texts are cut into ``token``
     matches (the whole text without a pattern); of each distinct token, the substrings of the lengths that keywords have are
@@ -166,10 +181,79 @@ def keyword_hits(texts: DataFrame, id_col: str, text_col: str, keywords: DataFra
     starts = lambda n: F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(F.col("piece"), i, n)))
     parts = F.array_distinct(F.flatten(F.filter(F.transform(F.array(*[F.lit(n) for n in lengths]), starts), lambda x: x.isNotNull())))
     grams = pieces.select("piece").distinct().select("piece", F.explode(parts).alias("keyword"))
-    holds = grams.join(keys, "keyword")
+    return pieces, grams.join(keys, "keyword").select("piece", "keyword")
+
+
+def keyword_hits(texts: DataFrame, id_col: str, text_col: str, keywords: DataFrame, token: str | None = None) -> DataFrame:
+    """(text id, keyword) wherever the keyword occurs anywhere in the text."""
+    pieces, holds = keyword_places(texts, id_col, text_col, keywords, token)
     return pieces.join(holds, "piece").select(id_col, "keyword").distinct()
 
 
+#: Items in a word of a posting bitmap.
+WORD_BITS = 64
+
+
+def numbered(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Distinct values of a column with dense numbers from 0, as a table."""
+    return cut_lineage(global_row_number(df.select(column).distinct(), [F.asc(column)], "_n").select(column, (F.col("_n") - 1).alias(name)), "numbers")
+
+
+def _bits(number: str) -> list[Column]:
+    """Word of a number, and its bit in there."""
+    return [F.floor(F.col(number) / WORD_BITS).alias("word"), F.expr(f"shiftleft(1L, CAST({number} % {WORD_BITS} AS INT))").alias("bits")]
+
+
+def _set_bits(number: str) -> Column:
+    """Numbers of the bits that are set in a word: a generator."""
+    places = F.filter(F.sequence(F.lit(0), F.lit(WORD_BITS - 1)), lambda i: F.getbit(F.col("bits"), i) == 1)
+    return F.explode(F.transform(places, lambda i: F.col("word") * WORD_BITS + i)).alias(number)
+
+
+def item_hits(texts: DataFrame, id_col: str, text_col: str, keywords: DataFrame, item: str, token: str | None = None) -> DataFrame:
+    """(item, text id) of every text that holds one of the item's keywords; keywords: item, keyword.
+
+    Items get dense numbers, and a keyword's items are a bitmap in words of 64. A token's bitmap is that of its keywords taken
+    together, a text's that of its distinct tokens; items are told apart only when a text's bitmap is known, so that no row stands
+    for a text, a keyword and an item.
+    """
+    pieces, holds = keyword_places(texts, id_col, text_col, keywords, token)
+    numbers = numbered(keywords, item, "number")
+    of_keyword = keywords.join(numbers, item).select("keyword", *_bits("number")).groupBy("keyword", "word").agg(F.bit_or("bits").alias("bits"))
+    of_piece = holds.join(of_keyword, "keyword").groupBy("piece", "word").agg(F.bit_or("bits").alias("bits"))
+    of_text = pieces.join(of_piece, "piece").groupBy(id_col, "word").agg(F.bit_or("bits").alias("bits"))
+    return of_text.select(id_col, _set_bits("number")).join(numbers, "number").select(item, id_col)
+
+
+def item_strengths(texts: DataFrame, id_col: str, text_col: str, keywords: DataFrame, item: str, token: str | None = None) -> DataFrame:
+    """(item, text id, strength) where a text holds keywords of an item: the letters of those keywords, each counted once.
+
+    A text's distinct keywords come from bitmaps, as items do in item_hits. Strengths of several items are summed in one number,
+    in lanes that are wide enough for the strongest item, so that a row stands for a text, a keyword and a group of items.
+    """
+    pieces, holds = keyword_places(texts, id_col, text_col, keywords, token)
+    words = numbered(keywords, "keyword", "number")
+    of_piece = holds.join(words, "keyword").select("piece", *_bits("number")).groupBy("piece", "word").agg(F.bit_or("bits").alias("bits"))
+    of_text = pieces.join(of_piece, "piece").groupBy(id_col, "word").agg(F.bit_or("bits").alias("bits"))
+    held = of_text.select(id_col, _set_bits("number"))
+
+    items = numbered(keywords, item, "item_number")
+    weighed = keywords.join(items, item).join(words, "keyword").select("number", "item_number", F.length("keyword").cast("bigint").alias("letters"))
+    strongest = weighed.groupBy("item_number").agg(F.sum("letters").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 1
+    width = int(strongest).bit_length()
+    lanes = max(1, 63 // width)
+    lane = (F.col("item_number") % lanes).cast("int") * width
+    packed = weighed.select("number", F.floor(F.col("item_number") / lanes).alias("lane_group"), F.call_function("shiftleft", F.col("letters"), lane).alias("packed"))
+    packed = packed.groupBy("number", "lane_group").agg(F.sum("packed").alias("packed"))
+    summed = held.join(packed, "number").groupBy(id_col, "lane_group").agg(F.sum("packed").alias("packed"))
+    out = F.transform(
+        F.sequence(F.lit(0), F.lit(lanes - 1)),
+        lambda i: F.struct((F.col("lane_group") * lanes + i).alias("item_number"), F.call_function("shiftright", F.col("packed"), i * width).bitwiseAND(F.lit((1 << width) - 1).cast("bigint")).alias("strength")),
+    )
+    told = summed.select(id_col, F.inline(F.filter(out, lambda x: x["strength"] > 0)))
+    return told.join(items, "item_number").select(item, id_col, "strength")
+
+
 def code_keys(df: DataFrame, id_cols: Sequence[str], codes: Column, prefix_lengths: Sequence[int]) -> DataFrame:
     """Long table of the keys a code offers: itself, and each configured prefix."""
     kinds = [F.struct(F.lit("code_exact").alias("match_type"), F.col("code").alias("match_key"))]
@@ -184,31 +268,66 @@ def code_keys(df: DataFrame, id_cols: Sequence[str], codes: Column, prefix_lengt
     return long.select(*id_cols, "m.*").filter(F.col("match_key").isNotNull()).distinct()
 
 
+def counts_by_key(wanted: DataFrame, offered: DataFrame, owner: str, sums: Sequence[str] = ()) -> DataFrame:
+    """match_type, rows and sums of the wanted rows that meet each owner by a key: wanted rows are counted per key before any
+    owner is joined. wanted: match_type, match_key and sums, one row per row and key; offered: owner and one key of each type."""
+    totals = [F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in sums]]
+    per_key = wanted.groupBy("match_type", "match_key").agg(*totals)
+    return offered.join(per_key, ["match_type", "match_key"]).select(owner, "match_type", "rows", *sums)
+
+
+def counts_either_way(wanted: DataFrame, offered: DataFrame, listed: DataFrame, owner: str, row_id: str, sums: Sequence[str]) -> DataFrame:
+    """rows and sums of the rows that meet each owner by its key or by a listed pair, each row once.
+
+    Rows are counted per key before owners are joined, listed pairs are counted as they are, and what meets both ways is taken
+    off: pairs (owner, row id, sums) whose row has the owner's key. wanted: row id, match_key, sums, distinct; offered: owner and
+    its one match_key; listed: owner, row id, sums, distinct.
+    """
+    totals = [F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in sums]]
+    by_key = offered.join(wanted.groupBy("match_key").agg(*totals), "match_key").select(owner, "rows", *sums)
+    by_pair = listed.groupBy(owner).agg(*totals)
+    both = listed.join(offered, owner).join(wanted.select(row_id, "match_key"), [row_id, "match_key"], "left_semi").groupBy(owner).agg(*totals)
+    off = both.select(owner, *[(-F.col(c)).alias(c) for c in ("rows", *sums)])
+    return by_key.unionByName(by_pair).unionByName(off).groupBy(owner).agg(*[F.sum(c).alias(c) for c in ("rows", *sums)])
+
+
+#: Comes after every character that names hold.
+AFTER_ALL = "\U0010ffff"
+
+
 def prefix_suggestions(local: DataFrame, profiles: DataFrame, min_length: int, max_candidates: int) -> DataFrame:
     """Per local name, the profiles of which one name starts with the other, if there are few enough.
 
-    Counts come first (prefixes are grouped with partial aggregation), and only names within the
-    limit collect their candidates, so a short name shared by many never gathers its long list.
+    In sorted order, all profiles that start with a name lie between the name and the name with a last character added, and the
+    profiles that a name starts with are those whose own such interval holds it. So profiles, and both ends of all intervals, are
+    put in one order; how many profiles and how many ends come before a row is a running count, and both numbers of matches are
+    differences of such counts. Only names within the limit list their candidates: the places of their interval, and the
+    profiles among their own beginnings.
     """
     profiles = profiles.select(F.col("name").alias("profile")).filter(F.length("profile") >= min_length).distinct()
     local = local.select("name").filter(F.length("name") >= min_length).distinct()
-
-    def prefixes(df: DataFrame, col: str, shorter_by: int) -> DataFrame:
-        sizes = F.sequence(F.lit(min_length), F.length(col) - shorter_by)
-        usable = df.filter(F.length(col) - shorter_by >= min_length)
-        return usable.select(col, F.explode(F.transform(sizes, lambda n: F.substring(F.col(col), F.lit(1), n))).alias("prefix"))
-
-    longer = prefixes(profiles, "profile", 0).join(local.withColumnRenamed("name", "prefix"), "prefix")
-    longer_counts = longer.groupBy(F.col("prefix").alias("name")).agg(F.count(F.lit(1)).alias("n"))
-    shorter = prefixes(local, "name", 1).join(profiles.withColumnRenamed("profile", "prefix"), "prefix")
-    shorter_counts = shorter.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-    totals = longer_counts.unionByName(shorter_counts).groupBy("name").agg(F.sum("n").alias("n"))
-    few = totals.filter(F.col("n") <= max_candidates).select("name")
-    pairs = longer.select(F.col("prefix").alias("name"), "profile").unionByName(shorter.select("name", F.col("prefix").alias("profile")))
-    found = pairs.join(few, "name", "left_semi").groupBy("name").agg(F.sort_array(F.collect_list("profile")).alias("candidates"))
-    out = local.join(totals, "name", "left").join(found, "name", "left")
-    n = F.coalesce("n", F.lit(0))
-    return out.select(
+    # kinds at one place: ends of profiles, lower ends of names, profiles; upper ends of names come behind all that start so
+    rows = [
+        profiles.select(F.col("profile").alias("at"), F.lit(2).alias("kind"), F.lit(None).cast("string").alias("name")),
+        profiles.select(F.concat("profile", F.lit(AFTER_ALL)).alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("string").alias("name")),
+        local.select(F.col("name").alias("at"), F.lit(1).alias("kind"), "name"),
+        local.select(F.concat("name", F.lit(AFTER_ALL)).alias("at"), F.lit(3).alias("kind"), "name"),
+    ]
+    placed = cut_lineage(_running_counts(reduce(lambda a, b: a.unionByName(b), rows)), "ranked-names")
+    starts, ends = F.col("before_2"), F.col("before_0")
+    low = placed.filter("kind = 1").select("name", starts.alias("first"), (starts - ends).alias("shorter"))
+    high = placed.filter("kind = 3").select("name", starts.alias("last"))
+    counted = low.join(high, "name").withColumn("longer", F.col("last") - F.col("first")).withColumn("n", F.col("longer") + F.col("shorter"))
+    counted = cut_lineage(counted, "counted-names")
+    few = counted.filter((F.col("n") > 0) & (F.col("n") <= max_candidates))
+    ranked = placed.filter("kind = 2").select(F.col("at").alias("profile"), starts.alias("rank"))
+    longer = few.filter("longer > 0").select("name", F.explode(F.sequence("first", F.col("last") - 1)).alias("rank")).join(ranked, "rank").select("name", "profile")
+    sizes = F.sequence(F.lit(min_length), F.length("name") - 1)
+    own = few.filter((F.col("shorter") > 0) & (F.length("name") > min_length)).select("name", F.explode(F.transform(sizes, lambda n: F.substring(F.col("name"), F.lit(1), n))).alias("profile"))
+    shorter = own.join(profiles, "profile", "left_semi")
+    found = longer.unionByName(shorter.select("name", "profile")).groupBy("name").agg(F.sort_array(F.collect_list("profile")).alias("candidates"))
+    n = F.col("n")
+    return counted.join(found, "name", "left").select(
         "name",
         n.alias("prefix_matches"),
         F.coalesce(F.array_join("candidates", "|"), F.lit("")).alias("candidates"),
@@ -216,6 +335,19 @@ def prefix_suggestions(local: DataFrame, profiles: DataFrame, min_length: int, m
     )
 
 
+def _running_counts(rows: DataFrame) -> DataFrame:
+    """rows (at, kind) with how many rows of kinds 0 and 2 come before each: counted in ranges of the order, and behind all
+    earlier ranges."""
+    placed = cut_lineage(rows.orderBy("at", "kind").withColumn("range", F.spark_partition_id()), "sorted-names")
+    kinds = (0, 2)
+    sizes = placed.groupBy("range").agg(*[F.count_if(F.col("kind") == k).alias(f"n{k}") for k in kinds])
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = sizes.select("range", *[F.coalesce(F.sum(f"n{k}").over(earlier), F.lit(0)).alias(f"o{k}") for k in kinds])
+    inside = Window.partitionBy("range").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    told = placed.join(F.broadcast(offsets), "range")
+    return told.select("at", "kind", "name", *[(F.col(f"o{k}") + F.coalesce(F.count(F.when(F.col("kind") == k, 1)).over(inside), F.lit(0))).alias(f"before_{k}") for k in kinds])
+
+
 def unique_match(local: DataFrame, reviewed: DataFrame, profiles: DataFrame, local_id: str, name: Sequence[str], code: str) -> DataFrame:
     """National code from the reviewed map, else from exactly one profile of that name, else a reason."""
     per_name = profiles.groupBy(*name).agg(F.count(F.lit(1)).alias("n"), F.min(code).alias("_by_name"))
@@ -269,6 +401,34 @@ def token_overlap(left: DataFrame, right: DataFrame, scope: Sequence[str], min_s
     return met.filter(enough).select(*scope, "p_name", "c_name").distinct()
 
 
+GRAM = 3
+
+
+def contained_names(short: DataFrame, long: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """scope, short, long: every name of long that holds a name of short, inside a scope; both distinct.
+
+    Each shorter name is posted once, under the one of its three-character pieces that the fewest longer names of the scope have
+    (a name of fewer characters: itself). Longer names ask with their distinct pieces and hold what they find if it really is
+    inside, so that a longer name meets no more postings than share one of its pieces, rare as they are.
+    """
+    scope = list(scope)
+
+    def pieces(df: DataFrame, name: str, sizes) -> DataFrame:
+        n = F.length(name)
+        cut = lambda k: F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(F.col(name), i, F.lit(k))))
+        listed = F.array_distinct(F.flatten(F.filter(F.array(*map(cut, sizes)), lambda x: x.isNotNull())))
+        return df.filter(n > 0).select(*scope, name, F.explode(listed).alias("piece"))
+
+    asked = pieces(long, "long", range(1, GRAM + 1))
+    frequency = asked.groupBy(*scope, "piece").agg(F.count(F.lit(1)).alias("n"))
+    whole = F.length("short") < GRAM
+    own = pieces(short.filter(~whole), "short", [GRAM]).unionByName(short.filter(whole & (F.length("short") > 0)).select(*scope, "short", F.col("short").alias("piece")))
+    posted = own.join(frequency, [*scope, "piece"], "left").groupBy(*scope, "short")
+    # a piece that no longer name has is the rarest of all
+    posted = posted.agg(F.min_by("piece", F.struct(F.coalesce("n", F.lit(0)), "piece")).alias("piece"))
+    return asked.join(posted, [*scope, "piece"]).filter(F.col("long").contains(F.col("short"))).select(*scope, "short", "long")
+
+
 def name_cascade(
     package: DataFrame,
     core: DataFrame,
@@ -279,50 +439,39 @@ def name_cascade(
 ) -> DataFrame:
     """Best kind of name match per package name inside a scope: exact, contains, token overlap.
 
-    Both sides are first reduced to distinct names (with row count and lowest code), so copies
-    of a name cost one row. Containment joins substrings to whole names, and overlap joins on
-    shared tokens; neither writes all pairs of a scope. Inputs have ``name`` and ``code``.
+    Both sides are first reduced to distinct names (with row count and lowest code), so copies of a name cost one row. A kind is
+    only looked for where no better one was found: exact matches are an equi-join, containment asks an index of rare pieces,
+    overlap joins on rare tokens; none writes all pairs of a scope. Inputs have ``name`` and ``code``.
     """
     scope = list(scope)
     p = package.select(*scope, F.col("name").alias("p_name")).distinct()
     c = core.groupBy(*scope, F.col("name").alias("c_name")).agg(F.count(F.lit(1)).alias("c_rows"), F.min("code").alias("c_code"))
-
-    def parts_of(df: DataFrame, col: str) -> DataFrame:
-        n = F.length(col)
-        pieces = F.flatten(
-            F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(F.col(col), i, k)))
-        )
-        return df.filter(n > 0).select(*scope, col, F.explode(F.array_distinct(pieces)).alias("piece"))
-
-    pair = [*scope, "p_name", "c_name"]
-    inside_core = parts_of(c.select(*scope, "c_name"), "c_name").join(p.withColumn("piece", F.col("p_name")), [*scope, "piece"])
-    inside_package = parts_of(p, "p_name").join(c.select(*scope, "c_name").withColumn("piece", F.col("c_name")), [*scope, "piece"])
-    kind = F.when(F.col("p_name") == F.col("c_name"), 1).otherwise(2)
-    contained = inside_core.select(*pair).unionByName(inside_package.select(*pair)).withColumn("kind", kind)
-
-    shared = token_overlap(
-        p.select(*scope, "p_name", tokens(F.col("p_name")).alias("p_tokens")),
-        c.select(*scope, "c_name", tokens(F.col("c_name")).alias("c_tokens")),
-        scope,
-        min_shared,
-        min_score,
-    ).select(*pair, F.lit(3).alias("kind"))
-    best = contained.unionByName(shared).groupBy(*pair).agg(F.min("kind").alias("kind"))
-    counted = best.join(c, [*scope, "c_name"]).groupBy(*scope, "p_name")
-    aggs = []
-    for k in (1, 2, 3):
-        aggs.append(F.sum(F.when(F.col("kind") == k, F.col("c_rows")).otherwise(0)).alias(f"n{k}"))
-        aggs.append(F.min(F.when(F.col("kind") == k, F.col("c_code"))).alias(f"code{k}"))
-    hints = counted.agg(*aggs)
-    labels = {1: "exact", 2: "contains", 3: "token_overlap"}
-    hint_rules, code_rules = [], []
-    for k, label in labels.items():
-        n = F.col(f"n{k}")
-        hint_rules += [(n == 1, f"single_{label}"), (n > 1, f"ambiguous_{label}")]
-        code_rules += [(n == 1, F.col(f"code{k}")), (n > 1, F.lit(None))]
-    named = hints.select(
-        *scope, F.col("p_name").alias("name"), first_match(hint_rules).alias("match_hint"), first_match(code_rules).alias("matched_code")
+    key = [*scope, "p_name"]
+
+    def counted(pairs: DataFrame, label: str) -> DataFrame:
+        told = pairs.join(c, [*scope, "c_name"]).groupBy(*key).agg(F.sum("c_rows").alias("n"), F.min("c_code").alias("code"))
+        hint = F.concat(F.when(F.col("n") == 1, "single_").otherwise("ambiguous_"), F.lit(label))
+        return cut_lineage(told.select(*key, hint.alias("match_hint"), F.when(F.col("n") == 1, F.col("code")).alias("matched_code")), f"{label}-names")
+
+    exact = counted(p.select(*key, F.col("p_name").alias("c_name")), "exact")
+    left = cut_lineage(p.join(exact, key, "left_anti"), "names-left")
+    ours, theirs = left.select(*scope, F.col("p_name").alias("short")), c.select(*scope, F.col("c_name").alias("short"))
+    inside_core = contained_names(ours, theirs.withColumnRenamed("short", "long"), scope).toDF(*scope, "p_name", "c_name")
+    inside_package = contained_names(theirs, ours.withColumnRenamed("short", "long"), scope).toDF(*scope, "c_name", "p_name")
+    # equal names, of which one would hold the other, are gone with the exact matches
+    contains = counted(inside_core.unionByName(inside_package), "contains")
+    left = left.join(contains, key, "left_anti")
+    overlap = counted(
+        token_overlap(
+            left.select(*key, tokens(F.col("p_name")).alias("p_tokens")),
+            c.select(*scope, "c_name", tokens(F.col("c_name")).alias("c_tokens")),
+            scope,
+            min_shared,
+            min_score,
+        ),
+        "token_overlap",
     )
+    named = exact.unionByName(contains).unionByName(overlap).withColumnRenamed("p_name", "name")
     return package.join(named, [*scope, "name"], "left").withColumn("match_hint", F.coalesce("match_hint", F.lit("no_match")))
 
 

@@ -175,43 +175,91 @@ def decide_by_name(tasks: DataFrame, names: DataFrame, candidates: DataFrame, sc
     return joined.withColumn("matched_key", F.when(F.col("_n") == 1, F.col("matched_key"))).drop("_n")
 
 
-def pair_by_name(left: DataFrame, right: DataFrame, scope: Sequence[str]) -> DataFrame:
-    """Pairs of tasks, one from each side, whose name is unique on both sides of the scope."""
+CLAIMABLE = ("", "use_package", "map_to_core_key")
 
-    def unique(df: DataFrame, label: str) -> DataFrame:
-        return df.groupBy(*scope, "name").agg(F.count(F.lit(1)).alias("n"), F.min("task_id").alias(label)).filter("n = 1").drop("n")
 
-    return unique(left, "core_task").join(unique(right, "package_task"), [*scope, "name"])
+def pair_claims(
+    plan: DataFrame, core_names: DataFrame, candidates: DataFrame, scope: Sequence[str], spec: Reconcile, order: Sequence[str] = ("task_id",), limit: int | None = None
+) -> DataFrame:
+    """One row per pending core-only task: core_task, package_task (of the package row that it claims, if it counts) and reason.
+
+    core_names: task_id and name of core-only tasks; candidates: all package rows, scope, name and key. A task claims the one
+    package row of its name in its scope. Whether the claim counts is up to the row's own task: an open or mapped package-only
+    row takes any number of claims; a drifted row that was decided for the package takes the first claim in plan order, since
+    it is re-mapped from then on; others take none. With a limit, the first claims in plan order count.
+    """
+    key = [F.col(c) for c in spec.key]
+    one = candidates.filter(F.col("name") != "").groupBy(*scope, "name").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*key)).alias("claimed"))
+    opened = (F.col("issue_type") == "core_only_unmatched") & F.col("status").isin(*PENDING)
+    core = plan.filter(opened).select(F.col("task_id").alias("core_task"), F.struct(*[F.col(c) for c in order]).alias("place"), *scope)
+    named = core.join(core_names.select(F.col("task_id").alias("core_task"), "name"), "core_task", "left").join(one, [*scope, "name"], "left")
+    of_key = F.struct(*spec.match, *[F.col(f"package_{c}").alias(c) for c in spec.variant]).alias("claimed")
+    sides = plan.filter(F.col(f"package_{spec.variant[0]}").isNotNull())
+    sides = sides.select(of_key, F.struct(F.col("task_id").alias("task"), F.col("issue_type").alias("issue"), "status", "review_decision").alias("side"))
+    met = named.withColumn("claimed", F.when(F.col("n") == 1, F.col("claimed"))).join(sides, "claimed", "left")
+    said = F.coalesce("side.review_decision", F.lit(""))
+    other = lambda *parts: F.concat_ws(":", F.lit("has_other_task"), *parts)
+    drifted = F.col("side.issue") == "value_drift"
+    reason = first_match(
+        [
+            (F.coalesce("name", F.lit("")) == "", "missing_core_name"),
+            (F.col("n").isNull(), "no_match"),
+            (F.col("n") > 1, "ambiguous_match"),
+            (F.col("side").isNull(), "no_plan_task"),
+            ((F.col("side.issue") == "package_only_unmatched") & said.isin(*CLAIMABLE), "exact_pair"),
+            (F.col("side.issue") == "package_only_unmatched", "blocked_decision"),
+            (drifted & (F.col("side.status") == "decided") & (said == "use_package"), "exact_drift_pair"),
+        ],
+        other(F.col("side.issue"), F.col("side.status"), said),
+    )
+    told = met.select("core_task", "place", F.col("side.task").alias("package_task"), reason.alias("reason"))
+    # the first claim alone re-maps a drifted row
+    first = told.filter("reason = 'exact_drift_pair'").groupBy("package_task").agg(F.min(F.struct("place", "core_task")).alias("first"))
+    late = (F.col("reason") == "exact_drift_pair") & (F.col("first.core_task") != F.col("core_task"))
+    told = told.join(first, "package_task", "left").withColumn("reason", F.when(late, other(F.lit("value_drift"), F.lit("decided"), F.lit("remap_core"))).otherwise(F.col("reason")))
+    counts = F.col("reason").isin("exact_pair", "exact_drift_pair")
+    if limit is not None:
+        taken = told.filter(counts).orderBy("place").limit(limit).select("core_task", F.lit(True).alias("taken"))
+        told = told.join(taken, "core_task", "left")
+        counts = F.coalesce("taken", F.lit(False))
+        told = told.withColumn("reason", F.when(F.col("reason").isin("exact_pair", "exact_drift_pair") & ~counts, "over_limit").otherwise(F.col("reason")))
+    return told.select("core_task", F.when(counts, F.col("package_task")).alias("package_task"), "place", "reason")
 
 
 def apply_pairs(plan: DataFrame, pairs: DataFrame, spec: Reconcile) -> DataFrame:
-    """Both rows of every pair are decided and carry the id of the other row.
+    """Both rows of every pair (core_task, package_task; place and reason as from pair_claims) are decided and carry the id of the
+    other row.
 
-    The package row is to replace the core row: it carries the core row's key as ``paired_key``. The core row is covered by it
-    and calls for nothing of its own.
+    The package row is to replace the core row: it carries the core row's key as ``paired_key``, that of the last claim in plan
+    order. A drifted package row leaves its own core row behind, which is to be deleted (remap_core). Every core row with a claim
+    is covered and calls for nothing of its own.
     """
+    place = F.col("place") if "place" in pairs.columns else F.struct("core_task")
+    drift = F.col("reason") == "exact_drift_pair" if "reason" in pairs.columns else F.lit(False)
     own = plan.select(F.col("task_id").alias("core_task"), F.struct(*spec.match, *[F.col(f"core_{c}").alias(c) for c in spec.variant]).alias("key"))
-    keyed = pairs.select("core_task", "package_task").join(own, "core_task")
-    package = F.struct(F.col("package_task").alias("task_id"), F.col("core_task").alias("paired_task"), F.lit("pair_replace").alias("decision"), F.col("key"))
-    core = F.struct(F.col("core_task").alias("task_id"), F.col("package_task").alias("paired_task"), F.lit("pair_covered").alias("decision"), F.when(F.lit(False), F.col("key")).alias("key"))
-    long = keyed.select(F.explode(F.array(package, core)).alias("p")).select("p.task_id", "p.paired_task", "p.decision", F.col("p.key").alias("paired_key"))
-    joined = plan.join(long, "task_id", "left")
+    keyed = pairs.filter(F.col("package_task").isNotNull()).select("core_task", "package_task", place.alias("place"), drift.alias("drift")).join(own, "core_task")
+    last = keyed.groupBy("package_task").agg(F.max_by(F.struct("core_task", "key", "drift"), F.struct("place", "core_task")).alias("last"))
+    package = last.select(F.col("package_task").alias("task_id"), F.col("last.core_task").alias("paired_task"), F.col("last.key").alias("paired_key"), F.col("last.drift").alias("drift"))
+    core = keyed.select(F.col("core_task").alias("task_id"), F.col("package_task").alias("paired_task"), F.when(F.lit(False), F.col("key")).alias("paired_key"), "drift")
+    joined = plan.join(package.unionByName(core), "task_id", "left")
     hit = F.col("paired_task").isNotNull()
+    decision = F.when(F.col("paired_key").isNull(), "pair_covered").when(F.col("drift"), "remap_core").otherwise("pair_replace")
     return joined.withColumn("status", F.when(hit, "decided").otherwise(F.col("status"))).withColumn(
-        "review_decision", F.when(hit, F.col("decision")).otherwise(F.col("review_decision"))
-    ).drop("decision")
+        "review_decision", F.when(hit, decision).otherwise(F.col("review_decision"))
+    ).drop("drift")
 
 
 def publish(plan: DataFrame, spec: Reconcile) -> DataFrame:
     """Rows to publish from decided tasks: the package row, the core row, or the package row under a core key, its own or its pair's."""
     decision = F.col("review_decision")
-    rows = plan.filter(decision.isin("use_package", "keep_core", "map_to_core_key", "pair_replace"))
+    paired = decision.isin("pair_replace", "remap_core") & F.col("paired_key").isNotNull() if "paired_key" in plan.columns else F.lit(False)
+    rows = plan.filter(paired | decision.isin("use_package", "keep_core", "map_to_core_key"))
     from_core = decision == "keep_core"
     core_key = from_core | (decision == "map_to_core_key")
     variant = {c: F.when(core_key, F.col(f"core_{c}")).otherwise(F.col(f"package_{c}")) for c in spec.variant}
     key = {**{c: F.col(c) for c in spec.match}, **variant}
     if "paired_key" in plan.columns:
-        key = {c: F.when(decision == "pair_replace", F.col(f"paired_key.{c}")).otherwise(v) for c, v in key.items()}
+        key = {c: F.when(paired, F.col(f"paired_key.{c}")).otherwise(v) for c, v in key.items()}
     return rows.select(
         "task_id",
         *[v.alias(c) for c, v in key.items()],

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.rules import any_of, first_match
+from plumbline.rules import all_of, any_of, first_match
 from plumbline.session import cut_lineage
 
 # fixed values: the score scale
@@ -46,6 +46,32 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str) -> Data
     return numbered.withColumn(name, F.col("_before") + place + 1).drop("_pos", "_part", "_before")
 
 
+def in_stretches(df: DataFrame, group: Sequence[str], by: str) -> DataFrame:
+    """df in order of group and by, with ``_stretch``: the number of the range that a row lies in.
+
+    A group of any size is cut into ranges, so that windows over a group's rows in a stretch hold a task's share of the rows. The
+    sorted rows are written once, because the ranges are sampled and must be the same for every use.
+    """
+    return cut_lineage(df.orderBy(*group, by).withColumn("_stretch", F.spark_partition_id()))
+
+
+def carried(df: DataFrame, group: Sequence[str], by: str, value: Column, name: str, backward: bool = False) -> DataFrame:
+    """df (as from in_stretches) with the last non-null value of the rows before each row of its group; backward: of those after.
+
+    Inside a stretch a running window tells it; a stretch's first rows get it from the last value of the stretches before, of
+    which there is one row a group and stretch.
+    """
+    turned = F.desc if backward else F.asc
+    inside = Window.partitionBy(*group, "_stretch").orderBy(turned(by)).rowsBetween(Window.unboundedPreceding, -1)
+    outermost = (F.min_by if backward else F.max_by)(value, F.when(value.isNotNull(), F.col(by)))
+    edges = df.groupBy(*[F.col(c).alias(f"_{c}") for c in group], F.col("_stretch").alias("_of")).agg(outermost.alias("_edge"))
+    earlier = Window.partitionBy(*[f"_{c}" for c in group]).orderBy(turned("_of")).rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.withColumn("_before", F.last("_edge", ignorenulls=True).over(earlier)).drop("_edge")
+    same = all_of([F.col("_stretch") == F.col("_of"), *[F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group]])
+    told = df.withColumn("_inside", F.last(value, ignorenulls=True).over(inside)).join(edges, same)
+    return told.withColumn(name, F.coalesce("_inside", "_before")).drop("_inside", "_before", "_of", *[f"_{c}" for c in group])
+
+
 def dedupe(df: DataFrame, key: Sequence[str], order: Sequence[str], policy: str) -> DataFrame:
     """One row per key: the first (``keep_first``) or last (``replace``) by ``order``.
 
@@ -294,27 +320,46 @@ def context_lines(docs: DataFrame, id_cols: Sequence[str], text: str, count: int
 def line_groups(df: DataFrame, page: Sequence[str], tolerance: float) -> DataFrame:
     """Objects with the ``first_y`` of their line: within ``tolerance`` of the line's first object.
 
-    Positions are reduced to distinct ``y`` values and tiled by the tolerance. Inside a tile no
-    gap is wide enough to start a line, so page-level windows see one row per tile only; the
-    fold over distinct positions runs on the stretches between wide gaps.
+    A position farther than the tolerance from the one before begins a line for sure. In between, where a line begins depends on
+    where the one before it begins: every position's successor is the smallest position beyond its tolerance, and lines begin
+    where successors lead to from the sure beginnings. They are found by pointer jumping over (page, y) rows: each round doubles
+    the steps that successors take and the beginnings that are known, so a stretch of n lines takes log n rounds and is never
+    held in one task.
     """
-    tile = F.floor(F.col("y") / tolerance)
-    ys = df.select(*page, "y", tile.alias("_tile")).distinct()
-    tiles = ys.groupBy(*page, "_tile").agg(F.min("y").alias("_low"), F.max("y").alias("_high"))
-    w = Window.partitionBy(*page).orderBy("_tile")
-    starts = F.when(F.col("_low") - F.lag("_high").over(w) <= tolerance, 0).otherwise(1)
-    runs = tiles.withColumn("_new", starts).withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    grouped = ys.join(runs.select(*page, "_tile", "_run"), [*page, "_tile"]).groupBy(*page, "_run").agg(F.array_sort(F.collect_list("y")).alias("ys"))
-
-    def step(starts, y):
-        return F.when(y - F.get(starts, F.size(starts) - 1) <= tolerance, starts).otherwise(F.concat(starts, F.array(y)))
-
-    starts = F.aggregate("ys", F.array().cast("array<double>"), step)
-    own = F.transform("ys", lambda y: F.struct(F.array_max(F.filter("starts", lambda x: x <= y)).alias("first_y"), y.alias("y")))
-    placed = grouped.withColumn("starts", starts).select(*page, F.explode(own).alias("o")).select(*page, "o.*")
+    ys = in_stretches(df.select(*page, "y").filter(F.col("y").isNotNull()).distinct(), page, "y")
+    sure = carried(ys, page, "y", F.col("y"), "previous")
+    sure = sure.filter(F.col("previous").isNull() | (F.col("y") - F.col("previous") > tolerance)).select(*page, "y")
+    starts = cut_lineage(sure, "line-starts")
+    jumps = cut_lineage(_line_successors(ys, page, tolerance), "line-jumps")
+    known = starts.count()
+    while True:
+        # a start that is sure needs no way to it
+        found = starts.join(jumps, [*page, "y"]).select(*page, F.col("to").alias("y"))
+        starts = cut_lineage(starts.unionByName(found).distinct(), "line-starts")
+        now = starts.count()
+        if now == known:
+            break
+        known = now
+        onward = jumps.select(*page, F.col("y").alias("to"), F.col("to").alias("onward"))
+        jumps = cut_lineage(jumps.join(onward, [*page, "to"]).select(*page, "y", F.col("onward").alias("to")), "line-jumps")
+    marked = ys.join(starts.withColumn("_start", F.col("y")), [*page, "y"], "left")
+    placed = carried(marked, page, "y", F.col("_start"), "_last").select(*page, "y", F.coalesce("_start", "_last").alias("first_y"))
     return df.join(placed, [*page, "y"])
 
 
+def _line_successors(ys: DataFrame, page: Sequence[str], tolerance: float) -> DataFrame:
+    """page, y, to: the smallest position more than the tolerance beyond y."""
+    edge = F.col("y") + tolerance
+    ulp = F.abs(edge) * 2.0**-53
+    # the last position that still counts as within the tolerance, as the difference is rounded
+    within = F.array_max(F.filter(F.array(edge - 2 * ulp, edge - ulp, edge, edge + ulp, edge + 2 * ulp), lambda x: x - F.col("y") <= tolerance))
+    asked = ys.select(*page, F.struct(within.alias("at"), F.lit(1).alias("kind")).alias("place"), "y", F.lit(None).cast("double").alias("to"))
+    there = ys.select(*page, F.struct(F.col("y").alias("at"), F.lit(0).alias("kind")).alias("place"), "y", F.col("y").alias("to"))
+    both = in_stretches(asked.unionByName(there), page, "place")
+    found = carried(both, page, "place", F.col("to"), "next", backward=True).filter("place.kind = 1 AND next IS NOT NULL")
+    return found.select(*page, "y", F.col("next").alias("to"))
+
+
 def line_texts(placed: DataFrame, page: Sequence[str]) -> DataFrame:
     """Text of every line of a printed page from left to right; ``item`` holds the texts."""
     cells = F.array_sort(F.collect_list(F.struct("x", "item")))

@@ -415,7 +415,7 @@ def a26_rows(t):
        g AS (SELECT supplier, ship_year, count(*) AS score_rows, max(q) AS max_score, min(q) AS min_score FROM s GROUP BY 1, 2),
        f AS (SELECT supplier, ship_year, unnest(range(min_score, max_score + 1)) AS q FROM g),
        m AS (SELECT *, row_number() OVER (PARTITION BY supplier, ship_year ORDER BY q DESC) AS rn FROM f ANTI JOIN s USING (supplier, ship_year, q))
-       SELECT g.*, CAST(count(m.q) AS INTEGER) AS missing_count, coalesce(string_agg(m.q, ',' ORDER BY m.q DESC) FILTER (WHERE rn <= 20), '') AS missing_sample
+       SELECT g.*, count(m.q) AS missing_count, coalesce(string_agg(m.q, ',' ORDER BY m.q DESC) FILTER (WHERE rn <= 20), '') AS missing_sample
        FROM g LEFT JOIN m USING (supplier, ship_year) GROUP BY ALL""",
 )
 def a27(t):

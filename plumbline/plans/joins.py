@@ -172,9 +172,8 @@ KEYWORDS_SQL = """kw AS (SELECT DISTINCT item_id, lower(unnest(regexp_extract_al
   hits AS (SELECT doc_id, keyword FROM (SELECT DISTINCT keyword FROM kw) JOIN lowered ON contains(body, keyword))"""
 
 
-def document_hits(t):
-    texts = t.documents.select("doc_id", F.lower("text").alias("body"))
-    return j.keyword_hits(texts, "doc_id", "body", benchmark_keywords(t), token="[a-z]+")
+def document_texts(t):
+    return t.documents.select("doc_id", F.lower("text").alias("body"))
 
 
 @query(
@@ -182,7 +181,7 @@ def document_hits(t):
     f"""WITH {KEYWORDS_SQL} SELECT DISTINCT item_id, doc_id FROM hits JOIN kw USING (keyword)""",
 )
 def j09(t):
-    return document_hits(t).join(benchmark_keywords(t), "keyword").select("item_id", "doc_id").distinct()
+    return j.item_hits(document_texts(t), "doc_id", "body", benchmark_keywords(t), "item_id", token="[a-z]+")
 
 
 def padded_code(number):
@@ -207,10 +206,10 @@ def j10(t):
     found = F.regexp_extract_all("body", F.lit(MAJOR_CODE), F.lit(1))
     wanted = j.code_keys(positions, ["p_partkey"], found, [3])
     offered = j.code_keys(majors, ["major_code"], F.array("major_code"), [3])
-    by_code = wanted.join(offered, ["match_type", "match_key"]).select("p_partkey", "major_code", "match_type")
+    by_code = j.counts_by_key(wanted, offered, "major_code").withColumnRenamed("rows", "position_count")
     names = majors.select(F.col("major_name").alias("keyword"), "major_code")
-    by_name = j.keyword_hits(positions, "p_partkey", "body", names).join(names, "keyword").select("p_partkey", "major_code", F.lit("name").alias("match_type"))
-    return by_code.unionByName(by_name).groupBy("major_code", "match_type").agg(F.count(F.lit(1)).alias("position_count"))
+    by_name = j.keyword_hits(positions, "p_partkey", "body", names).groupBy("keyword").agg(F.count(F.lit(1)).alias("position_count")).join(names, "keyword")
+    return by_code.unionByName(by_name.select("major_code", F.lit("name").alias("match_type"), "position_count"))
 
 
 def words_of(df, col: str = "text"):

@@ -15,13 +15,14 @@ from plumbline.operators.normalise import project_with_defaults, suffix_duplicat
 from plumbline.operators.sequence import dedupe, global_row_number, place_verdict
 from plumbline.plans import base
 from plumbline.plans.aggregates import COMPONENTS_SQL, POI_RULES, POI_SQL, SIGNAL_SQL, company_signals, line_pois, overall
-from plumbline.plans.joins import DISTRIBUTION, KEYWORDS_SQL, benchmark_keywords, distribution, document_hits, padded_code, places
+from plumbline.plans.joins import DISTRIBUTION, KEYWORDS_SQL, benchmark_keywords, distribution, document_texts, padded_code, places
 from plumbline.plans.projections import YEAR_PATTERNS, wide_orders
 from plumbline.plans.registry import fx, query
 from plumbline.plans.scans import DISTRICTS, GEOCODED, district_tree, geocoded
 from plumbline.functions.vocabulary import MAJOR_CODE
 from plumbline.rules import first_match, rule_frame, values_sql
 from plumbline.sources import files as f
+from plumbline.session import cut_lineage
 
 CAREER_RULES = [("A", "income", 2.0, 1.0, 50.0, "positive"), ("R", "stability", 1.0, 1.0, 50.0, "negative")]
 LATEST = "l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_extendedprice DESC"
@@ -207,12 +208,14 @@ def m07(t):
     code = padded_code(F.col("p_partkey") % 97)
     positions = t.part.select("p_partkey", "p_size", F.concat(F.lit("needs "), "p_name", F.lit(" or "), code).alias("body"))
     found = F.regexp_extract_all("body", F.lit(MAJOR_CODE), F.lit(1))
-    keys = j.code_keys(positions, ["p_partkey", "p_size"], found, [3])
-    by_code = keys.join(j.code_keys(majors, ["major_code"], F.array("major_code"), [3]), ["match_type", "match_key"]).select("p_partkey", "p_size", "major_code")
+    # whoever shares a code shares its prefix
+    prefix = lambda df, *cols: df.filter("match_type = 'code_prefix_3'").select(*cols, "match_key")
+    wanted = prefix(j.code_keys(positions, ["p_partkey", "p_size"], found, [3]), "p_partkey", "p_size")
+    offered = prefix(j.code_keys(majors, ["major_code"], F.array("major_code"), [3]), "major_code")
     names = majors.select(F.col("major_name").alias("keyword"), "major_code")
-    by_name = j.keyword_hits(positions, "p_partkey", "body", names).join(names, "keyword").join(positions.select("p_partkey", "p_size"), "p_partkey").select("p_partkey", "p_size", "major_code")
-    hits = by_code.unionByName(by_name).groupBy("major_code", "p_partkey").agg(F.max("p_size").alias("p_size"))
-    totals = hits.groupBy("major_code").agg(F.count(F.lit(1)).alias("position_count"), F.sum("p_size").alias("recruit_count"))
+    listed = j.keyword_hits(positions, "p_partkey", "body", names).join(names, "keyword").join(positions.select("p_partkey", "p_size"), "p_partkey").select("p_partkey", "p_size", "major_code")
+    totals = j.counts_either_way(wanted, offered, cut_lineage(listed.distinct(), "name-matches"), "major_code", "p_partkey", ["p_size"])
+    totals = totals.select("major_code", F.col("rows").alias("position_count"), F.col("p_size").alias("recruit_count"))
     scored = totals.withColumn("metric_value", fixed6(sc.log_score(F.col("recruit_count").cast("double"), 40.0, 100.0, 5000.0)))
     return scored.join(majors, "major_code")
 
@@ -224,8 +227,8 @@ def m07(t):
         SELECT item_id, count(*) AS position_count, CAST(sum(n_chars) AS BIGINT) AS metric_value, string_agg(doc_id, '|' ORDER BY rn) FILTER (WHERE rn <= 3) AS evidence, max(strength) AS best_strength FROM r GROUP BY 1""",
 )
 def m08(t):
-    pairs = document_hits(t).join(benchmark_keywords(t), "keyword")
-    strength = pairs.groupBy("item_id", "doc_id").agg(F.sum(F.length("keyword")).alias("strength")).join(t.documents.select("doc_id", "n_chars"), "doc_id")
+    found = j.item_strengths(document_texts(t), "doc_id", "body", benchmark_keywords(t), "item_id", token="[a-z]+")
+    strength = cut_lineage(found.join(t.documents.select("doc_id", "n_chars"), "doc_id"), "strengths")
     totals = strength.groupBy("item_id").agg(F.count(F.lit(1)).alias("position_count"), F.sum("n_chars").alias("metric_value"), F.max("strength").alias("best_strength"))
     top = r.top_per_group(strength, ["item_id"], [F.desc("strength"), F.desc("n_chars"), F.asc("doc_id")], 3)
     order = F.array_sort(F.collect_list(F.struct((-F.col("strength")).alias("s"), (-F.col("n_chars")).alias("n"), "doc_id")))

@@ -133,29 +133,47 @@ def r04(t):
     return matched.select("task_id", "name", F.col("matched_key").alias("matched_slot"), F.when(hit, "map_to_core_key").otherwise("").alias("review_decision"))
 
 
+CLAIMS = f"""{DECIDED}, {NAMES},
+  one AS (SELECT ship_year, supplier, name, count(*) AS n, min({{'batch': batch, 'slot': slot}}) AS claimed FROM package_names GROUP BY 1, 2, 3),
+  package_sides AS (SELECT ship_year, batch, supplier, package_slot AS slot, task_id AS package_task, issue_type AS issue, status, review_decision AS said FROM decided WHERE package_slot IS NOT NULL),
+  met AS (SELECT d.task_id AS core_task, c.name, one.n, s.package_task, s.issue, s.status, s.said, row_number() OVER (PARTITION BY s.package_task ORDER BY d.task_id) AS claim,
+      row_number() OVER (PARTITION BY s.package_task ORDER BY d.task_id DESC) AS claim_from_last
+    FROM decided d LEFT JOIN core_names c ON c.ship_year = d.ship_year AND c.batch = d.batch AND c.supplier = d.supplier AND c.slot = d.core_slot
+    LEFT JOIN one ON one.ship_year = d.ship_year AND one.supplier = d.supplier AND one.name = c.name
+    LEFT JOIN package_sides s ON one.n = 1 AND s.ship_year = d.ship_year AND s.supplier = d.supplier AND s.batch = one.claimed.batch AND s.slot = one.claimed.slot
+    WHERE d.issue_type = 'core_only_unmatched' AND d.status = 'todo'),
+  claims AS (SELECT *, CASE WHEN name IS NULL THEN 'missing_core_name' WHEN n IS NULL THEN 'no_match' WHEN n > 1 THEN 'ambiguous_match' WHEN package_task IS NULL THEN 'no_plan_task'
+      WHEN issue = 'package_only_unmatched' THEN CASE WHEN said IN ('', 'use_package', 'map_to_core_key') THEN 'exact_pair' ELSE 'blocked_decision' END
+      WHEN issue = 'value_drift' AND status = 'decided' AND said = 'use_package' THEN CASE WHEN claim = 1 THEN 'exact_drift_pair' ELSE 'has_other_task:value_drift:decided:remap_core' END
+      ELSE 'has_other_task:' || issue || ':' || status || ':' || said END AS reason FROM met),
+  pairs AS (SELECT core_task, package_task, reason, reason = 'exact_drift_pair' OR claim_from_last = 1 AS last FROM claims WHERE reason IN ('exact_pair', 'exact_drift_pair')),
+  answers AS (SELECT core_task AS task_id, package_task AS paired_task, 'pair_covered' AS decision FROM pairs
+    UNION ALL SELECT package_task, core_task, CASE reason WHEN 'exact_pair' THEN 'pair_replace' ELSE 'remap_core' END FROM pairs WHERE last)"""
+
+
+def claims_of(t, plan):
+    """Claims of open core-only tasks on the package rows of their name, whatever batch these are in."""
+    cores = plan.filter("issue_type = 'core_only_unmatched'")
+    return rc.pair_claims(plan, task_names(cores, names_of(t, "R"), "core"), names_of(t, "A"), ["ship_year", "supplier"], base.spec())
+
+
+def paired(t, plan):
+    """The plan with core-only rows paired with package rows by name."""
+    return rc.apply_pairs(plan, claims_of(t, plan), base.spec())
+
+
 @query(
     "r05_pair_decisions",
-    f"""WITH {base.PLAN}, {NAMES}, l AS (SELECT p.ship_year, p.supplier, n.name, count(*) AS n, min(task_id) AS core_task FROM plan p JOIN core_names n ON n.ship_year = p.ship_year AND n.batch = p.batch AND n.supplier = p.supplier AND n.slot = p.core_slot
-          WHERE issue_type = 'core_only_unmatched' GROUP BY 1, 2, 3),
-        q AS (SELECT p.ship_year, p.supplier, n.name, count(*) AS n, min(task_id) AS package_task FROM plan p JOIN package_names n ON n.ship_year = p.ship_year AND n.batch = p.batch AND n.supplier = p.supplier AND n.slot = p.package_slot
-          WHERE issue_type = 'package_only_unmatched' GROUP BY 1, 2, 3),
-        pairs AS (SELECT core_task, package_task FROM l JOIN q USING (ship_year, supplier, name) WHERE l.n = 1 AND q.n = 1),
-        both_ways AS (SELECT core_task AS task_id, package_task AS paired_task, 'pair_covered' AS decision FROM pairs UNION ALL SELECT package_task, core_task, 'pair_replace' FROM pairs)
-        SELECT task_id, paired_task, CASE WHEN paired_task IS NULL THEN 'todo' ELSE 'decided' END AS status, coalesce(decision, '') AS review_decision FROM plan LEFT JOIN both_ways USING (task_id)""",
+    f"""WITH {CLAIMS} SELECT d.task_id, paired_task, CASE WHEN paired_task IS NULL THEN d.status ELSE 'decided' END AS status, coalesce(decision, d.review_decision) AS review_decision
+        FROM decided d LEFT JOIN answers USING (task_id)""",
 )
 def r05(t):
-    return paired(t, cut_lineage(base.plan(t), "plan")).select("task_id", "paired_task", "status", "review_decision")
-
-
-def paired(t, plan):
-    """The plan with open tasks of both sides paired by name."""
+    return paired(t, cut_lineage(decided(t), "decided")).select("task_id", "paired_task", "status", "review_decision")
 
-    def named(issue, flag, side):
-        tasks = plan.filter((F.col("issue_type") == issue) & (F.col("status") == "todo"))
-        return tasks.join(task_names(tasks, names_of(t, flag), side), "task_id").select("ship_year", "supplier", "name", "task_id")
 
-    pairs = rc.pair_by_name(named("core_only_unmatched", "R", "core"), named("package_only_unmatched", "A", "package"), ["ship_year", "supplier"])
-    return rc.apply_pairs(plan, pairs, base.spec())
+@query("r05_pair_claims", f"WITH {CLAIMS} SELECT core_task, CASE WHEN reason IN ('exact_pair', 'exact_drift_pair') THEN package_task END AS package_task, reason FROM claims")
+def r05_claims(t):
+    return claims_of(t, cut_lineage(decided(t), "decided")).drop("place")
 
 
 EDITABLE = ["status", "review_decision", "reviewer", "notes"]
@@ -311,16 +329,11 @@ def r09(t):
     return r.merge_batch(rebuilt, verified, ["entity_code", "metric_key"], ["status", "metric_value"]).drop("is_changed", "changed_cells")
 
 
-PAIRED = f"""{DECIDED}, {NAMES},
-  lefts AS (SELECT p.ship_year, p.supplier, n.name, count(*) AS n, min(task_id) AS core_task FROM decided p JOIN core_names n ON n.ship_year = p.ship_year AND n.batch = p.batch AND n.supplier = p.supplier AND n.slot = p.core_slot
-    WHERE issue_type = 'core_only_unmatched' AND status = 'todo' GROUP BY 1, 2, 3),
-  rights AS (SELECT p.ship_year, p.supplier, n.name, count(*) AS n, min(task_id) AS package_task FROM decided p JOIN package_names n ON n.ship_year = p.ship_year AND n.batch = p.batch AND n.supplier = p.supplier AND n.slot = p.package_slot
-    WHERE issue_type = 'package_only_unmatched' AND status = 'todo' GROUP BY 1, 2, 3),
-  pairs AS (SELECT core_task, package_task FROM lefts JOIN rights USING (ship_year, supplier, name) WHERE lefts.n = 1 AND rights.n = 1)"""
-PUBLISHED = f"""{PAIRED}, published AS (SELECT task_id, ship_year, batch, supplier, CASE WHEN review_decision IN ('keep_core', 'map_to_core_key') THEN core_slot ELSE package_slot END AS slot,
+PUBLISHED = f"""{CLAIMS}, published AS (SELECT task_id, ship_year, batch, supplier, CASE WHEN review_decision IN ('keep_core', 'map_to_core_key') THEN core_slot ELSE package_slot END AS slot,
   CASE WHEN review_decision = 'keep_core' THEN core_min_quantity ELSE package_min_quantity END AS min_quantity, CASE WHEN review_decision = 'keep_core' THEN core_fee ELSE package_fee END AS fee
-  FROM decided WHERE review_decision IN ('use_package', 'keep_core', 'map_to_core_key')
-  UNION ALL SELECT q.task_id, c.ship_year, c.batch, c.supplier, c.core_slot, q.package_min_quantity, q.package_fee FROM pairs JOIN decided c ON c.task_id = core_task JOIN decided q ON q.task_id = package_task)"""
+  FROM decided WHERE review_decision IN ('use_package', 'keep_core', 'map_to_core_key') AND task_id NOT IN (SELECT task_id FROM answers)
+  UNION ALL SELECT q.task_id, c.ship_year, c.batch, c.supplier, c.core_slot, q.package_min_quantity, q.package_fee
+  FROM answers a JOIN decided c ON c.task_id = a.paired_task JOIN decided q ON q.task_id = a.task_id WHERE a.decision <> 'pair_covered')"""
 
 
 @query("r10_publish", f"WITH {PUBLISHED} SELECT * FROM published")
@@ -335,7 +348,8 @@ def r10_ambiguous(t):
 
 @query(
     "r11_delete_plan",
-    f"""WITH {DECIDED} SELECT ship_year, batch, supplier, core_slot AS slot, 'excluded' AS reason, count(*) AS task_count FROM decided WHERE review_decision = 'exclude_core' GROUP BY 1, 2, 3, 4""",
+    f"""WITH {CLAIMS} SELECT ship_year, batch, supplier, core_slot AS slot, CASE decision WHEN 'remap_core' THEN 'rekeyed' ELSE 'excluded' END AS reason, count(*) AS task_count
+        FROM decided LEFT JOIN answers USING (task_id) WHERE coalesce(decision, review_decision) IN ('exclude_core', 'remap_core') GROUP BY ALL""",
 )
 def r11(t):
     """All tasks decided: by rule, by pair, and the rest skipped by a reviewer. Core rows that pairs cover are not deleted."""

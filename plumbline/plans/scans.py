@@ -112,12 +112,12 @@ def s05_errors(t):
     return pk.package_errors(registry(t))
 
 
-@query("s06_candidate_glob", "SELECT doc_id, n_chars, lang AS candidate_folder FROM documents WHERE lang IN ('de', 'es')")
+@query("s06_candidate_glob", "SELECT doc_id, n_chars, coalesce(lang, '__HIVE_DEFAULT_PARTITION__') AS candidate_folder FROM documents")
 def s06(t):
     root = new_folder(t.spark, "candidates")
     t.documents.select("doc_id", "n_chars", "lang").write.partitionBy("lang").option("header", True).csv(root)
-    rows = f.scan_candidates(t.spark, root + "/lang={de,es}/*.csv", "doc_id bigint, n_chars bigint")
-    folder = F.regexp_extract("candidate_file", "lang=([a-z]+)/", 1)
+    rows = f.scan_candidates(t.spark, root + "/lang=*/*.csv", "doc_id bigint, n_chars bigint")
+    folder = F.regexp_extract("candidate_file", "lang=([^/]+)/", 1)
     return rows.select("doc_id", "n_chars", folder.alias("candidate_folder"))
 
 

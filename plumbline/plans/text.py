@@ -8,6 +8,7 @@ from plumbline.functions import scoring as sc
 from plumbline.functions import values as v
 from plumbline.functions import vocabulary as vocab
 from plumbline.operators import evidence as e
+from plumbline.operators import links
 from plumbline.operators.sequence import context_lines
 from plumbline.plans.registry import fx, query
 from plumbline.plans.windows import CONTEXT, OBS, observations
@@ -114,16 +115,17 @@ def t04(t):
 
 @query(
     "t05_attachment_links",
-    """WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 1)) AS href, unnest(regexp_extract_all(html, '<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 2)) AS label,
+    """WITH l AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') AS host, unnest(regexp_extract_all(html, '<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 1)) AS href, unnest(regexp_extract_all(html, '<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 2)) AS label,
          lower(regexp_extract(html, '<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 2)) AS stem FROM pages),
-       s AS (SELECT page_id, href, CASE WHEN stem <> '' AND contains(lower(href) || ' ' || lower(trim(label)), stem) THEN 5 ELSE 0 END AS score FROM l WHERE href <> '' AND NOT starts_with(href, '#'))
+       s AS (SELECT page_id, host || href AS href, CASE WHEN stem <> '' AND contains(lower(host || href) || ' ' || lower(trim(label)), stem) THEN 5 ELSE 0 END AS score FROM l WHERE starts_with(href, '/'))
        SELECT page_id, href, score FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, href DESC) AS rn FROM s WHERE score > 0) WHERE rn = 1""",
 )
 def t05(t):
+    """Every page is searched for the file that its first link's label names; the tables' links are paths on their page's host."""
     first = F.regexp_extract("html", '<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 2)
     targets = t.pages.select("page_id", F.concat(first, F.lit(".pdf")).alias("target"))
-    links = e.page_links(t.pages, "page_id", "html").join(targets, "page_id")
-    return e.best_links(links, "page_id", e.link_score(F.col("href"), F.col("label"), F.col("target")))
+    found = links.page_links(t.pages, "page_id", "url", "html").join(targets, "page_id")
+    return links.best_links(found, "page_id", links.link_score(F.col("address"), F.col("file"), F.col("label"), F.col("target")))
 
 
 def catalog_lines(t):
@@ -165,12 +167,14 @@ def t07(t):
 
 @query(
     "t08_distribution_lines",
-    f"""WITH {OBS}, r AS (SELECT *, row_number() OVER (PARTITION BY subject, score_year, score ORDER BY image DESC, block DESC, position DESC) AS rn FROM obs WHERE score >= 10)
-        SELECT subject, score_year, CAST(score AS BIGINT) AS score, score_count, cumulative_rank FROM r WHERE rn = 1""",
+    rf"""WITH {OBS}, m AS (SELECT subject, score_year, image, block, position, unnest(regexp_extract_all(raw_text, '(\d{{2,3}})\s+([\d,]+)\s+([\d,]+)', 1)) AS score,
+          unnest(regexp_extract_all(raw_text, '(\d{{2,3}})\s+([\d,]+)\s+([\d,]+)', 2)) AS n, unnest(regexp_extract_all(raw_text, '(\d{{2,3}})\s+([\d,]+)\s+([\d,]+)', 3)) AS cum FROM obs),
+        r AS (SELECT *, row_number() OVER (PARTITION BY subject, score_year, score ORDER BY image DESC, block DESC, position DESC) AS rn FROM m)
+        SELECT subject, score_year, CAST(score AS BIGINT) AS score, CAST(n AS BIGINT) AS score_count, CAST(cum AS BIGINT) AS cumulative_rank FROM r WHERE rn = 1""",
 )
 def t08(t):
-    lines = observations(t).filter("mark > 1 AND true_score >= 10")
-    return e.distribution_rows(lines, ["subject", "score_year"], ["image", "block", "position"], "raw_text")
+    """Every printed line, readable or not; what is no row of two or three digits and two numbers is no score."""
+    return e.distribution_rows(observations(t), ["subject", "score_year"], ["image", "block", "position"], "raw_text")
 
 
 @query(

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+from urllib.parse import quote, urlsplit
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +32,7 @@ def write_packages(df: DataFrame, contract: TableContract, root: str, partition:
     """Contract columns as one Parquet folder per package, with the quality report and the manifest beside them.
 
     A table with faulty packages is refused before anything is written. Rows are not gathered by package first: a package of any
-    size is written by all its tasks. ``rows_per_file`` bounds the files, each of which is hashed as a whole.
+    size is written by all its tasks. ``rows_per_file`` bounds the rows of a file.
     """
     spark = df.sparkSession
     report_path = f"{root}/_quality/{contract.name}"
@@ -49,13 +56,41 @@ def read_quality(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema("package_id string, row_count bigint, missing_required bigint, duplicate_keys bigint, error_count bigint").json(f"{root}/_quality/{table}")
 
 
+#: Bytes of a file that a task holds at once.
+PIECE_BYTES = 4 << 20
+#: Stores that tasks can read by themselves; the addresses of others are read by Spark, a file a row.
+STREAMED = ("file", "hdfs", "s3", "gs")
+
+
 def file_hashes(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """SHA-256 of every file of a table, with its package and its path below the root."""
+    """SHA-256 of every file of a table, with its package and its path below the root.
+
+    Files are listed without their contents and dealt to tasks by their sizes; a task reads each in pieces and updates the hash,
+    so that a file of any size takes a piece of memory. In a store that only Spark reads, a file has to fit a row.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(f"{root}/{table}")
+    first = files.select("path").first()
+    if first is None or urlsplit(first["path"]).scheme in STREAMED:
+        hashed = files.select("path").mapInArrow(_hashed, "path string, file_sha256 string")
+    else:
+        hashed = files.select("path", F.sha2("content", 256).alias("file_sha256"))
     relative = F.regexp_extract("path", f"({table}/.*)$", 1)
-    return files.select(
-        F.regexp_extract("path", r"package_id=([^/]*)/", 1).alias("package_id"), relative.alias("file_path"), F.sha2("content", 256).alias("file_sha256")
-    )
+    return hashed.select(F.regexp_extract("path", r"package_id=([^/]*)/", 1).alias("package_id"), relative.alias("file_path"), "file_sha256")
+
+
+def _hashed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in rows:
+        paths = batch.column(0).to_pylist()
+        digests = []
+        for path in paths:
+            # one slash, as Spark writes local files, is none of an address
+            store, inside = fs.FileSystem.from_uri(quote(re.sub("^file:/(?!/)", "file:///", path), safe=":/"))
+            digest = hashlib.sha256()
+            with store.open_input_stream(inside) as stream:
+                while piece := stream.read(PIECE_BYTES):
+                    digest.update(piece)
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(digests, pa.string())], ["path", "file_sha256"])
 
 
 def manifest(spark: SparkSession, root: str, contract: TableContract, version: str) -> DataFrame:

@@ -89,6 +89,62 @@ def test_a_pair_is_published_under_the_core_key_and_deletes_nothing(frame):
     assert rows(rc.delete_plan(plan, pair_spec()), "scope", "slot", "reason", "task_count") == [("s", 30, "excluded", 1), ("s", 40, "rekeyed", 1)]
 
 
+CLAIM_TASKS = "task_id int, issue_type string, status string, review_decision string, scope string, package_slot int, core_slot int, package_v int, core_v int"
+
+
+def claim_plan(frame):
+    """Hand-made tasks: 1-12 core-only rows, 20-27 package rows, a name for each."""
+    core = lambda i, status="todo": (i, "core_only_unmatched", status, "", "s", None, 100 + i, None, i)
+    package = lambda i, issue, status, decision, core=None: (i, issue, status, decision, "s", 200 + i, core, i, core and core + 1)
+    plan = frame(
+        CLAIM_TASKS,
+        *[core(i) for i in range(1, 12)], core(12, "decided"),
+        package(20, "package_only_unmatched", "todo", ""), package(21, "package_only_unmatched", "decided", "map_to_core_key", 900),
+        package(22, "package_only_unmatched", "decided", "skip"), package(23, "value_drift", "decided", "use_package", 223),
+        package(24, "value_drift", "decided", "keep_core", 224), package(25, "rekey_candidate", "todo", "", 925),
+        package(26, "package_only_unmatched", "todo", ""), package(27, "package_only_unmatched", "todo", ""),
+    )
+    names = ["open", "open", "mapped", "skipped", "drift", "drift", "kept", "rekey", "twice", "nobody", "unplanned", "open"]
+    core_names = frame("task_id int, name string", *[(i, n) for i, n in enumerate(names, 1) if i != 10], (10, ""))
+    of = {20: "open", 21: "mapped", 22: "skipped", 23: "drift", 24: "kept", 25: "rekey", 26: "twice", 27: "twice"}
+    candidates = frame("scope string, slot int, name string", *[("s", 200 + i, n) for i, n in of.items()], ("s", 300, "unplanned"), ("t", 301, "nobody"))
+    return plan, core_names, candidates
+
+
+def test_claims_in_plan_order(frame):
+    plan, names, candidates = claim_plan(frame)
+    claims = rc.pair_claims(plan, names, candidates, ["scope"], pair_spec())
+    assert rows(claims, "core_task", "package_task", "reason") == sorted(
+        [
+            (1, 20, "exact_pair"), (2, 20, "exact_pair"), (3, 21, "exact_pair"), (4, None, "blocked_decision"), (5, 23, "exact_drift_pair"),
+            (6, None, "has_other_task:value_drift:decided:remap_core"), (7, None, "has_other_task:value_drift:decided:keep_core"),
+            (8, None, "has_other_task:rekey_candidate:todo:"), (9, None, "ambiguous_match"), (10, None, "missing_core_name"), (11, None, "no_plan_task"),
+        ], key=repr,
+    )
+    done = rc.apply_pairs(plan, claims, pair_spec())
+    found = {r["task_id"]: (r["status"], r["review_decision"], r["paired_task"], r["paired_key"] and r["paired_key"]["slot"]) for r in done.collect()}
+    assert found[1] == ("decided", "pair_covered", 20, None) and found[2] == ("decided", "pair_covered", 20, None)
+    assert found[20] == ("decided", "pair_replace", 2, 102)  # the last claim gives the key
+    assert found[21] == ("decided", "pair_replace", 3, 103)
+    assert found[23] == ("decided", "remap_core", 5, 105)
+    assert found[6] == ("todo", "", None, None) and found[22] == ("decided", "skip", None, None)
+
+
+def test_a_remapped_row_is_published_under_its_target_and_its_own_core_row_deleted_once(frame):
+    plan, names, candidates = claim_plan(frame)
+    done = rc.apply_pairs(plan, rc.pair_claims(plan, names, candidates, ["scope"], pair_spec()), pair_spec()).withColumn("status", F.lit("decided"))
+    published = {r["task_id"]: (r["slot"], r["v"]) for r in rc.publish(done, pair_spec()).collect()}
+    assert published == {20: (102, 20), 21: (103, 21), 23: (105, 23), 24: (224, 225)}
+    assert rows(rc.delete_plan(done, pair_spec()), "slot", "reason", "task_count") == [(223, "rekeyed", 1)]
+
+
+def test_claims_within_a_limit(frame):
+    plan, names, candidates = claim_plan(frame)
+    claims = rc.pair_claims(plan, names, candidates, ["scope"], pair_spec(), limit=2)
+    assert {r["core_task"]: r["reason"] for r in claims.filter("reason like 'exact%' or reason = 'over_limit'").collect()} == {1: "exact_pair", 2: "exact_pair", 3: "over_limit", 5: "over_limit"}
+    assert claims.filter("package_task is not null").count() == 2
+
+
 def test_delete_plan_refuses_open_tasks_and_repeated_keys(frame):
     with pytest.raises(Exception, match="not decided"):
         rc.delete_plan(frame(TASKS, (1, "todo", "", "s", None, 1, None, 1)), pair_spec()).collect()

@@ -1,11 +1,16 @@
 """Text evidence on hand-made lines."""
 
+import base64
+import json
+from urllib.parse import quote
+
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline.functions import values as v
 from plumbline.functions import vocabulary as vocab
 from plumbline.operators import evidence as e
+from plumbline.operators import links
 
 from .conftest import rows
 
@@ -90,9 +95,52 @@ def test_ranking_reports_a_short_list(frame):
 
 
 def test_link_score(frame):
-    df = frame("h string, l string", ("/a/report.pdf", "download"), ("/x", "report"), ("#top", "report.pdf"), ("/y.pdf", "other"))
-    scored = df.select("h", e.link_score(F.col("h"), F.col("l"), F.lit("report.pdf")).alias("s"))
-    assert rows(scored) == [("#top", 14), ("/a/report.pdf", 26), ("/x", 5), ("/y.pdf", 3)]
+    df = frame("h string, f string, l string", ("http://x/report.pdf", "report.pdf", "x"), ("/a/b.doc", "b.doc", "The Report here"), ("/a", "a", "none"), ("/r?x=report.pdf", "r", ""), ("/z.xls", "z.xls", ""))
+    scored = df.select("h", links.link_score(F.col("h"), F.col("f"), F.col("l"), F.lit(" report.pdf ")).alias("s"))
+    assert dict(rows(scored)) == {"http://x/report.pdf": 10 + 8 + 5 + 2 + 1, "/a/b.doc": 5 + 2 + 1, "/a": 0, "/r?x=report.pdf": 8 + 5 + 2 + 1, "/z.xls": 0}
+
+
+PAGE = "http://site.cn/jy/2024/index.htm?page=2"
+
+
+@pytest.mark.parametrize(
+    "html, href, label",
+    [
+        ("<a href='report.pdf'>2024 Report</a>", "http://site.cn/jy/2024/report.pdf", "2024 Report"),
+        ("<a class=x href=../b/r.pdf target=_blank><b>The</b>\n report<i> file</i></a>", "http://site.cn/jy/b/r.pdf", "The\n report file"),
+        ('<A HREF="/down?id=3&amp;n=r.pdf">r&eacute;port</A>', "http://site.cn/down?id=3&n=r.pdf", "r\xe9port"),
+        ('<a href="?file=r.pdf">q</a>', "http://site.cn/jy/2024/index.htm?file=r.pdf", "q"),
+        ('<a href="//cdn.cn/r.pdf">cdn</a>', "http://cdn.cn/r.pdf", "cdn"),
+        ('<a href="/view?fileUrl=http%3A%2F%2Fcdn.cn%2Fa.pdf">v</a>', "http://cdn.cn/a.pdf", "v"),
+        ('<a href="/view?fileUrl=http%3A%2F%2Fcdn.cn%2Fa.png">v</a>', "http://site.cn/view?fileUrl=http%3A%2F%2Fcdn.cn%2Fa.png", "v"),
+    ],
+)
+def test_addresses_as_pages_print_them(html, href, label):
+    assert links.links_of(PAGE, html) == [(links.ANCHOR, href, label)]
+
+
+def test_odd_anchors():
+    assert links.links_of(PAGE, '<a href="#top">up</a><a>none</a><a name="n">n</a><a href="">e</a><a href="http://[bad">b</a><a href="/open">never closed') == []
+    nested = links.links_of("", '<a href="/one">one <a href="/two">two</a> rest</a>')
+    assert nested == [(links.ANCHOR, "/two", "two")]
+
+
+def test_tiers(frame):
+    told = base64.b64encode(quote(json.dumps({"att_clouddisk": {"downPath": "/cloud/report.pdf", "playUrl": " http://p.cn/report.pdf "}})).encode()).decode()
+    cloud, viewer = f'<iframe name="{told}"></iframe><iframe name="!!"></iframe>', "<script>showVsbpdfIframe('/v/report.pdf?x=1', 1)</script>"
+    anchor, unfit = '<a href="/other/file.zip">get</a>', '<a href="/about">about</a>'
+    pages = frame(
+        "page_id int, url string, html string",
+        (1, PAGE, anchor + cloud + viewer), (2, PAGE, unfit + cloud + viewer), (3, PAGE, unfit + viewer), (4, PAGE, unfit), (5, PAGE, None), (6, None, "<a href='a%2Freport.pdf'>x</a>"),
+    )
+    found = links.page_links(pages, "page_id", "url", "html")
+    best = links.best_links(found, "page_id", links.link_score(F.col("address"), F.col("file"), F.col("label"), F.lit("report.pdf")))
+    assert rows(best) == [
+        (1, "http://site.cn/other/file.zip", 3),
+        (2, "http://site.cn/cloud/report.pdf", 26),
+        (3, "http://site.cn/v/report.pdf?x=1", 24),
+        (6, "a%2Freport.pdf", 26),
+    ]
 
 
 def test_catalog_and_long_documents(frame):
