@@ -27,6 +27,27 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
 
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "0BSD": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>""",
     "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
 
 Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
@@ -54,6 +75,9 @@ TITLES = {
     "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
     "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
     "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "The BSD 3-Clause License", "New BSD License"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "0BSD License"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
     "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"),
 }
 NOTICES |= {f"{title}\n\n{LICENSES[name]}": name for name, titles in TITLES.items() for title in titles}
@@ -124,24 +148,49 @@ def digest(text: Column) -> Column:
     return F.sha2(F.encode(canonical(text), "utf-8"), 256)
 
 
-def known_licenses(spark: SparkSession) -> DataFrame:
-    """digest and license of every known text: some dozens of rows, fixed in this module."""
+#: Known texts at most: their digests are held by every task.
+MOST_KNOWN = 20_000
+#: What a line of a known text has to hold to be worth a digest.
+LINE_WORDS = "licen[cs]e|software|warrant"
+
+
+def known_texts(spark: SparkSession) -> DataFrame:
+    """text and license of every text that this module knows: some dozens of rows."""
     texts = [*((text, name) for name, text in LICENSES.items()), *NOTICES.items(), *((f"SPDX-License-Identifier: {x}", x) for x in SPDX)]
-    return spark.createDataFrame(texts, "text string, license string").select(digest(F.col("text")).alias("digest"), "license")
+    return spark.createDataFrame(texts, "text string, license string")
+
+
+def license_files(spark: SparkSession, folder: str) -> DataFrame:
+    """text and license of the files of a folder; a file's name without its ending is its licence."""
+    files = spark.read.text(folder, wholetext=True).select(F.col("value").alias("text"), F.col("_metadata.file_name").alias("name"))
+    return files.select("text", F.regexp_replace("name", r"\.(?i:txt|md)$", "").alias("license"))
+
+
+def known_licenses(spark: SparkSession, texts: DataFrame | None = None) -> DataFrame:
+    """digest and license of known texts (text, license; this module's own if None); the smallest name of texts that are alike."""
+    texts = known_texts(spark) if texts is None else texts
+    return texts.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """doc_id, digest (of the whole canonical text), license (of the whole text, or null), notices (licences that whole lines
     name, each once, in order of name, joined by commas; empty if none); one row per row of docs.
 
-    docs: doc_id, text; other columns are left aside. Null texts count as empty. Lines are what line feeds part.
+    docs: doc_id, text; other columns are left aside. Null texts count as empty. Lines are what line feeds part. texts: known
+    texts with their licences, as from known_texts (the default) or license_files; more than MOST_KNOWN are refused.
     """
-    known = F.broadcast(known_licenses(docs.sparkSession))
+    spark = docs.sparkSession
+    given = known_texts(spark) if texts is None else texts
+    names = {row["digest"]: row["license"] for row in known_licenses(spark, given).limit(MOST_KNOWN + 1).collect()}
+    if len(names) > MOST_KNOWN:
+        raise ValueError(f"more than {MOST_KNOWN} known texts")
+    known = F.broadcast(spark.createDataFrame(sorted(names.items()), "digest string, license string"))
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", digest(text).alias("digest"), text.alias("text"))
-    names = {row["digest"]: row["license"] for row in known.collect()}
-    by_digest = F.create_map(*(F.lit(x) for pair in sorted(names.items()) for x in pair))
-    # only lines with a word that licences have are worth a digest
-    lines = F.filter(F.split("text", "\n"), lambda line: F.lower(line).rlike("licen[cs]e|software|warrant"))
+    by_digest = F.create_map(*(F.lit(x) for pair in sorted(names.items()) for x in pair)) if names else F.lit(None).cast("map<string,string>")
+    # only lines with a word that all known texts have are worth a digest
+    lines = F.split("text", "\n")
+    if given.filter(~F.lower("text").rlike(LINE_WORDS)).isEmpty():
+        lines = F.filter(lines, lambda line: F.lower(line).rlike(LINE_WORDS))
     found = F.array_sort(F.array_distinct(F.filter(F.transform(lines, lambda line: F.try_element_at(by_digest, digest(line))), lambda x: x.isNotNull())))
     return rows.join(known, "digest", "left").select("doc_id", "digest", "license", F.array_join(found, ",").alias("notices"))

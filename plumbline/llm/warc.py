@@ -51,7 +51,7 @@ def records(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> Dat
 
     Of pages with equal payloads of min_revisit_bytes or more, the one with the smallest page_id becomes a response and the others
     revisits of it; rows that repeat this page_id are responses all. Pages without id revisit, unless no page has one. Control
-    characters and blanks in a url are written as %20; a null url gives no target header.
+    characters and blanks in a url are written as %20, the slash of a record's magic as %2F; a null url gives no target header.
     """
     rows = with_digests(pages)
     # only payloads that occur more than once; as a table its size is known, so it is broadcast exactly when it is small
@@ -68,7 +68,7 @@ def records(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> Dat
         F.when(revisit, F.lit("WARC-Type: revisit")).otherwise(F.lit("WARC-Type: response")),
         F.concat(F.lit("WARC-Record-ID: "), urn("page_id")),
         F.lit(f"WARC-Date: {DATE}"),
-        F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")),
+        F.concat(F.lit("WARC-Target-URI: "), F.replace(F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20"), F.lit(MAGIC), F.lit(MAGIC.replace("/", "%2F")))),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
         F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), urn("first"))),
         F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}")),

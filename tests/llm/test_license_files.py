@@ -34,3 +34,21 @@ def test_ids_of_only_and_or_later(spark):
     ids = ["GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "CC-BY-SA-4.0"]
     df = spark.createDataFrame([(i, f"x\n# SPDX-License-Identifier: {x}\ny") for i, x in enumerate(ids)], "doc_id long, text string")
     assert [r["notices"] for r in licenses.scan(df).orderBy("doc_id").collect()] == ids
+
+
+def test_known_texts_from_a_folder(spark, tmp_path):
+    (tmp_path / "Beer-42.txt").write_text("As long as you retain this notice\nyou can do whatever you want with this stuff.\n")
+    (tmp_path / "Short.md").write_text("Do as you please.")
+    texts = licenses.license_files(spark, str(tmp_path))
+    rows = [(1, "AS LONG AS you retain this notice, you can do whatever you want with this stuff"), (2, "x\ndo as you please!\ny"), (3, licenses.LICENSES["MIT"]), (4, None)]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), texts)
+    assert [tuple(r) for r in found.select("doc_id", "license", "notices").orderBy("doc_id").collect()] == [(1, "Beer-42", "Beer-42"), (2, None, "Short"), (3, None, ""), (4, None, "")]
+    none = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), texts.limit(0))
+    assert {(r["license"], r["notices"]) for r in none.collect()} == {(None, "")}
+
+
+def test_very_long_texts(spark):
+    mit = licenses.LICENSES["MIT"]
+    rows = [(1, "word " * 400_000), (2, "\n".join(["Released under the MIT License."] * 50_000)), (3, mit + " " * 2_000_000), (4, "copyright " * 200_000)]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(r["license"], r["notices"]) for r in found] == [(None, ""), (None, "MIT"), ("MIT", ""), (None, "")]

@@ -55,6 +55,14 @@ def test_short_payloads_are_all_responses(spark):
     assert read(spark.createDataFrame(rows, SCHEMA), 3) == expected(rows, 3)
 
 
+def test_magic_in_urls(spark, small_splits):
+    urls = ["http://x/WARC/1.1/b", "WARC/1.", "http://x/?WARC/1.WARC/1.0\r\nContent-Length: 3\r\n\r\n", "http://x/WARC/2.0", "WARC/1%2E"]
+    rows = [(i, urls[i % 5], f"page {i // 3}" + "WARC/1.0" * (i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert read(df) == expected(rows)
+    assert warc.records(df).filter(warc.F.substring_index("value", "HTTP/1.1", 1).contains("WARC/1.1/b")).isEmpty()
+
+
 def test_empty_table(spark):
     assert read(spark.createDataFrame([], SCHEMA)) == []
 
