@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.scoring import EARTH_RADIUS_KM, haversine_km
-from plumbline.operators.sequence import global_row_number
 from plumbline.rules import first_match
 from plumbline.session import cut_lineage
 
@@ -195,8 +194,8 @@ WORD_BITS = 64
 
 
 def numbered(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Distinct values of a column with dense numbers from 0, as a table."""
-    return cut_lineage(global_row_number(df.select(column).distinct(), [F.asc(column)], "_n").select(column, (F.col("_n") - 1).alias(name)), "numbers")
+    """Distinct values of a column with numbers, as a table; numbers are dense but for a new beginning in each task's rows."""
+    return cut_lineage(df.select(column).distinct().withColumn(name, F.monotonically_increasing_id()), "numbers")
 
 
 def _bits(number: str) -> list[Column]:
@@ -213,7 +212,7 @@ def _set_bits(number: str) -> Column:
 def item_hits(texts: DataFrame, id_col: str, text_col: str, keywords: DataFrame, item: str, token: str | None = None) -> DataFrame:
     """(item, text id) of every text that holds one of the item's keywords; keywords: item, keyword.
 
-    Items get dense numbers, and a keyword's items are a bitmap in words of 64. A token's bitmap is that of its keywords taken
+    Items get numbers, and a keyword's items are a bitmap in words of 64. A token's bitmap is that of its keywords taken
     together, a text's that of its distinct tokens; items are told apart only when a text's bitmap is known, so that no row stands
     for a text, a keyword and an item.
     """

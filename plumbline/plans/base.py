@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.operators.normalise import task_grid
 from plumbline.operators.reconcile import Reconcile, reconciliation_plan
 from plumbline.rules import first_match
+from plumbline.session import cut_lineage
 
 KEY = ["ship_year", "batch", "supplier", "slot"]
 MATCH = ["ship_year", "batch", "supplier"]
@@ -15,22 +16,33 @@ VARIANT = ["slot"]
 COMPARE = ["min_quantity", "fee"]
 
 
+def snapshots(t) -> DataFrame:
+    """Lines at the grain return flag, year, status, supplier, line slot, with the highest part."""
+    held = vars(t).get("_snapshots")
+    if held is not None:
+        return held
+    return t.lineitem.groupBy(
+        "l_returnflag",
+        F.year("l_shipdate").alias("ship_year"),
+        F.col("l_linestatus").alias("batch"),
+        F.col("l_suppkey").alias("supplier"),
+        F.col("l_linenumber").alias("slot"),
+    ).agg(
+        F.min("l_quantity").cast("int").alias("min_quantity"),
+        F.max(F.round(F.col("l_tax") * 100)).cast("int").alias("fee"),
+        F.count(F.lit(1)).alias("line_count"),
+        F.max("l_partkey").alias("p_partkey"),
+    )
+
+
+def share_snapshots(t) -> None:
+    """Lines are read once for all snapshots and names of this query."""
+    vars(t)["_snapshots"] = cut_lineage(snapshots(t), "snapshots")
+
+
 def snapshot(t, flag: str) -> DataFrame:
     """Lines of one return flag at the grain year, status, supplier, line slot."""
-    return (
-        t.lineitem.filter(F.col("l_returnflag") == flag)
-        .groupBy(
-            F.year("l_shipdate").alias("ship_year"),
-            F.col("l_linestatus").alias("batch"),
-            F.col("l_suppkey").alias("supplier"),
-            F.col("l_linenumber").alias("slot"),
-        )
-        .agg(
-            F.min("l_quantity").cast("int").alias("min_quantity"),
-            F.max(F.round(F.col("l_tax") * 100)).cast("int").alias("fee"),
-            F.count(F.lit(1)).alias("line_count"),
-        )
-    )
+    return snapshots(t).filter(F.col("l_returnflag") == flag).drop("l_returnflag", "p_partkey")
 
 
 def package(t) -> DataFrame:

@@ -88,16 +88,7 @@ def r03_limited(t):
 
 def names_of(t, flag):
     """Name of every snapshot key: the type of its highest part."""
-    last = (
-        t.lineitem.filter(F.col("l_returnflag") == flag)
-        .groupBy(
-            F.year("l_shipdate").alias("ship_year"),
-            F.col("l_linestatus").alias("batch"),
-            F.col("l_suppkey").alias("supplier"),
-            F.col("l_linenumber").alias("slot"),
-        )
-        .agg(F.max("l_partkey").alias("p_partkey"))
-    )
+    last = base.snapshots(t).filter(F.col("l_returnflag") == flag).select(*base.KEY, "p_partkey")
     return last.join(t.part.select("p_partkey", F.col("p_type").alias("name")), "p_partkey").drop("p_partkey")
 
 
@@ -168,11 +159,13 @@ def paired(t, plan):
         FROM decided d LEFT JOIN answers USING (task_id)""",
 )
 def r05(t):
+    base.share_snapshots(t)
     return paired(t, cut_lineage(decided(t), "decided")).select("task_id", "paired_task", "status", "review_decision")
 
 
 @query("r05_pair_claims", f"WITH {CLAIMS} SELECT core_task, CASE WHEN reason IN ('exact_pair', 'exact_drift_pair') THEN package_task END AS package_task, reason FROM claims")
 def r05_claims(t):
+    base.share_snapshots(t)
     return claims_of(t, cut_lineage(decided(t), "decided")).drop("place")
 
 
@@ -221,12 +214,12 @@ def r06(t):
 
 @query(
     "r06_batch_problems",
-    """WITH b AS (SELECT nullif(user_id, 0) AS k, count(*) AS row_count FROM events WHERE event_type = 'error' OR value > 40 GROUP BY 1)
+    """WITH b AS (SELECT nullif(user_id, 0) AS k, count(*) AS row_count FROM events GROUP BY 1)
        SELECT k AS s_suppkey, row_count, problem FROM (SELECT k, row_count, unnest(list_filter([CASE WHEN k IS NULL THEN 'blank_key' END, CASE WHEN row_count > 1 THEN 'duplicate_key' END,
          CASE WHEN k IS NOT NULL AND k NOT IN (SELECT s_suppkey FROM supplier) THEN 'unknown_key' END], lambda x: x IS NOT NULL)) AS problem FROM b)""",
 )
 def r06_problems(t):
-    batch = t.events.filter("event_type = 'error' OR value > 40").select(F.nullif(F.col("user_id"), F.lit(0)).alias("s_suppkey"))
+    batch = t.events.select(F.nullif(F.col("user_id"), F.lit(0)).alias("s_suppkey"))
     return r.batch_problems(t.supplier, batch, ["s_suppkey"])
 
 
@@ -276,14 +269,16 @@ def r07_unmatched(t):
     return r.unmatched_rows(by_code, t.customer.filter("c_mktsegment = 'BUILDING'"), ["c_name"]).select("c_custkey")
 
 
-CANDIDATES = """cand AS (SELECT o_custkey AS entity_code, 'order_value' AS metric_key, o_totalprice AS candidate_value, o_orderstatus, 'class of ' || year(o_orderdate) || '届' AS quote, o_orderkey FROM orders WHERE o_orderstatus = 'F'),
-  checked AS (SELECT *, count(*) OVER (PARTITION BY entity_code) AS n, regexp_extract(quote, '(\\d{4})\\s*届', 1) <> '1998' AS wrong_year FROM cand)"""
+CANDIDATES = """cand AS (SELECT o_custkey AS entity_code, CASE o_orderstatus WHEN 'F' THEN 'order_value' WHEN 'O' THEN 'order_count' ELSE 'urgent_share' END AS metric_key, o_totalprice AS candidate_value, 'class of ' || year(o_orderdate) || '届' AS quote, o_orderkey FROM orders),
+  checked AS (SELECT *, count(*) OVER (PARTITION BY entity_code, metric_key) AS n, regexp_extract(quote, '(\\d{4})\\s*届', 1) <> '1998' AS wrong_year FROM cand)"""
 
 
 def approved_candidates(t):
-    rows = t.orders.filter("o_orderstatus = 'F'").select(
+    """Every order is a candidate for one of its customer's metrics, by its status."""
+    status = F.col("o_orderstatus")
+    rows = t.orders.select(
         F.col("o_custkey").alias("entity_code"),
-        F.lit("order_value").alias("metric_key"),
+        F.when(status == "F", "order_value").when(status == "O", "order_count").otherwise("urgent_share").alias("metric_key"),
         F.col("o_totalprice").alias("candidate_value"),
         F.concat(F.lit("class of "), F.year("o_orderdate"), F.lit("届")).alias("quote"),
         "o_orderkey",
@@ -338,11 +333,13 @@ PUBLISHED = f"""{CLAIMS}, published AS (SELECT task_id, ship_year, batch, suppli
 
 @query("r10_publish", f"WITH {PUBLISHED} SELECT * FROM published")
 def r10(t):
+    base.share_snapshots(t)
     return rc.publish(paired(t, cut_lineage(decided(t), "decided")), base.spec())
 
 
 @query("r10_ambiguous_publications", f"WITH {PUBLISHED} SELECT ship_year, batch, supplier, slot, count(*) AS task_count FROM published GROUP BY 1, 2, 3, 4 HAVING count(*) > 1")
 def r10_ambiguous(t):
+    base.share_snapshots(t)
     return rc.ambiguous_publications(rc.publish(paired(t, cut_lineage(decided(t), "decided")), base.spec()), base.KEY)
 
 
@@ -353,6 +350,7 @@ def r10_ambiguous(t):
 )
 def r11(t):
     """All tasks decided: by rule, by pair, and the rest skipped by a reviewer. Core rows that pairs cover are not deleted."""
+    base.share_snapshots(t)
     plan = paired(t, cut_lineage(decided(t), "decided"))
     closed = plan.withColumn("review_decision", F.when(F.col("status") == "todo", "skip").otherwise(F.col("review_decision")))
     return rc.delete_plan(closed.withColumn("status", F.lit("decided")), base.spec())

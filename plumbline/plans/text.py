@@ -103,13 +103,14 @@ def t03_text(t):
     "t04_ranking_sentence",
     """WITH d AS (SELECT DISTINCT l_suppkey, p_brand FROM lineitem JOIN part ON p_partkey = l_partkey),
        n AS (SELECT l_suppkey, p_brand, row_number() OVER (PARTITION BY l_suppkey ORDER BY p_brand) AS rank, count(*) OVER (PARTITION BY l_suppkey) AS n FROM d)
-       SELECT l_suppkey, CAST(rank AS INTEGER) AS rank, p_brand AS name, 20 AS declared_count, n < 20 AS count_mismatch, p_brand IN (SELECT p_brand FROM part WHERE p_partkey % 100 = 0) AS is_planned FROM n""",
+       SELECT l_suppkey, CAST(rank AS INTEGER) AS rank, p_brand AS name, 20 AS declared_count, n < 20 AS count_mismatch, p_brand IN (SELECT p_brand FROM part WHERE p_size = 1) AS is_planned FROM n""",
 )
 def t04(t):
+    """Brands of a supplier's parts as a ranking; planned are the brands that have parts of the smallest size."""
     brands = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey")).groupBy("l_suppkey").agg(F.sort_array(F.collect_set("p_brand")).alias("b"))
     html = F.concat(F.lit("<p>本季度 排行前20个紧缺职业分别为"), F.array_join("b", "、"), F.lit("。</p>"))
     ranked = e.ranking_rows(brands.select("l_suppkey", html.alias("html")), "l_suppkey", "html")
-    planned = t.part.filter("p_partkey % 100 = 0").select(F.col("p_brand").alias("name"), F.lit(True).alias("is_planned")).distinct()
+    planned = t.part.filter("p_size = 1").select(F.col("p_brand").alias("name"), F.lit(True).alias("is_planned")).distinct()
     return ranked.join(planned, "name", "left").withColumn("is_planned", F.coalesce("is_planned", F.lit(False)))
 
 
@@ -155,12 +156,13 @@ def t06(t):
     """SELECT s_suppkey AS row_key, 'NATION_' || s_nationkey AS section, s_name AS school_name, CASE WHEN s_acctbal > 5000 THEN 'private' WHEN s_acctbal < 0 THEN 'joint' END AS ownership FROM supplier""",
 )
 def t07(t):
+    """A list of schools for each region, a section for each nation."""
     base = 1000000000
-    heads = t.nation.select(((F.col("n_nationkey").cast("bigint") + 1) * base).alias("line_no"), F.concat("n_name", F.lit("（12所）")).alias("first_cell"), F.lit(None).cast("string").alias("school_name"), F.lit(None).cast("string").alias("note"))
+    heads = t.nation.select(F.col("n_regionkey").alias("doc"), ((F.col("n_nationkey").cast("bigint") + 1) * base).alias("line_no"), F.concat("n_name", F.lit("（12所）")).alias("first_cell"), F.lit(None).cast("string").alias("school_name"), F.lit(None).cast("string").alias("note"))
     note = F.when(F.col("s_acctbal") > 5000, "民办").when(F.col("s_acctbal") < 0, "中外合作办学").otherwise("")
-    rows = t.supplier.select(((F.col("s_nationkey").cast("bigint") + 1) * base + F.col("s_suppkey") + 1).alias("line_no"), F.col("s_suppkey").cast("string").alias("first_cell"), F.col("s_name").alias("school_name"), note.alias("note"))
-    lines = heads.unionByName(rows).withColumn("doc", F.lit("schools"))
-    found = e.section_rows(lines, ["doc"], "line_no", "first_cell")
+    located = t.supplier.join(t.nation, F.col("n_nationkey") == F.col("s_nationkey"))
+    rows = located.select(F.col("n_regionkey").alias("doc"), ((F.col("s_nationkey").cast("bigint") + 1) * base + F.col("s_suppkey") + 1).alias("line_no"), F.col("s_suppkey").cast("string").alias("first_cell"), F.col("s_name").alias("school_name"), note.alias("note"))
+    found = e.section_rows(heads.unionByName(rows), ["doc"], "line_no", "first_cell")
     ownership = first_match([(F.col("note").contains("民办"), "private"), (F.col("note").contains("中外合作"), "joint")])
     return found.select(F.col("first_cell").cast("bigint").alias("row_key"), "section", "school_name", ownership.alias("ownership"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from plumbline.operators.aggregate import latest_by
+from plumbline.session import remove_folders
 
 BATCH = "batch_number"
 
@@ -34,6 +35,19 @@ def read_latest(spark: SparkSession, table: str, key: Sequence[str], order: Sequ
     return latest_by(rows, key, value, [*order, BATCH])
 
 
+def compact_latest(spark: SparkSession, table: str, key: Sequence[str], order: Sequence[str], upto: int) -> None:
+    """Merges the batches up to a number into that batch's folder and removes the earlier ones.
+
+    The merged rows are added before anything goes, and a record that is there twice is read once, so that a compaction that
+    stops halfway leaves the table as it reads. Batches up to the number must be committed: none of them may be written again.
+    """
+    rows = spark.read.parquet(table).filter(F.col(BATCH) <= upto)
+    folders = [row["folder"] for row in rows.select(F.col(BATCH).alias("folder")).distinct().collect()]  # one row a batch
+    value = [c for c in rows.columns if c not in (*key, BATCH)]
+    latest_by(rows, key, value, [*order, BATCH]).write.mode("append").parquet(f"{table}/{BATCH}={upto}")
+    remove_folders(spark, [f"{table}/{BATCH}={n}" for n in folders if n < upto])
+
+
 def keep_health(stream: DataFrame, source: str, blocked, table: str, checkpoint: str) -> DataStreamWriter:
     """Writer that stores checks and blocked checks per source of every micro-batch."""
 

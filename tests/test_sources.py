@@ -43,6 +43,10 @@ def test_stream_gives_the_batch_result(spark):
     want = f.latest_wins(events, events.limit(0), ["user_id"], ["ts", "event_id"])
     assert rows(inc.read_latest(spark, table, ["user_id"], ["ts", "event_id"]), "user_id", "event_id") == rows(want, "user_id", "event_id")
 
+    inc.compact_latest(spark, table, ["user_id"], ["ts", "event_id"], upto=2)
+    assert {r[0] for r in spark.read.parquet(table).select(inc.BATCH).distinct().collect()} == {2, 3}
+    assert rows(inc.read_latest(spark, table, ["user_id"], ["ts", "event_id"]), "user_id", "event_id") == rows(want, "user_id", "event_id")
+
     health, state = new_folder(spark, "health"), new_folder(spark, "state")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
     inc.keep_health(stream, "user_id", F.col("event_type") == "error", health, state).trigger(availableNow=True).start().awaitTermination()
