@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.scoring import capped_share, range_score, weighted_mean
 from plumbline.operators.sequence import carried, in_stretches
 from plumbline.rules import all_of, broadcast_rules, first_match, rule_frame
+from plumbline.session import cut_lineage
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -214,6 +215,7 @@ def gap_summary(df: DataFrame, group: Sequence[str], score: str, sample: int) ->
     """
     distinct = in_stretches(df.select(*group, F.col(score).cast("bigint").alias("_score")).distinct(), group, "_score")
     told = carried(distinct, group, "_score", F.col("_score"), "_below").withColumn("_gap", F.greatest(F.col("_score") - F.col("_below") - 1, F.lit(0)))
+    told = cut_lineage(told.select(*group, "_score", "_below", "_gap"), "gaps")
     found = told.groupBy(*group).agg(
         F.count(F.lit(1)).alias("score_rows"), F.max("_score").alias("max_score"), F.min("_score").alias("min_score"), F.coalesce(F.sum("_gap"), F.lit(0)).alias("missing_count")
     )

@@ -11,11 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import vocabulary as vocab
-from plumbline.rules import all_of, any_of, first_match
+from plumbline.rules import all_of, any_of, broadcast_rules, first_match
 
 MAX_BEFORE = 8
 #: Characters of a context that a candidate quotes.
 QUOTE_LENGTH = 240
+#: Names that are looked for one by one.
+FEW_ALIASES = 64
 
 
 def number_after(line: Column, start: Column, pattern: str) -> Column:
@@ -99,10 +101,11 @@ def metric_candidates(
     """
     rules = metric_rules(lines.sparkSession, metrics)
     aliases = sorted({alias for m in metrics for alias in (str(m["label"]), *m.get("aliases", []))})
-    # one pattern tells which lines hold a name at all
-    named = F.col("line").rlike("|".join(map(re.escape, aliases)) or "(?!)")
+    # which lines hold a name at all: a few are looked for one by one, many by one pattern
+    few = len(aliases) <= FEW_ALIASES
+    named = any_of(F.col("line").contains(x) for x in aliases) if few else F.col("line").rlike("|".join(map(re.escape, aliases)))
     held = F.filter(F.lit(aliases) if aliases else F.array().cast("array<string>"), lambda x: F.col("line").contains(x))
-    hits = lines.filter(named).select(*id_cols, "line_no", "context", F.explode(held).alias("alias")).join(rules, "alias")
+    hits = lines.filter(named).select(*id_cols, "line_no", "context", F.explode(held).alias("alias")).join(broadcast_rules(rules, sum(1 + len(m.get("aliases", [])) for m in metrics)), "alias")
     context = F.col("context")
     any_in = lambda words: F.exists(words, lambda x: context.contains(x))
     plain = F.regexp_replace("context", r"\s+", "")

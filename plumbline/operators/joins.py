@@ -88,7 +88,7 @@ def union_of_keys(facts: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
 
 
 #: Points of a cell that are compared one by one, and halvings of the unit cube at most.
-LEAF_POINTS, MOST_LEVELS = 16, 24
+LEAF_POINTS, MOST_LEVELS = 64, 24
 AXES = ("x", "y", "z")
 #: What rounding may take from a lower bound.
 SLACK_KM = 1e-6
@@ -179,6 +179,7 @@ def keyword_places(texts: DataFrame, id_col: str, text_col: str, keywords: DataF
     size = F.length("piece")
     starts = lambda n: F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(F.col("piece"), i, n)))
     parts = F.array_distinct(F.flatten(F.filter(F.transform(F.array(*[F.lit(n) for n in lengths]), starts), lambda x: x.isNotNull())))
+    pieces = cut_lineage(pieces, "pieces")  # read for the distinct ones, and again for each text's
     grams = pieces.select("piece").distinct().select("piece", F.explode(parts).alias("keyword"))
     return pieces, grams.join(keys, "keyword").select("piece", "keyword")
 
@@ -303,8 +304,8 @@ def prefix_suggestions(local: DataFrame, profiles: DataFrame, min_length: int, m
     differences of such counts. Only names within the limit list their candidates: the places of their interval, and the
     profiles among their own beginnings.
     """
-    profiles = profiles.select(F.col("name").alias("profile")).filter(F.length("profile") >= min_length).distinct()
-    local = local.select("name").filter(F.length("name") >= min_length).distinct()
+    profiles = cut_lineage(profiles.select(F.col("name").alias("profile")).filter(F.length("profile") >= min_length).distinct(), "profile-names")
+    local = cut_lineage(local.select("name").filter(F.length("name") >= min_length).distinct(), "local-names")
     # kinds at one place: ends of profiles, lower ends of names, profiles; upper ends of names come behind all that start so
     rows = [
         profiles.select(F.col("profile").alias("at"), F.lit(2).alias("kind"), F.lit(None).cast("string").alias("name")),
@@ -450,7 +451,7 @@ def name_cascade(
     def counted(pairs: DataFrame, label: str) -> DataFrame:
         told = pairs.join(c, [*scope, "c_name"]).groupBy(*key).agg(F.sum("c_rows").alias("n"), F.min("c_code").alias("code"))
         hint = F.concat(F.when(F.col("n") == 1, "single_").otherwise("ambiguous_"), F.lit(label))
-        return cut_lineage(told.select(*key, hint.alias("match_hint"), F.when(F.col("n") == 1, F.col("code")).alias("matched_code")), f"{label}-names")
+        return told.select(*key, hint.alias("match_hint"), F.when(F.col("n") == 1, F.col("code")).alias("matched_code"))
 
     exact = counted(p.select(*key, F.col("p_name").alias("c_name")), "exact")
     left = cut_lineage(p.join(exact, key, "left_anti"), "names-left")
@@ -458,7 +459,7 @@ def name_cascade(
     inside_core = contained_names(ours, theirs.withColumnRenamed("short", "long"), scope).toDF(*scope, "p_name", "c_name")
     inside_package = contained_names(theirs, ours.withColumnRenamed("short", "long"), scope).toDF(*scope, "c_name", "p_name")
     # equal names, of which one would hold the other, are gone with the exact matches
-    contains = counted(inside_core.unionByName(inside_package), "contains")
+    contains = cut_lineage(counted(inside_core.unionByName(inside_package), "contains"), "contained-names")
     left = left.join(contains, key, "left_anti")
     overlap = counted(
         token_overlap(

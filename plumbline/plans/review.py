@@ -150,7 +150,7 @@ def claims_of(t, plan):
 
 def paired(t, plan):
     """The plan with core-only rows paired with package rows by name."""
-    return rc.apply_pairs(plan, claims_of(t, plan), base.spec())
+    return rc.apply_pairs(plan, cut_lineage(claims_of(t, plan), "claims"), base.spec())
 
 
 @query(

@@ -56,24 +56,26 @@ def read_quality(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema("package_id string, row_count bigint, missing_required bigint, duplicate_keys bigint, error_count bigint").json(f"{root}/_quality/{table}")
 
 
-#: Bytes of a file that a task holds at once.
-PIECE_BYTES = 4 << 20
-#: Stores that tasks can read by themselves; the addresses of others are read by Spark, a file a row.
+#: Files of up to so many bytes are rows, whose hash Spark takes; and bytes of a larger file that a task holds at once.
+ROW_BYTES, PIECE_BYTES = 64 << 20, 4 << 20
+#: Stores that tasks can read by themselves; in others a file has to fit a row.
 STREAMED = ("file", "hdfs", "s3", "gs")
 
 
-def file_hashes(spark: SparkSession, root: str, table: str) -> DataFrame:
+def file_hashes(spark: SparkSession, root: str, table: str, row_bytes: int = ROW_BYTES) -> DataFrame:
     """SHA-256 of every file of a table, with its package and its path below the root.
 
-    Files are listed without their contents and dealt to tasks by their sizes; a task reads each in pieces and updates the hash,
-    so that a file of any size takes a piece of memory. In a store that only Spark reads, a file has to fit a row.
+    Files are listed without their contents. Those of a modest size are read as rows; a larger one is read by its task in pieces
+    that update the hash, so that a file of any size takes a piece of memory. Both give the same hash.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(f"{root}/{table}")
-    first = files.select("path").first()
-    if first is None or urlsplit(first["path"]).scheme in STREAMED:
-        hashed = files.select("path").mapInArrow(_hashed, "path string, file_sha256 string")
-    else:
+    large = files.filter(F.col("length") > row_bytes).select("path")
+    first = large.first()
+    if first is None or urlsplit(first["path"]).scheme not in STREAMED:
         hashed = files.select("path", F.sha2("content", 256).alias("file_sha256"))
+    else:
+        small = files.filter(F.col("length") <= row_bytes).select("path", F.sha2("content", 256).alias("file_sha256"))
+        hashed = small.unionByName(large.mapInArrow(_hashed, "path string, file_sha256 string"))
     relative = F.regexp_extract("path", f"({table}/.*)$", 1)
     return hashed.select(F.regexp_extract("path", r"package_id=([^/]*)/", 1).alias("package_id"), relative.alias("file_path"), "file_sha256")
 
