@@ -15,8 +15,6 @@ component need not be compared, since only components are asked for. So no linke
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
