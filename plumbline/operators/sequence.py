@@ -324,8 +324,9 @@ def line_groups(df: DataFrame, page: Sequence[str], tolerance: float) -> DataFra
     where the one before it begins: every position's successor is the smallest position beyond its tolerance, and lines begin
     where successors lead to from the sure beginnings. They are found by pointer jumping over (page, y) rows: each round doubles
     the steps that successors take and the beginnings that are known, so a stretch of n lines takes log n rounds and is never
-    held in one task.
+    held in one task. Objects without y are one line of their page, without first_y; objects without a page are left out.
     """
+    df = df.filter(all_of([F.col(c).isNotNull() for c in page]))
     ys = in_stretches(df.select(*page, "y").filter(F.col("y").isNotNull()).distinct(), page, "y")
     sure = carried(ys, page, "y", F.col("y"), "previous")
     sure = sure.filter(F.col("previous").isNull() | (F.col("y") - F.col("previous") > tolerance)).select(*page, "y")
@@ -344,7 +345,7 @@ def line_groups(df: DataFrame, page: Sequence[str], tolerance: float) -> DataFra
         jumps = cut_lineage(jumps.join(onward, [*page, "to"]).select(*page, "y", F.col("onward").alias("to")), "line-jumps")
     marked = ys.join(starts.withColumn("_start", F.col("y")), [*page, "y"], "left")
     placed = carried(marked, page, "y", F.col("_start"), "_last").select(*page, "y", F.coalesce("_start", "_last").alias("first_y"))
-    return df.join(placed, [*page, "y"])
+    return df.join(placed, [*page, "y"], "left")
 
 
 def _line_successors(ys: DataFrame, page: Sequence[str], tolerance: float) -> DataFrame:

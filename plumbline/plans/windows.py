@@ -232,8 +232,12 @@ def w12(t):
 def w13(t):
     minute = F.timestamp_diff("MINUTE", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts").cast("timestamp_ntz"))
     objects = t.events.select("user_id", minute.cast("double").alias("y"), F.floor(F.col("value") * 100).cast("double").alias("x"), F.col("event_id").alias("item"))
-    place = F.struct("x", "item")
-    lines = s.line_groups(objects, ["user_id"], 600.0).groupBy("user_id", F.col("first_y").cast("bigint").alias("first_y"))
+    # nulls come last, as in SQL, whose walk takes nothing but the first object where there is no user
+    ordered = [F.asc_nulls_last(c) for c in ("y", "x", "item")]
+    homeless = objects.filter("user_id IS NULL").orderBy(*ordered).limit(1).withColumn("first_y", F.col("y"))
+    place = F.when(F.col("item").isNotNull(), F.struct(F.col("x").isNull().alias("none"), "x", "item"))
+    lines = s.line_groups(objects, ["user_id"], 600.0).unionByName(homeless)
+    lines = lines.groupBy("user_id", F.col("first_y").cast("bigint").alias("first_y"))
     return lines.agg(F.min_by("item", place).alias("first_item"), F.max_by("item", place).alias("last_item"), F.count(F.lit(1)).alias("items"))
 
 
