@@ -7,6 +7,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -171,19 +172,26 @@ class _Cells(HTMLParser):
 
 
 def html_table_rows(pages: DataFrame, id_col: str, html: str) -> DataFrame:
-    """Rows of all tables of each page as arrays of cell texts, numbered within the page."""
+    """Rows of all tables of each page as arrays of cell texts, numbered within the page.
+
+    Pages are dealt out by id first: a small file holds millions of short pages, and would be parsed in one task.
+    """
     id_type = pages.schema[id_col].dataType.simpleString()
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for page, text in zip(batch[id_col], batch[html]):
+            at, numbers, cells = [], [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
                 parser = _Cells()
                 parser.feed(text or "")
-                out.extend((page, i, cells) for i, cells in enumerate(parser.rows))
-            yield pd.DataFrame(out, columns=[id_col, "row_no", "cells"])
-
-    return pages.select(id_col, html).mapInPandas(parse, f"{id_col} {id_type}, row_no int, cells array<string>")
+                at += [i] * len(parser.rows)
+                numbers += range(len(parser.rows))
+                cells += parser.rows
+            columns = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(numbers, pa.int32()), pa.array(cells, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, [id_col, "row_no", "cells"])
+
+    dealt = pages.select(id_col, html).repartition(id_col)
+    return dealt.mapInArrow(parse, f"{id_col} {id_type}, row_no int, cells array<string>")
 
 
 def code_name_rows(rows: DataFrame, id_col: str, pattern: str = vocab.OCCUPATION_CODE) -> DataFrame:

@@ -167,3 +167,10 @@ def test_names_urls_and_regions(frame):
     assert [r[0] for r in df.select(v.strip_suffixes(F.col("t"), CITY_SUFFIXES, False)).collect()] == ["内蒙古自治区", "广西壮族自治区", "吉林"]
     df = frame("t string", (" 理 学（中外） ；a",))
     assert df.select(v.unify_separators(F.col("t"))).first()[0] == "理学(中外),a"
+
+
+def test_html_pages_of_one_file_are_dealt_out(spark):
+    pages = spark.range(0, 40_000, 1, 1).selectExpr("id AS page", "concat('<table><tr><td>', repeat('x', 400), id, '</td></tr></table>') AS html")
+    found = e.html_table_rows(pages, "page", "html")
+    assert "Exchange hashpartitioning(page" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.selectExpr("sum(row_no)", "count(*)", "count_if(cells[0] = concat(repeat('x', 400), page))").collect()[0][:] == (0, 40_000, 40_000)
