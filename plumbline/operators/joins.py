@@ -7,9 +7,12 @@ measured by AQE at run time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -254,6 +257,122 @@ def item_strengths(texts: DataFrame, id_col: str, text_col: str, keywords: DataF
     return told.join(items, "item_number").select(item, id_col, "strength")
 
 
+#: Keywords of items that tasks hold; more are joined instead.
+HELD_KEYWORDS = 1 << 19
+#: Tokens whose keywords a task remembers, and the longest of these.
+REMEMBERED_TOKENS, REMEMBERED_LENGTH = 100_000, 64
+
+
+def held_keywords(texts: DataFrame, id_col: str, keywords: DataFrame, item: str, token: str) -> list[tuple] | None:
+    """(item, keyword) rows, if tasks can hold them and every text has an id of its own; else None."""
+    rows = keywords.select(item, "keyword").distinct().limit(HELD_KEYWORDS + 1).collect()
+    ids = texts.select(id_col)
+    unfit = len(rows) > HELD_KEYWORDS or any(not re.fullmatch(token, r["keyword"]) for r in rows)
+    if unfit or not ids.filter(F.col(id_col).isNull()).isEmpty() or not ids.groupBy(id_col).count().filter("count > 1").isEmpty():
+        return None
+    return [(r[item], r["keyword"]) for r in rows]
+
+
+class HeldItems:
+    """Items with the letters of their keywords that a text holds, each keyword counted once."""
+
+    def __init__(self, held: list[tuple], token: str):
+        self.items = sorted({i for i, _ in held})
+        at = {x: n for n, x in enumerate(self.items)}
+        of: dict[str, list[int]] = {}
+        for i, keyword in held:
+            of.setdefault(keyword, []).append(at[i])
+        self.number = {keyword: n for n, keyword in enumerate(of)}
+        self.postings = [np.array(x, np.int64) for x in of.values()]
+        self.letters = [np.full(len(x), len(keyword), np.int64) for keyword, x in of.items()]
+        self.short = sorted({len(keyword) for keyword in of if len(keyword) < 3})
+        longer: dict[str, set[int]] = {}
+        for keyword in of:
+            if len(keyword) >= 3:
+                longer.setdefault(keyword[:3], set()).add(len(keyword))
+        self.longer = {beginning: tuple(lengths) for beginning, lengths in longer.items()}
+        self.token = re.compile(token)
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def keywords_of(self, piece: str) -> tuple[int, ...]:
+        """Numbers of the keywords inside a token."""
+        found = self.known.get(piece)
+        if found is None:
+            parts = {piece[i : i + n] for n in self.short for i in range(len(piece) - n + 1)}
+            for i in range(len(piece) - 2):
+                parts.update([piece[i : i + n] for n in self.longer.get(piece[i : i + 3], ())])
+            found = tuple(self.number[x] for x in parts if x in self.number)
+            if len(piece) <= REMEMBERED_LENGTH:
+                if len(self.known) >= REMEMBERED_TOKENS:
+                    self.known = {}
+                self.known[piece] = found
+        return found
+
+    def strengths(self, body: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the items, ascending, and their letters."""
+        numbers = {n for piece in set(self.token.findall(body or "")) for n in self.keywords_of(piece)}
+        if not numbers:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        items, which = np.unique(np.concatenate([self.postings[n] for n in numbers]), return_inverse=True)
+        return items, np.bincount(which, np.concatenate([self.letters[n] for n in numbers])).astype(np.int64)
+
+
+def item_hits_in_tasks(texts: DataFrame, id_col: str, text_col: str, held: list[tuple], item: str, item_type: str, token: str) -> DataFrame:
+    """item_hits from one pass over the texts; held: as from held_keywords. Nothing is shuffled."""
+    id_type = texts.schema[id_col].dataType.simpleString()
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = HeldItems(held, token)
+        items = pa.array(of.items)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                found = [of.strengths(x.as_py())[0] for x in part.column(1)]
+                at = np.repeat(np.arange(len(found)), [len(x) for x in found])
+                yield pa.RecordBatch.from_arrays([items.take(pa.array(np.concatenate(found))), part.column(0).take(pa.array(at))], [item, id_col])
+
+    return texts.select(id_col, text_col).mapInArrow(find, f"{item} {item_type}, {id_col} {id_type}")
+
+
+def item_totals_in_tasks(texts: DataFrame, id_col: str, text_col: str, measure: str, held: list[tuple], item: str, item_type: str, token: str, best: int) -> DataFrame:
+    """Per item and task: the texts that hold a keyword of it, the sum of their measure (a long), the greatest strength, and
+    the best texts (strength, measure, id; ties to the greater measure, nulls last, then to the smaller id) as ``top``.
+
+    Strengths are as from item_strengths. What leaves a task is a row an item, so nothing that grows with the texts is shuffled.
+    """
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = HeldItems(held, token)
+        n = len(of.items)
+        texts_of, sums, sized = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)
+        bar = np.zeros(n, np.int64)  # strength of the last of an item's best texts, once there are enough
+        top: list[list[tuple]] = [[] for _ in range(n)]
+        for batch in batches:
+            for key, x, size in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                items, strengths = of.strengths(x.as_py())
+                texts_of[items] += 1
+                if size is not None:
+                    sums[items] += size
+                    sized[items] = True
+                may = strengths >= bar[items]
+                for i, strength in zip(items[may].tolist(), strengths[may].tolist(), strict=True):
+                    place = (-strength, size is None, -(size or 0), key, size)
+                    if len(top[i]) == best and place[:4] > top[i][-1][:4]:
+                        continue
+                    top[i] = sorted([*top[i], place], key=lambda p: p[:4])[:best]
+                    bar[i] = -top[i][-1][0] if len(top[i]) == best else 0
+        met = np.flatnonzero(texts_of).tolist()
+        tops = [[{"strength": -p[0], "measure": p[4], "id": p[3]} for p in top[i]] for i in met]
+        kind = pa.list_(pa.struct([("strength", pa.int64()), ("measure", pa.int64()), ("id", pa.int64())]))
+        columns = [pa.array([of.items[i] for i in met]), pa.array(texts_of[met]), pa.array([int(sums[i]) if sized[i] else None for i in met], pa.int64())]
+        if met:
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(tops, kind)], [item, "texts", "measure", "top"])
+
+    return texts.select(F.col(id_col).cast("bigint"), text_col, F.col(measure).cast("bigint")).mapInArrow(
+        total, f"{item} {item_type}, texts bigint, measure bigint, top array<struct<strength:bigint,measure:bigint,id:bigint>>"
+    )
+
+
 def code_keys(df: DataFrame, id_cols: Sequence[str], codes: Column, prefix_lengths: Sequence[int]) -> DataFrame:
     """Long table of the keys a code offers: itself, and each configured prefix."""
     kinds = [F.struct(F.lit("code_exact").alias("match_type"), F.col("code").alias("match_key"))]

@@ -227,6 +227,10 @@ def m07(t):
         SELECT item_id, count(*) AS position_count, CAST(sum(n_chars) AS BIGINT) AS metric_value, string_agg(doc_id, '|' ORDER BY rn) FILTER (WHERE rn <= 3) AS evidence, max(strength) AS best_strength FROM r GROUP BY 1""",
 )
 def m08(t):
+    texts, keywords = t.documents.select("doc_id", F.lower("text").alias("body"), "n_chars"), benchmark_keywords(t)
+    held = j.held_keywords(texts, "doc_id", keywords, "item_id", "[a-z]+")
+    if held:
+        return m08_in_tasks(texts, held)
     found = j.item_strengths(document_texts(t), "doc_id", "body", benchmark_keywords(t), "item_id", token="[a-z]+")
     strength = cut_lineage(found.join(t.documents.select("doc_id", "n_chars"), "doc_id"), "strengths")
     totals = strength.groupBy("item_id").agg(F.count(F.lit(1)).alias("position_count"), F.sum("n_chars").alias("metric_value"), F.max("strength").alias("best_strength"))
@@ -236,6 +240,16 @@ def m08(t):
     return totals.join(evidence, "item_id")
 
 
+def m08_in_tasks(texts, held):
+    """The same where tasks can hold the keywords: an item's texts are summed, and its best ones picked, in one pass."""
+    parts = cut_lineage(j.item_totals_in_tasks(texts, "doc_id", "body", "n_chars", held, "item_id", "bigint", "[a-z]+", 3), "item-totals")
+    totals = parts.groupBy("item_id").agg(F.sum("texts").alias("position_count"), F.sum("measure").alias("metric_value"))
+    top = r.top_per_group(parts.select("item_id", F.inline("top")), ["item_id"], [F.desc("strength"), F.desc("measure"), F.asc("id")], 3)
+    order = F.array_sort(F.collect_list(F.struct((-F.col("strength")).alias("s"), F.col("measure").isNull().alias("none"), (-F.col("measure")).alias("n"), "id")))
+    evidence = top.groupBy("item_id").agg(F.array_join(F.transform(order, lambda e: e["id"].cast("string")), "|").alias("evidence"), F.max("strength").alias("best_strength"))
+    return totals.join(evidence, "item_id")
+
+
 HISTORY = f"""{base.CORE}, {DISTRIBUTION}, history AS (SELECT ship_year, batch, supplier, slot, min_quantity AS min_score, min_rank FROM core LEFT JOIN distribution USING (supplier, ship_year, min_quantity))"""
 
 

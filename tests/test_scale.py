@@ -241,3 +241,27 @@ def test_a_file_over_the_row_limit_is_hashed(spark):
     want.update(bytes(size & ((1 << 20) - 1)))
     got = {r.file_path.rsplit("/", 1)[1]: r.file_sha256 for r in pk.file_hashes(spark, root, "t").collect()}
     assert got == {"part.parquet": want.hexdigest(), "small.parquet": hashlib.sha256(b"abc").hexdigest()}
+
+
+def test_keywords_in_tasks_agree_with_joins(spark):
+    words = ["alpha", "beta", "in", "pha", "gamma", "ta", "kin"]
+    texts = spark.createDataFrame([(i, " ".join(words[(i * k) % 7] + "x" * (i % 3) for k in range(i % 6)) or None, None if i % 9 == 0 else i % 4) for i in range(60)], "doc long, body string, size long")
+    keywords = spark.createDataFrame([(n % 4, w) for n, w in enumerate(words)] + [(3, "in"), (2, "alpha")], "item long, keyword string")
+    held = j.held_keywords(texts, "doc", keywords, "item", "[a-z]+")
+    hits = j.item_hits_in_tasks(texts, "doc", "body", held, "item", "bigint", "[a-z]+")
+    assert "Exchange" not in hits._jdf.queryExecution().executedPlan().toString()
+    assert sorted(hits.collect()) == sorted(j.item_hits(texts, "doc", "body", keywords, "item", "[a-z]+").collect())
+    strengths = j.item_strengths(texts, "doc", "body", keywords, "item", "[a-z]+").join(texts, "doc").collect()
+    found = j.item_totals_in_tasks(texts.coalesce(1), "doc", "body", "size", held, "item", "bigint", "[a-z]+", 3).collect()
+    assert len(found) == 4
+    for row in found:
+        own = [x for x in strengths if x["item"] == row["item"]]
+        best = sorted(own, key=lambda x: (-x["strength"], x["size"] is None, -(x["size"] or 0), x["doc"]))[:3]
+        assert (row["texts"], row["measure"]) == (len(own), sum(x["size"] or 0 for x in own))
+        assert [tuple(x) for x in row["top"]] == [(x["strength"], x["size"], x["doc"]) for x in best]
+
+
+def test_repeated_text_ids_are_left_to_joins(spark):
+    keywords = spark.createDataFrame([(1, "beta")], "item long, keyword string")
+    twice = spark.createDataFrame([(1, "beta"), (1, "x")], "doc long, body string")
+    assert j.held_keywords(twice, "doc", keywords, "item", "[a-z]+") is None
