@@ -161,15 +161,17 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",),
     fields = [f for f in docs.schema.fields if f.name in keep]
     made = [T.StructField(name, kind) for name, kind in zip(as_names, (T.StringType(), T.DoubleType()), strict=True)]
     schema = T.StructType([*fields, *made])
-    n = len(fields)
+    names = [f.name for f in fields]
+    own_text = [] if "text" in names else [F.col("text").alias("__text")]  # a kept text is not sent twice
+    n = names.index("text") if "text" in names else len(fields)
 
     def predict(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in portions(rows, n):
             found = [model.predict(x.as_py()) for x in part.column(n)]
             own = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*part.columns[:n], *own], schema.names)
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(fields)], *own], schema.names)
 
-    return docs.select(*(F.col(f"`{f.name}`") for f in fields), F.col("text").alias("__text")).mapInArrow(predict, schema)
+    return docs.select(*(F.col(f"`{f.name}`") for f in fields), *own_text).mapInArrow(predict, schema)
 
 
 def language_filter(docs: DataFrame, min_score: float = 0.0, length: int = PROFILE_LENGTH, sample_docs: int = SAMPLE_DOCS) -> DataFrame:

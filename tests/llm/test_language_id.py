@@ -68,3 +68,10 @@ def test_held_out_accuracy(spark):
     model = li.learn(docs)
     found = li.identify(docs, model, ("doc_id", "lang")).filter(li.held_out(li.F.col("doc_id"))).collect()
     assert len(found) > 20 and sum(r["lang"] == r["lang_pred"] for r in found) >= 0.98 * len(found)
+
+
+def test_a_kept_text_is_sent_once(spark):
+    docs = spark.createDataFrame([(1, "abc", "en"), (2, None, "en")], "doc_id long, text string, lang string")
+    found = li.identify(docs, li.Model([("en", ord("a"), 0)], 5), ("text", "doc_id"))
+    assert "__text" not in found._jdf.queryExecution().analyzed().toString()
+    assert [(r["doc_id"], r["text"], r["lang_pred"]) for r in found.orderBy("doc_id").collect()] == [(1, "abc", "en"), (2, None, "und")]
