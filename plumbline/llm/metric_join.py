@@ -138,18 +138,31 @@ def region_links(sets: list[np.ndarray], comps: np.ndarray, home: np.ndarray, li
 
 
 def _met(nodes: DataFrame) -> DataFrame:
-    """h, node and pivot (the smallest node at h) for every shingle h that several nodes have among their first."""
+    """h, node and pivot (the smallest node at h) for every shingle h that several nodes have among their first; where nodes have
+    comp, nodes of several comps."""
     per = Window.partitionBy("h")
-    at = nodes.select(F.explode("first").alias("h"), "node").withColumn("pivot", F.min("node").over(per)).withColumn("other", F.max("node").over(per))
-    return at.filter("pivot <> other").drop("other")
+    comp = [c for c in nodes.columns if c == "comp"]
+    at = nodes.select(F.explode("first").alias("h"), "node", *comp).withColumn("pivot", F.min("node").over(per))
+    for name in comp or ["node"]:
+        at = at.withColumn("one", F.min(name).over(per)).withColumn("other", F.max(name).over(per))
+    return at.filter("one <> other").select("h", "node", "pivot")
 
 
-def _regions(nodes: DataFrame, link: tuple[int, int]) -> DataFrame:
-    """region (its pivot) and node, the pivot's own row included, of the nodes that share as many shingles as a link needs."""
+def _likely(nodes: DataFrame, link: tuple[int, int]) -> DataFrame:
+    """node and first (the shingles that are enough) of the nodes that share as many shingles as a link needs."""
     shared = _met(nodes).groupBy(F.col("node").alias("of")).agg(F.count("*").alias("shared"))
     likely = nodes.join(shared, F.col("node") == F.col("of")).filter(F.col("shared") >= least_shared(F.col("n"), link))
     unshared = F.col("n") - F.ceil(F.col("n") * link[0] / link[1])
-    likely = cut_lineage(likely.select("node", F.slice("first", F.lit(1), (unshared + 1).cast("int")).alias("first")), "likely-sets")
+    return cut_lineage(likely.select("node", F.slice("first", F.lit(1), (unshared + 1).cast("int")).alias("first")), "likely-sets")
+
+
+def _regions(likely: DataFrame, comps: DataFrame | None = None) -> DataFrame:
+    """region (its pivot) and node, the pivot's own row included, of likely sets that meet.
+
+    comps: node and comp of nodes that are known to be in a component with others; shingles of one component meet nothing new.
+    """
+    if comps is not None:
+        likely = likely.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     return _met(likely).select(F.col("pivot").alias("region"), "node").distinct()
 
 
@@ -208,21 +221,31 @@ def _joined(rows: DataFrame, sets: DataFrame, link: tuple[int, int]) -> DataFram
     return rows.select("region", "node", "comp", "home").join(sets, "node").groupBy("region").applyInPandas(region, "src bigint, dst bigint").distinct()
 
 
-def components(docs: DataFrame, sets: DataFrame, words: int, link: tuple[int, int]) -> DataFrame:
-    """node and root (one member of its component, the same for all) of each node that has a link; sets: as from shingle_sets."""
-    nodes = sets.filter("n > 0").groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("first").alias("first"))
-    regions = cut_lineage(_regions(nodes, link), "regions")
-    wanted = sets.select("node", "row").join(regions.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
-    held = cut_lineage(members(docs, wanted, words), "members")
-
+def _tied(regions: DataFrame, held: DataFrame, comps: DataFrame | None, link: tuple[int, int]) -> DataFrame:
+    """node and comp (one member of its component, the same for all) after all links inside regions, of each node in a component
+    with others; regions: region (its pivot), node; held: node, hashes; comps: the components that are known before."""
     pivots = held.select(F.col("node").alias("region"), F.col("hashes").alias("pivot_hashes"))
-    told = regions.join(held, "node").join(pivots, "region").withColumn("n", F.size("hashes").cast("bigint")).withColumn("m", F.size("pivot_hashes").cast("bigint"))
+    if comps is not None:
+        own = comps.select(F.col("node").alias("region"), F.col("comp").alias("pivot_comp"))
+        regions = regions.join(comps, "node", "left").join(own, "region", "left")
+        # what is known to be in the pivot's component need not be compared with it
+        known = F.coalesce("comp", "node") == F.coalesce("pivot_comp", "region")
+        regions = cut_lineage(regions.select("region", "node", known.alias("known")), "known-links")
+        told = regions.filter("NOT known").select("region", "node")
+    else:
+        told = regions
+    told = told.join(held, "node").join(pivots, "region").withColumn("n", F.size("hashes").cast("bigint")).withColumn("m", F.size("pivot_hashes").cast("bigint"))
     told = cut_lineage(told.select("region", "node", "n", linked(_common("hashes", "pivot_hashes"), F.col("n"), F.col("m"), link).alias("close")), "pivot-links")
     links = told.filter("close AND node <> region").select(F.col("node").alias("src"), F.col("region").alias("dst"))
+    rows = told.filter("node <> region").select("region", "node", "n")
+    if comps is not None:
+        links = links.unionByName(comps.select(F.col("node").alias("src"), F.col("comp").alias("dst")))
+        sizes = held.select("node", F.size("hashes").cast("bigint").alias("n"))
+        rows = rows.unionByName(regions.filter("known AND node <> region").select("region", "node").join(sizes, "node").select("region", "node", "n"))
     comps = cut_lineage(connected_components(links).select(F.col("src").alias("node"), F.col("root").alias("comp")), "pivot-components")
 
     # pivots have been compared with all of their regions
-    rows = told.filter("node <> region").select("region", "node", "n").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).withColumn("home", F.lit(True)).withColumn("block", F.lit(False))
+    rows = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).withColumn("home", F.lit(True)).withColumn("block", F.lit(False))
     found = None
     level = 0
     while True:
@@ -238,8 +261,31 @@ def components(docs: DataFrame, sets: DataFrame, words: int, link: tuple[int, in
         found = found.unionByName(more)
         rows = _merged(rows, found)
     roots = cut_lineage(connected_components(found).select(F.col("src").alias("comp"), "root"), "component-roots")
-    alone = roots.join(comps.select("comp").distinct(), "comp", "left_anti").select(F.col("comp").alias("node"), "root")
-    return comps.join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("root")).unionByName(alone)
+    alone = roots.join(comps.select("comp").distinct(), "comp", "left_anti").select(F.col("comp").alias("node"), F.col("root").alias("comp"))
+    return comps.join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")).unionByName(alone)
+
+
+def components(docs: DataFrame, sets: DataFrame, words: int, link: tuple[int, int], proposed: DataFrame | None = None) -> DataFrame:
+    """node and root (one member of its component, the same for all) of each node that has a link; sets: as from shingle_sets.
+
+    proposed: region (its smallest node) and node, groups in which links are likely. They are joined before the regions of
+    shingles, which are then made of what is not in one component yet.
+    """
+    nodes = sets.filter("n > 0").groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("first").alias("first"))
+
+    likely, comps = _likely(nodes, link), None
+    if proposed is None:
+        regions = cut_lineage(_regions(likely), "regions")
+        wanted = regions.select("node")
+    else:
+        proposed = cut_lineage(proposed, "proposed-regions")
+        wanted = proposed.select("node").unionByName(likely.select("node"))  # one look at the texts for both
+    wanted = sets.select("node", "row").join(wanted.distinct(), "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
+    held = cut_lineage(members(docs, wanted, words), "members")
+    if proposed is not None:
+        comps = cut_lineage(_tied(proposed, held, None, link), "proposed-components")
+        regions = cut_lineage(_regions(likely, comps), "regions")
+    return _tied(regions, held, comps, link).withColumnRenamed("comp", "root")
 
 
 def similar_documents(docs: DataFrame, words: int = SHINGLE_WORDS, link: tuple[int, int] = LINK) -> DataFrame:

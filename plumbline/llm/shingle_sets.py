@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.batches import portions
 from plumbline.llm.names import row_number_of
+from plumbline.llm.simhash import fingerprint_of
 
 SEED = 42
 #: Expected documents in the sample that tells frequent shingles, from how many of them on one is frequent, and how many are told.
 SAMPLE_DOCS, FREQUENT, MOST_FREQUENT = 4000, 3, 100_000
 
 
-def shingles(text: str | None, size: int) -> np.ndarray:
-    """Hashes of a text's different shingles, in order; A-Z are lower-cased, words are runs without ASCII white
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
+    """Hashes of a text's shingles as they come, repeats included; A-Z are lower-cased, words are runs without ASCII white
     space; fewer words than a shingle has are one."""
     words = (text or "").encode().lower().split()
     if not words:
@@ -30,7 +31,12 @@ def shingles(text: str | None, size: int) -> np.ndarray:
     starts = np.concatenate(([0], ends[: n - 1])).tolist()
     stops = (ends[len(words) - n :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)], np.uint64).view(np.int64))
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)], np.uint64).view(np.int64)
+
+
+def shingles(text: str | None, size: int) -> np.ndarray:
+    """Hashes of a text's different shingles, in order."""
+    return np.unique(shingle_hashes(text, size))
 
 
 def name_of(found: np.ndarray) -> int:
@@ -75,9 +81,9 @@ def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarr
     return np.array([h for h, _ in found], np.int64), np.array([n for _, n in found], np.int64)
 
 
-def shingle_sets(docs: DataFrame, words: int, link: tuple[int, int]) -> DataFrame:
-    """doc_id, row (a number of id and text), node (a number of the set), n (its size) and first (its told shingles, rare ones
-    first) of every row of docs."""
+def shingle_sets(docs: DataFrame, words: int, link: tuple[int, int], fingerprints: bool = False) -> DataFrame:
+    """doc_id, row (a number of id and text), node (a number of the set), n (its size), first (its told shingles, rare ones
+    first) and, if asked for, fp (the SimHash fingerprint of the text's shingles) of every row of docs."""
     frequent, counts = frequent_shingles(docs, words)
 
     def first(found: np.ndarray) -> np.ndarray:
@@ -89,12 +95,16 @@ def shingle_sets(docs: DataFrame, words: int, link: tuple[int, int]) -> DataFram
 
     def named(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in portions(rows, 2):
-            found = [shingles(x.as_py(), words) for x in part.column(2)]
+            hashed = [shingle_hashes(x.as_py(), words) for x in part.column(2)]
+            found = [np.unique(x) for x in hashed]
             columns = [pa.array([name_of(x) for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64())]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns, pa.array([first(x) for x in found], pa.list_(pa.int64()))], ["doc_id", "row", "node", "n", "first"])
+            columns.append(pa.array([first(x) for x in found], pa.list_(pa.int64())))
+            if fingerprints:
+                columns.append(pa.array([fingerprint_of(x) for x in hashed], pa.int64()))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], ["doc_id", "row", "node", "n", "first", "fp"][: 2 + len(columns)])
 
     own = docs.select(F.col("doc_id").cast("bigint"), row_number_of().alias("row"), "text")
-    return own.mapInArrow(named, "doc_id bigint, row bigint, node bigint, n bigint, first array<bigint>")
+    return own.mapInArrow(named, "doc_id bigint, row bigint, node bigint, n bigint, first array<bigint>" + ", fp bigint" * fingerprints)
 
 
 def members(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:

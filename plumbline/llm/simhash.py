@@ -15,7 +15,7 @@ component already.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,10 +52,20 @@ def fingerprint(text: str | None, size: int = SHINGLE_WORDS) -> int:
     starts = np.concatenate(([0], ends[: n - 1])).tolist()
     stops = (ends[len(words) - n :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
+    blocks = ([digest(joined[a:b], SEED) for a, b in zip(starts[at : at + BLOCK], stops[at : at + BLOCK], strict=True)] for at in range(0, n, BLOCK))
+    return _over_half(map(np.uint64, blocks), n)
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """fingerprint of a text whose shingles, repeats included, have these hashes (64 bits each); 0 without any."""
+    return _over_half((hashes[at : at + BLOCK] for at in range(0, len(hashes), BLOCK)), len(hashes))
+
+
+def _over_half(blocks: Iterable[np.ndarray], n: int) -> int:
+    """Bits that more than half of n hashes have, as a signed number; the hashes come in blocks."""
     ones = np.zeros(BITS, np.int64)
-    for at in range(0, n, BLOCK):
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at : at + BLOCK], stops[at : at + BLOCK], strict=True)], "<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    for hashes in blocks:
+        ones += np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits((2 * ones > n).astype(np.uint8), bitorder="little").view("<i8")[0])
 
 

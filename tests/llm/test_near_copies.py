@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
-from plumbline.llm import near_copies, shingle_sets, simhash
+from plumbline.llm import metric_join, near_copies, shingle_sets, simhash
 
 SCHEMA = "doc_id long, text string"
 
@@ -125,3 +125,21 @@ def test_a_very_long_text(spark):
     words = [f"w{i}" for i in range(200_000)]
     rows = [(1, " ".join(words)), (2, " ".join(words[:190_000])), (3, " ".join(words[:100_000])), (4, "x " * 500_000), (5, "x " * 400_000)]
     assert sorted(r["doc_id"] for r in near_copies.drop_near_copies(spark.createDataFrame(rows, SCHEMA)).collect()) == [1, 3, 4]
+
+
+def test_fingerprints_propose_and_sets_decide(spark, monkeypatch):
+    """What SimHash links goes if the sets link too, before any shingle is looked up."""
+    pick = random.Random(12)
+    long = [f"w{pick.getrandbits(40)}" for _ in range(3000)]
+    tail = lambda: " ".join(f"t{pick.getrandbits(40)}" for _ in range(10))
+    rows = [(1, " ".join(long)), (2, " ".join(long[:1500] + ["other"] + long[1501:])), (3, "a " * 1000 + tail()), (4, "a " * 1000 + tail()), (5, "alone"), (6, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    sets = shingle_sets.shingle_sets(df, 5, near_copies.SIMILARITY, fingerprints=True)
+    assert {r["doc_id"]: r["fp"] for r in sets.collect()} == {i: simhash.fingerprint(text, 5) for i, text in rows}
+    node = {r["node"]: r["doc_id"] for r in sets.collect()}
+    groups = {}
+    for r in near_copies.fingerprint_groups(sets).collect():
+        groups.setdefault(r["region"], set()).add(node[r["node"]])
+    assert sorted(map(sorted, groups.values())) == [[1, 2], [3, 4]]
+    monkeypatch.setattr(metric_join, "_regions", lambda likely, *_: likely.selectExpr("node AS region", "node").limit(0))
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()) == [1, 3, 4, 5, 6]
